@@ -208,3 +208,23 @@ def clean_counts(raw: DataFrame) -> DataFrame:
         F.count_if(complete & ~parsed).alias("rows_bad_date"),
         F.count_if(kept).alias("rows_clean"),
         F.count_if(F.coalesce(nb, F.lit(False))).alias("rows_notebook"))
+
+
+def window_features(lines: DataFrame, window: str = "30 days",
+                    key: str = "CustomerID", ts: str = "invoice_ts") -> DataFrame:
+    """T4 (batch form): features per customer and tumbling time window.
+
+    The return flag is Revenue < 0; medians use the mergeable sketch instead
+    of collecting per-window lists, so the same aggregate runs in a stream.
+    """
+    w = F.window(F.col(ts), window)
+    g = (lines.filter(F.col(key).isNotNull()).groupBy(w.alias("w"), key)
+              .agg(F.sum(revenue_decimal("Quantity", "UnitPrice")).alias("_rev"),
+                   F.count("InvoiceNo").alias("frequency"),
+                   F.count(F.when(F.col("Revenue") < 0, 1)).alias("num_returns"),
+                   F.percentile_approx("hour", 0.5).alias("purchase_hour_med"),
+                   F.percentile_approx("dayofweek", 0.5).alias("purchase_dow_med"),
+                   F.max(ts).alias("last_ts")))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    key, F.col("_rev").cast("double").alias("total_revenue"), "frequency",
+                    "num_returns", "purchase_hour_med", "purchase_dow_med", "last_ts")

@@ -111,3 +111,334 @@ SQL["clean_lines"] = BASE + f"\nSELECT {CLEAN_COLS} FROM dirty_clean"
 
 SQL["cust_features"] = BASE + "," + features_cte("feats", "lines") + \
     f"\nSELECT {FEATURE_COLS} FROM feats"
+
+LINE_COLS = "InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country"
+FEATS = BASE + "," + features_cte("feats", "lines")
+
+
+def _ts_from_epoch(e: str) -> str:
+    return f"(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST({e} AS BIGINT)))"
+
+
+def _parse(c: str) -> str:
+    return (f"try_strptime(regexp_replace(replace({c}, 'T', ' '), '[^0-9\\-: ]', '', 'g'), "
+            f"'%Y-%m-%d %H:%M:%S')")
+
+
+SQL["time_parts"] = BASE + f"""
+SELECT InvoiceNo, StockCode, InvoiceDate,
+       CAST(hour(ts) AS INTEGER) AS hour,
+       CAST(dayofweek(ts) + 1 AS INTEGER) AS dayofweek,
+       CASE WHEN dayofweek(ts) + 1 IN (6, 7) THEN 1 ELSE 0 END AS weekend
+FROM (SELECT *, {_parse('InvoiceDate')} AS ts FROM invoice_lines)"""
+
+SQL["required_rows"] = BASE + f"""
+SELECT {LINE_COLS} FROM dirty_lines
+WHERE InvoiceNo IS NOT NULL AND StockCode IS NOT NULL AND Description IS NOT NULL
+  AND Quantity IS NOT NULL AND InvoiceDate IS NOT NULL AND UnitPrice IS NOT NULL
+  AND CustomerID IS NOT NULL AND Country IS NOT NULL"""
+
+SQL["fill_defaults"] = BASE + """
+SELECT InvoiceNo, coalesce(StockCode, '') AS StockCode, coalesce(Description, '') AS Description,
+       coalesce(Quantity, 0) AS Quantity, coalesce(InvoiceDate, '') AS InvoiceDate,
+       coalesce(UnitPrice, 0.0) AS UnitPrice, coalesce(CustomerID, '') AS CustomerID,
+       coalesce(Country, '') AS Country
+FROM dirty_lines"""
+
+SQL["epoch_roundtrip"] = BASE + f"""
+SELECT InvoiceNo, StockCode, invoice_epoch, {_ts_from_epoch('invoice_epoch')} AS restored_ts,
+       strftime({_ts_from_epoch('invoice_epoch')}, '%Y-%m-%dT%H:%M:%S') AS iso_text
+FROM dirty_clean"""
+
+SQL["dedup_customer"] = BASE + f"""
+SELECT {CLEAN_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY CustomerID ORDER BY
+      InvoiceNo, StockCode, Description, Quantity, UnitPrice, Country, invoice_ts,
+      invoice_epoch, hour, dayofweek, weekend, Revenue) AS rn
+  FROM lines WHERE CustomerID IS NOT NULL) WHERE rn = 1"""
+
+SQL["notebook_clean"] = BASE + f"""
+SELECT {LINE_COLS} FROM dirty_lines
+WHERE CustomerID IS NOT NULL AND UnitPrice > 0 AND Quantity > 0"""
+
+SQL["normalise_lines"] = BASE + f"""
+SELECT InvoiceNo, StockCode, Description,
+       CAST(trunc(TRY_CAST(Quantity AS DOUBLE)) AS INTEGER) AS Quantity,
+       strftime({_parse('InvoiceDate')}, '%Y-%m-%d %H:%M:%S') AS InvoiceDate,
+       TRY_CAST(UnitPrice AS DOUBLE) AS UnitPrice, CustomerID, Country
+FROM dirty_lines
+WHERE InvoiceNo IS NOT NULL AND StockCode IS NOT NULL AND Description IS NOT NULL
+  AND Quantity IS NOT NULL AND InvoiceDate IS NOT NULL AND UnitPrice IS NOT NULL
+  AND CustomerID IS NOT NULL AND Country IS NOT NULL"""
+
+SQL["explode_items"] = BASE + """
+SELECT InvoiceNo, InvoiceDate, CustomerID, Country, StockCode, Description, Quantity, UnitPrice
+FROM invoice_lines"""
+
+SQL["json_parse"] = """
+SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"""
+
+SQL["nest_invoices"] = BASE + """
+SELECT InvoiceNo, InvoiceDate, CustomerID, Country, CAST(COUNT(*) AS INTEGER) AS n_items,
+       CAST(SUM(Quantity) AS BIGINT) AS total_qty,
+       string_agg(StockCode, ',' ORDER BY StockCode, Description, Quantity, UnitPrice) AS stock_codes
+FROM invoice_lines GROUP BY InvoiceNo, InvoiceDate, CustomerID, Country"""
+
+SQL["to_json_events"] = BASE + """
+SELECT InvoiceNo AS key,
+       to_json({'InvoiceNo': InvoiceNo, 'InvoiceDate': InvoiceDate, 'CustomerID': CustomerID,
+                'Country': Country,
+                'Items': list({'StockCode': StockCode, 'Description': Description,
+                               'Quantity': Quantity, 'UnitPrice': UnitPrice}
+                              ORDER BY StockCode, Description, Quantity, UnitPrice)})::VARCHAR AS value
+FROM invoice_lines GROUP BY InvoiceNo, InvoiceDate, CustomerID, Country"""
+
+_INGEST = BASE + """,
+inv AS (
+  SELECT InvoiceNo, InvoiceDate, CustomerID, Country, COUNT(*) AS n,
+         COUNT(Quantity) AS n_q, COUNT(StockCode) AS n_s, COUNT(Description) AS n_d,
+         COUNT(UnitPrice) AS n_p
+  FROM dirty_lines GROUP BY InvoiceNo, InvoiceDate, CustomerID, Country),
+marked AS (
+  SELECT *, (InvoiceNo IS NOT NULL AND InvoiceDate IS NOT NULL AND CustomerID IS NOT NULL
+             AND Country IS NOT NULL AND n_q = n AND n_s = n AND n_d = n AND n_p = n) AS ok
+  FROM inv)"""
+
+SQL["ingest_valid"] = _INGEST + """
+SELECT InvoiceNo, InvoiceDate, CustomerID, Country, CAST(n AS INTEGER) AS n_items
+FROM marked WHERE ok"""
+
+SQL["ingest_quarantine"] = _INGEST + """
+SELECT InvoiceNo,
+       CASE WHEN CustomerID IS NULL THEN 'missing CustomerID'
+            WHEN InvoiceDate IS NULL THEN 'missing InvoiceDate'
+            ELSE 'invalid item' END AS reason
+FROM marked WHERE NOT ok"""
+
+SQL["cust_medians"] = BASE + """
+SELECT CustomerID, quantile_disc(hour, 0.5) AS purchase_hour_med,
+       quantile_disc(dayofweek, 0.5) AS purchase_dow_med
+FROM lines WHERE CustomerID IS NOT NULL GROUP BY CustomerID"""
+
+SQL["returns"] = BASE + """
+SELECT CustomerID, COUNT(InvoiceNo) AS num_returns
+FROM lines WHERE Revenue < 0 AND CustomerID IS NOT NULL GROUP BY CustomerID"""
+
+SQL["features_by_joins"] = FEATS + f"\nSELECT {FEATURE_COLS} FROM feats"
+
+SQL["target_rev"] = FEATS + f"\nSELECT {FEATURE_COLS}, total_revenue AS target_rev FROM feats"
+
+SQL["features_target_split"] = BASE + """,
+early AS (SELECT * FROM lines WHERE invoice_ts < TIMESTAMP '""" + SPLIT_DATE + """ 00:00:00'),
+late AS (SELECT * FROM lines WHERE invoice_ts >= TIMESTAMP '""" + SPLIT_DATE + """ 00:00:00'),""" \
+    + features_cte("feats", "early") + """,
+target AS (
+  SELECT CustomerID,
+         CAST(SUM(CAST(Quantity AS DECIMAL(10,0)) * CAST(UnitPrice AS DECIMAL(18,4))) AS DOUBLE) AS target_rev
+  FROM late WHERE CustomerID IS NOT NULL GROUP BY CustomerID)
+SELECT f.CustomerID, total_revenue, recency, frequency, t, time_between, avg_basket_value,
+       avg_basket_size, num_returns, purchase_hour_med, purchase_dow_med, purchase_weekend_prop,
+       coalesce(target_rev, 0.0) AS target_rev
+FROM feats f LEFT JOIN target g ON f.CustomerID = g.CustomerID"""
+
+SQL["invoice_totals"] = BASE + """
+SELECT InvoiceNo,
+       CAST(SUM(CAST(Quantity AS DECIMAL(10,0)) * CAST(UnitPrice AS DECIMAL(18,4))) AS DOUBLE) AS TotalValue
+FROM lines GROUP BY InvoiceNo"""
+
+SQL["null_profile"] = BASE + "\nSELECT " + ", ".join(
+    f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in LINE_COLS.split(", ")) \
+    + " FROM dirty_lines"
+
+
+def _describe(c: str) -> str:
+    d = f"CAST({c} AS DECIMAL(18,4))"
+    return f"""
+SELECT '{c}' AS "column", n AS count, s / CAST(n AS DOUBLE) AS mean,
+       sqrt(greatest((ss - s * s / CAST(n AS DOUBLE)) / (CAST(n AS DOUBLE) - 1.0), 0.0)) AS stddev,
+       mn AS min, mx AS max
+FROM (SELECT COUNT({c}) AS n, CAST(SUM({d}) AS DOUBLE) AS s, CAST(SUM({d} * {d}) AS DOUBLE) AS ss,
+             CAST(MIN({c}) AS DOUBLE) AS mn, CAST(MAX({c}) AS DOUBLE) AS mx FROM lines)"""
+
+
+SQL["describe_lines"] = BASE + "\n" + "\nUNION ALL".join(
+    _describe(c) for c in ("Quantity", "UnitPrice", "Revenue"))
+
+SQL["clean_counts"] = BASE + f""",
+flags AS (
+  SELECT (InvoiceDate IS NOT NULL AND Quantity IS NOT NULL AND UnitPrice IS NOT NULL) AS complete,
+         {_parse('InvoiceDate')} IS NOT NULL AS parsed,
+         CAST(trunc(TRY_CAST(Quantity AS DOUBLE)) AS INTEGER) IS NOT NULL AS qty_ok,
+         coalesce(CustomerID IS NOT NULL AND UnitPrice > 0 AND Quantity > 0, false) AS nb
+  FROM dirty_lines)
+SELECT COUNT(*) AS rows_in, count_if(complete) AS rows_complete,
+       count_if(complete AND NOT parsed) AS rows_bad_date,
+       count_if(complete AND parsed AND qty_ok) AS rows_clean,
+       count_if(nb) AS rows_notebook
+FROM flags"""
+
+_BUCKET = "(('0x' || substr(md5({k}), 1, 4))::INTEGER % 100)"
+
+SQL["train_test_split"] = FEATS + f"""
+SELECT CustomerID, {_BUCKET.format(k='CustomerID')} AS bucket,
+       CASE WHEN {_BUCKET.format(k='CustomerID')} < 80 THEN 'train' ELSE 'test' END AS split
+FROM feats"""
+
+SERIES = BASE + """,
+series AS (
+  SELECT InvoiceNo,
+         CAST(SUM(CAST(Quantity AS DECIMAL(10,0)) * CAST(UnitPrice AS DECIMAL(18,4))) AS DOUBLE) AS TotalValue
+  FROM lines WHERE CustomerID IS NOT NULL AND UnitPrice > 0 AND Quantity > 0
+  GROUP BY InvoiceNo),
+ranked AS (
+  SELECT InvoiceNo, TotalValue, row_number() OVER (ORDER BY InvoiceNo) - 1 AS pos,
+         COUNT(*) OVER () AS n FROM series),
+bounds AS (
+  SELECT *, CAST(floor(n * 0.6) AS BIGINT) AS n_train, CAST(floor(n * 0.2) AS BIGINT) AS n_val
+  FROM ranked),
+split_series AS (
+  SELECT InvoiceNo, TotalValue, pos,
+         CASE WHEN pos < n_train THEN 'train' WHEN pos < n_train + n_val THEN 'val' ELSE 'test' END AS split,
+         pos - CASE WHEN pos < n_train THEN 0 WHEN pos < n_train + n_val THEN n_train
+                    ELSE n_train + n_val END AS split_pos
+  FROM bounds)"""
+
+SQL["hash_sample"] = SERIES + """
+SELECT InvoiceNo, TotalValue FROM series ORDER BY md5(InvoiceNo), InvoiceNo LIMIT 10000"""
+
+SQL["series_split"] = SERIES + "\nSELECT InvoiceNo, TotalValue, pos, split, split_pos FROM split_series"
+
+SQL["series_windows"] = SERIES + """
+SELECT a.split, a.split_pos AS t, a.TotalValue AS x0, b.TotalValue AS x1, c.TotalValue AS y
+FROM split_series a
+JOIN split_series b ON b.split = a.split AND b.split_pos = a.split_pos + 1
+JOIN split_series c ON c.split = a.split AND c.split_pos = a.split_pos + 2"""
+
+SQL["minmax_scale"] = SERIES + """,
+mm AS (SELECT MIN(TotalValue) AS lo, MAX(TotalValue) AS hi FROM split_series WHERE split = 'train')
+SELECT InvoiceNo, split, (TotalValue - lo) / (hi - lo) AS scaled FROM split_series, mm"""
+
+
+def _score_sql() -> str:
+    from ..operators.scoring import SCORE_WEIGHTS
+    expr = None
+    for name, w in SCORE_WEIGHTS:
+        term = f"(CAST({w!r} AS DOUBLE) * CAST({name} AS DOUBLE))"
+        expr = term if expr is None else f"({expr} + {term})"
+    return expr
+
+
+SCORE = _score_sql()
+
+SQL["regression_metrics"] = BASE + """,
+early AS (SELECT * FROM lines WHERE invoice_ts < TIMESTAMP '""" + SPLIT_DATE + """ 00:00:00'),
+late AS (SELECT * FROM lines WHERE invoice_ts >= TIMESTAMP '""" + SPLIT_DATE + """ 00:00:00'),""" \
+    + features_cte("feats", "early") + """,
+target AS (
+  SELECT CustomerID,
+         CAST(SUM(CAST(Quantity AS DECIMAL(10,0)) * CAST(UnitPrice AS DECIMAL(18,4))) AS DOUBLE) AS target_rev
+  FROM late WHERE CustomerID IS NOT NULL GROUP BY CustomerID),
+ft AS (SELECT f.*, coalesce(target_rev, 0.0) AS target_rev
+       FROM feats f LEFT JOIN target g ON f.CustomerID = g.CustomerID)""" + f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS n, SUM(abs(pred - target_rev)) / CAST(COUNT(*) AS DOUBLE) AS mae,
+       SUM((pred - target_rev) * (pred - target_rev)) / CAST(COUNT(*) AS DOUBLE) AS mse,
+       sqrt(SUM((pred - target_rev) * (pred - target_rev)) / CAST(COUNT(*) AS DOUBLE)) AS rmse
+FROM (SELECT target_rev, {SCORE} AS pred FROM ft)"""
+
+SCORED = FEATS + f""",
+scores AS (SELECT CustomerID, {SCORE} AS CLV_Prediction FROM feats),
+scored AS (SELECT l.*, s.CLV_Prediction FROM lines l LEFT JOIN scores s ON l.CustomerID = s.CustomerID)"""
+
+SQL["score_features"] = SCORED + "\nSELECT CustomerID, CLV_Prediction FROM scores"
+
+SQL["scored_lines"] = SCORED + f"\nSELECT {CLEAN_COLS}, CLV_Prediction FROM scored"
+
+SQL["scored_projection"] = SCORED + f"""
+SELECT Country, CustomerID, Description, {_ts_from_epoch('invoice_epoch')} AS InvoiceDate,
+       InvoiceNo, Quantity, StockCode, UnitPrice, Revenue, CLV_Prediction FROM scored"""
+
+def _money(c: str) -> str:
+    return (f"CAST(CAST(CAST(round({c} * 100.0) AS BIGINT) AS DECIMAL(20,0)) "
+            f"* CAST(0.01 AS DECIMAL(3,2)) AS VARCHAR)")
+
+
+_KV = SCORED + f""",
+kv AS (
+  SELECT concat_ws('-', InvoiceNo, CustomerID) AS rowkey,
+         CAST(Quantity AS VARCHAR) AS cf_Quantity,
+         {_money('UnitPrice')} AS cf_UnitPrice,
+         strftime({_ts_from_epoch('invoice_epoch')}, '%Y-%m-%dT%H:%M:%S') AS cf_InvoiceDate,
+         CAST(hour AS VARCHAR) AS cf_hour, CAST(dayofweek AS VARCHAR) AS cf_dayofweek,
+         CAST(weekend AS VARCHAR) AS cf_weekend,
+         {_money('Revenue')} AS cf_Revenue,
+         {_money('CLV_Prediction')} AS cf_CLV_Prediction
+  FROM scored)"""
+
+KV_COLS = ("rowkey, cf_Quantity, cf_UnitPrice, cf_InvoiceDate, cf_hour, cf_dayofweek, "
+           "cf_weekend, cf_Revenue, cf_CLV_Prediction")
+
+SQL["kv_rowkey"] = _KV + f"\nSELECT {KV_COLS} FROM kv"
+
+SQL["kv_upsert_latest"] = _KV + f"""
+SELECT {KV_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY rowkey ORDER BY cf_Quantity DESC, cf_UnitPrice DESC,
+      cf_InvoiceDate DESC, cf_hour DESC, cf_dayofweek DESC, cf_weekend DESC, cf_Revenue DESC,
+      cf_CLV_Prediction DESC) AS rn FROM kv) WHERE rn = 1"""
+
+SQL["prediction_feed"] = SCORED + """
+SELECT CustomerID AS key, CAST(CAST(round(CLV_Prediction * 100.0) AS BIGINT) AS DOUBLE) / 100.0 AS clv,
+       to_json({'key': CustomerID,
+                'clv': CAST(CAST(round(CLV_Prediction * 100.0) AS BIGINT) AS DECIMAL(20,0))
+                       * CAST(0.01 AS DECIMAL(3,2))})::VARCHAR AS value
+FROM scores"""
+
+FEED = f"""WITH feed AS (
+  SELECT CAST(user_id AS VARCHAR) AS key, value AS clv, ts, event_id FROM events),
+cur AS (
+  SELECT key, clv FROM (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts DESC, event_id DESC) AS rn FROM feed)
+  WHERE rn = 1),
+prev AS (
+  SELECT key, clv FROM (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts DESC, event_id DESC) AS rn FROM feed
+    WHERE ts < TIMESTAMP '{SNAPSHOT_CUTOFF}')
+  WHERE rn = 1)"""
+
+SQL["top10_clv"] = FEED + "\nSELECT key, clv FROM cur ORDER BY clv DESC, key LIMIT 10"
+
+SQL["rank_change"] = FEED + """,
+rc AS (SELECT key, clv, row_number() OVER (ORDER BY clv DESC, key) AS rank FROM cur),
+rp AS (SELECT key, row_number() OVER (ORDER BY clv DESC, key) AS prev_rank FROM prev)
+SELECT rc.key, clv, rank, prev_rank,
+       CASE WHEN prev_rank IS NULL THEN 'new' WHEN prev_rank < rank THEN 'down'
+            WHEN prev_rank > rank THEN 'up' ELSE 'none' END AS change
+FROM rc LEFT JOIN rp ON rc.key = rp.key"""
+
+SQL["clv_by_day"] = """
+SELECT day, n_scores, CAST(s AS DOUBLE) AS clv_total, CAST(s AS DOUBLE) / CAST(n_scores AS DOUBLE) AS clv_avg,
+       clv_max
+FROM (SELECT CAST(ts AS DATE) AS day, COUNT(value) AS n_scores,
+             SUM(CAST(value AS DECIMAL(18,4))) AS s, MAX(value) AS clv_max
+      FROM events GROUP BY CAST(ts AS DATE))"""
+
+SQL["serving_view"] = FEED + """
+SELECT CAST(c.c_custkey AS VARCHAR) AS key, c.c_name AS name,
+       coalesce(CAST(CAST(CAST(round(cur.clv * 100.0) AS BIGINT) AS DECIMAL(20,0))
+                     * CAST(0.01 AS DECIMAL(3,2)) AS VARCHAR), 'N/A') AS clv_text
+FROM customer c LEFT JOIN cur ON CAST(c.c_custkey AS VARCHAR) = cur.key"""
+
+SQL["raw_union"] = BASE + f"""
+SELECT {LINE_COLS}, CAST(NULL AS INTEGER) AS batch FROM invoice_lines WHERE InvoiceDate < '1998-01-01'
+UNION ALL
+SELECT {LINE_COLS}, 2 AS batch FROM invoice_lines WHERE NOT (InvoiceDate < '1998-01-01')"""
+
+SQL["window_features"] = BASE + """
+SELECT window_start, window_start + INTERVAL 30 DAY AS window_end, CustomerID,
+       CAST(SUM(CAST(Quantity AS DECIMAL(10,0)) * CAST(UnitPrice AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
+       COUNT(InvoiceNo) AS frequency, COUNT(CASE WHEN Revenue < 0 THEN 1 END) AS num_returns,
+       quantile_disc(hour, 0.5) AS purchase_hour_med, quantile_disc(dayofweek, 0.5) AS purchase_dow_med,
+       MAX(invoice_ts) AS last_ts
+FROM (SELECT *, TIMESTAMP '1970-01-01 00:00:00'
+                + to_seconds(CAST(floor(epoch(invoice_ts) / 2592000) AS BIGINT) * 2592000) AS window_start
+      FROM lines WHERE CustomerID IS NOT NULL)
+GROUP BY window_start, CustomerID"""
