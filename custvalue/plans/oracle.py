@@ -442,3 +442,15 @@ FROM (SELECT *, TIMESTAMP '1970-01-01 00:00:00'
                 + to_seconds(CAST(floor(epoch(invoice_ts) / 2592000) AS BIGINT) * 2592000) AS window_start
       FROM lines WHERE CustomerID IS NOT NULL)
 GROUP BY window_start, CustomerID"""
+
+# ---- streaming queries: same results as their batch twins -----------------
+SQL["stream_score"] = SQL["scored_lines"]
+SQL["stream_features_batch"] = SQL["cust_features"]
+SQL["stream_features_total"] = SQL["cust_features"]
+SQL["stream_landing"] = SQL["explode_items"]
+SQL["stream_flat"] = SQL["clean_lines"]
+SQL["stream_leaderboard"] = SQL["rank_change"]
+# windows closed by the final watermark (max event time - 1 day)
+SQL["stream_window_features"] = "SELECT * FROM (" + SQL["window_features"] + """
+) wf WHERE window_end <= (""" + BASE + """
+SELECT MAX(invoice_ts) - INTERVAL 1 DAY FROM lines)"""
