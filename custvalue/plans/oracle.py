@@ -454,3 +454,5 @@ SQL["stream_leaderboard"] = SQL["rank_change"]
 SQL["stream_window_features"] = "SELECT * FROM (" + SQL["window_features"] + """
 ) wf WHERE window_end <= (""" + BASE + """
 SELECT MAX(invoice_ts) - INTERVAL 1 DAY FROM lines)"""
+SQL["scan_nested_json"] = SQL["explode_items"]
+SQL["scan_csv"] = BASE + f"\nSELECT {LINE_COLS} FROM invoice_lines"

@@ -126,3 +126,61 @@ def q_stream_leaderboard(spark, sf):
     boards = spark.read.parquet(f"{root}/board")
     last = boards.agg(F.max("batch_id")).first()[0]
     return boards.filter(F.col("batch_id") == last).drop("batch_id")
+
+
+# ---- sources read back from files Spark wrote (S1, S2) ----------------------
+
+@query("scan_nested_json")
+def q_scan_nested_json(spark, sf):
+    """Invoices landed as multi-line JSON-array documents, read back with
+    the canonical schema and exploded to lines."""
+    from ..sources.readers import read_nested_json, write_json_array_files
+    root = scratch_path(spark, "scan_nested_json")
+    write_json_array_files(FX.invoices(spark, sf), f"{root}/raw", rows_per_file=5_000)
+    inv = read_nested_json(spark, f"{root}/raw")
+    return N.explode_items(inv)
+
+
+@query("scan_csv")
+def q_scan_csv(spark, sf):
+    """Flat lines written as CSV with a header, read back typed."""
+    from ..sources.readers import read_csv_lines
+    root = scratch_path(spark, "scan_csv")
+    FX.invoice_lines(spark, sf).write.mode("overwrite").option("header", True).csv(f"{root}/csv")
+    return read_csv_lines(spark, f"{root}/csv")
+
+
+# ---- fitted models (rows-only: no SQL twin) ---------------------------------
+
+@query("fit_predict")
+def q_fit_predict(spark, sf):
+    """Fit the value model on the train customers (hash split), score the
+    test customers."""
+    from ..operators import features as FE
+    from ..operators import series as SE
+    from ..operators.model import fit_value_model
+    from .oracle import SPLIT_DATE
+    from .queries import TRAIN_PCT, lines
+    ft = FE.features_with_target(lines(spark, sf), REF_DATE, split_date=SPLIT_DATE)
+    ft = SE.hash_split(ft, "CustomerID", TRAIN_PCT)
+    model = fit_value_model(ft.filter(F.col("split") == "train"))
+    return (model.transform(ft.filter(F.col("split") == "test"))
+                 .select("CustomerID", "target_rev", F.col("prediction").alias("CLV_Prediction")))
+
+
+@query("series_forecast")
+def q_series_forecast(spark, sf):
+    """One-step forecast of the next invoice total from the two before
+    it; scaled on the train part, fitted on train, predicted on test."""
+    from ..operators import series as SE
+    from ..operators.model import fit_series_model
+    from .queries import _series_split
+    s = _series_split(spark, sf)
+    lo, hi = SE.minmax_params(s.filter(F.col("split") == "train"), "TotalValue")
+    scaled = SE.minmax_scale(s, "TotalValue", lo, hi, "scaled")
+    win = SE.supervised_windows(scaled, "scaled", time_step=2)
+    model = fit_series_model(win.filter(F.col("split") == "train"))
+    pred = model.transform(win.filter(F.col("split") == "test"))
+    pred = SE.minmax_inverse(pred, "prediction", lo, hi, "predicted_value")
+    pred = SE.minmax_inverse(pred, "y", lo, hi, "actual_value")
+    return pred.select("split", "t", "actual_value", "predicted_value")
