@@ -15,6 +15,10 @@ FILL_DEFAULTS = {
     "Description": "", "Quantity": 0, "UnitPrice": 0.0,
 }
 
+# Required columns of a raw retail table, in the order they are checked.
+REQUIRED_COLUMNS = ["InvoiceNo", "InvoiceDate", "CustomerID", "Country", "StockCode",
+                    "Description", "Quantity", "UnitPrice"]
+
 CLEAN_COLUMNS = ["InvoiceNo", "StockCode", "Description", "Quantity", "UnitPrice",
                  "CustomerID", "Country", "invoice_ts", "invoice_epoch",
                  "hour", "dayofweek", "weekend", "Revenue"]
@@ -36,7 +40,7 @@ def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
     return df.fillna(d)
 
 
-def check_required_columns(df: DataFrame, required=tuple(LINE_COLUMNS)) -> DataFrame:
+def check_required_columns(df: DataFrame, required=tuple(REQUIRED_COLUMNS)) -> DataFrame:
     """Trim column names; raise KeyError naming the first missing column."""
     df = df.toDF(*[c.strip() for c in df.columns])
     for c in required:
