@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import (DATE_FORMAT, WEEKEND_DAYS, epoch_seconds,
-                                 parse_invoice_ts, to_int_truncating, weekend_flag)
+                                 parse_invoice_ts, revenue_units, to_int_truncating,
+                                 units_to_money, weekend_flag)
 from ..schemas import LINE_COLUMNS
 
 # Per-column defaults used before validation (text -> '', numbers -> 0).
@@ -83,8 +84,7 @@ def clean_lines(df: DataFrame, weekend_days=WEEKEND_DAYS,
         *[c for c in out.columns if c not in ("hour", "dayofweek", "weekend")],
         epoch_seconds("invoice_ts").alias("invoice_epoch"),
         "hour", "dayofweek", "weekend",
-        (F.col("Quantity").cast("decimal(10,0)") * F.col("UnitPrice").cast("decimal(18,4)"))
-        .cast("double").alias("Revenue"))
+        units_to_money(revenue_units("Quantity", "UnitPrice")).alias("Revenue"))
 
 
 def normalise_lines(df: DataFrame) -> DataFrame:

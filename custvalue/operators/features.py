@@ -14,7 +14,12 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import revenue_decimal
+from ..functions.columns import (HOURS, PRICE_SCALE, REVENUE_UNITS_SQL, WEEKDAYS,
+                                 count_parts, count_parts_sql, median_from_counts,
+                                 median_sql, revenue_units, units_to_money)
+
+# Aggregate-buffer columns of the two exact medians.
+_MEDIAN_PARTS = [c for c in ([f"_h{v}" for v in HOURS] + [f"_d{v}" for v in WEEKDAYS])]
 from ..schemas import FEATURE_COLUMNS
 
 
@@ -24,44 +29,63 @@ def _date(d) -> Column:
     return F.lit(d).cast("date")
 
 
-def _feature_parts(ref_date) -> list[Column]:
-    """Mergeable aggregate parts of the feature vector."""
-    day = F.to_date("invoice_ts")
-    return [
-        F.sum(revenue_decimal("Quantity", "UnitPrice")).alias("_rev"),
-        F.min(day).alias("_first"),
-        F.max(day).alias("_last"),
-        F.count("InvoiceNo").alias("frequency"),
-        F.sum("Quantity").alias("_qty"),
-        F.count(F.when(F.col("Revenue") < 0, F.col("InvoiceNo"))).alias("num_returns"),
-        F.percentile_approx("hour", 0.5).alias("purchase_hour_med"),
-        F.percentile_approx("dayofweek", 0.5).alias("purchase_dow_med"),
-        F.sum("weekend").alias("_wkd"),
-        F.count(F.lit(1)).alias("_n"),
+def _date_sql(d) -> str:
+    if isinstance(d, (_dt.date, _dt.datetime)):
+        d = d.strftime("%Y-%m-%d")
+    return f"DATE'{d}'"
+
+
+def _feature_parts(ref_date=None) -> list[Column]:
+    """Mergeable aggregate parts of the feature vector.
+
+    Written as SQL text: each part is one expression for the client to send
+    (the 31 histogram counters would otherwise cost hundreds of round trips
+    per query).  Revenue is summed exactly in integer units of 1/10000.
+    """
+    parts = [
+        f"sum({REVENUE_UNITS_SQL}) AS _rev",
+        "min(to_date(invoice_ts)) AS _first",
+        "max(to_date(invoice_ts)) AS _last",
+        "count(InvoiceNo) AS frequency",
+        "sum(Quantity) AS _qty",
+        "count(CASE WHEN Revenue < 0 THEN InvoiceNo END) AS num_returns",
+        *count_parts_sql("hour", HOURS, "_h"),
+        *count_parts_sql("dayofweek", WEEKDAYS, "_d"),
+        "sum(weekend) AS _wkd",
+        "count(1) AS _n",
     ]
+    return [F.expr(p) for p in parts]
+
+
+def median_columns() -> list[Column]:
+    """Exact medians of hour and weekday from the histogram parts."""
+    return [median_from_counts("_h", HOURS).alias("purchase_hour_med"),
+            median_from_counts("_d", WEEKDAYS).alias("purchase_dow_med")]
 
 
 def _finish(parts: DataFrame, ref_date, key: str) -> DataFrame:
-    """Turn the aggregate parts into the eleven features (null -> 0)."""
-    rev = F.col("_rev").cast("double")
-    freq = F.col("frequency").cast("double")
-    t = F.datediff(_date(ref_date), F.col("_first"))
-    out = parts.select(
-        key,
-        rev.alias("total_revenue"),
-        F.datediff("_last", "_first").alias("recency"),
+    """Turn the aggregate parts into the eleven features (null -> 0), in one
+    projection."""
+    d = _date_sql(ref_date)
+    rev = f"(CAST(_rev AS DOUBLE) / {PRICE_SCALE}.0)"
+    freq = "CAST(frequency AS DOUBLE)"
+    t = f"datediff({d}, _first)"
+    exprs = [
+        f"`{key}`",
+        f"coalesce({rev}, 0.0) AS total_revenue",
+        "coalesce(datediff(_last, _first), 0) AS recency",
         "frequency",
-        t.alias("t"),
-        F.try_divide(t.cast("double"), freq).alias("time_between"),
-        F.try_divide(rev, freq).alias("avg_basket_value"),
-        F.try_divide(F.col("_qty").cast("double"), freq).alias("avg_basket_size"),
+        f"coalesce({t}, 0) AS t",
+        f"coalesce(try_divide(CAST({t} AS DOUBLE), {freq}), 0.0) AS time_between",
+        f"coalesce(try_divide({rev}, {freq}), 0.0) AS avg_basket_value",
+        f"coalesce(try_divide(CAST(_qty AS DOUBLE), {freq}), 0.0) AS avg_basket_size",
         "num_returns",
-        "purchase_hour_med",
-        "purchase_dow_med",
-        F.try_divide(F.col("_wkd").cast("double"), F.col("_n").cast("double"))
-        .alias("purchase_weekend_prop"),
-    )
-    return out.na.fill(0, subset=FEATURE_COLUMNS)
+        f"coalesce({median_sql('_h', HOURS)}, 0) AS purchase_hour_med",
+        f"coalesce({median_sql('_d', WEEKDAYS)}, 0) AS purchase_dow_med",
+        "coalesce(try_divide(CAST(_wkd AS DOUBLE), CAST(_n AS DOUBLE)), 0.0) "
+        "AS purchase_weekend_prop",
+    ]
+    return parts.selectExpr(*exprs)
 
 
 def customer_features(lines: DataFrame, ref_date="2011-06-11",
@@ -78,10 +102,15 @@ def customer_features(lines: DataFrame, ref_date="2011-06-11",
 
 
 def customer_medians(lines: DataFrame, key: str = "CustomerID") -> DataFrame:
-    """A9/A10 on their own: median hour and weekday per customer."""
-    return (lines.filter(F.col(key).isNotNull()).groupBy(key)
-                 .agg(F.percentile_approx("hour", 0.5).alias("purchase_hour_med"),
-                      F.percentile_approx("dayofweek", 0.5).alias("purchase_dow_med")))
+    """A9/A10 on their own: median hour and weekday per customer.
+
+    Exact at any group size: hour and weekday have 24 and 7 values, so the
+    median comes from per-value counts (plain sums, combined map-side) rather
+    than from an approximate quantile sketch.
+    """
+    parts = (lines.filter(F.col(key).isNotNull()).groupBy(key)
+                  .agg(*count_parts("hour", HOURS, "_h"), *count_parts("dayofweek", WEEKDAYS, "_d")))
+    return parts.select(key, *median_columns())
 
 
 def customer_returns(lines: DataFrame, key: str = "CustomerID") -> DataFrame:
@@ -98,7 +127,7 @@ def features_by_joins(lines: DataFrame, ref_date="2011-06-11",
     src = lines.filter(F.col(key).isNotNull())
     day = F.to_date("invoice_ts")
     g = src.groupBy(key)
-    total = g.agg(F.sum(revenue_decimal("Quantity", "UnitPrice")).cast("double")
+    total = g.agg(units_to_money(F.sum(revenue_units("Quantity", "UnitPrice")))
                   .alias("total_revenue"))
     recency = g.agg(F.datediff(F.max(day), F.min(day)).alias("recency"))
     freq = g.agg(F.count("InvoiceNo").alias("frequency"))
@@ -124,7 +153,7 @@ def features_by_joins(lines: DataFrame, ref_date="2011-06-11",
 def target_revenue(lines: DataFrame, key: str = "CustomerID") -> DataFrame:
     """target_rev = sum(Revenue) per customer."""
     return (lines.filter(F.col(key).isNotNull()).groupBy(key)
-                 .agg(F.sum(revenue_decimal("Quantity", "UnitPrice")).cast("double")
+                 .agg(units_to_money(F.sum(revenue_units("Quantity", "UnitPrice")))
                       .alias("target_rev")))
 
 
@@ -152,7 +181,7 @@ def features_with_target(lines: DataFrame, ref_date="2011-06-11",
 def invoice_totals(lines: DataFrame) -> DataFrame:
     """Total value per invoice."""
     return (lines.groupBy("InvoiceNo")
-                 .agg(F.sum(revenue_decimal("Quantity", "UnitPrice")).cast("double")
+                 .agg(units_to_money(F.sum(revenue_units("Quantity", "UnitPrice")))
                       .alias("TotalValue")))
 
 
@@ -219,12 +248,11 @@ def window_features(lines: DataFrame, window: str = "30 days",
     """
     w = F.window(F.col(ts), window)
     g = (lines.filter(F.col(key).isNotNull()).groupBy(w.alias("w"), key)
-              .agg(F.sum(revenue_decimal("Quantity", "UnitPrice")).alias("_rev"),
+              .agg(F.sum(revenue_units("Quantity", "UnitPrice")).alias("_rev"),
                    F.count("InvoiceNo").alias("frequency"),
                    F.count(F.when(F.col("Revenue") < 0, 1)).alias("num_returns"),
-                   F.percentile_approx("hour", 0.5).alias("purchase_hour_med"),
-                   F.percentile_approx("dayofweek", 0.5).alias("purchase_dow_med"),
+                   *count_parts("hour", HOURS, "_h"), *count_parts("dayofweek", WEEKDAYS, "_d"),
                    F.max(ts).alias("last_ts")))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    key, F.col("_rev").cast("double").alias("total_revenue"), "frequency",
-                    "num_returns", "purchase_hour_med", "purchase_dow_med", "last_ts")
+                    key, units_to_money("_rev").alias("total_revenue"), "frequency",
+                    "num_returns", *median_columns(), "last_ts")

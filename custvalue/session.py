@@ -93,3 +93,22 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition ``df`` on ``keys`` only if it has fewer partitions than
+    the cluster can run at once.
+
+    A scan of a few large row groups yields a handful of tasks, and all the
+    per-row work before the first shuffle (joins probing broadcast sides,
+    parsing, cleaning) would then run on a handful of cores.  At full scale
+    the scan already has thousands of splits and this is a no-op -- no
+    shuffle is added.  The partition count is read from the physical plan
+    (file splits), no data is read for it.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    n = max(target, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *keys) if keys else df.repartition(n)

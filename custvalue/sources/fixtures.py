@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import DATE_FORMAT
+from ..session import spread
+
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
@@ -27,8 +28,28 @@ DAMAGE_ZERO_PRICE = 4
 SNAPSHOT_CUTOFF = "2024-01-15 00:00:00"
 
 
+def invoice_text(ts) -> "F.Column":
+    """timestamp -> ``yyyy-MM-dd HH:mm:ss`` text from cheap built-ins (same
+    text as ``date_format`` with that pattern for 4-digit years).  The text is
+    referenced several times by the cleaning expressions downstream and the
+    optimizer inlines it into each reference, so it must be cheap to compute."""
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    return F.concat(F.to_date(ts).cast("string"), F.lit(" "), two(F.hour(ts)), F.lit(":"),
+                    two(F.minute(ts)), F.lit(":"), two(F.second(ts)))
+
+
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table as a DataFrame, resolved once per session and path
+    (file listing and footer reads are not repeated for every query)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def invoice_lines(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
@@ -40,8 +61,8 @@ def invoice_lines(spark: SparkSession, sf_dir: str, keep_keys: bool = False) ->
     measured size is under ``autoBroadcastJoinThreshold`` and shuffles
     otherwise (customer and part are large at scale).
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        *LINE_KEY, "l_quantity", "l_returnflag")
+    li = spread(table(spark, sf_dir, "lineitem").select(
+        *LINE_KEY, "l_quantity", "l_returnflag"), "l_orderkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -60,7 +81,7 @@ def invoice_lines(spark: SparkSession, sf_dir: str, keep_keys: bool = False) ->
         F.col("l_partkey").cast("string").alias("StockCode"),
         F.col("p_name").alias("Description"),
         qty.alias("Quantity"),
-        F.date_format(ts, DATE_FORMAT).alias("InvoiceDate"),
+        invoice_text(ts).alias("InvoiceDate"),
         F.col("p_retailprice").alias("UnitPrice"),
         F.col("o_custkey").cast("string").alias("CustomerID"),
         F.col("n_name").alias("Country"),

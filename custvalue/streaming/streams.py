@@ -18,6 +18,8 @@ from ..operators import features as FE
 from ..operators import nested as N
 from ..operators import ranking as R
 from ..operators import scoring as S
+from ..functions.columns import (HOURS, WEEKDAYS, count_parts, revenue_units,
+                                 units_to_money)
 from ..schemas import FLAT_LINE, INVOICE, RANK_MESSAGE
 from ..sinks.keyed import KeyedTable
 
@@ -148,18 +150,15 @@ def start_window_features_stream(lines: DataFrame, out_path: str, checkpoint: st
               .withWatermark("event_time", delay)
     w = F.window("event_time", window)
     agg = (ev.filter(F.col("CustomerID").isNotNull()).groupBy(w.alias("w"), "CustomerID")
-             .agg(F.sum(F.col("Quantity").cast("decimal(10,0)")
-                        * F.col("UnitPrice").cast("decimal(18,4)")).alias("_rev"),
+             .agg(F.sum(revenue_units("Quantity", "UnitPrice")).alias("_rev"),
                   F.count("InvoiceNo").alias("frequency"),
                   F.count(F.when(F.col("Revenue") < 0, 1)).alias("num_returns"),
-                  F.percentile_approx("hour", 0.5).alias("purchase_hour_med"),
-                  F.percentile_approx("dayofweek", 0.5).alias("purchase_dow_med"),
+                  *count_parts("hour", HOURS, "_h"), *count_parts("dayofweek", WEEKDAYS, "_d"),
                   F.max("invoice_ts").alias("last_ts")))
     out = agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                      F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                     "CustomerID", F.col("_rev").cast("double").alias("total_revenue"),
-                     "frequency", "num_returns", "purchase_hour_med", "purchase_dow_med",
-                     "last_ts")
+                     "CustomerID", units_to_money("_rev").alias("total_revenue"),
+                     "frequency", "num_returns", *FE.median_columns(), "last_ts")
     q = (out.writeStream.format("parquet").outputMode("append").option("path", out_path)
             .option("checkpointLocation", checkpoint))
     return (q.trigger(availableNow=True) if available_now else q).start()
