@@ -88,16 +88,26 @@ def build_events_job(raw_lines: DataFrame, out_path: str | None = None) -> DataF
 
 
 def series_job(spark: SparkSession, lines: DataFrame, sample: int = 10_000,
-               time_step: int = 2) -> dict:
+               time_step: int = 2, parity: bool = False) -> dict:
     """Exploration + series model.  Null profile and row counts, notebook
-    cleaning, per-invoice totals, repeatable sample, 60/20/20 split, scaling
-    fitted on train, supervised windows, linear one-step model, metrics."""
+    cleaning, per-invoice totals, repeatable sample, 60/20/20 split, scaling,
+    supervised windows, linear one-step model, metrics.
+
+    Default: invoices are summed first and then sampled (whole totals), and
+    the scaler is fitted on the train part only.  ``parity=True`` reproduces
+    the source notebook instead: lines are sampled before summing and the
+    scaler sees all data."""
     profile = FE.null_profile(lines).first().asDict()
     counts = FE.clean_counts(lines).first().asDict()
     clean = C.clean_lines(C.notebook_clean(lines))
-    totals = SE.hash_sample(FE.invoice_totals(clean), "InvoiceNo", sample)
+    if parity:
+        keyed = clean.withColumn("_k", F.concat_ws("|", *clean.columns))
+        totals = FE.invoice_totals(SE.hash_sample(keyed, "_k", sample))
+    else:
+        totals = SE.hash_sample(FE.invoice_totals(clean), "InvoiceNo", sample)
     split = SE.sequential_split(totals, [F.col("InvoiceNo")])
-    lo, hi = SE.minmax_params(split.filter(F.col("split") == "train"), "TotalValue")
+    fit_on = split if parity else split.filter(F.col("split") == "train")
+    lo, hi = SE.minmax_params(fit_on, "TotalValue")
     scaled = SE.minmax_scale(split, "TotalValue", lo, hi, "scaled")
     win = SE.supervised_windows(scaled, "scaled", time_step)
     model = M.fit_series_model(win.filter(F.col("split") == "train"),

@@ -53,11 +53,22 @@ def q_stream_score(spark, sf):
     root = scratch_path(spark, "stream_score")
     src = _invoice_texts(spark, sf, root, key="CustomerID")
     q = ST.start_score_stream(_invoice_stream(spark, src, 1), f"{root}/out", f"{root}/ckpt",
-                              REF_DATE)
+                              REF_DATE, feed_path=f"{root}/feed")
     ST.finish(q)
     return spark.read.parquet(f"{root}/out").select(*C.CLEAN_COLUMNS, "CLV_Prediction")
 
 
+@query("stream_prediction_feed")
+def q_stream_prediction_feed(spark, sf):
+    """The {key, clv} messages the scoring stream emits per batch."""
+    root = scratch_path(spark, "stream_prediction_feed")
+    src = _invoice_texts(spark, sf, root, key="CustomerID")
+    q = ST.start_score_stream(_invoice_stream(spark, src, 1), f"{root}/out", f"{root}/ckpt",
+                              REF_DATE, feed_path=f"{root}/feed")
+    ST.finish(q)
+    return spark.read.parquet(f"{root}/feed").drop("batch_id")
+
+
 @query("stream_features_batch")
 def q_stream_features_batch(spark, sf):
     root = scratch_path(spark, "stream_features_batch")

@@ -98,13 +98,38 @@ def per_batch_writer(out_path: str, fn, fmt: str = "parquet"):
 
 
 def start_score_stream(invoices: DataFrame, out_path: str, checkpoint: str,
-                       ref_date, available_now: bool = True):
-    """Stream of nested invoices -> scored lines per micro-batch."""
-    body = per_batch_writer(out_path, lambda b, _: score_invoice_batch(b, ref_date))
+                       ref_date, available_now: bool = True, feed_path: str | None = None):
+    """Stream of nested invoices -> scored lines per micro-batch.
+
+    With ``feed_path`` each batch also emits the K10 change feed: one
+    ``{key, clv}`` JSON message per customer scored in the batch, written to
+    ``feed_path/batch_id=N`` (hand it to ``write_kafka`` for a topic)."""
+    def body(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        batch = batch.persist()
+        try:
+            lines = C.clean_lines(N.explode_items(batch))
+            scores = S.score_features(FE.customer_features(lines, ref_date))
+            S.scored_lines(lines, scores).write.mode("overwrite") \
+                .parquet(f"{out_path}/batch_id={batch_id}")
+            if feed_path:
+                R.prediction_feed(scores).write.mode("overwrite") \
+                    .parquet(f"{feed_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     w = invoices.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
+def dedup_customer_stream(lines: DataFrame, delay: str = "1 day") -> DataFrame:
+    """C14 (stream form): first line per customer within the watermark delay
+    (``dropDuplicatesWithinWatermark``; state per customer expires with the
+    watermark, so it stays bounded)."""
+    ev = lines.withColumn("event_time", F.col("invoice_ts").cast("timestamp"))
+    return ev.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["CustomerID"])
+
+
 def start_batch_features_stream(invoices: DataFrame, out_path: str, checkpoint: str,
                                 ref_date, available_now: bool = True):
     """Features of each micro-batch on its own (no memory across batches)."""
