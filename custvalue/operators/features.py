@@ -35,24 +35,33 @@ def _date_sql(d) -> str:
     return f"DATE'{d}'"
 
 
-def _feature_parts(ref_date=None) -> list[Column]:
+def _feature_parts(ref_date=None, when: str | None = None) -> list[Column]:
     """Mergeable aggregate parts of the feature vector.
 
     Written as SQL text: each part is one expression for the client to send
     (the 31 histogram counters would otherwise cost hundreds of round trips
     per query).  Revenue is summed exactly in integer units of 1/10000.
+    With ``when`` (a SQL condition) only rows satisfying it contribute, so
+    several periods can be aggregated in the same pass.
     """
+    def on(x: str) -> str:
+        return x if when is None else f"CASE WHEN {when} THEN {x} END"
+
+    def flag(x: str) -> str:
+        return x if when is None else f"({when}) AND ({x})"
+
     parts = [
-        f"sum({REVENUE_UNITS_SQL}) AS _rev",
-        "min(to_date(invoice_ts)) AS _first",
-        "max(to_date(invoice_ts)) AS _last",
-        "count(InvoiceNo) AS frequency",
-        "sum(Quantity) AS _qty",
-        "count(CASE WHEN Revenue < 0 THEN InvoiceNo END) AS num_returns",
-        *count_parts_sql("hour", HOURS, "_h"),
-        *count_parts_sql("dayofweek", WEEKDAYS, "_d"),
-        "sum(weekend) AS _wkd",
-        "count(1) AS _n",
+        f"sum({on(REVENUE_UNITS_SQL)}) AS _rev",
+        f"min({on('to_date(invoice_ts)')}) AS _first",
+        f"max({on('to_date(invoice_ts)')}) AS _last",
+        f"count({on('InvoiceNo')}) AS frequency",
+        f"sum({on('Quantity')}) AS _qty",
+        f"count(CASE WHEN {flag('Revenue < 0')} THEN InvoiceNo END) AS num_returns",
+        *[f"sum(CASE WHEN {flag(f'hour = {v}')} THEN 1 ELSE 0 END) AS _h{v}" for v in HOURS],
+        *[f"sum(CASE WHEN {flag(f'dayofweek = {v}')} THEN 1 ELSE 0 END) AS _d{v}"
+          for v in WEEKDAYS],
+        f"sum({on('weekend')}) AS _wkd",
+        f"count({on('1')}) AS _n",
     ]
     return [F.expr(p) for p in parts]
 
@@ -63,7 +72,7 @@ def median_columns() -> list[Column]:
             median_from_counts("_d", WEEKDAYS).alias("purchase_dow_med")]
 
 
-def _finish(parts: DataFrame, ref_date, key: str) -> DataFrame:
+def _finish(parts: DataFrame, ref_date, key: str, extra: list[str] = ()) -> DataFrame:
     """Turn the aggregate parts into the eleven features (null -> 0), in one
     projection."""
     d = _date_sql(ref_date)
@@ -84,6 +93,7 @@ def _finish(parts: DataFrame, ref_date, key: str) -> DataFrame:
         f"coalesce({median_sql('_d', WEEKDAYS)}, 0) AS purchase_dow_med",
         "coalesce(try_divide(CAST(_wkd AS DOUBLE), CAST(_n AS DOUBLE)), 0.0) "
         "AS purchase_weekend_prop",
+        *extra,
     ]
     return parts.selectExpr(*exprs)
 
@@ -165,17 +175,23 @@ def features_with_target(lines: DataFrame, ref_date="2011-06-11",
     Without ``split_date`` the label is the revenue of the same period (the
     source system's behaviour: it equals ``total_revenue``).  With it,
     features come from lines before ``split_date`` and the label is the
-    revenue from ``split_date`` on; customers without later revenue get 0.
-    Both sides are aggregates keyed by customer, so the left join reuses their
-    hash partitioning.
+    revenue from ``split_date`` on (0 when there is none); customers need at
+    least one line before the split.  Both periods are aggregated in the same
+    pass with conditional aggregates: one scan, one shuffle, no join.
     """
     if split_date is None:
         feats = customer_features(lines, ref_date, key)
         return feats.withColumn("target_rev", F.col("total_revenue"))
-    cut = F.lit(split_date).cast("timestamp_ntz")
-    feats = customer_features(lines.filter(F.col("invoice_ts") < cut), ref_date, key)
-    target = target_revenue(lines.filter(F.col("invoice_ts") >= cut), key)
-    return feats.join(target, key, "left").na.fill(0.0, subset=["target_rev"])
+    cut = f"TIMESTAMP_NTZ'{split_date} 00:00:00'" if len(split_date) == 10 \
+        else f"TIMESTAMP_NTZ'{split_date}'"
+    parts = (lines.filter(F.col(key).isNotNull()).groupBy(key)
+                  .agg(*_feature_parts(ref_date, when=f"invoice_ts < {cut}"),
+                       F.expr(f"sum(CASE WHEN invoice_ts >= {cut} THEN {REVENUE_UNITS_SQL} END)")
+                       .alias("_target"))
+                  .filter(F.col("_n") > 0))
+    feats = _finish(parts, ref_date, key, extra=[
+        f"coalesce(CAST(_target AS DOUBLE) / {PRICE_SCALE}.0, 0.0) AS target_rev"])
+    return feats
 
 
 def invoice_totals(lines: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import FEATURE_COLUMNS
@@ -48,7 +49,25 @@ def fit_value_model(train: DataFrame, feature_cols=FEATURE_COLUMNS,
     tvs = TrainValidationSplit(
         estimator=pipe, estimatorParamMaps=grid, trainRatio=train_ratio, seed=seed,
         evaluator=RegressionEvaluator(labelCol=label_col, metricName="mse"))
-    return tvs.fit(train).bestModel
+    with _persisted(train) as t:
+        return tvs.fit(t).bestModel
+
+
+class _persisted:
+    """Keep an iteratively-read training frame (one row per customer or per
+    series step -- far smaller than the lines it comes from) in executor
+    memory/disk for the duration of a fit; each optimiser pass would
+    otherwise recompute it from the scans.  Lost blocks are recomputed from
+    lineage, so an executor loss does not fail the fit."""
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+
+    def __enter__(self) -> DataFrame:
+        return self.df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def __exit__(self, *exc) -> None:
+        self.df.unpersist()
 
 
 def evaluate(pred: DataFrame, label_col: str = "target_rev",
@@ -116,7 +135,8 @@ def update_model(spark: SparkSession, model_dir: str, train: DataFrame,
         for p in ("regParam", "elasticNetParam", "maxDepth", "maxIter"):
             if reg_prev.hasParam(p) and reg_new.hasParam(p) and reg_prev.isSet(p):
                 reg_new.set(reg_new.getParam(p), reg_prev.getOrDefault(p))
-        model = est.fit(train)
+        with _persisted(train) as t:
+            model = est.fit(t)
     return save_model_version(spark, model, model_dir)
 
 
@@ -126,4 +146,5 @@ def fit_series_model(windows: DataFrame, x_cols=("x0", "x1"), label_col: str = "
     """U7 re-aimed: linear one-step forecast of y from the values before it."""
     asm = VectorAssembler(inputCols=list(x_cols), outputCol="features")
     lr = LinearRegression(featuresCol="features", labelCol=label_col)
-    return Pipeline(stages=[asm, lr]).fit(windows)
+    with _persisted(windows) as w:
+        return Pipeline(stages=[asm, lr]).fit(w)

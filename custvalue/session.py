@@ -107,8 +107,11 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     (file splits), no data is read for it.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:   # no RDD API (e.g. a remote session): leave the plan as is
         return df
     n = max(target, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return df.repartition(n, *keys) if keys else df.repartition(n)
