@@ -47,6 +47,12 @@ def parse_invoice_ts(c: str | Column) -> Column:
         .otherwise(parse_invoice_ts_exact(s))
 
 
+def to_date_or_null(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
+    """Text -> date with ``fmt``; null (not an error, not the raw text)
+    when it does not parse, so the column keeps one type."""
+    return F.try_to_date(col_(c), F.lit(fmt))
+
+
 def epoch_seconds(ts: str | Column) -> Column:
     """timestamp_ntz -> seconds since 1970-01-01 00:00:00 as double (zone-free)."""
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),

@@ -21,7 +21,8 @@ from ..streaming import streams as ST
 from .oracle import REF_DATE
 from .queries import query
 
-STREAM_FILES = 8
+STREAM_FILES = 8          # files the replayed input is written as
+FILES_PER_TRIGGER = 2     # micro-batch size of the replays (4 batches)
 TEXT = T.StructType([T.StructField("value", T.StringType())])
 FEED = T.StructType([T.StructField("value", T.StringType()),
                      T.StructField("ts", T.TimestampNTZType()),
@@ -52,7 +53,8 @@ def _invoice_stream(spark, path, per_trigger=None):
 def q_stream_score(spark, sf):
     root = scratch_path(spark, "stream_score")
     src = _invoice_texts(spark, sf, root, key="CustomerID")
-    q = ST.start_score_stream(_invoice_stream(spark, src, 1), f"{root}/out", f"{root}/ckpt",
+    q = ST.start_score_stream(_invoice_stream(spark, src, FILES_PER_TRIGGER),
+                              f"{root}/out", f"{root}/ckpt",
                               REF_DATE, feed_path=f"{root}/feed")
     ST.finish(q)
     return spark.read.parquet(f"{root}/out").select(*C.CLEAN_COLUMNS, "CLV_Prediction")
@@ -63,7 +65,8 @@ def q_stream_prediction_feed(spark, sf):
     """The {key, clv} messages the scoring stream emits per batch."""
     root = scratch_path(spark, "stream_prediction_feed")
     src = _invoice_texts(spark, sf, root, key="CustomerID")
-    q = ST.start_score_stream(_invoice_stream(spark, src, 1), f"{root}/out", f"{root}/ckpt",
+    q = ST.start_score_stream(_invoice_stream(spark, src, FILES_PER_TRIGGER),
+                              f"{root}/out", f"{root}/ckpt",
                               REF_DATE, feed_path=f"{root}/feed")
     ST.finish(q)
     return spark.read.parquet(f"{root}/feed").drop("batch_id")
@@ -73,7 +76,7 @@ def q_stream_prediction_feed(spark, sf):
 def q_stream_features_batch(spark, sf):
     root = scratch_path(spark, "stream_features_batch")
     src = _invoice_texts(spark, sf, root, key="CustomerID")
-    q = ST.start_batch_features_stream(_invoice_stream(spark, src, 1), f"{root}/out",
+    q = ST.start_batch_features_stream(_invoice_stream(spark, src, FILES_PER_TRIGGER), f"{root}/out",
                                        f"{root}/ckpt", REF_DATE)
     ST.finish(q)
     return spark.read.parquet(f"{root}/out").drop("batch_id")
@@ -83,7 +86,7 @@ def q_stream_features_batch(spark, sf):
 def q_stream_features_total(spark, sf):
     root = scratch_path(spark, "stream_features_total")
     src = _invoice_texts(spark, sf, root)
-    lines = C.clean_lines(N.explode_items(_invoice_stream(spark, src, 2)))
+    lines = C.clean_lines(N.explode_items(_invoice_stream(spark, src, FILES_PER_TRIGGER)))
     table = KeyedTable(spark, f"{root}/table", "CustomerID")
     ST.finish(ST.start_total_features_stream(lines, table, f"{root}/ckpt", REF_DATE))
     return table.read()
@@ -102,7 +105,7 @@ def q_stream_window_features(spark, sf):
 def q_stream_landing(spark, sf):
     root = scratch_path(spark, "stream_landing")
     src = _invoice_texts(spark, sf, root)
-    ST.finish(ST.start_landing_stream(_invoice_stream(spark, src, 2), f"{root}/zone",
+    ST.finish(ST.start_landing_stream(_invoice_stream(spark, src, FILES_PER_TRIGGER), f"{root}/zone",
                                       f"{root}/ckpt"))
     landed = spark.read.parquet(f"{root}/zone")
     return N.explode_items(landed).select(*N.INVOICE_KEYS, "StockCode", "Description",
@@ -114,7 +117,7 @@ def q_stream_flat(spark, sf):
     root = scratch_path(spark, "stream_flat")
     flat = FX.dirty_lines(spark, sf).select(F.to_json(F.struct(*LINE_COLUMNS)).alias("value"))
     flat.repartition(STREAM_FILES).write.mode("overwrite").text(f"{root}/in")
-    raw = ST.file_source(spark, f"{root}/in", TEXT, "text", 2)
+    raw = ST.file_source(spark, f"{root}/in", TEXT, "text", FILES_PER_TRIGGER)
     ST.finish(ST.start_flat_stream(raw, f"{root}/out", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/out")
 

@@ -86,3 +86,10 @@ def test_notebook_clean(spark):
     df = lines(spark, [("1", "A", "a", 1, "d", 1.0, None, "X"), ("2", "A", "a", -1, "d", 1.0, "7", "X"),
                        ("3", "A", "a", 1, "d", 0.0, "7", "X"), ("4", "A", "a", 1, "d", 2.0, "7", "X")])
     assert [r.InvoiceNo for r in C.notebook_clean(df).collect()] == ["4"]
+
+
+def test_to_date_or_null(spark):
+    from custvalue.functions.columns import to_date_or_null
+    df = spark.createDataFrame([("2024-02-29",), ("2023-02-29",), ("n/a",), (None,)], "s string")
+    got = [r.d for r in df.select(to_date_or_null("s").alias("d")).collect()]
+    assert [str(d) if d else None for d in got] == ["2024-02-29", None, None, None]

@@ -51,3 +51,14 @@ def test_kv_rows_and_upsert(spark):
     assert kv.cf_InvoiceDate == "2023-11-14T22:13:20"
     dup = S.kv_rows(rows.unionByName(rows.withColumn("Quantity", rows.Quantity + 1)))
     assert S.kv_upsert_latest(dup).count() == 1
+
+
+def test_salted_join_equals_plain_join(spark):
+    from pyspark.sql import functions as F
+    lines = spark.range(2000).select((F.col("id") % 3).cast("string").alias("CustomerID"),
+                                     F.col("id").alias("x"))
+    scores = spark.createDataFrame([("0", 1.0), ("1", 2.0)], "CustomerID string, CLV_Prediction double")
+    a = sorted(map(tuple, S.scored_lines(lines, scores, salts=1).collect()))
+    b = sorted(map(tuple, S.scored_lines(lines, scores, salts=8).collect()))
+    assert a == b and len(b) == 2000
+    assert sum(1 for r in b if r[2] is None) == 666
