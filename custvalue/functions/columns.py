@@ -50,7 +50,7 @@ def parse_invoice_ts(c: str | Column) -> Column:
 def to_date_or_null(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
     """Text -> date with ``fmt``; null (not an error, not the raw text)
     when it does not parse, so the column keeps one type."""
-    return F.try_to_date(col_(c), F.lit(fmt))
+    return F.try_to_date(col_(c), fmt)
 
 
 def epoch_seconds(ts: str | Column) -> Column:
