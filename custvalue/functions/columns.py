@@ -113,15 +113,23 @@ def md5_rank_key(key: str | Column) -> Column:
 
 
 def median_sql(prefix: str, values: list[int]) -> str:
-    """SQL text of ``median_from_counts``."""
+    """SQL text of ``median_from_counts`` (``values`` consecutive integers).
+
+    One pass over the count array with a running sum: linear in the domain
+    size.  (A CASE ladder of cumulative sums is quadratic in size and its
+    generated code grows too large to be compiled well.)
+    """
     names = [f"{prefix}{v}" for v in values]
+    lo = values[0]
     n = " + ".join(names)
-    rank = f"ceil(({n}) / 2.0)"
-    branches, cum = [], []
-    for v, c in zip(values, names):
-        cum.append(c)
-        branches.append(f"WHEN ({' + '.join(cum)}) >= {rank} THEN {v}")
-    return f"CAST(CASE WHEN ({n}) > 0 THEN CASE {' '.join(branches)} END END AS INT)"
+    return (
+        f"aggregate(array({', '.join(names)}), "
+        f"named_struct('cum', CAST(0 AS BIGINT), 'r', CAST(ceil(({n}) / 2.0) AS BIGINT), "
+        f"'i', 0, 'med', CAST(NULL AS INT)), "
+        f"(acc, x) -> named_struct('cum', acc.cum + x, 'r', acc.r, 'i', acc.i + 1, "
+        f"'med', CASE WHEN acc.med IS NULL AND acc.r > 0 AND acc.cum + x >= acc.r "
+        f"THEN acc.i + {lo} ELSE acc.med END), "
+        f"acc -> acc.med)")
 
 
 def median_from_counts(prefix: str, values: list[int]) -> Column:

@@ -77,3 +77,21 @@ def test_window_features_windows_are_30_days(spark):
     w = FE.window_features(sample(spark)).collect()
     assert all((r.window_end - r.window_start).days == 30 for r in w)
     assert sum(r.frequency for r in w) == 4
+
+
+def test_medians_exact_on_a_hot_customer(spark):
+    """A customer with 30k lines (beyond the sketch's exact range) and a few
+    small ones: medians equal the lower median computed by brute force."""
+    import random
+    rnd = random.Random(3)
+    rows = [("hot", rnd.randint(0, 23), rnd.randint(1, 7)) for _ in range(30_000)]
+    rows += [(f"c{i}", rnd.randint(0, 23), rnd.randint(1, 7)) for i in range(50) for _ in range(i % 4 + 1)]
+    df = spark.createDataFrame(rows, "CustomerID string, hour int, dayofweek int").repartition(6)
+    got = {r.CustomerID: (r.purchase_hour_med, r.purchase_dow_med)
+           for r in FE.customer_medians(df).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        hs = sorted(r[1] for r in rows if r[0] == k)
+        ds = sorted(r[2] for r in rows if r[0] == k)
+        want[k] = (hs[(len(hs) - 1) // 2], ds[(len(ds) - 1) // 2])
+    assert got == want
