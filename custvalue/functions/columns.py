@@ -59,6 +59,18 @@ def epoch_seconds(ts: str | Column) -> Column:
                             col_(ts)).cast("double")
 
 
+def event_time(ts_ntz: str | Column) -> Column:
+    """Wall-clock timestamp_ntz -> the instant with the same UTC wall clock
+    (a TIMESTAMP, as watermarks require).  Zone-free, unlike a plain cast,
+    which reads the wall clock in the session zone."""
+    return F.timestamp_seconds(epoch_seconds(ts_ntz).cast("bigint"))
+
+
+def wall_clock(ts: str | Column) -> Column:
+    """Inverse of ``event_time``: TIMESTAMP -> timestamp_ntz, UTC wall clock."""
+    return from_epoch_seconds(F.unix_seconds(col_(ts)).cast("double"))
+
+
 def from_epoch_seconds(e: str | Column) -> Column:
     """Epoch seconds (double) -> timestamp_ntz (inverse of ``epoch_seconds``)."""
     return F.timestamp_add("SECOND", col_(e).cast("bigint"),

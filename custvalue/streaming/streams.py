@@ -18,8 +18,8 @@ from ..operators import features as FE
 from ..operators import nested as N
 from ..operators import ranking as R
 from ..operators import scoring as S
-from ..functions.columns import (HOURS, WEEKDAYS, count_parts, revenue_units,
-                                 units_to_money)
+from ..functions.columns import (HOURS, WEEKDAYS, count_parts, event_time, revenue_units,
+                                 units_to_money, wall_clock)
 from ..schemas import FLAT_LINE, INVOICE, RANK_MESSAGE
 from ..sinks.keyed import KeyedTable
 
@@ -126,7 +126,7 @@ def dedup_customer_stream(lines: DataFrame, delay: str = "1 day") -> DataFrame:
     """C14 (stream form): first line per customer within the watermark delay
     (``dropDuplicatesWithinWatermark``; state per customer expires with the
     watermark, so it stays bounded)."""
-    ev = lines.withColumn("event_time", F.col("invoice_ts").cast("timestamp"))
+    ev = lines.withColumn("event_time", event_time("invoice_ts"))
     return ev.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["CustomerID"])
 
 
@@ -171,7 +171,7 @@ def start_window_features_stream(lines: DataFrame, out_path: str, checkpoint: st
     """T4: per-customer tumbling-window features.  Rows later than the
     watermark (max event time seen minus ``delay``) are dropped; a window is
     emitted once, when the watermark passes its end (append mode)."""
-    ev = lines.withColumn("event_time", F.col("invoice_ts").cast("timestamp")) \
+    ev = lines.withColumn("event_time", event_time("invoice_ts")) \
               .withWatermark("event_time", delay)
     w = F.window("event_time", window)
     agg = (ev.filter(F.col("CustomerID").isNotNull()).groupBy(w.alias("w"), "CustomerID")
@@ -180,8 +180,8 @@ def start_window_features_stream(lines: DataFrame, out_path: str, checkpoint: st
                   F.count(F.when(F.col("Revenue") < 0, 1)).alias("num_returns"),
                   *count_parts("hour", HOURS, "_h"), *count_parts("dayofweek", WEEKDAYS, "_d"),
                   F.max("invoice_ts").alias("last_ts")))
-    out = agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                     F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+    out = agg.select(wall_clock("w.start").alias("window_start"),
+                     wall_clock("w.end").alias("window_end"),
                      "CustomerID", units_to_money("_rev").alias("total_revenue"),
                      "frequency", "num_returns", *FE.median_columns(), "last_ts")
     q = (out.writeStream.format("parquet").outputMode("append").option("path", out_path)

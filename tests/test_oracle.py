@@ -30,3 +30,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[0] == "CustomerID" and len(df.columns) == 12
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["clean_lines", "epoch_roundtrip", "cust_features",
+                                  "window_features", "stream_window_features", "rank_change"])
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = compare(name, spark, con, SF_SMALL, QS[name], SQLS.get(name))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["status"] in ("exact", "approx"), r
