@@ -59,6 +59,17 @@ def epoch_seconds(ts: str | Column) -> Column:
                             col_(ts)).cast("double")
 
 
+def datetime_text(ts: str | Column, sep: str = " ") -> Column:
+    """timestamp -> ``yyyy-MM-dd{sep}HH:mm:ss`` from cheap built-ins (the same
+    text as ``date_format`` for 4-digit years, without a formatter per row)."""
+    t = col_(ts)
+
+    def two(c):
+        return F.lpad(c.cast("string"), 2, "0")
+    return F.concat(F.to_date(t).cast("string"), F.lit(sep), two(F.hour(t)), F.lit(":"),
+                    two(F.minute(t)), F.lit(":"), two(F.second(t)))
+
+
 def event_time(ts_ntz: str | Column) -> Column:
     """Wall-clock timestamp_ntz -> the instant with the same UTC wall clock
     (a TIMESTAMP, as watermarks require).  Zone-free, unlike a plain cast,

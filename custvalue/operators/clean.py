@@ -123,12 +123,11 @@ def dedup_customer(df: DataFrame, key: str = "CustomerID") -> DataFrame:
 
 def epoch_roundtrip(df: DataFrame) -> DataFrame:
     """Timestamp -> epoch seconds -> timestamp and ISO text."""
-    from ..functions.columns import from_epoch_seconds
+    from ..functions.columns import datetime_text, from_epoch_seconds
     return df.select(
         "InvoiceNo", "StockCode", "invoice_epoch",
         from_epoch_seconds("invoice_epoch").alias("restored_ts"),
-        F.date_format(from_epoch_seconds("invoice_epoch"), "yyyy-MM-dd'T'HH:mm:ss")
-        .alias("iso_text"))
+        datetime_text(from_epoch_seconds("invoice_epoch"), "T").alias("iso_text"))
 
 
 def drop_helpers(df: DataFrame, helpers=("invoice_epoch", "hour", "dayofweek",

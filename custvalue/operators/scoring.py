@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import from_epoch_seconds
+from ..functions.columns import datetime_text, from_epoch_seconds
 
 # Fixed linear value formula used when no fitted model is given:
 # CLV = sum(weight * feature), evaluated left to right in this order.
@@ -113,7 +113,7 @@ def _text(c: str) -> Column:
     if c in ("UnitPrice", "Revenue", "CLV_Prediction"):
         return money_text(c)
     if c == "InvoiceDate":
-        return F.date_format(from_epoch_seconds("invoice_epoch"), "yyyy-MM-dd'T'HH:mm:ss")
+        return datetime_text(from_epoch_seconds("invoice_epoch"), "T")
     return col.cast("string")
 
 

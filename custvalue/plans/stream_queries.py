@@ -87,7 +87,7 @@ def q_stream_features_total(spark, sf):
     root = scratch_path(spark, "stream_features_total")
     src = _invoice_texts(spark, sf, root)
     lines = C.clean_lines(N.explode_items(_invoice_stream(spark, src, FILES_PER_TRIGGER)))
-    table = KeyedTable(spark, f"{root}/table", "CustomerID")
+    table = KeyedTable(spark, f"{root}/table", "CustomerID", keep_versions=3)
     ST.finish(ST.start_total_features_stream(lines, table, f"{root}/ckpt", REF_DATE))
     return table.read()
 
@@ -131,7 +131,7 @@ def q_stream_leaderboard(spark, sf):
     feed = FX.score_events(spark, sf).select(
         F.to_json(F.struct("key", "clv")).alias("value"), "ts", "event_id")
     cut = F.col("ts") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz")
-    state = KeyedTable(spark, f"{root}/state", "key")
+    state = KeyedTable(spark, f"{root}/state", "key", keep_versions=3)
     for part, cond in (("a", cut), ("b", ~cut)):
         feed.filter(cond).repartition(4).write.mode("overwrite").json(f"{root}/in/part={part}")
         raw = spark.readStream.schema(FEED).json(f"{root}/in/part=*")

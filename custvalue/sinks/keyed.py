@@ -29,11 +29,12 @@ class KeyedTable:
     """A table of one row per key, updated by upserts."""
 
     def __init__(self, spark: SparkSession, path: str, key: str | list[str],
-                 partitions: int | None = None):
+                 partitions: int | None = None, keep_versions: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = [key] if isinstance(key, str) else list(key)
         self.partitions = partitions
+        self.keep_versions = keep_versions
 
     # -- versions ---------------------------------------------------------
     def committed_versions(self) -> list[int]:
@@ -68,3 +69,21 @@ class KeyedTable:
         (new.repartition(n, *self.keys).write.mode("overwrite")
             .parquet(f"{self.path}/v={version}"))
         self._commit(version)
+        if self.keep_versions:
+            self.vacuum(self.keep_versions)
+
+    def vacuum(self, keep: int) -> list[int]:
+        """Delete all but the newest ``keep`` committed versions (and any
+        uncommitted leftovers older than them); returns the deleted versions."""
+        fs, p, jvm = _fs(self.spark, self.path)
+        committed = self.committed_versions()
+        if len(committed) <= keep:
+            return []
+        oldest_kept = committed[-keep]
+        gone = []
+        for st in fs.listStatus(p):
+            m = _VERSION.match(st.getPath().getName())
+            if m and int(m.group(1)) < oldest_kept:
+                fs.delete(st.getPath(), True)
+                gone.append(int(m.group(1)))
+        return sorted(gone)

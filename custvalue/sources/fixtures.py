@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import datetime_text
 from ..session import spread
 
 
@@ -29,13 +30,10 @@ SNAPSHOT_CUTOFF = "2024-01-15 00:00:00"
 
 
 def invoice_text(ts) -> "F.Column":
-    """timestamp -> ``yyyy-MM-dd HH:mm:ss`` text from cheap built-ins (same
-    text as ``date_format`` with that pattern for 4-digit years).  The text is
-    referenced several times by the cleaning expressions downstream and the
-    optimizer inlines it into each reference, so it must be cheap to compute."""
-    two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    return F.concat(F.to_date(ts).cast("string"), F.lit(" "), two(F.hour(ts)), F.lit(":"),
-                    two(F.minute(ts)), F.lit(":"), two(F.second(ts)))
+    """timestamp -> ``yyyy-MM-dd HH:mm:ss`` text.  The text is referenced
+    several times by the cleaning expressions downstream and the optimizer
+    inlines it into each reference, so it is built from cheap built-ins."""
+    return datetime_text(ts, " ")
 
 
 _TABLES: dict = {}

@@ -67,3 +67,29 @@ def test_kafka_shaped_frame(spark):
     back = parse_json(kv, INVOICE, "value", keep=("key",))
     assert back.filter(F.col("key") != F.col("InvoiceNo")).count() == 0
     assert back.count() == inv.count()
+
+
+def test_write_jdbc_options(monkeypatch, spark):
+    """No database is started here: the writer call is captured instead."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    seen = {}
+
+    def fake_jdbc(self, url, table, mode=None, properties=None):
+        seen.update(url=url, table=table, mode=mode, properties=properties)
+    monkeypatch.setattr(DataFrameWriter, "jdbc", fake_jdbc)
+    df = spark.range(3)
+    W.write_jdbc(df, "jdbc:postgresql://db/x", '"Order"', mode="overwrite",
+                 properties={"user": "u"}, num_partitions=4)
+    assert seen["mode"] == "overwrite" and seen["table"] == '"Order"'
+    assert seen["properties"] == {"user": "u", "batchsize": "10000", "truncate": "true",
+                                  "numPartitions": "4"}
+    W.write_jdbc(df, "jdbc:postgresql://db/x", "sales_data_order", properties={})
+    assert seen["mode"] == "append" and "truncate" not in seen["properties"]
+
+
+def test_bounded_broadcast(spark):
+    from custvalue.session import bounded_broadcast
+    small, big = spark.range(10), spark.range(1000)
+    j = spark.range(1000).join(bounded_broadcast(small, 100), "id")
+    assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
+    assert bounded_broadcast(big, 100) is big

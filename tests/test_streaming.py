@@ -79,3 +79,11 @@ def test_keyed_table_upsert_replay(spark, scratch):
     t.upsert(upd, 1)
     t.upsert(upd, 1)   # replayed batch: same result
     assert sorted(map(tuple, t.read().collect())) == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def test_keyed_table_keeps_newest_versions(spark, scratch):
+    t = KeyedTable(spark, scratch("kv"), "k", keep_versions=2)
+    for v in range(4):
+        t.upsert(spark.createDataFrame([("a", v)], "k string, v int"), v)
+    assert t.committed_versions() == [2, 3]
+    assert t.read().first().v == 3
