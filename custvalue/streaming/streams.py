@@ -154,9 +154,12 @@ def start_total_features_stream(lines: DataFrame, table: KeyedTable, checkpoint:
     parts = src.groupBy("CustomerID").agg(*FE._feature_parts(ref_date))
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        table.upsert(FE._finish(batch, ref_date, "CustomerID"), batch_id)
+        batch = batch.persist()     # used by two actions: compute the batch once
+        try:
+            if not batch.isEmpty():
+                table.upsert(FE._finish(batch, ref_date, "CustomerID"), batch_id)
+        finally:
+            batch.unpersist()
 
     w = (parts.writeStream.outputMode("update").foreachBatch(body)
               .option("checkpointLocation", checkpoint))
@@ -219,8 +222,14 @@ def start_leaderboard_stream(feed: DataFrame, state: KeyedTable, board_path: str
     (new / up / down / none).  The board of batch N is ``board_path/batch_id=N``;
     top-N for display is ``top_k`` on it."""
     def body(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                _board(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _board(batch: DataFrame, batch_id: int) -> None:
         prev = state.read(before=batch_id)
         latest = R.latest_per_key(batch)
         if prev is not None:
