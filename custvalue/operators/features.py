@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import (HOURS, PRICE_SCALE, REVENUE_UNITS_SQL, WEEKDAYS,
-                                 count_parts, count_parts_sql, median_from_counts,
+                                 count_parts, median_from_counts,
                                  median_sql, revenue_units, units_to_money)
 
 # Aggregate-buffer columns of the two exact medians.

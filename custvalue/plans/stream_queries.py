@@ -34,13 +34,8 @@ def _invoice_texts(spark, sf, root, key=None, order=None):
     inv = FX.invoices(spark, sf)
     msgs = inv.select("CustomerID", "InvoiceDate", F.to_json(F.struct(*inv.columns)).alias("value"))
     path = f"{root}/in"
-    if key:
-        msgs = msgs.repartition(STREAM_FILES, key)
-    elif order:
-        msgs = msgs.repartitionByRange(STREAM_FILES, order)
-    else:
-        msgs = msgs.repartition(STREAM_FILES)
-    msgs.select("value").write.mode("overwrite").text(path)
+    ST.write_replay_files(msgs, path, STREAM_FILES, "text", key=key, order=order,
+                          columns=["value"])
     return path
 
 

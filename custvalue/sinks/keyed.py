@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _VERSION = re.compile(r"^v=(\d+)$")
 

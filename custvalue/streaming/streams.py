@@ -51,12 +51,14 @@ def file_source(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def write_replay_files(df: DataFrame, path: str, files: int, fmt: str = "json",
-                       key: str | None = None, order: str | None = None) -> None:
+                       key: str | None = None, order: str | None = None,
+                       columns: list[str] | None = None) -> None:
     """Lay a table down as stream input files.
 
     ``key`` puts all rows of a key in one file (so a per-batch computation
     sees whole keys); ``order`` range-partitions by time (files follow event
-    time).  Otherwise rows spread evenly.
+    time).  Otherwise rows spread evenly.  ``columns`` selects what is
+    written (e.g. only ``value`` for text files).
     """
     if key:
         df = df.repartition(files, key)
@@ -64,7 +66,7 @@ def write_replay_files(df: DataFrame, path: str, files: int, fmt: str = "json",
         df = df.repartitionByRange(files, order)
     else:
         df = df.repartition(files)
-    df.write.mode("overwrite").format(fmt).save(path)
+    (df.select(*columns) if columns else df).write.mode("overwrite").format(fmt).save(path)
 
 
 def invoice_json(df_value: DataFrame) -> DataFrame:
@@ -74,11 +76,12 @@ def invoice_json(df_value: DataFrame) -> DataFrame:
 
 # ---- T1 / T2: per-batch score ---------------------------------------------
 
-def score_invoice_batch(batch: DataFrame, ref_date) -> DataFrame:
-    """T1 body: explode -> clean -> features -> score -> scored lines."""
+def score_invoice_batch(batch: DataFrame, ref_date) -> tuple[DataFrame, DataFrame]:
+    """T1 body: explode -> clean -> features -> score.  Returns the scored
+    lines and the per-customer scores."""
     lines = C.clean_lines(N.explode_items(batch))
-    feats = FE.customer_features(lines, ref_date)
-    return S.scored_lines(lines, S.score_features(feats))
+    scores = S.score_features(FE.customer_features(lines, ref_date))
+    return S.scored_lines(lines, scores), scores
 
 
 def per_batch_writer(out_path: str, fn, fmt: str = "parquet"):
@@ -109,10 +112,8 @@ def start_score_stream(invoices: DataFrame, out_path: str, checkpoint: str,
             return
         batch = batch.persist()
         try:
-            lines = C.clean_lines(N.explode_items(batch))
-            scores = S.score_features(FE.customer_features(lines, ref_date))
-            S.scored_lines(lines, scores).write.mode("overwrite") \
-                .parquet(f"{out_path}/batch_id={batch_id}")
+            scored, scores = score_invoice_batch(batch, ref_date)
+            scored.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             if feed_path:
                 R.prediction_feed(scores).write.mode("overwrite") \
                     .parquet(f"{feed_path}/batch_id={batch_id}")

@@ -1,6 +1,4 @@
 """Feature aggregation: one-pass = join chain, edge cases, label split."""
-from pyspark.sql import functions as F
-
 from custvalue.operators import clean as C
 from custvalue.operators import features as FE
 from custvalue.schemas import FEATURE_COLUMNS, FLAT_LINE
@@ -95,3 +93,10 @@ def test_medians_exact_on_a_hot_customer(spark):
         ds = sorted(r[2] for r in rows if r[0] == k)
         want[k] = (hs[(len(hs) - 1) // 2], ds[(len(ds) - 1) // 2])
     assert got == want
+
+
+def test_target_revenue_equals_total_revenue(spark):
+    s = sample(spark)
+    t = {r.CustomerID: r.target_rev for r in FE.target_revenue(s).collect()}
+    f = {r.CustomerID: r.total_revenue for r in FE.customer_features(s, "2024-01-31").collect()}
+    assert t == f

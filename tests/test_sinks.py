@@ -93,3 +93,34 @@ def test_bounded_broadcast(spark):
     j = spark.range(1000).join(bounded_broadcast(small, 100), "id")
     assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
     assert bounded_broadcast(big, 100) is big
+
+
+def test_kafka_source_needs_its_connector(spark):
+    """Options are wired; without the Kafka package the lookup fails cleanly
+    (no broker is contacted)."""
+    import pytest
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        ST.kafka_source(spark, "broker:9092", "invoices", group_id="g", max_offsets_per_trigger=10)
+
+
+def test_stream_jobs_and_csv_training(spark, scratch):
+    from pyspark.sql import types as T
+    root = scratch("jobs")
+    inv = FX.invoices(spark, SF)
+    inv.select(F.to_json(F.struct(*inv.columns)).alias("value")).write.text(f"{root}/in")
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    raw = lambda: ST.file_source(spark, f"{root}/in", schema, "text")
+    ST.finish(jobs.score_stream_job(spark, raw(), f"{root}/scored", f"{root}/ck1", "2001-12-31",
+                                    available_now=True))
+    ST.finish(jobs.land_job(spark, raw(), f"{root}/zone", f"{root}/ck2", available_now=True))
+    n_lines = FX.invoice_lines(spark, SF).count()
+    assert spark.read.parquet(f"{root}/scored").count() == n_lines
+    from custvalue.operators.nested import explode_items
+    assert explode_items(spark.read.parquet(f"{root}/zone")).count() == n_lines
+    FX.invoice_lines(spark, SF).write.option("header", True).csv(f"{root}/csv")
+    out = jobs.train_from_csv(spark, f"{root}/csv", f"{root}/models", ref_date="2001-12-31",
+                              split_date="2000-01-01")
+    assert out["model_path"].endswith("CLV_V1")
+    from custvalue.sources.readers import read_table
+    assert read_table(spark, f"{root}/csv", "csv").count() == n_lines
