@@ -340,10 +340,14 @@ target AS (
   FROM late WHERE CustomerID IS NOT NULL GROUP BY CustomerID),
 ft AS (SELECT f.*, coalesce(target_rev, 0.0) AS target_rev
        FROM feats f LEFT JOIN target g ON f.CustomerID = g.CustomerID)""" + f"""
-SELECT CAST(COUNT(*) AS BIGINT) AS n, SUM(abs(pred - target_rev)) / CAST(COUNT(*) AS DOUBLE) AS mae,
-       SUM((pred - target_rev) * (pred - target_rev)) / CAST(COUNT(*) AS DOUBLE) AS mse,
-       sqrt(SUM((pred - target_rev) * (pred - target_rev)) / CAST(COUNT(*) AS DOUBLE)) AS rmse
-FROM (SELECT target_rev, {SCORE} AS pred FROM ft)"""
+SELECT n, CAST(sae AS DOUBLE) / (CAST(n AS DOUBLE) * 1000.0) AS mae,
+       CAST(CAST(sse AS VARCHAR) AS DOUBLE) / (CAST(n AS DOUBLE) * 1000000.0) AS mse,
+       sqrt(CAST(CAST(sse AS VARCHAR) AS DOUBLE) / (CAST(n AS DOUBLE) * 1000000.0)) AS rmse
+-- the exact 128-bit sum goes to double through its decimal text (correctly rounded)
+FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n, SUM(abs(em)) AS sae,
+             SUM(CAST(em AS HUGEINT) * CAST(em AS HUGEINT)) AS sse
+      FROM (SELECT CAST(round((pred - target_rev) * 1000.0) AS BIGINT) AS em
+            FROM (SELECT target_rev, {SCORE} AS pred FROM ft)))"""
 
 SCORED = FEATS + f""",
 scores AS (SELECT CustomerID, {SCORE} AS CLV_Prediction FROM feats),
