@@ -27,14 +27,36 @@ def explode_items(invoices: DataFrame) -> DataFrame:
     return invoices.select(*INVOICE_KEYS, F.inline("Items"))
 
 
-def nest_invoices(lines: DataFrame) -> DataFrame:
+def nest_invoices(lines: DataFrame, max_items: int | None = None) -> DataFrame:
     """Lines -> one nested invoice per (InvoiceNo, InvoiceDate, CustomerID, Country).
 
     Items are sorted so the message is deterministic.  The group is one
-    invoice (the message unit), so its size is the invoice's line count.
+    invoice (the message unit), so by default a message holds all of its
+    invoice's lines.  With ``max_items`` no message exceeds about that many
+    items: invoice sizes are counted (combined map-side), joined back with a
+    salted join, and an invoice above the bound is split into
+    ``ceil(n / max_items)`` parts by a hash of each item; the result gains a
+    ``Part`` column (0 for invoices within the bound), and exploding the parts
+    gives back exactly the invoice's lines.
     """
     item = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ITEM.fields])
-    return (lines.groupBy(*INVOICE_KEYS)
+    if max_items is None:
+        return (lines.groupBy(*INVOICE_KEYS)
+                     .agg(F.sort_array(F.collect_list(item)).alias("Items")))
+    from .scoring import salted_left_join
+    sizes = lines.groupBy(*INVOICE_KEYS).agg(F.count(F.lit(1)).alias("_n"))
+    # invoice keys may be null (e.g. a missing customer): join on an exact,
+    # never-null key made of (is null, value) per key column
+    kcol = F.struct(*[F.struct(F.col(k).isNull().alias("z"),
+                               F.coalesce(F.col(k), F.lit("")).alias("v")).alias(k)
+                      for k in INVOICE_KEYS])
+    sized = salted_left_join(lines.withColumn("_k", kcol),
+                             sizes.withColumn("_k", kcol).select("_k", "_n"), "_k")
+    parts = F.ceil(F.col("_n") / F.lit(float(max_items))).cast("int")
+    part = F.when(parts > 1, F.pmod(F.xxhash64(*[f.name for f in ITEM.fields]), parts)) \
+        .otherwise(F.lit(0))
+    return (sized.withColumn("Part", part.cast("int"))
+                 .groupBy(*INVOICE_KEYS, "Part")
                  .agg(F.sort_array(F.collect_list(item)).alias("Items")))
 
 

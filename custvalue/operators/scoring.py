@@ -48,8 +48,8 @@ def score_features(features: DataFrame, model=None, key: str = "CustomerID",
 SALTS = 8   # default split of every customer's lines in the score join
 
 
-def salted_left_join(big: DataFrame, small: DataFrame, key: str, salts: int = SALTS,
-                     salt_cols: list[str] | None = None) -> DataFrame:
+def salted_left_join(big: DataFrame, small: DataFrame, key: str | list[str],
+                     salts: int = SALTS, salt_cols: list[str] | None = None) -> DataFrame:
     """Left join ``big`` to ``small`` (unique on ``key``) with the key salted.
 
     Each big row gets a salt from a hash of its own columns, each small row
@@ -58,10 +58,11 @@ def salted_left_join(big: DataFrame, small: DataFrame, key: str, salts: int = SA
     one, deterministically (same salt for the same row on every retry).  The
     small side grows ``salts`` times -- it is one row per key.
     """
-    cols = salt_cols or [c for c in big.columns if c != key]
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = salt_cols or [c for c in big.columns if c not in keys]
     b = big.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return b.join(s, [key, "_salt"], "left").drop("_salt")
+    return b.join(s, keys + ["_salt"], "left").drop("_salt")
 
 
 def scored_lines(lines: DataFrame, scores: DataFrame, key: str = "CustomerID",

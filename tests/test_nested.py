@@ -38,3 +38,24 @@ def test_ingest_splits_valid_and_quarantine(spark):
 def test_parse_json_field_type_mismatch_gives_null(spark):
     raw = spark.createDataFrame([('{"k": "x"}',), ('{"k": 3}',)], "value string")
     assert [r.k for r in N.parse_json(raw, "k int").collect()] == [None, 3]
+
+
+def test_nest_bounds_a_hot_invoice(spark):
+    """An invoice with 3,000 lines and a bound of 500 items per message is
+    split into parts; small invoices stay whole; exploding gives back every line."""
+    from pyspark.sql import functions as F
+    from custvalue.schemas import FLAT_LINE
+    hot = [("H", f"S{i}", "d", 1, "2024-01-01 00:00:00", 1.0, "c", "X") for i in range(3000)]
+    small = [(f"N{i}", "S", "d", 1, "2024-01-01 00:00:00", 1.0, None if i == 0 else "c", "X")
+             for i in range(20)]
+    lines = spark.createDataFrame(hot + small, FLAT_LINE).select(
+        *N.INVOICE_KEYS, "StockCode", "Description", "Quantity", "UnitPrice")
+    nested = N.nest_invoices(lines, max_items=500)
+    sizes = {(r.InvoiceNo, r.Part): r.n for r in
+             nested.select("InvoiceNo", "Part", F.size("Items").alias("n")).collect()}
+    assert sum(n for (k, _), n in sizes.items() if k == "H") == 3000
+    assert len([1 for (k, _) in sizes if k == "H"]) == 6
+    assert max(n for (k, _), n in sizes.items() if k == "H") < 800
+    assert all(p == 0 and n == 1 for (k, p), n in sizes.items() if k != "H")
+    assert N.explode_items(nested.drop("Part")).count() == 3020
+    assert N.nest_invoices(lines).count() == 21   # default: one message per invoice
