@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the invoice format.
+# Fixed values of the invoice format (they must equal the source system's).
 DATE_FORMAT = "yyyy-MM-dd HH:mm:ss"      # producer text format of InvoiceDate
 DATE_KEEP_CHARS = r"[^0-9\-: ]"          # characters stripped before parsing
 WEEKEND_DAYS = (6, 7)                    # dayofweek values counted as weekend (Fri, Sat)
@@ -178,5 +178,4 @@ def count_parts_sql(c: str, values: list[int], prefix: str) -> list[str]:
 
 def count_parts(c: str, values: list[int], prefix: str) -> list[Column]:
     """One ``sum`` per domain value: plain, mergeable, codegen'd aggregates."""
-    return [F.expr(f"sum(CASE WHEN `{c}` = {v} THEN 1 ELSE 0 END)").alias(f"{prefix}{v}")
-            for v in values]
+    return [F.expr(e) for e in count_parts_sql(c, values, prefix)]

@@ -10,13 +10,14 @@ from ..functions.columns import (DATE_FORMAT, WEEKEND_DAYS, epoch_seconds,
                                  units_to_money, weekend_flag)
 from ..schemas import LINE_COLUMNS
 
-# Per-column defaults used before validation (text -> '', numbers -> 0).
+# Fixed values (they must equal the source system's):
+# per-column defaults used before validation (text -> '', numbers -> 0),
 FILL_DEFAULTS = {
     "CustomerID": "", "InvoiceDate": "", "Country": "", "StockCode": "",
     "Description": "", "Quantity": 0, "UnitPrice": 0.0,
 }
 
-# Required columns of a raw retail table, in the order they are checked.
+# and the required columns of a raw retail table, in the order they are checked.
 REQUIRED_COLUMNS = ["InvoiceNo", "InvoiceDate", "CustomerID", "Country", "StockCode",
                     "Description", "Quantity", "UnitPrice"]
 

@@ -2,9 +2,9 @@
 
 The whole feature vector is ONE ``groupBy(CustomerID).agg(...)``: a single
 shuffle with map-side partial aggregation, instead of ten aggregations and a
-chain of joins.  Every aggregate is mergeable (sum, count, min, max, and the
-``percentile_approx`` sketch), so a customer holding a third of all lines is
-pre-combined in every map task and never lands whole in one task.
+chain of joins.  Every aggregate is mergeable (sums, counts, min, max; the
+medians come from per-value counts), so a customer holding a third of all
+lines is pre-combined in every map task and never lands whole in one task.
 """
 
 from __future__ import annotations
@@ -259,8 +259,9 @@ def window_features(lines: DataFrame, window: str = "30 days",
                     key: str = "CustomerID", ts: str = "invoice_ts") -> DataFrame:
     """T4 (batch form): features per customer and tumbling time window.
 
-    The return flag is Revenue < 0; medians use the mergeable sketch instead
-    of collecting per-window lists, so the same aggregate runs in a stream.
+    The return flag is Revenue < 0; medians come from per-value counts
+    instead of collected per-window lists, so the same aggregate runs in a
+    stream.
     """
     w = F.window(F.col(ts), window)
     g = (lines.filter(F.col(key).isNotNull()).groupBy(w.alias("w"), key)
