@@ -455,6 +455,7 @@ SQL["stream_landing"] = SQL["explode_items"]
 SQL["stream_flat"] = SQL["clean_lines"]
 SQL["stream_leaderboard"] = SQL["rank_change"]
 SQL["stream_prediction_feed"] = SQL["prediction_feed"]
+SQL["stream_kv_upsert"] = SQL["kv_upsert_latest"]
 # windows closed by the final watermark (max event time - 1 day)
 SQL["stream_window_features"] = "SELECT * FROM (" + SQL["window_features"] + """
 ) wf WHERE window_end <= (""" + BASE + """

@@ -67,6 +67,18 @@ def q_stream_prediction_feed(spark, sf):
     return spark.read.parquet(f"{root}/feed").drop("batch_id")
 
 
+@query("stream_kv_upsert")
+def q_stream_kv_upsert(spark, sf):
+    """K3 in a stream: scored rows upserted per micro-batch into a table keyed
+    by ``{InvoiceNo}-{CustomerID}``."""
+    root = scratch_path(spark, "stream_kv_upsert")
+    src = _invoice_texts(spark, sf, root, key="CustomerID")
+    table = KeyedTable(spark, f"{root}/table", "rowkey", keep_versions=3)
+    ST.finish(ST.start_kv_upsert_stream(_invoice_stream(spark, src, FILES_PER_TRIGGER), table,
+                                        f"{root}/ckpt", REF_DATE))
+    return table.read()
+
+
 @query("stream_features_batch")
 def q_stream_features_batch(spark, sf):
     root = scratch_path(spark, "stream_features_batch")

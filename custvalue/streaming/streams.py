@@ -113,12 +113,34 @@ def start_score_stream(invoices: DataFrame, out_path: str, checkpoint: str,
         batch = batch.persist()
         try:
             scored, scores = score_invoice_batch(batch, ref_date)
+            if feed_path:
+                scores = scores.persist()   # one row per customer; read by two writes
             scored.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             if feed_path:
                 R.prediction_feed(scores).write.mode("overwrite") \
                     .parquet(f"{feed_path}/batch_id={batch_id}")
+                scores.unpersist()
+        finally:
+            batch.unpersist()
+    w = invoices.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
+def start_kv_upsert_stream(invoices: DataFrame, table: KeyedTable, checkpoint: str,
+                           ref_date, available_now: bool = True):
+    """K3 in a stream: per micro-batch, score the lines, build the row key
+    ``{InvoiceNo}-{CustomerID}`` and text cells, keep the latest row per key
+    within the batch, and upsert into the keyed table (a later batch wins,
+    as a later put would).  Idempotent on replay of a batch id."""
+    def body(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                scored, _ = score_invoice_batch(batch, ref_date)
+                table.upsert(S.kv_upsert_latest(S.kv_rows(scored)), batch_id)
         finally:
             batch.unpersist()
+
     w = invoices.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()
 
