@@ -220,6 +220,11 @@ SELECT CustomerID, quantile_disc(hour, 0.5) AS purchase_hour_med,
        quantile_disc(dayofweek, 0.5) AS purchase_dow_med
 FROM lines WHERE CustomerID IS NOT NULL GROUP BY CustomerID"""
 
+SQL["cust_invoice_frequency"] = BASE + """
+SELECT CustomerID, COUNT(DISTINCT InvoiceNo) AS frequency_invoices,
+       CAST(COUNT(*) AS BIGINT) AS frequency_lines
+FROM lines WHERE CustomerID IS NOT NULL AND InvoiceNo IS NOT NULL GROUP BY CustomerID"""
+
 SQL["returns"] = BASE + """
 SELECT CustomerID, COUNT(InvoiceNo) AS num_returns
 FROM lines WHERE Revenue < 0 AND CustomerID IS NOT NULL GROUP BY CustomerID"""

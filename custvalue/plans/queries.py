@@ -167,6 +167,11 @@ def q_cust_medians(spark, sf):
     return FE.customer_medians(lines(spark, sf))
 
 
+@query("cust_invoice_frequency")
+def q_cust_invoice_frequency(spark, sf):
+    return FE.invoice_frequency(lines(spark, sf))
+
+
 @query("returns")
 def q_returns(spark, sf):
     return FE.customer_returns(lines(spark, sf))
