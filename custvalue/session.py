@@ -54,14 +54,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     registered, so lineage cuts and stream checkpoints have a home.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:   # no driver-side context (remote session): the setting rules
+        sc = None
+    if not root and sc is not None:
+        jdir = sc._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
         root = tempfile.mkdtemp(prefix="custvalue-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
