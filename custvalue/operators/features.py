@@ -273,7 +273,9 @@ def window_features(lines: DataFrame, window: str = "30 days",
                     key: str = "CustomerID", ts: str = "invoice_ts") -> DataFrame:
     """T4 (batch form): features per customer and tumbling time window.
 
-    The return flag is Revenue < 0; medians come from per-value counts
+    ``recency`` is the days from the last purchase day to the window end (a
+    deterministic stand-in for "days until today").  The return flag is
+    Revenue < 0; medians come from per-value counts
     instead of collected per-window lists, so the same aggregate runs in a
     stream.
     """
@@ -286,4 +288,5 @@ def window_features(lines: DataFrame, window: str = "30 days",
                    F.max(ts).alias("last_ts")))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     key, units_to_money("_rev").alias("total_revenue"), "frequency",
-                    "num_returns", *median_columns(), "last_ts")
+                    "num_returns", *median_columns(), "last_ts",
+                    F.datediff(F.to_date("w.end"), F.to_date("last_ts")).alias("recency"))

@@ -446,7 +446,9 @@ SELECT window_start, window_start + INTERVAL 30 DAY AS window_end, CustomerID,
        CAST(SUM(CAST(Quantity AS DECIMAL(10,0)) * CAST(UnitPrice AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
        COUNT(InvoiceNo) AS frequency, COUNT(CASE WHEN Revenue < 0 THEN 1 END) AS num_returns,
        quantile_disc(hour, 0.5) AS purchase_hour_med, quantile_disc(dayofweek, 0.5) AS purchase_dow_med,
-       MAX(invoice_ts) AS last_ts
+       MAX(invoice_ts) AS last_ts,
+       CAST(date_diff('day', CAST(MAX(invoice_ts) AS DATE),
+                      CAST(window_start + INTERVAL 30 DAY AS DATE)) AS INTEGER) AS recency
 FROM (SELECT *, TIMESTAMP '1970-01-01 00:00:00'
                 + to_seconds(CAST(floor(epoch(invoice_ts) / 2592000) AS BIGINT) * 2592000) AS window_start
       FROM lines WHERE CustomerID IS NOT NULL)

@@ -209,7 +209,9 @@ def start_window_features_stream(lines: DataFrame, out_path: str, checkpoint: st
     out = agg.select(wall_clock("w.start").alias("window_start"),
                      wall_clock("w.end").alias("window_end"),
                      "CustomerID", units_to_money("_rev").alias("total_revenue"),
-                     "frequency", "num_returns", *FE.median_columns(), "last_ts")
+                     "frequency", "num_returns", *FE.median_columns(), "last_ts",
+                     F.datediff(F.to_date(wall_clock("w.end")), F.to_date("last_ts"))
+                     .alias("recency"))
     q = (out.writeStream.format("parquet").outputMode("append").option("path", out_path)
             .option("checkpointLocation", checkpoint))
     return (q.trigger(availableNow=True) if available_now else q).start()
