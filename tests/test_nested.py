@@ -31,8 +31,9 @@ def test_ingest_splits_valid_and_quarantine(spark):
     valid, bad = N.split_ingest(raw)
     assert [r.InvoiceNo for r in valid.collect()] == ["1"]
     reasons = sorted(r.reason for r in bad.collect())
+    # a wrongly typed field marks the record corrupt, like unparseable text
     assert reasons == sorted(["missing CustomerID", "invalid item", "no items", "unparseable",
-                              "unparseable"]) or len(reasons) == 5
+                              "unparseable"])
 
 
 def test_parse_json_field_type_mismatch_gives_null(spark):
