@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from custvalue.llm.common import table
+from custvalue.llm.decontaminate import contamination
 from custvalue.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +23,34 @@ def query(fn):
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+@query
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, hit words and benchmark items of every document."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
+_FOLDED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(coalesce(" + _FOLDED + ", ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+SQL["op7_benchmark_decontamination"] = f"""
+WITH iw AS (SELECT item_id::VARCHAR AS item, {_WORDS.format("text")} AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[a:a + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS a FROM iw WHERE len(w) > 0)),
+d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+spots AS (
+  SELECT doc_id, a, size, array_to_string(w[a:a + size - 1], ' ') AS win
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS a
+        FROM d, (SELECT DISTINCT size FROM wins) WHERE len(w) >= size)),
+hits AS (SELECT doc_id, a, s.size, item FROM spots s JOIN wins USING (win)),
+per AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+    SELECT doc_id, unnest(range(a, a + size)) AS p FROM hits) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN per USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
