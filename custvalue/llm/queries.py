@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from custvalue.llm.common import table
 from custvalue.llm.decontaminate import contamination
+from custvalue.llm.quality import quality_scores
 from custvalue.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +55,9 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN per USING (doc_id) LEFT JOIN its USING (doc_id)
 """
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Co-trained quality score of every document."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
