@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from custvalue.llm.common import table
 from custvalue.llm.decontaminate import contamination
+from custvalue.llm.mixing import mix
 from custvalue.llm.quality import quality_scores
 from custvalue.llm.simhash import simhash_components
 
@@ -61,3 +62,9 @@ FROM d LEFT JOIN per USING (doc_id) LEFT JOIN its USING (doc_id)
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Co-trained quality score of every document."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document once per pass of its source, with weight and training position."""
+    return mix(table(spark, sf_dir, "documents"), text_out=False)
