@@ -10,6 +10,7 @@ from custvalue.llm.common import table
 from custvalue.llm.decontaminate import contamination
 from custvalue.llm.mixing import mix
 from custvalue.llm.quality import quality_scores
+from custvalue.llm.shards import training_records
 from custvalue.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,9 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document once per pass of its source, with weight and training position."""
     return mix(table(spark, sf_dir, "documents"), text_out=False)
+
+
+@query
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token records of all documents in training order, with shard and byte offset."""
+    return training_records(table(spark, sf_dir, "documents"))
