@@ -10,6 +10,7 @@ from custvalue.llm.common import table
 from custvalue.llm.decontaminate import contamination
 from custvalue.llm.mixing import mix
 from custvalue.llm.quality import quality_scores
+from custvalue.llm.sharding import shard_documents
 from custvalue.llm.shards import training_records
 from custvalue.llm.simhash import simhash_components
 
@@ -75,3 +76,9 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token records of all documents in training order, with shard and byte offset."""
     return training_records(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document under the law of even row counts."""
+    return shard_documents(table(spark, sf_dir, "documents"))
