@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from custvalue.llm.common import table
 from custvalue.llm.decontaminate import contamination
+from custvalue.llm.language import identify_languages
 from custvalue.llm.mixing import mix
 from custvalue.llm.quality import quality_scores
 from custvalue.llm.sharding import shard_documents
 from custvalue.llm.shards import training_records
 from custvalue.llm.simhash import simhash_components
+from custvalue.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,3 +84,15 @@ def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document under the law of even row counts."""
     return shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by PPM code length."""
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by maximal scoring segments."""
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
