@@ -16,12 +16,12 @@ import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_LABELLED, MAX_POOL, ROUNDS, THRESHOLD = 20_000, 20_000, 4, 0.5
+MAX_LABELLED, MAX_POOL, ROUNDS, THRESHOLD = 8_000, 8_000, 4, 0.5
+CONTENT = 107
 _SOURCES, _LANGS, _SIZES = 64, 16, 24
 META = _SOURCES + _LANGS + _SIZES
 
@@ -31,7 +31,7 @@ def text_features(text: bytes | None) -> np.ndarray:
     b = text or b""
     n = len(b)
     if not n:
-        return np.zeros(107, np.float32)
+        return np.zeros(CONTENT, np.float32)
     share = np.bincount(np.frombuffer(b, np.uint8), minlength=256) / n
     words, lines = b.split(), b.split(b"\n")
     w = max(len(words), 1)
@@ -71,7 +71,9 @@ class Logistic:
         x = x.astype(np.float64)
         self.mean, self.scale = x.mean(0), x.std(0)
         self.scale[self.scale < 1e-9] = 1.0
-        z = np.c_[np.ones(len(x)), (x - self.mean) / self.scale]
+        z = np.empty((len(x), x.shape[1] + 1))
+        z[:, 0] = 1
+        np.divide(x - self.mean, self.scale, out=z[:, 1:])
         weight = np.ones(len(y))
         if self.balanced:
             weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
@@ -145,10 +147,12 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, pool_a: np.ndarray, po
         passed = []
         for v, (_, pool) in enumerate(views):
             odds = cals[v].margin(models[v].margin(pool)[:, None])
+            new = np.ones(len(pool), bool)
+            new[list(given[1 - v])] = False
             count, most = 0, max(1, int(share * len(pool)))
             for label, side in ((1, odds), (0, -odds)):
-                order = np.argsort(-side, kind="stable")[:most]
-                for i in order[side[order] >= _logit(np.array(sure))]:
+                order = np.argsort(-np.where(new, side, -np.inf), kind="stable")[:most]
+                for i in order[new[order] & (side[order] >= _logit(np.array(sure)))]:
                     count += given[1 - v].setdefault(int(i), label) == label
             passed.append(count)
         exchanged.append((passed[0], passed[1]))
@@ -158,10 +162,10 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, pool_a: np.ndarray, po
     return CoTrained(models[0], models[1], cals[0], cals[1], join, exchanged)
 
 
-def _views(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    a = np.array([text_features(t) for t in frame["text"]], np.float32).reshape(len(frame), 107)
-    b = np.array([meta_features(*r) for r in zip(frame["source"], frame["lang"], frame["n_chars"])],
-                 np.float32).reshape(len(frame), META)
+def _views(text: pa.Array, source: pa.Array, lang: pa.Array, n_chars: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    a = np.array([text_features(t.as_py()) for t in text], np.float32).reshape(len(text), CONTENT)
+    b = np.array([meta_features(*r) for r in zip(source.to_pylist(), lang.to_pylist(), n_chars.to_pylist())],
+                 np.float32).reshape(len(text), META)
     return a, b
 
 
@@ -193,20 +197,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABE
             .orderBy(order, "doc_id").limit(max_pool).select("doc_id", F.lit(-1).alias("y")))
     picked = F.broadcast(train.unionByName(pool))                # at most max_labelled + max_pool rows
 
-    schema = "doc_id bigint, y int, a array<float>, b array<float>"
-
     def features(batches):
-        for frame in batches:
-            a, b = _views(frame)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "y": frame["y"], "a": list(a), "b": list(b)})
-
-    rows = (_with_meta(docs).join(picked, "doc_id").mapInPandas(features, schema)
-            .dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id"))
-    rows["o"] = [zlib.crc32(str(i).encode()) for i in rows["doc_id"]]
-    rows = rows.sort_values(["o", "doc_id"])
-    a = np.stack(rows["a"].to_numpy()) if len(rows) else np.zeros((0, 107), np.float32)
-    b = np.stack(rows["b"].to_numpy()) if len(rows) else np.zeros((0, META), np.float32)
-    y = rows["y"].to_numpy(np.int64)
+        for r in batches:
+            views = _views(*(r.column(c) for c in ("text", "source", "lang", "n_chars")))
+            yield pa.RecordBatch.from_pydict({"doc_id": r.column("doc_id"), "y": r.column("y"), **{
+                k: pa.array([row.tobytes() for row in v], pa.binary()) for k, v in zip("ab", views)}})
+
+    rows = (_with_meta(docs).join(picked, "doc_id").mapInArrow(features, "doc_id bigint, y int, a binary, b binary")
+            .dropDuplicates(["doc_id"]).toArrow())
+    ids, y = rows["doc_id"].to_pylist(), rows["y"].to_numpy().astype(np.int64)
+    a, b = (np.frombuffer(b"".join(rows[k].to_pylist()), np.float32).reshape(len(ids), n)
+            for k, n in (("a", CONTENT), ("b", META)))
+    order = sorted(range(len(ids)), key=lambda i: (zlib.crc32(str(ids[i]).encode()), ids[i]))
+    a, b, y = a[order], b[order], y[order]
     got = y >= 0
     return co_train(a[got], b[got], y[got], a[~got], b[~got], rounds)
 
@@ -217,9 +220,7 @@ def score_quality(docs: DataFrame, model: CoTrained) -> Column:
 
     @F.arrow_udf("struct<score:double,text_score:double,meta_score:double>")
     def score(text: pa.Array, source: pa.Array, lang: pa.Array, n_chars: pa.Array) -> pa.Array:
-        a = np.array([text_features(t.as_py()) for t in text], np.float32).reshape(len(text), 107)
-        b = np.array([meta_features(*r) for r in zip(source.to_pylist(), lang.to_pylist(), n_chars.to_pylist())],
-                     np.float32).reshape(len(text), META)
+        a, b = _views(text, source, lang, n_chars)
         some = a.any(axis=1)
         s, t, m = (np.where(some, v, 0.0) for v in shared.value.score(a, b))
         return pa.StructArray.from_arrays([pa.array(s), pa.array(t), pa.array(m)],
