@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from custvalue.llm.quality import Logistic
 
 MAX_LABELLED, PREDICT_AT = 12_000, 0.3
-PRIOR, SIGNIFICANT, MAX_TOKENS, PREFIXES, DRIFT = 0.1, 3.0, 20_000, (4, 5, 6), 0.05
+PRIOR_DOCS, PRIOR_EACH = 20.0, 0.5                               # Dirichlet prior: pooled share of so many documents, plus an even part
+SIGNIFICANT, LEAST_ODDS, MAX_TOKENS, PREFIXES, DRIFT, SHORT = 3.0, 1.5, 20_000, (4, 5, 6), 0.05, 64
 _KEEP = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -83,11 +84,19 @@ class ToxicModel:
                     return s
         return s
 
+    def chance(self, n: int) -> float:
+        """Log of the number of places where a segment can start in ``n`` words."""
+        return math.log(max(self.k * max(n, SHORT), 1e-300))
+
     def segments(self, ws: list[bytes]) -> list[tuple[int, int, float]]:
         """Maximal segments with their scores."""
-        get, gate, n = self.score.get, self.gate, PREFIXES[0]
-        hits = [(i, s) for i, w in enumerate(ws)
-                if (w in self.score or w[:n] in gate) and (s := (get(w) if w in self.score else self.word_score(w))) is not None]
+        score, gate, n = self.score, self.gate, PREFIXES[0]
+        seen: set[bytes] = set()
+        hits = []
+        for i, w in enumerate(ws):
+            if (w in score or w[:n] in gate) and w not in seen and (s := self.word_score(w)) is not None:
+                seen.add(w)                                      # a repeated word is no new evidence
+                hits.append((i, s))
         return maximal_segments(hits, DRIFT)
 
     def evidence(self, ws: list[bytes]) -> tuple[float, float, int, list[tuple[int, int, float]]]:
@@ -95,7 +104,7 @@ class ToxicModel:
         segs = self.segments(ws)
         if not segs:
             return 0.0, 0.0, 0, segs
-        rarity = [self.lam * s - math.log(max(self.k * len(ws), 1e-300)) for _, _, s in segs]
+        rarity = [self.lam * s - self.chance(len(ws)) for _, _, s in segs]
         good = [r for r in rarity if r > 0]
         return max(0.0, max(rarity)), sum(good), len(good), segs
 
@@ -124,59 +133,79 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(True))
 
 
+def _log_odds(docs: np.ndarray, toxic: np.ndarray, n: int, n1: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-odds under the Dirichlet prior, their standard error, and the smoothed count outside toxic documents."""
+    prior = PRIOR_DOCS * docs / n + PRIOR_EACH
+    y1, y0 = toxic + prior, docs - toxic + prior
+    return np.log(y1 / n1) - np.log(y0 / (n - n1)), np.sqrt(1 / y1 + 1 / y0), y0
+
+
+def _model(tokens: list[bytes], docs: np.ndarray, toxic: np.ndarray, n: int, n1: int, mean_words: float) -> ToxicModel:
+    if not n1 or n1 == n:
+        return ToxicModel({}, frozenset())
+    odds, error, other = _log_odds(docs, toxic, n, n1)
+    sure = np.sign(odds) * np.maximum(np.abs(odds) - error, 0)   # one standard error towards zero
+    keep = np.flatnonzero((np.abs(odds) >= SIGNIFICANT * error) & (np.abs(sure) >= LEAST_ODDS))
+    keep = keep[np.argsort(-np.abs(odds / error)[keep], kind="stable")][:MAX_TOKENS]
+    score = {tokens[i]: float(sure[i]) for i in keep}
+    lam, k = _extreme_value(sure[keep], other[keep] / (n - n1) / mean_words)
+    return ToxicModel(score, frozenset(t[:PREFIXES[0]] for t in score if t.endswith(b"*")), lam, k)
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> ToxicModel:
     """Fit on at most ``max_labelled`` labelled documents outside the held-out fold, chosen by a hash of the id.
 
-    Repeated labels of a document count as its highest toxicity; null ids and
-    labels are left out.  Without both classes the model is the smoothed share.
+    Token scores of one half (halves by a hash of the text) rate the other half,
+    and these honest ratings fit the link to a probability; the final token
+    scores use both halves.  Repeated labels of a document count as its highest
+    toxicity; null ids and labels are left out.  Without both classes the model
+    is the smoothed share of toxic labels.
     """
     order = F.xxhash64("doc_id")
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
              .orderBy(order, "doc_id").limit(max_labelled))
-    picked = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")                  # at most max_labelled rows
-    sizes = {r["y"]: r["n"] for r in picked.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n1 or not n0:
-        return ToxicModel({}, frozenset(), prior=n1 / (n0 + n1 + 1))
+    picked = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")                 # at most max_labelled rows
+              .select("y", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half"), "text"))
+    sizes = {(r["half"], r["y"]): r for r in picked.groupBy("half", "y").agg(
+        F.count("*").alias("n"), F.avg(F.length("text")).alias("c")).collect()}
+    n = [sum(r["n"] for (h, _), r in sizes.items() if h == half) for half in (0, 1)]
+    n1 = [sum(r["n"] for (h, y), r in sizes.items() if h == half and y == 1) for half in (0, 1)]
+    if not sum(n1) or sum(n1) == sum(n):
+        return ToxicModel({}, frozenset(), prior=sum(n1) / (sum(n) + 1))
+    mean_words = sum((r["c"] or 0) * r["n"] for r in sizes.values()) / sum(n) / 6 + 1
 
     def count(batches):
         for b in batches:
-            seen, toxic = Counter(), Counter()
-            for y, text in zip(b.column(0).to_pylist(), b.column(1)):
+            counts = [Counter() for _ in range(4)]               # documents and toxic documents of both halves
+            for y, half, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 tokens = {t for w in set(words(text.as_py())) for t in _tokens(w)}
-                seen.update(tokens)
+                counts[half].update(tokens)
                 if y == 1:
-                    toxic.update(tokens)
-            if seen:
-                keys = list(seen)
-                yield pa.RecordBatch.from_pydict({"token": pa.array(keys, pa.binary()), "docs": pa.array([seen[k] for k in keys], pa.int64()),
-                                                  "toxic": pa.array([toxic[k] for k in keys], pa.int64())})
-
-    n = n0 + n1
-    y1, y0 = F.col("toxic"), F.col("docs") - F.col("toxic")
-    a1, a0 = PRIOR * F.col("docs") * n1 / n, PRIOR * F.col("docs") * n0 / n
-    odds = F.ln((y1 + a1) / n1) - F.ln((y0 + a0) / n0)
-    table = (picked.select("y", "text").mapInArrow(count, "token binary, docs bigint, toxic bigint")
-             .groupBy("token").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic"))
-             .withColumn("odds", odds).withColumn("z", F.abs(odds) / F.sqrt(1 / (y1 + a1) + 1 / (y0 + a0)))
-             .where(F.col("z") >= SIGNIFICANT).orderBy(F.desc("z"), "token").limit(MAX_TOKENS).toArrow())
-    tokens, scores = table["token"].to_pylist(), table["odds"].to_numpy()
-    model = ToxicModel(dict(zip(tokens, scores.tolist())),
-                       frozenset(t[:PREFIXES[0]] for t in tokens if t.endswith(b"*")))
-    other = (table["docs"].to_numpy() - table["toxic"].to_numpy() + PRIOR * table["docs"].to_numpy() * n0 / n)
-    mean_words = (picked.where("y = 0").agg(F.avg(F.length("text")).alias("c")).first()["c"] or 1.0) / 6 + 1
-    model.lam, model.k = _extreme_value(scores, other / n0 / mean_words)
-
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+                    counts[2 + half].update(tokens)
+            if keys := list(counts[0].keys() | counts[1].keys()):
+                yield pa.RecordBatch.from_pydict({"token": pa.array(keys, pa.binary()), **{
+                    c: pa.array([k[t] for t in keys], pa.int64()) for c, k in zip(("d0", "d1", "t0", "t1"), counts)}})
+
+    # a token in fewer than six documents cannot be significant
+    table = (picked.mapInArrow(count, "token binary, d0 bigint, d1 bigint, t0 bigint, t1 bigint")
+             .groupBy("token").agg(*[F.sum(c).alias(c) for c in ("d0", "d1", "t0", "t1")])
+             .where("d0 + d1 >= 6 and t0 + t1 >= 3 or d0 + d1 >= 60")
+             .orderBy(F.desc(F.abs(F.col("t0") + F.col("t1") - (F.col("d0") + F.col("d1")) * (sum(n1) / sum(n)))
+                             / F.sqrt(F.col("d0") + F.col("d1"))), "token").limit(10 * MAX_TOKENS).toArrow())
+    tokens = table["token"].to_pylist()
+    d, t = ([table[f"{c}{half}"].to_numpy() for half in (0, 1)] for c in "dt")
+    model = _model(tokens, d[0] + d[1], t[0] + t[1], sum(n), sum(n1), mean_words)
+    raters = [_model(tokens, d[1 - h], t[1 - h], n[1 - h], n1[1 - h], mean_words) for h in (0, 1)]
+    shared = docs.sparkSession.sparkContext.broadcast(raters)
 
     def evidence(batches):
         for b in batches:
-            got = [shared.value.evidence(words(t.as_py())) for t in b.column(1)]
+            got = [shared.value[half].evidence(words(text.as_py())) for half, text in zip(b.column(1).to_pylist(), b.column(2))]
             yield pa.RecordBatch.from_pydict({"y": b.column(0), "best": pa.array([g[0] for g in got], pa.float64()),
                                               "total": pa.array([g[1] for g in got], pa.float64())})
 
-    seen = picked.select("y", "text").mapInArrow(evidence, "y int, best double, total double").toArrow()
+    seen = picked.mapInArrow(evidence, "y int, best double, total double").toArrow()
     x = np.log1p(np.c_[seen["best"].to_numpy(), seen["total"].to_numpy()])
     model.link = Logistic(ridge=0.1, balanced=False).fit(x, seen["y"].to_numpy().astype(np.int64))
     return model
@@ -206,7 +235,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
             top, everything, _, segs = model.evidence(ws)
             best.append(top)
             total.append(everything)
-            bar = math.log(max(model.k * len(ws), 1e-300)) / model.lam
+            bar = model.chance(len(ws)) / model.lam
             spans.append([{"first": a, "last": b, "score": s} for a, b, s in segs if s > bar])
         return pa.StructArray.from_arrays([pa.array(model.probability(np.array(best), np.array(total)), pa.float64()),
                                            pa.array(spans, kind)], names=["score", "passages"])
