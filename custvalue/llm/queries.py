@@ -10,6 +10,7 @@ from custvalue.llm.common import table
 from custvalue.llm.decontaminate import contamination
 from custvalue.llm.language import identify_languages
 from custvalue.llm.mixing import mix
+from custvalue.llm.pii import personal_data
 from custvalue.llm.quality import quality_scores
 from custvalue.llm.sharding import shard_documents
 from custvalue.llm.shards import training_records
@@ -96,3 +97,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by maximal scoring segments."""
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document."""
+    return personal_data(table(spark, sf_dir, "documents"))
