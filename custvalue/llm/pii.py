@@ -87,7 +87,7 @@ def _found(text: Column, pattern: str, gate: Column) -> Column:
     """array<struct<gap, before, hit, after>>: every match with the length of the gap before it and some context."""
     gaps = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.zip_with(F.zip_with(gaps, F.slice(gaps, 2, 2**31 - 1), lambda g, after: F.struct(
+    parts = F.zip_with(F.zip_with(gaps, F.slice(gaps, F.lit(2), F.size(gaps)), lambda g, after: F.struct(
         F.length(g).alias("gap"), F.right(g, F.lit(24)).alias("before"), F.left(after, F.lit(4)).alias("after"))), hits,
         lambda p, h: F.struct(p["gap"].alias("gap"), p["before"].alias("before"), h.alias("hit"), p["after"].alias("after")))
     return F.when(gate, F.filter(parts, lambda p: p["hit"].isNotNull()))

@@ -15,6 +15,7 @@ from custvalue.llm.quality import quality_scores
 from custvalue.llm.sharding import shard_documents
 from custvalue.llm.shards import training_records
 from custvalue.llm.simhash import simhash_components
+from custvalue.llm.spotsigs import fingerprints
 from custvalue.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +104,9 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document."""
     return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SpotSigs fingerprint of every document and of its edited text."""
+    return fingerprints(table(spark, sf_dir, "documents"))
