@@ -26,18 +26,19 @@ def _unit(*cols) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / float(1 << 53)
 
 
-def propagate(nodes: DataFrame, edges: DataFrame, others: dict[int, int], shards: int,
+def propagate(nodes: DataFrame, edges: DataFrame, free: int, shards: int,
               rounds: int = MOVE_ROUNDS, slack: float = SLACK) -> DataFrame:
     """(id, label) of the linked ``nodes(id, label)`` after ``rounds`` of quota-bound moves.
 
-    ``edges(src, dst)`` join ids of ``nodes``; ``others`` counts the rows per
-    shard that have no link.  A round is two joins and mergeable counts; only a
+    ``edges(src, dst)`` join ids of ``nodes``.  ``free`` counts rows without a
+    link: they can fill any shard afterwards, so linked rows may take up a whole
+    even share; with few free rows a shard may exceed it by ``slack``.  A round is two joins and mergeable counts; only a
     table of at most ``shards`` squared rows is collected.
     """
     both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
     labels = cut(nodes.select("id", "label"))
-    size = labels.count() + sum(others.values())
-    cap = (1 + slack) * size / shards
+    size = labels.count() + free
+    cap = size / shards * (1 if free >= slack * size else 1 + slack)
     for turn in range(rounds):
         votes = (both.join(labels.select(F.col("id").alias("dst"), "label"), "dst")
                  .groupBy(F.col("src").alias("id"), "label").agg(F.count("*").alias("n")))
@@ -54,7 +55,7 @@ def propagate(nodes: DataFrame, edges: DataFrame, others: dict[int, int], shards
         for (i, j), n in sorted(flow.items()):
             swap = min(n, flow.get((j, i), 0))
             want = sum(m - min(m, flow.get((j, a), 0)) for (a, b), m in flow.items() if b == j)
-            room = max(0.0, cap - held.get(j, 0) - others.get(j, 0))
+            room = max(0.0, cap - held.get(j, 0))
             extra = (n - swap) * min(1.0, room / want) if want else 0.0
             grants.append((i, j, (swap + extra) / n))
         quota = labels.sparkSession.createDataFrame(grants, "label int, `to` int, part double")
@@ -92,14 +93,14 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = MOVE_RO
     start = F.pmod(F.xxhash64("doc_id", "key", F.when(F.col("n").isNotNull(), F.col("rid"))), F.lit(shards)).cast("int")
     rows = written(rows.withColumn("label", start), "shard-start")
     linked = rows.where("n is not null")
-    others = {r["label"]: r["n"] for r in rows.where("n is null").groupBy("label").agg(F.count("*").alias("n")).collect()}
+    free = rows.where("n is null").count()
     labels = propagate(linked.select(F.col("rid").alias("id"), "label"),
                        linked.where("rid != hub").select(F.col("rid").alias("src"), F.col("hub").alias("dst")),
-                       others, shards, rounds)
+                       free, shards, rounds)
     rows = (rows.join(labels.select(F.col("id").alias("rid"), F.col("label").alias("moved")), "rid", "left")
             .withColumn("label", F.coalesce("moved", "label")).drop("moved"))
 
-    total = sum(others.values()) + labels.count()
+    total = free + labels.count()
     buckets = max(1, -(-total // bucket_rows))
     klass = F.when(F.col("n").isNull(), 2).when(F.col("n") > whole_group, 1).otherwise(0)
     spread = F.pmod(F.when(F.col("n") <= whole_group, F.xxhash64("key")).otherwise(F.xxhash64("doc_id", "key", F.col("rid") % 64)),
