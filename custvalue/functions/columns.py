@@ -97,27 +97,51 @@ def to_int_truncating(c: str | Column) -> Column:
     return col_(c).try_cast("double").try_cast("int")
 
 
-PRICE_SCALE = 10_000   # money is summed exactly in integer units of 1/10000
+PRICE_SCALE = 10_000       # money is summed exactly in integer units of 1/10000 ...
+FINE_SCALE = 1_000_000     # ... and what a price has beyond them in units of 1/10^10
+PRICE_LIMIT, LINE_LIMIT = 1e9, 1e14   # beyond these a price or line is no money: quarantine
 
+_UNITS = f"CAST(round(UnitPrice * {PRICE_SCALE}.0) AS BIGINT)"
+_FINE = f"CAST(round((UnitPrice * {PRICE_SCALE}.0 - round(UnitPrice * {PRICE_SCALE}.0)) * {FINE_SCALE}.0) AS BIGINT)"
+REVENUE_UNITS_SQL = f"CAST(Quantity AS BIGINT) * {_UNITS}"
+REVENUE_FINE_SQL = f"CAST(Quantity AS BIGINT) * {_FINE}"
 
-def revenue_units(qty: str | Column, price: str | Column) -> Column:
-    """Exact line revenue in integer units of 1/10000 (bigint).
 
-    Quantity times the price rounded to 4 decimals, as a long: sums are exact,
-    order-free and stay in primitive codegen'd aggregation (a wide decimal
-    sum falls back to BigDecimal objects).  Overflow raises under ANSI.
+def money_ok(qty: str | Column, price: str | Column) -> Column:
+    """Whether price and line value are numbers that money arithmetic can carry
+    (false for null, NaN, infinity)."""
+    p = col_(price)
+    return F.coalesce((F.abs(p) < F.lit(PRICE_LIMIT))
+                      & (F.abs(col_(qty).cast("double") * p) < F.lit(LINE_LIMIT)), F.lit(False))
+
+
+def money_sql(units: str, fine: str) -> str:
+    """Both sums -> double.  Without a fine part the quotient is the correctly
+    rounded value of the exact decimal amount."""
+    return (f"(CAST({units} AS DOUBLE) / {PRICE_SCALE}.0 "
+            f"+ CAST({fine} AS DOUBLE) / {PRICE_SCALE * FINE_SCALE}.0)")
+
+
+def revenue_sum() -> Column:
+    """Exact, order-free revenue of a group of lines with Quantity and UnitPrice.
+
+    Two bigint sums stay in primitive codegen'd aggregation (a wide decimal
+    sum falls back to BigDecimal objects) and keep ten decimals of a price.
     """
-    return col_(qty).cast("bigint") * F.round(col_(price) * F.lit(float(PRICE_SCALE))).cast("bigint")
+    return F.expr(money_sql(f"sum({REVENUE_UNITS_SQL})", f"sum({REVENUE_FINE_SQL})"))
 
 
-REVENUE_UNITS_SQL = (f"CAST(Quantity AS BIGINT) * CAST(round(UnitPrice * {PRICE_SCALE}.0) "
-                     f"AS BIGINT)")
+def line_revenue() -> Column:
+    """Revenue of one line: the exact decimal product, or the plain product
+    where the price has more than four decimals."""
+    return F.expr(f"CASE WHEN {_FINE} = 0 THEN CAST({REVENUE_UNITS_SQL} AS DOUBLE) / {PRICE_SCALE}.0 "
+                  f"ELSE Quantity * UnitPrice END")
 
 
-def units_to_money(units: str | Column) -> Column:
-    """Integer units -> double.  Both operands are exact, so the quotient is
-    the correctly rounded value of the exact decimal amount."""
-    return col_(units).cast("double") / F.lit(float(PRICE_SCALE))
+def normal_id(c: str | Column) -> Column:
+    """A customer id as text; a numeric id loses its fraction of zeros
+    (``17850.0`` and ``17850`` are one customer), other text stays."""
+    return F.regexp_replace(col_(c).cast("string"), r"^(-?[0-9]+)\.0*$", "$1")
 
 
 def hash_bucket(key: str | Column, buckets: int = 100) -> Column:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import (DATE_FORMAT, WEEKEND_DAYS, epoch_seconds,
-                                 parse_invoice_ts, revenue_units, to_int_truncating,
-                                 units_to_money, weekend_flag)
+                                 line_revenue, money_ok, parse_invoice_ts, to_int_truncating,
+                                 weekend_flag)
 from ..schemas import LINE_COLUMNS
 
 # Fixed values (they must equal the source system's):
@@ -65,9 +65,10 @@ def clean_lines(df: DataFrame, weekend_days=WEEKEND_DAYS,
 
     Quantity is truncated to int, UnitPrice kept as double, the date parsed
     (ISO ``T`` accepted), and Revenue = Quantity x UnitPrice.  Rows whose date
-    or numbers do not parse are dropped (``clean_counts`` reports them);
-    ``drop_unparsed=False`` keeps them with null time parts, as the source
-    system did.
+    or numbers do not parse, or whose price is out of range, are dropped
+    (``clean_counts`` counts them, ``unclean_lines`` returns them);
+    ``drop_unparsed=False`` keeps them with null time parts and null revenue,
+    as the source system did.  Further columns pass through.
     """
     ts = parse_invoice_ts("InvoiceDate")
     qty = to_int_truncating("Quantity")
@@ -76,16 +77,25 @@ def clean_lines(df: DataFrame, weekend_days=WEEKEND_DAYS,
         "InvoiceNo", "StockCode", "Description",
         qty.alias("Quantity"), price.alias("UnitPrice"),
         "CustomerID", "Country", ts.alias("invoice_ts"),
-        *[c for c in df.columns if c.startswith("l_")])
+        *[c for c in df.columns if c not in (*CLEAN_COLUMNS, "InvoiceDate")])
     if drop_unparsed:
         out = out.filter(F.col("invoice_ts").isNotNull() & F.col("Quantity").isNotNull()
-                         & F.col("UnitPrice").isNotNull())
+                         & money_ok("Quantity", "UnitPrice"))
     out = time_parts(out, "invoice_ts", weekend_days)
     return out.select(
         *[c for c in out.columns if c not in ("hour", "dayofweek", "weekend")],
         epoch_seconds("invoice_ts").alias("invoice_epoch"),
         "hour", "dayofweek", "weekend",
-        units_to_money(revenue_units("Quantity", "UnitPrice")).alias("Revenue"))
+        F.when(money_ok("Quantity", "UnitPrice"), line_revenue()).alias("Revenue"))
+
+
+def unclean_lines(df: DataFrame) -> DataFrame:
+    """Quarantine of ``clean_lines``: the rows it drops, unchanged, with a reason."""
+    reason = (F.when(F.col("InvoiceDate").isNull() | F.col("Quantity").isNull() | F.col("UnitPrice").isNull(), "incomplete")
+               .when(parse_invoice_ts("InvoiceDate").isNull(), "invalid date")
+               .when(to_int_truncating("Quantity").isNull(), "invalid quantity")
+               .when(~money_ok(to_int_truncating("Quantity"), F.col("UnitPrice").try_cast("double")), "invalid price"))
+    return df.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 def normalise_lines(df: DataFrame) -> DataFrame:

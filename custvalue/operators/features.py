@@ -14,9 +14,9 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (HOURS, PRICE_SCALE, REVENUE_UNITS_SQL, WEEKDAYS,
-                                 count_parts, median_from_counts,
-                                 median_sql, revenue_units, units_to_money)
+from ..functions.columns import (HOURS, REVENUE_FINE_SQL, REVENUE_UNITS_SQL, WEEKDAYS,
+                                 count_parts, median_from_counts, median_sql, money_sql,
+                                 revenue_sum)
 
 # Aggregate-buffer columns of the two exact medians.
 _MEDIAN_PARTS = [c for c in ([f"_h{v}" for v in HOURS] + [f"_d{v}" for v in WEEKDAYS])]
@@ -52,6 +52,7 @@ def _feature_parts(ref_date=None, when: str | None = None) -> list[Column]:
 
     parts = [
         f"sum({on(REVENUE_UNITS_SQL)}) AS _rev",
+        f"sum({on(REVENUE_FINE_SQL)}) AS _rev_fine",
         f"min({on('to_date(invoice_ts)')}) AS _first",
         f"max({on('to_date(invoice_ts)')}) AS _last",
         f"count({on('InvoiceNo')}) AS frequency",
@@ -76,7 +77,7 @@ def _finish(parts: DataFrame, ref_date, key: str, extra: list[str] = ()) -> Data
     """Turn the aggregate parts into the eleven features (null -> 0), in one
     projection."""
     d = _date_sql(ref_date)
-    rev = f"(CAST(_rev AS DOUBLE) / {PRICE_SCALE}.0)"
+    rev = money_sql("_rev", "_rev_fine")
     freq = "CAST(frequency AS DOUBLE)"
     t = f"datediff({d}, _first)"
     exprs = [
@@ -111,6 +112,13 @@ def customer_features(lines: DataFrame, ref_date="2011-06-11",
     return _finish(parts, ref_date, key)
 
 
+def merge_feature_parts(parts: DataFrame, key: str = "CustomerID") -> DataFrame:
+    """Combine partial rows of ``_feature_parts`` (several per customer) into one
+    each: counts and sums add up, first and last days are the extremes."""
+    best = {"_first": F.min, "_last": F.max}
+    return parts.groupBy(key).agg(*[best.get(c, F.sum)(c).alias(c) for c in parts.columns if c != key])
+
+
 def customer_medians(lines: DataFrame, key: str = "CustomerID") -> DataFrame:
     """A9/A10 on their own: median hour and weekday per customer.
 
@@ -151,8 +159,7 @@ def features_by_joins(lines: DataFrame, ref_date="2011-06-11",
     src = lines.filter(F.col(key).isNotNull())
     day = F.to_date("invoice_ts")
     g = src.groupBy(key)
-    total = g.agg(units_to_money(F.sum(revenue_units("Quantity", "UnitPrice")))
-                  .alias("total_revenue"))
+    total = g.agg(revenue_sum().alias("total_revenue"))
     recency = g.agg(F.datediff(F.max(day), F.min(day)).alias("recency"))
     freq = g.agg(F.count("InvoiceNo").alias("frequency"))
     t = g.agg(F.datediff(_date(ref_date), F.min(day)).alias("t"))
@@ -177,8 +184,7 @@ def features_by_joins(lines: DataFrame, ref_date="2011-06-11",
 def target_revenue(lines: DataFrame, key: str = "CustomerID") -> DataFrame:
     """target_rev = sum(Revenue) per customer."""
     return (lines.filter(F.col(key).isNotNull()).groupBy(key)
-                 .agg(units_to_money(F.sum(revenue_units("Quantity", "UnitPrice")))
-                      .alias("target_rev")))
+                 .agg(revenue_sum().alias("target_rev")))
 
 
 def features_with_target(lines: DataFrame, ref_date="2011-06-11",
@@ -201,18 +207,19 @@ def features_with_target(lines: DataFrame, ref_date="2011-06-11",
     parts = (lines.filter(F.col(key).isNotNull()).groupBy(key)
                   .agg(*_feature_parts(ref_date, when=f"invoice_ts < {cut}"),
                        F.expr(f"sum(CASE WHEN invoice_ts >= {cut} THEN {REVENUE_UNITS_SQL} END)")
-                       .alias("_target"))
+                       .alias("_target"),
+                       F.expr(f"sum(CASE WHEN invoice_ts >= {cut} THEN {REVENUE_FINE_SQL} END)")
+                       .alias("_target_fine"))
                   .filter(F.col("_n") > 0))
     feats = _finish(parts, ref_date, key, extra=[
-        f"coalesce(CAST(_target AS DOUBLE) / {PRICE_SCALE}.0, 0.0) AS target_rev"])
+        f"coalesce({money_sql('_target', '_target_fine')}, 0.0) AS target_rev"])
     return feats
 
 
 def invoice_totals(lines: DataFrame) -> DataFrame:
     """Total value per invoice."""
     return (lines.groupBy("InvoiceNo")
-                 .agg(units_to_money(F.sum(revenue_units("Quantity", "UnitPrice")))
-                      .alias("TotalValue")))
+                 .agg(revenue_sum().alias("TotalValue")))
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -251,20 +258,23 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
 def clean_counts(raw: DataFrame) -> DataFrame:
     """Row counts through the cleaning steps, one pass.
 
-    rows_in; after dropping incomplete rows; with an unparseable date
-    (quarantined); kept by ``clean_lines``; kept by the notebook filter.
+    rows_in; after dropping incomplete rows; with an unparseable date; with a
+    price out of range (both quarantined); kept by ``clean_lines``; kept by the
+    notebook filter.
     """
-    from ..functions.columns import parse_invoice_ts, to_int_truncating
+    from ..functions.columns import money_ok, parse_invoice_ts, to_int_truncating
     complete = (F.col("InvoiceDate").isNotNull() & F.col("Quantity").isNotNull()
                 & F.col("UnitPrice").isNotNull())
     parsed = parse_invoice_ts("InvoiceDate").isNotNull()
     qty = to_int_truncating("Quantity")
-    kept = complete & parsed & qty.isNotNull()
+    priced = money_ok(qty, F.col("UnitPrice").try_cast("double"))
+    kept = complete & parsed & qty.isNotNull() & priced
     nb = (F.col("CustomerID").isNotNull() & (F.col("UnitPrice") > 0) & (F.col("Quantity") > 0))
     return raw.agg(
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(complete).alias("rows_complete"),
         F.count_if(complete & ~parsed).alias("rows_bad_date"),
+        F.count_if(complete & parsed & qty.isNotNull() & ~priced).alias("rows_bad_price"),
         F.count_if(kept).alias("rows_clean"),
         F.count_if(F.coalesce(nb, F.lit(False))).alias("rows_notebook"))
 
@@ -281,12 +291,12 @@ def window_features(lines: DataFrame, window: str = "30 days",
     """
     w = F.window(F.col(ts), window)
     g = (lines.filter(F.col(key).isNotNull()).groupBy(w.alias("w"), key)
-              .agg(F.sum(revenue_units("Quantity", "UnitPrice")).alias("_rev"),
+              .agg(revenue_sum().alias("total_revenue"),
                    F.count("InvoiceNo").alias("frequency"),
                    F.count(F.when(F.col("Revenue") < 0, 1)).alias("num_returns"),
                    *count_parts("hour", HOURS, "_h"), *count_parts("dayofweek", WEEKDAYS, "_d"),
                    F.max(ts).alias("last_ts")))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    key, units_to_money("_rev").alias("total_revenue"), "frequency",
+                    key, "total_revenue", "frequency",
                     "num_returns", *median_columns(), "last_ts",
                     F.datediff(F.to_date("w.end"), F.to_date("last_ts")).alias("recency"))

@@ -12,13 +12,16 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.columns import hash_bucket
 from ..schemas import FEATURE_COLUMNS
 
-MODEL_PREFIX = "CLV_V"          # registry folder names: CLV_V1, CLV_V2, ...
+# Fixed value of the registry (it must equal the source system's):
+MODEL_PREFIX = "CLV_V"          # folder names CLV_V1, CLV_V2, ...
 _VERSION = re.compile(r"^CLV_V(\d+)$")
 
 
@@ -26,7 +29,7 @@ def value_pipeline(feature_cols=FEATURE_COLUMNS, label_col: str = "target_rev",
                    kind: str = "linear"):
     """U8 + U3: assemble features, standardise, regress."""
     assembler = VectorAssembler(inputCols=list(feature_cols), outputCol="features_raw",
-                                handleInvalid="skip")
+                                handleInvalid="error")
     scaler = StandardScaler(inputCol="features_raw", outputCol="features",
                             withMean=True, withStd=True)
     if kind == "gbt":
@@ -38,19 +41,34 @@ def value_pipeline(feature_cols=FEATURE_COLUMNS, label_col: str = "target_rev",
 
 def fit_value_model(train: DataFrame, feature_cols=FEATURE_COLUMNS,
                     label_col: str = "target_rev", kind: str = "linear",
-                    train_ratio: float = 0.8, seed: int = 42) -> PipelineModel:
+                    train_ratio: float = 0.8, key: str = "CustomerID") -> PipelineModel:
     """Fit with an 80/20 train/validation split, MSE as the selection
-    metric, over a small parameter grid; returns the best pipeline."""
+    metric, over a small parameter grid; returns the best pipeline, fitted on
+    all of ``train``.
+
+    The split is a hash of ``key``, so it does not depend on partitioning.
+    Missing features count as 0, as in the feature vector itself.
+    """
     pipe, reg = value_pipeline(feature_cols, label_col, kind)
     if kind == "gbt":
         grid = ParamGridBuilder().addGrid(reg.maxDepth, [3, 5]).build()
     else:
         grid = ParamGridBuilder().addGrid(reg.regParam, [0.0, 0.1]).build()
-    tvs = TrainValidationSplit(
-        estimator=pipe, estimatorParamMaps=grid, trainRatio=train_ratio, seed=seed,
-        evaluator=RegressionEvaluator(labelCol=label_col, metricName="mse"))
-    with _persisted(train) as t:
-        return tvs.fit(t).bestModel
+    mse = RegressionEvaluator(labelCol=label_col, metricName="mse")
+    inner = hash_bucket(F.concat(F.lit("validation-"), F.col(key).cast("string")), 100) < int(100 * train_ratio)
+    with _persisted(known_features(train, feature_cols)) as t:
+        fit_on, check_on = t.filter(inner), t.filter(~inner)
+        if check_on.isEmpty() or fit_on.isEmpty():
+            return pipe.fit(t)
+        best = min(grid, key=lambda params: mse.evaluate(pipe.fit(fit_on, params).transform(check_on)))
+        return pipe.fit(t, best)
+
+
+def known_features(df: DataFrame, feature_cols=FEATURE_COLUMNS) -> DataFrame:
+    """Null and NaN features become 0, so that every row is scored."""
+    here = [c for c in feature_cols if c in df.columns]
+    doubles = {c for c, t in df.dtypes if t in ("double", "float")}
+    return df.withColumns({c: F.coalesce(F.nanvl(F.col(c), F.lit(0.0)) if c in doubles else F.col(c), F.lit(0)) for c in here})
 
 
 class _persisted:
@@ -72,12 +90,10 @@ class _persisted:
 
 def evaluate(pred: DataFrame, label_col: str = "target_rev",
              pred_col: str = "prediction") -> dict:
-    """MAE, MSE, RMSE of a prediction frame (three small aggregations)."""
-    out = {}
-    for m in ("mae", "mse", "rmse"):
-        out[m] = RegressionEvaluator(labelCol=label_col, predictionCol=pred_col,
-                                     metricName=m).evaluate(pred)
-    return out
+    """MAE, MSE, RMSE of a prediction frame, in one aggregation."""
+    e = F.col(pred_col) - F.col(label_col)
+    r = pred.agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse")).first()
+    return {"mae": r["mae"], "mse": r["mse"], "rmse": None if r["mse"] is None else r["mse"] ** 0.5}
 
 
 # ---- U4: versioned model registry ------------------------------------------
@@ -135,7 +151,7 @@ def update_model(spark: SparkSession, model_dir: str, train: DataFrame,
         for p in ("regParam", "elasticNetParam", "maxDepth", "maxIter"):
             if reg_prev.hasParam(p) and reg_new.hasParam(p) and reg_prev.isSet(p):
                 reg_new.set(reg_new.getParam(p), reg_prev.getOrDefault(p))
-        with _persisted(train) as t:
+        with _persisted(known_features(train, feature_cols)) as t:
             model = est.fit(t)
     return save_model_version(spark, model, model_dir)
 

@@ -22,9 +22,14 @@ def parse_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
     return df.select(*keep, F.from_json(text, schema).alias("data")).select(*keep, "data.*")
 
 
-def explode_items(invoices: DataFrame) -> DataFrame:
-    """One row per item; invoices with null or empty Items vanish."""
-    return invoices.select(*INVOICE_KEYS, F.inline("Items"))
+def explode_items(invoices: DataFrame, position: str | None = None) -> DataFrame:
+    """One row per item; invoices with null or empty Items vanish.
+
+    ``position`` names a further column with the item's place in its invoice."""
+    if position is None:
+        return invoices.select(*INVOICE_KEYS, F.inline("Items"))
+    return (invoices.select(*INVOICE_KEYS, F.posexplode("Items").alias(position, "_item"))
+                    .select(*INVOICE_KEYS, "_item.*", position))
 
 
 def nest_invoices(lines: DataFrame, max_items: int | None = None) -> DataFrame:
@@ -93,14 +98,21 @@ def ingest_invoices(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.withColumn("is_valid", F.coalesce(ok, F.lit(False)))
 
 
+def ingest_reason():
+    """Why a record of ``ingest_invoices`` is not valid (null when it is)."""
+    return F.when(~F.col("is_valid"),
+                  F.when(F.col(CORRUPT_COL).isNotNull(), "unparseable")
+                   .when(F.col("InvoiceNo").isNull(), "missing InvoiceNo")
+                   .when(F.col("CustomerID").isNull(), "missing CustomerID")
+                   .when(F.col("InvoiceDate").isNull(), "missing InvoiceDate")
+                   .when(F.col("Country").isNull(), "missing Country")
+                   .when(F.col("Items").isNull() | (F.size("Items") == 0), "no items")
+                   .otherwise("invalid item"))
+
+
 def split_ingest(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """(valid invoices, quarantine rows with the raw text and a reason)."""
     marked = ingest_invoices(raw, value_col)
     valid = marked.filter("is_valid").select(*INVOICE.fieldNames())
-    reason = (F.when(F.col(CORRUPT_COL).isNotNull(), "unparseable")
-               .when(F.col("CustomerID").isNull(), "missing CustomerID")
-               .when(F.col("InvoiceDate").isNull(), "missing InvoiceDate")
-               .when(F.col("Items").isNull() | (F.size("Items") == 0), "no items")
-               .otherwise("invalid item"))
-    quarantine = marked.filter(~F.col("is_valid")).select("InvoiceNo", "raw", reason.alias("reason"))
+    quarantine = marked.filter(~F.col("is_valid")).select("InvoiceNo", "raw", ingest_reason().alias("reason"))
     return valid, quarantine

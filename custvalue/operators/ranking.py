@@ -51,7 +51,7 @@ def rank_change(previous: DataFrame, current: DataFrame, key: str = "key",
 
 def clv_by_day(feed: DataFrame, ts: str = "ts", value: str = "clv") -> DataFrame:
     """The prediction line series, one point per day (count, sum, mean, max)."""
-    d = F.col(value).cast("decimal(18,4)")
+    d = F.col(value).cast("decimal(28,10)")
     g = feed.groupBy(F.to_date(ts).alias("day")).agg(
         F.count(value).alias("n_scores"), F.sum(d).alias("_s"), F.max(value).alias("clv_max"))
     return g.select("day", "n_scores", F.col("_s").cast("double").alias("clv_total"),
@@ -70,10 +70,7 @@ def serving_view(entities: DataFrame, scores: DataFrame, key: str = "key",
 
 def prediction_feed(scores: DataFrame, key: str = "CustomerID",
                     value: str = "CLV_Prediction") -> DataFrame:
-    """The {key, clv} message emitted after each upsert."""
-    from .scoring import cents, money_value
-    exact = cents(value).cast("decimal(20,0)") * F.lit(0.01).cast("decimal(3,2)")
-    msg = F.struct(F.col(key).cast("string").alias("key"), exact.alias("clv"))
-    return scores.select(F.col(key).cast("string").alias("key"),
-                         money_value(value).alias("clv"),
+    """The {key, clv} message emitted after each upsert, the score in full."""
+    msg = F.struct(F.col(key).cast("string").alias("key"), F.col(value).alias("clv"))
+    return scores.select(F.col(key).cast("string").alias("key"), F.col(value).alias("clv"),
                          F.to_json(msg).alias("value"))

@@ -19,7 +19,7 @@ SCORE_WEIGHTS = [
     ("purchase_weekend_prop", 10.0),
 ]
 
-# Cells of the wide-column row (family ``cf``), written as text.
+# Cells of the wide-column row (family ``cf``), written as text.
 KV_CELLS = ["Quantity", "UnitPrice", "InvoiceDate", "hour", "dayofweek", "weekend",
             "Revenue", "CLV_Prediction"]
 
@@ -42,7 +42,8 @@ def score_features(features: DataFrame, model=None, key: str = "CustomerID",
     """
     if model is None:
         return features.select(key, linear_score().alias(out_col))
-    return model.transform(features).select(key, F.col("prediction").alias(out_col))
+    from .model import known_features
+    return model.transform(known_features(features)).select(key, F.col("prediction").alias(out_col))
 
 
 SALTS = 8   # default split of every customer's lines in the score join
@@ -111,29 +112,35 @@ def money_value(c: str | Column) -> Column:
 
 def _text(c: str) -> Column:
     col = F.col(c)
-    if c in ("UnitPrice", "Revenue", "CLV_Prediction"):
-        return money_text(c)
     if c == "InvoiceDate":
         return datetime_text(from_epoch_seconds("invoice_epoch"), "T")
     return col.cast("string")
 
 
+def row_key() -> Column:
+    """``{InvoiceNo}-{CustomerID}``; a missing part is empty text, so that two
+    rows share a key only if both parts agree."""
+    return F.concat(F.coalesce("InvoiceNo", F.lit("")), F.lit("-"), F.coalesce("CustomerID", F.lit("")))
+
+
 def kv_rows(scored: DataFrame, cells=KV_CELLS) -> DataFrame:
     """K4: row key ``{InvoiceNo}-{CustomerID}`` plus every cell as text.
 
-    The key stays a string (no int() normalisation, so non-numeric invoice
-    numbers are kept)."""
-    return scored.select(
-        F.concat_ws("-", "InvoiceNo", "CustomerID").alias("rowkey"),
-        *[_text(c).alias(f"cf_{c}") for c in cells])
+    Numbers are written in full, not rounded.  The key stays a string (no int()
+    normalisation, so non-numeric invoice numbers are kept)."""
+    return scored.select(row_key().alias("rowkey"), *[_text(c).alias(f"cf_{c}") for c in cells])
 
 
-def kv_upsert_latest(rows: DataFrame, key: str = "rowkey") -> DataFrame:
-    """K3: one row per key, the last write winning.
+def kv_upsert_latest(scored: DataFrame, cells=KV_CELLS, position: str = "item_pos") -> DataFrame:
+    """K3: one wide-column row per key, the last put winning.
 
-    "Last" is a total order over the cells (the source system's winner was
-    whatever row came last); ``max_by``-style ``max(struct)`` aggregates
-    map-side, so hot keys are pre-combined."""
-    rest = [c for c in rows.columns if c != key]
-    return (rows.groupBy(key).agg(F.max(F.struct(*rest)).alias("_s"))
-                .select(key, *[F.col(f"_s.{c}").alias(c) for c in rest]))
+    Puts arrive in the order of the invoices' time and, within an invoice, of
+    its items (``position``, from ``explode_items``).  The order is one bigint and
+    the cells are still numbers here, so ``max_by`` runs as a hash aggregation
+    with map-side combine; only the surviving rows are formatted as text.
+    """
+    order = F.col("invoice_epoch").cast("bigint") * F.lit(1 << 31) + F.col(position).cast("bigint")
+    cols = list(dict.fromkeys([c for c in cells if c != "InvoiceDate"] + ["invoice_epoch"]))
+    last = (scored.withColumn("_o", order).groupBy("InvoiceNo", "CustomerID")
+                  .agg(*[F.max_by(c, "_o").alias(c) for c in cols]))
+    return kv_rows(last, cells)

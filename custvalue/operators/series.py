@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +26,18 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 80,
 def hash_sample(df: DataFrame, key: str, n: int = 10_000) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, repeatable: smallest md5(key).
 
-    Planned as TakeOrderedAndProject: each task keeps its n best rows, so at
-    most n rows per task reach the final merge.
+    Counts per md5 prefix (at most 65,536 groups, combined map-side) give the
+    cut-off first; only rows up to it -- about n in all, wherever they lie --
+    are ordered.  Without it every task would send its own n best rows.
     """
-    return df.orderBy(md5_rank_key(key), F.col(key)).limit(n)
+    prefix = F.conv(F.substring(md5_rank_key(key), 1, 4), 16, 10).cast("int")
+    counts = df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c")).orderBy("p").collect()
+    seen, last = 0, 1 << 16
+    for r in counts:
+        seen, last = seen + r["c"], r["p"]
+        if seen >= n:
+            break
+    return df.filter(prefix <= last).orderBy(md5_rank_key(key), F.col(key)).limit(n)
 
 
 def sequential_split(series: DataFrame, order: list, train: float = 0.6,
@@ -81,23 +91,23 @@ def minmax_inverse(df: DataFrame, scaled_col: str, lo: float, hi: float,
     return df.withColumn(out_col, F.col(scaled_col) * F.lit(float(hi - lo)) + F.lit(float(lo)))
 
 
-ERROR_SCALE = 1000   # errors are summed exactly in integer units of 1/1000
+ERROR_BITS = 40      # errors are summed exactly in units of 2^-40 of the largest error
 
 
 def regression_metrics(df: DataFrame, pred_col: str, label_col: str) -> DataFrame:
     """MAE, MSE, RMSE (one row).
 
-    Each error is taken in integer units of 1/1000 (``round(e * 1000)``), so
-    the sums are exact and independent of row order and partitioning:
-    absolute errors as bigint, squares as decimal(38,0).  The metrics differ
-    from a plain double sum by at most half a unit per row, and agree bit for
-    bit across runs and engines.
+    Errors are scaled by the power of two that brings the largest one to about
+    2^40 (scaling is exact), rounded to integers and summed as decimals: the
+    sums do not depend on row order or partitioning, and keep twelve digits
+    below the largest error whatever its size.
     """
-    em = F.round((F.col(pred_col) - F.col(label_col)) * F.lit(float(ERROR_SCALE))).cast("bigint")
-    sq = em.cast("decimal(38,0)") * em.cast("decimal(38,0)")
-    m = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.abs(em)).alias("sae"),
-               F.sum(sq).alias("sse"))
+    e = F.abs(F.col(pred_col) - F.col(label_col))
+    top = df.agg(F.max(e).alias("top")).first()["top"]
+    scale = 2.0 ** (ERROR_BITS - math.ceil(math.log2(top))) if top else 1.0
+    em = F.round(e * F.lit(scale)).cast("decimal(19,0)")
+    m = df.agg(F.count(F.lit(1)).alias("n"), F.sum(em).alias("sae"), F.sum((em * em).cast("decimal(38,0)")).alias("sse"))
     n = F.col("n").cast("double")
-    mae = F.col("sae").cast("double") / (n * F.lit(float(ERROR_SCALE)))
-    mse = F.col("sse").cast("double") / (n * F.lit(float(ERROR_SCALE * ERROR_SCALE)))
+    mae = F.col("sae").cast("double") / (n * F.lit(scale))
+    mse = F.col("sse").cast("double") / (n * F.lit(scale * scale))
     return m.select("n", mae.alias("mae"), mse.alias("mse"), F.sqrt(mse).alias("rmse"))

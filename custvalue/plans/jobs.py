@@ -28,9 +28,10 @@ def train_job(spark: SparkSession, lines: DataFrame, model_dir: str,
     if jdbc:
         W.write_jdbc(C.drop_helpers(clean), mode="overwrite", **jdbc)
     ft = SE.hash_split(FE.features_with_target(clean, ref_date, split_date), "CustomerID")
-    model = M.fit_value_model(ft.filter(F.col("split") == "train"), kind=kind)
-    path = M.save_model_version(spark, model, model_dir)
-    metrics = M.evaluate(model.transform(ft.filter(F.col("split") == "test")))
+    with M._persisted(ft) as ft:                 # one row per customer, read by fit and test
+        model = M.fit_value_model(ft.filter(F.col("split") == "train"), kind=kind)
+        path = M.save_model_version(spark, model, model_dir)
+        metrics = M.evaluate(model.transform(M.known_features(ft.filter(F.col("split") == "test"))))
     return {"model_path": path, **metrics}
 
 
@@ -62,17 +63,19 @@ def score_batch_job(spark: SparkSession, raw_json_path: str, out_path: str | Non
 
 
 def score_stream_job(spark: SparkSession, invoices_stream: DataFrame, out_path: str,
-                     checkpoint: str, ref_date="2011-06-11", available_now: bool = False):
-    """Streaming scoring (Kafka or file source of invoice JSON values)."""
+                     checkpoint: str, ref_date="2011-06-11", available_now: bool = False,
+                     model_dir: str | None = None):
+    """Streaming scoring (Kafka or file source of invoice JSON values), by the
+    latest model of ``model_dir`` if given."""
+    model = M.load_latest_model(spark, model_dir) if model_dir else None
     return ST.start_score_stream(ST.invoice_json(invoices_stream), out_path, checkpoint,
-                                 ref_date, available_now)
+                                 ref_date, available_now, model=model)
 
 
 def land_job(spark: SparkSession, invoices_stream: DataFrame, zone_path: str,
              checkpoint: str, available_now: bool = False):
     """Raw landing of invoice messages."""
-    return ST.start_landing_stream(ST.invoice_json(invoices_stream), zone_path, checkpoint,
-                                   available_now)
+    return ST.start_landing_stream(invoices_stream, zone_path, checkpoint, available_now)
 
 
 def build_events_job(raw_lines: DataFrame, out_path: str | None = None) -> DataFrame:
@@ -80,7 +83,8 @@ def build_events_job(raw_lines: DataFrame, out_path: str | None = None) -> DataF
     messages (key = InvoiceNo, value = JSON).  Written as text files when
     ``out_path`` is given (or hand the frame to ``write_kafka``)."""
     df = C.check_required_columns(raw_lines)
-    df = C.normalise_lines(C.fill_defaults(df))
+    # an anonymous line stays without a customer: filled, it would be one big customer
+    df = C.normalise_lines(C.fill_defaults(df.dropna(subset=["CustomerID"])))
     msgs = N.to_json_value(N.nest_invoices(df), key_col="InvoiceNo")
     if out_path:
         msgs.select("value").write.mode("overwrite").text(out_path)

@@ -274,11 +274,13 @@ flags AS (
   SELECT (InvoiceDate IS NOT NULL AND Quantity IS NOT NULL AND UnitPrice IS NOT NULL) AS complete,
          {_parse('InvoiceDate')} IS NOT NULL AS parsed,
          CAST(trunc(TRY_CAST(Quantity AS DOUBLE)) AS INTEGER) IS NOT NULL AS qty_ok,
+         coalesce(abs(UnitPrice) < 1e9 AND abs(Quantity * UnitPrice) < 1e14, false) AS money,
          coalesce(CustomerID IS NOT NULL AND UnitPrice > 0 AND Quantity > 0, false) AS nb
   FROM dirty_lines)
 SELECT COUNT(*) AS rows_in, count_if(complete) AS rows_complete,
        count_if(complete AND NOT parsed) AS rows_bad_date,
-       count_if(complete AND parsed AND qty_ok) AS rows_clean,
+       count_if(complete AND parsed AND qty_ok AND NOT money) AS rows_bad_price,
+       count_if(complete AND parsed AND qty_ok AND money) AS rows_clean,
        count_if(nb) AS rows_notebook
 FROM flags"""
 
@@ -345,14 +347,15 @@ target AS (
   FROM late WHERE CustomerID IS NOT NULL GROUP BY CustomerID),
 ft AS (SELECT f.*, coalesce(target_rev, 0.0) AS target_rev
        FROM feats f LEFT JOIN target g ON f.CustomerID = g.CustomerID)""" + f"""
-SELECT n, CAST(sae AS DOUBLE) / (CAST(n AS DOUBLE) * 1000.0) AS mae,
-       CAST(CAST(sse AS VARCHAR) AS DOUBLE) / (CAST(n AS DOUBLE) * 1000000.0) AS mse,
-       sqrt(CAST(CAST(sse AS VARCHAR) AS DOUBLE) / (CAST(n AS DOUBLE) * 1000000.0)) AS rmse
+SELECT n, CAST(sae AS DOUBLE) / (CAST(n AS DOUBLE) * scale) AS mae,
+       CAST(CAST(sse AS VARCHAR) AS DOUBLE) / (CAST(n AS DOUBLE) * (scale * scale)) AS mse,
+       sqrt(CAST(CAST(sse AS VARCHAR) AS DOUBLE) / (CAST(n AS DOUBLE) * (scale * scale))) AS rmse
 -- the exact 128-bit sum goes to double through its decimal text (correctly rounded)
-FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n, SUM(abs(em)) AS sae,
-             SUM(CAST(em AS HUGEINT) * CAST(em AS HUGEINT)) AS sse
-      FROM (SELECT CAST(round((pred - target_rev) * 1000.0) AS BIGINT) AS em
-            FROM (SELECT target_rev, {SCORE} AS pred FROM ft)))"""
+FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n, SUM(em) AS sae,
+             SUM(CAST(em AS HUGEINT) * CAST(em AS HUGEINT)) AS sse, max(scale) AS scale
+      FROM (SELECT CAST(round(e * scale) AS HUGEINT) AS em, scale
+            FROM (SELECT e, power(2.0, 40 - ceil(log2(max(e) OVER ()))) AS scale
+                  FROM (SELECT abs({SCORE} - target_rev) AS e FROM ft))))"""
 
 SCORED = FEATS + f""",
 scores AS (SELECT CustomerID, {SCORE} AS CLV_Prediction FROM feats),
@@ -366,21 +369,19 @@ SQL["scored_projection"] = SCORED + f"""
 SELECT Country, CustomerID, Description, {_ts_from_epoch('invoice_epoch')} AS InvoiceDate,
        InvoiceNo, Quantity, StockCode, UnitPrice, Revenue, CLV_Prediction FROM scored"""
 
-def _money(c: str) -> str:
-    return (f"CAST(CAST(CAST(round({c} * 100.0) AS BIGINT) AS DECIMAL(20,0)) "
-            f"* CAST(0.01 AS DECIMAL(3,2)) AS VARCHAR)")
-
-
 _KV = SCORED + f""",
 kv AS (
-  SELECT concat_ws('-', InvoiceNo, CustomerID) AS rowkey,
+  SELECT coalesce(InvoiceNo, '') || '-' || coalesce(CustomerID, '') AS rowkey,
          CAST(Quantity AS VARCHAR) AS cf_Quantity,
-         {_money('UnitPrice')} AS cf_UnitPrice,
+         CAST(UnitPrice AS VARCHAR) AS cf_UnitPrice,
          strftime({_ts_from_epoch('invoice_epoch')}, '%Y-%m-%dT%H:%M:%S') AS cf_InvoiceDate,
          CAST(hour AS VARCHAR) AS cf_hour, CAST(dayofweek AS VARCHAR) AS cf_dayofweek,
          CAST(weekend AS VARCHAR) AS cf_weekend,
-         {_money('Revenue')} AS cf_Revenue,
-         {_money('CLV_Prediction')} AS cf_CLV_Prediction
+         CAST(Revenue AS VARCHAR) AS cf_Revenue,
+         CAST(CLV_Prediction AS VARCHAR) AS cf_CLV_Prediction,
+         invoice_epoch,
+         row_number() OVER (PARTITION BY InvoiceNo, invoice_ts, CustomerID, Country
+                            ORDER BY StockCode, Description, Quantity, UnitPrice) AS item_pos
   FROM scored)"""
 
 KV_COLS = ("rowkey, cf_Quantity, cf_UnitPrice, cf_InvoiceDate, cf_hour, cf_dayofweek, "
@@ -390,15 +391,12 @@ SQL["kv_rowkey"] = _KV + f"\nSELECT {KV_COLS} FROM kv"
 
 SQL["kv_upsert_latest"] = _KV + f"""
 SELECT {KV_COLS} FROM (
-  SELECT *, row_number() OVER (PARTITION BY rowkey ORDER BY cf_Quantity DESC, cf_UnitPrice DESC,
-      cf_InvoiceDate DESC, cf_hour DESC, cf_dayofweek DESC, cf_weekend DESC, cf_Revenue DESC,
-      cf_CLV_Prediction DESC) AS rn FROM kv) WHERE rn = 1"""
+  SELECT *, row_number() OVER (PARTITION BY rowkey ORDER BY invoice_epoch DESC, item_pos DESC) AS rn
+  FROM kv) WHERE rn = 1"""
 
 SQL["prediction_feed"] = SCORED + """
-SELECT CustomerID AS key, CAST(CAST(round(CLV_Prediction * 100.0) AS BIGINT) AS DOUBLE) / 100.0 AS clv,
-       to_json({'key': CustomerID,
-                'clv': CAST(CAST(round(CLV_Prediction * 100.0) AS BIGINT) AS DECIMAL(20,0))
-                       * CAST(0.01 AS DECIMAL(3,2))})::VARCHAR AS value
+SELECT CustomerID AS key, CLV_Prediction AS clv,
+       to_json({'key': CustomerID, 'clv': CLV_Prediction})::VARCHAR AS value
 FROM scores"""
 
 FEED = f"""WITH feed AS (
@@ -427,7 +425,7 @@ SQL["clv_by_day"] = """
 SELECT day, n_scores, CAST(s AS DOUBLE) AS clv_total, CAST(s AS DOUBLE) / CAST(n_scores AS DOUBLE) AS clv_avg,
        clv_max
 FROM (SELECT CAST(ts AS DATE) AS day, COUNT(value) AS n_scores,
-             SUM(CAST(value AS DECIMAL(18,4))) AS s, MAX(value) AS clv_max
+             SUM(CAST(value AS DECIMAL(28,10))) AS s, MAX(value) AS clv_max
       FROM events GROUP BY CAST(ts AS DATE))"""
 
 SQL["serving_view"] = FEED + """
@@ -455,14 +453,35 @@ FROM (SELECT *, TIMESTAMP '1970-01-01 00:00:00'
 GROUP BY window_start, CustomerID"""
 
 # ---- streaming queries: same results as their batch twins -----------------
-SQL["stream_score"] = SQL["scored_lines"]
-SQL["stream_features_batch"] = SQL["cust_features"]
+# two micro-batches: scores of the first come from its lines, of the second from all lines
+_TWO = BASE + """,
+early AS (SELECT * FROM lines WHERE invoice_ts < TIMESTAMP '""" + SPLIT_DATE + """ 00:00:00'),
+late AS (SELECT * FROM lines WHERE invoice_ts >= TIMESTAMP '""" + SPLIT_DATE + """ 00:00:00'),""" \
+    + features_cte("feats_a", "early") + "," + features_cte("feats", "lines") + "," \
+    + features_cte("feats_b", "late") + f""",
+scores AS (
+  SELECT 1 AS batch, CustomerID, {SCORE} AS CLV_Prediction FROM feats_a
+  UNION ALL
+  SELECT 2, CustomerID, {SCORE} FROM feats WHERE CustomerID IN (SELECT CustomerID FROM late)),
+scored AS (
+  SELECT l.*, s.CLV_Prediction FROM early l LEFT JOIN scores s ON l.CustomerID = s.CustomerID AND s.batch = 1
+  UNION ALL
+  SELECT l.*, s.CLV_Prediction FROM late l LEFT JOIN scores s ON l.CustomerID = s.CustomerID AND s.batch = 2)"""
+SQL["stream_score"] = _TWO + f"\nSELECT {CLEAN_COLS}, CLV_Prediction FROM scored"
+SQL["stream_prediction_feed"] = SQL["prediction_feed"].replace(SCORED, _TWO)
+SQL["stream_kv_upsert"] = SQL["kv_upsert_latest"].replace(SCORED, _TWO)
+SQL["stream_features_batch"] = _TWO + f"\nSELECT {FEATURE_COLS} FROM feats_a UNION ALL SELECT {FEATURE_COLS} FROM feats_b"
+SQL["stream_flat"] = BASE + "," + features_cte("feats", "dirty_clean") + f""",
+scores AS (SELECT CustomerID, {SCORE} AS CLV_Prediction FROM feats)
+SELECT l.* EXCLUDE (l_orderkey, l_partkey, l_suppkey, l_linenumber), s.CLV_Prediction
+FROM dirty_clean l LEFT JOIN scores s ON l.CustomerID = s.CustomerID"""
+SQL["stream_landing_quarantine"] = "SELECT reason, count(*) AS messages, count(*) AS with_text FROM (" \
+    + SQL["ingest_quarantine"] + """
+UNION ALL
+SELECT NULL AS InvoiceNo, 'unparseable' AS reason FROM inv WHERE CAST(InvoiceNo AS BIGINT) % 97 = 5) GROUP BY reason"""
 SQL["stream_features_total"] = SQL["cust_features"]
 SQL["stream_landing"] = SQL["explode_items"]
-SQL["stream_flat"] = SQL["clean_lines"]
 SQL["stream_leaderboard"] = SQL["rank_change"]
-SQL["stream_prediction_feed"] = SQL["prediction_feed"]
-SQL["stream_kv_upsert"] = SQL["kv_upsert_latest"]
 # windows closed by the final watermark (max event time - 1 day)
 SQL["stream_window_features"] = "SELECT * FROM (" + SQL["window_features"] + """
 ) wf WHERE window_end <= (""" + BASE + """

@@ -277,7 +277,8 @@ def q_kv_rowkey(spark, sf):
 
 @query("kv_upsert_latest")
 def q_kv_upsert_latest(spark, sf):
-    return S.kv_upsert_latest(S.kv_rows(scored(spark, sf)))
+    placed = C.clean_lines(N.explode_items(FX.invoices(spark, sf), "item_pos"))
+    return S.kv_upsert_latest(S.scored_lines(placed, scores(spark, sf)))
 
 
 @query("prediction_feed")

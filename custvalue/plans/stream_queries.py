@@ -18,24 +18,27 @@ from ..session import scratch_path
 from ..sinks.keyed import KeyedTable
 from ..sources import fixtures as FX
 from ..streaming import streams as ST
-from .oracle import REF_DATE
+from .oracle import REF_DATE, SPLIT_DATE
 from .queries import query
 
-STREAM_FILES = 8          # files the replayed input is written as
-FILES_PER_TRIGGER = 2     # micro-batch size of the replays (4 batches)
+BATCH_CUTOFF = SPLIT_DATE   # invoices before it arrive in the first micro-batch of a two-batch replay
 TEXT = T.StructType([T.StructField("value", T.StringType())])
 FEED = T.StructType([T.StructField("value", T.StringType()),
                      T.StructField("ts", T.TimestampNTZType()),
                      T.StructField("event_id", T.LongType())])
 
 
-def _invoice_texts(spark, sf, root, key=None, order=None):
+def _files(spark) -> int:
+    """Replay files: as many as shuffle partitions, which are sized to the input."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _invoice_texts(spark, sf, root, order=None):
     """Nested invoices as JSON text files (one message per line)."""
     inv = FX.invoices(spark, sf)
-    msgs = inv.select("CustomerID", "InvoiceDate", F.to_json(F.struct(*inv.columns)).alias("value"))
+    msgs = inv.select("InvoiceDate", F.to_json(F.struct(*inv.columns)).alias("value"))
     path = f"{root}/in"
-    ST.write_replay_files(msgs, path, STREAM_FILES, "text", key=key, order=order,
-                          columns=["value"])
+    ST.write_replay_files(msgs, path, _files(spark), "text", order=order, columns=["value"])
     return path
 
 
@@ -44,14 +47,24 @@ def _invoice_stream(spark, path, per_trigger=None):
     return ST.invoice_json(raw)
 
 
+def _two_batches(spark, sf, root, start) -> None:
+    """Replay the invoices in two runs of one query (a restart from its
+    checkpoint): those before the cut-off, then the rest.  Most customers have
+    invoices in both."""
+    inv = FX.invoices(spark, sf)
+    msgs = inv.select("InvoiceDate", F.to_json(F.struct(*inv.columns)).alias("value"))
+    early = F.col("InvoiceDate") < F.lit(BATCH_CUTOFF)
+    for part, cond in (("a", early), ("b", ~early)):
+        ST.write_replay_files(msgs.filter(cond), f"{root}/in/part={part}", _files(spark), "text", columns=["value"])
+        ST.finish(start(_invoice_stream(spark, f"{root}/in/part=*")))
+
+
 @query("stream_score")
 def q_stream_score(spark, sf):
+    """The second batch's scores use the lines of both."""
     root = scratch_path(spark, "stream_score")
-    src = _invoice_texts(spark, sf, root, key="CustomerID")
-    q = ST.start_score_stream(_invoice_stream(spark, src, FILES_PER_TRIGGER),
-                              f"{root}/out", f"{root}/ckpt",
-                              REF_DATE, feed_path=f"{root}/feed")
-    ST.finish(q)
+    _two_batches(spark, sf, root, lambda inv: ST.start_score_stream(
+        inv, f"{root}/out", f"{root}/ckpt", REF_DATE, feed_path=f"{root}/feed"))
     return spark.read.parquet(f"{root}/out").select(*C.CLEAN_COLUMNS, "CLV_Prediction")
 
 
@@ -59,11 +72,8 @@ def q_stream_score(spark, sf):
 def q_stream_prediction_feed(spark, sf):
     """The {key, clv} messages the scoring stream emits per batch."""
     root = scratch_path(spark, "stream_prediction_feed")
-    src = _invoice_texts(spark, sf, root, key="CustomerID")
-    q = ST.start_score_stream(_invoice_stream(spark, src, FILES_PER_TRIGGER),
-                              f"{root}/out", f"{root}/ckpt",
-                              REF_DATE, feed_path=f"{root}/feed")
-    ST.finish(q)
+    _two_batches(spark, sf, root, lambda inv: ST.start_score_stream(
+        inv, f"{root}/out", f"{root}/ckpt", REF_DATE, feed_path=f"{root}/feed"))
     return spark.read.parquet(f"{root}/feed").drop("batch_id")
 
 
@@ -72,20 +82,16 @@ def q_stream_kv_upsert(spark, sf):
     """K3 in a stream: scored rows upserted per micro-batch into a table keyed
     by ``{InvoiceNo}-{CustomerID}``."""
     root = scratch_path(spark, "stream_kv_upsert")
-    src = _invoice_texts(spark, sf, root, key="CustomerID")
     table = KeyedTable(spark, f"{root}/table", "rowkey", keep_versions=3)
-    ST.finish(ST.start_kv_upsert_stream(_invoice_stream(spark, src, FILES_PER_TRIGGER), table,
-                                        f"{root}/ckpt", REF_DATE))
+    _two_batches(spark, sf, root, lambda inv: ST.start_kv_upsert_stream(inv, table, f"{root}/ckpt", REF_DATE))
     return table.read()
 
 
 @query("stream_features_batch")
 def q_stream_features_batch(spark, sf):
+    """Features of each batch on its own."""
     root = scratch_path(spark, "stream_features_batch")
-    src = _invoice_texts(spark, sf, root, key="CustomerID")
-    q = ST.start_batch_features_stream(_invoice_stream(spark, src, FILES_PER_TRIGGER), f"{root}/out",
-                                       f"{root}/ckpt", REF_DATE)
-    ST.finish(q)
+    _two_batches(spark, sf, root, lambda inv: ST.start_batch_features_stream(inv, f"{root}/out", f"{root}/ckpt", REF_DATE))
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
@@ -93,7 +99,7 @@ def q_stream_features_batch(spark, sf):
 def q_stream_features_total(spark, sf):
     root = scratch_path(spark, "stream_features_total")
     src = _invoice_texts(spark, sf, root)
-    lines = C.clean_lines(N.explode_items(_invoice_stream(spark, src, FILES_PER_TRIGGER)))
+    lines = C.clean_lines(N.explode_items(_invoice_stream(spark, src, max(1, _files(spark) // 4))))
     table = KeyedTable(spark, f"{root}/table", "CustomerID", keep_versions=3)
     ST.finish(ST.start_total_features_stream(lines, table, f"{root}/ckpt", REF_DATE))
     return table.read()
@@ -112,21 +118,40 @@ def q_stream_window_features(spark, sf):
 def q_stream_landing(spark, sf):
     root = scratch_path(spark, "stream_landing")
     src = _invoice_texts(spark, sf, root)
-    ST.finish(ST.start_landing_stream(_invoice_stream(spark, src, FILES_PER_TRIGGER), f"{root}/zone",
-                                      f"{root}/ckpt"))
-    landed = spark.read.parquet(f"{root}/zone")
-    return N.explode_items(landed).select(*N.INVOICE_KEYS, "StockCode", "Description",
-                                          "Quantity", "UnitPrice")
+    raw = ST.file_source(spark, src, TEXT, "text", max(1, _files(spark) // 4))
+    ST.finish(ST.start_landing_stream(raw, f"{root}/zone", f"{root}/ckpt"))
+    valid, _ = ST.landed_invoices(spark, f"{root}/zone")
+    return N.explode_items(valid).select(*N.INVOICE_KEYS, "StockCode", "Description",
+                                         "Quantity", "UnitPrice")
+
+
+@query("stream_landing_quarantine")
+def q_stream_landing_quarantine(spark, sf):
+    """Damaged invoices and cut-off copies of every 97th message: all of them land with
+    their text, and a reason."""
+    root = scratch_path(spark, "stream_landing_quarantine")
+    inv = N.nest_invoices(FX.dirty_lines(spark, sf))
+    value = F.to_json(F.struct(*inv.columns))
+    msgs = inv.select(value.alias("value")).unionByName(
+        inv.filter(F.col("InvoiceNo").cast("bigint") % FX.DAMAGE_MODULUS == 5)
+           .select(F.concat(F.left(value, F.lit(20)), F.lit(" ...")).alias("value")))
+    ST.write_replay_files(msgs, f"{root}/in", _files(spark), "text")
+    raw = ST.file_source(spark, f"{root}/in", TEXT, "text", max(1, _files(spark) // 2))
+    ST.finish(ST.start_landing_stream(raw, f"{root}/zone", f"{root}/ckpt"))
+    _, bad = ST.landed_invoices(spark, f"{root}/zone")
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("messages"),
+                                     F.count(F.when(F.length("raw") > 0, 1)).alias("with_text"))
 
 
 @query("stream_flat")
 def q_stream_flat(spark, sf):
+    """Parsed, cleaned and scored flat messages."""
     root = scratch_path(spark, "stream_flat")
     flat = FX.dirty_lines(spark, sf).select(F.to_json(F.struct(*LINE_COLUMNS)).alias("value"))
-    flat.repartition(STREAM_FILES).write.mode("overwrite").text(f"{root}/in")
-    raw = ST.file_source(spark, f"{root}/in", TEXT, "text", FILES_PER_TRIGGER)
-    ST.finish(ST.start_flat_stream(raw, f"{root}/out", f"{root}/ckpt"))
-    return spark.read.parquet(f"{root}/out")
+    ST.write_replay_files(flat, f"{root}/in", _files(spark), "text")
+    raw = ST.file_source(spark, f"{root}/in", TEXT, "text")
+    ST.finish(ST.start_flat_stream(raw, f"{root}/out", f"{root}/ckpt", REF_DATE))
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
 @query("stream_leaderboard")
@@ -140,7 +165,7 @@ def q_stream_leaderboard(spark, sf):
     cut = F.col("ts") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz")
     state = KeyedTable(spark, f"{root}/state", "key", keep_versions=3)
     for part, cond in (("a", cut), ("b", ~cut)):
-        feed.filter(cond).repartition(4).write.mode("overwrite").json(f"{root}/in/part={part}")
+        feed.filter(cond).repartition(_files(spark)).write.mode("overwrite").json(f"{root}/in/part={part}")
         raw = spark.readStream.schema(FEED).json(f"{root}/in/part=*")
         ST.finish(ST.start_leaderboard_stream(ST.rank_feed(raw), state, f"{root}/board",
                                               f"{root}/ckpt"))
@@ -179,13 +204,12 @@ def q_fit_predict(spark, sf):
     test customers."""
     from ..operators import features as FE
     from ..operators import series as SE
-    from ..operators.model import fit_value_model
-    from .oracle import SPLIT_DATE
+    from ..operators.model import fit_value_model, known_features
     from .queries import TRAIN_PCT, lines
     ft = FE.features_with_target(lines(spark, sf), REF_DATE, split_date=SPLIT_DATE)
     ft = SE.hash_split(ft, "CustomerID", TRAIN_PCT)
     model = fit_value_model(ft.filter(F.col("split") == "train"))
-    return (model.transform(ft.filter(F.col("split") == "test"))
+    return (model.transform(known_features(ft.filter(F.col("split") == "test")))
                  .select("CustomerID", "target_rev", F.col("prediction").alias("CLV_Prediction")))
 
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Session settings every job relies on.  Time semantics are wall-clock
 # (timestamp_ntz inside the engine); UTC keeps LTZ conversions neutral.
@@ -62,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         jdir = sc._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="custvalue-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
@@ -70,10 +70,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-folder of the checkpoint root for one run."""
+    """A new, unique sub-folder of the checkpoint root for one run, made through
+    Hadoop's file system like every other access to it."""
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
 
 
@@ -85,37 +86,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
-
-    The check is a bounded scan (``limit(max_rows + 1).count()``), so it
-    costs at most ``max_rows + 1`` rows even for a huge input.  Beyond the
-    bound the frame is returned unchanged and the planner falls back to a
-    shuffled join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition ``df`` on ``keys`` only if it has fewer partitions than
-    the cluster can run at once.
-
-    A scan of a few large row groups yields a handful of tasks, and all the
-    per-row work before the first shuffle (joins probing broadcast sides,
-    parsing, cleaning) would then run on a handful of cores.  At full scale
-    the scan already has thousands of splits and this is a no-op -- no
-    shuffle is added.  The partition count is read from the physical plan
-    (file splits), no data is read for it.
-    """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:   # no RDD API (e.g. a remote session): leave the plan as is
-        return df
-    n = max(target, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n, *keys) if keys else df.repartition(n)

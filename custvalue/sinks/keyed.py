@@ -1,20 +1,22 @@
 """Keyed table with idempotent upserts (K3, T3, T6 state).
 
-Each upsert writes a complete new version ``v=<batch_id>`` next to the old
-ones, then records it in a small commit marker.  Re-running a micro-batch
-with the same id rewrites the same version from the same base, so a retried
-or replayed batch gives the same table (exactly-once with ``foreachBatch``).
-Rows are hash-partitioned by key before the write, so later joins and upserts
-on the key read co-partitioned files.
+An upsert writes only its own rows, as the folder ``v=<version>`` with a commit
+marker: what a micro-batch writes follows the batch, not the table.  Re-running
+a micro-batch with the same id replaces its folder, so a retried or replayed
+batch gives the same table (exactly-once with ``foreachBatch``).  ``tidy`` folds
+old versions into one base now and then; it is called when a batch is done, so
+no frame that the batch still reads loses its files.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-_VERSION = re.compile(r"^v=(\d+)$")
+_FOLDER = re.compile(r"^(v|base)=(\d+)$")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -25,64 +27,86 @@ def _fs(spark: SparkSession, path: str):
 
 
 class KeyedTable:
-    """A table of one row per key, updated by upserts."""
+    """A table of one row per key, updated by upserts (one row per key each)."""
 
     def __init__(self, spark: SparkSession, path: str, key: str | list[str],
-                 partitions: int | None = None, keep_versions: int | None = None):
+                 partitions: int | None = None, keep_versions: int | None = None,
+                 fold_every: int = 8):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = [key] if isinstance(key, str) else list(key)
         self.partitions = partitions
         self.keep_versions = keep_versions
+        self.fold_every = fold_every
 
     # -- versions ---------------------------------------------------------
-    def committed_versions(self) -> list[int]:
+    def _folders(self, kind: str) -> list[int]:
+        """Committed versions of a kind of folder, ascending."""
         fs, p, jvm = _fs(self.spark, self.path)
         if not fs.exists(p):
             return []
         out = []
         for st in fs.listStatus(p):
-            m = _VERSION.match(st.getPath().getName())
-            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_COMMITTED")):
-                out.append(int(m.group(1)))
+            m = _FOLDER.match(st.getPath().getName())
+            if m and m[1] == kind and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_COMMITTED")):
+                out.append(int(m[2]))
         return sorted(out)
 
-    def _commit(self, version: int) -> None:
-        fs, _, jvm = _fs(self.spark, f"{self.path}/v={version}/_COMMITTED")
-        fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={version}/_COMMITTED"),
-                  True).close()
+    def committed_versions(self) -> list[int]:
+        """The versions that can be read (with ``keep_versions``: the newest of them)."""
+        vs = self._folders("v")
+        return vs[-self.keep_versions:] if self.keep_versions else vs
+
+    def _write(self, df: DataFrame, folder: str) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        fs, _, jvm = _fs(self.spark, self.path)
+        fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}/_COMMITTED"), True).close()
 
     def read(self, before: int | None = None) -> DataFrame | None:
-        vs = [v for v in self.committed_versions() if before is None or v < before]
-        if not vs:
-            return None
-        return self.spark.read.parquet(f"{self.path}/v={vs[-1]}")
+        """The table as of the last version (or the last one below ``before``)."""
+        def old(vs):
+            return [v for v in vs if before is None or v < before]
+        bases = old(self._folders("base"))
+        news = [v for v in old(self._folders("v")) if not bases or v > bases[-1]]
+        base = self.spark.read.parquet(f"{self.path}/base={bases[-1]}") if bases else None
+        if not news:
+            return base
+        parts = [self.spark.read.parquet(f"{self.path}/v={v}").withColumn("_v", F.lit(v)) for v in news]
+        new = parts[0].drop("_v")
+        if len(parts) > 1:
+            rest = [c for c in new.columns if c not in self.keys]
+            new = (reduce(DataFrame.unionByName, parts).groupBy(*self.keys)
+                   .agg(F.max_by(F.struct(*rest, "_v"), "_v").alias("_s"))
+                   .select(*self.keys, *[F.col(f"_s.{c}").alias(c) for c in rest]).select(*new.columns))
+        if base is None:
+            return new
+        return base.join(new.select(*self.keys), self.keys, "left_anti").select(*new.columns).unionByName(new)
 
     # -- writes -----------------------------------------------------------
     def upsert(self, updates: DataFrame, version: int) -> None:
-        """New version = previous rows whose key is not updated + updates."""
-        base = self.read(before=version)
-        new = updates if base is None else \
-            base.join(updates.select(*self.keys), self.keys, "left_anti").unionByName(updates)
-        n = self.partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        (new.repartition(n, *self.keys).write.mode("overwrite")
-            .parquet(f"{self.path}/v={version}"))
-        self._commit(version)
-        if self.keep_versions:
+        """Write ``updates`` as ``version``; a later version wins."""
+        self._write(updates, f"v={version}")
+
+    def tidy(self) -> None:
+        """Fold old versions once ``fold_every`` more than ``keep_versions`` have gathered."""
+        if self.keep_versions and len(self._folders("v")) >= self.keep_versions + self.fold_every:
             self.vacuum(self.keep_versions)
 
     def vacuum(self, keep: int) -> list[int]:
-        """Delete all but the newest ``keep`` committed versions (and any
-        uncommitted leftovers older than them); returns the deleted versions."""
-        fs, p, jvm = _fs(self.spark, self.path)
-        committed = self.committed_versions()
-        if len(committed) <= keep:
+        """Fold all but the newest ``keep`` versions into a base and delete them
+        (and uncommitted leftovers); returns the deleted versions."""
+        vs = self._folders("v")
+        if len(vs) <= keep:
             return []
-        oldest_kept = committed[-keep]
+        last = vs[-keep - 1]
+        n = self.partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self._write(self.read(before=last + 1).repartition(n, *self.keys), f"base={last}")
+        fs, p, _ = _fs(self.spark, self.path)
         gone = []
         for st in fs.listStatus(p):
-            m = _VERSION.match(st.getPath().getName())
-            if m and int(m.group(1)) < oldest_kept:
+            m = _FOLDER.match(st.getPath().getName())
+            if m and (int(m[2]) < last or m[1] == "v" and int(m[2]) == last):
                 fs.delete(st.getPath(), True)
-                gone.append(int(m.group(1)))
+                if m[1] == "v":
+                    gone.append(int(m[2]))
         return sorted(gone)

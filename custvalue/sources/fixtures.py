@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import datetime_text
-from ..session import spread
 
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -59,8 +58,7 @@ def invoice_lines(spark: SparkSession, sf_dir: str, keep_keys: bool = False) ->
     measured size is under ``autoBroadcastJoinThreshold`` and shuffles
     otherwise (customer and part are large at scale).
     """
-    li = spread(table(spark, sf_dir, "lineitem").select(
-        *LINE_KEY, "l_quantity", "l_returnflag"), "l_orderkey")
+    li = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_quantity", "l_returnflag")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")

@@ -18,8 +18,8 @@ from ..operators import features as FE
 from ..operators import nested as N
 from ..operators import ranking as R
 from ..operators import scoring as S
-from ..functions.columns import (HOURS, WEEKDAYS, count_parts, event_time, revenue_units,
-                                 units_to_money, wall_clock)
+from ..functions.columns import (HOURS, WEEKDAYS, count_parts, event_time, normal_id,
+                                 revenue_sum, wall_clock)
 from ..schemas import FLAT_LINE, INVOICE, RANK_MESSAGE
 from ..sinks.keyed import KeyedTable
 
@@ -71,19 +71,42 @@ def write_replay_files(df: DataFrame, path: str, files: int, fmt: str = "json",
 
 def invoice_json(df_value: DataFrame) -> DataFrame:
     """N1 on a stream: JSON ``value`` -> nested invoice columns."""
-    return N.parse_json(df_value, INVOICE, "value")
+    return N.parse_json(df_value, INVOICE, "value").withColumn("CustomerID", normal_id("CustomerID"))
+
+
+def flat_json(df_value: DataFrame) -> DataFrame:
+    """N1 on a stream: JSON ``value`` -> flat line columns."""
+    return N.parse_json(df_value, FLAT_LINE, "value").withColumn("CustomerID", normal_id("CustomerID"))
 
 
 # ---- T1 / T2: per-batch score ---------------------------------------------
 
-def score_invoice_batch(batch: DataFrame, ref_date) -> tuple[DataFrame, DataFrame]:
-    """T1 body: explode -> clean -> features -> score.  Returns the scored
-    lines and the per-customer scores."""
-    lines = C.clean_lines(N.explode_items(batch))
-    scores = S.score_features(FE.customer_features(lines, ref_date))
+def score_line_batch(lines: DataFrame, batch_id: int, state: KeyedTable, ref_date,
+                     model=None) -> tuple[DataFrame, DataFrame]:
+    """Scored lines of a micro-batch and the scores of its customers.
+
+    ``state`` keeps the mergeable feature parts of every customer seen.  The
+    batch's parts are added to those of its customers, written as version
+    ``batch_id`` (again on a replay, from the same base), and the scores come
+    from a customer's whole history.
+    """
+    own = lines.filter(F.col("CustomerID").isNotNull()).groupBy("CustomerID").agg(*FE._feature_parts(ref_date))
+    before = state.read(before=batch_id)
+    if before is not None:
+        known = before.join(own.select("CustomerID"), "CustomerID", "left_semi")
+        own = FE.merge_feature_parts(own.unionByName(known.select(*own.columns)))
+    state.upsert(own, batch_id)
+    # read back: the merge runs once, and both results use the committed rows
+    merged = state.spark.read.parquet(f"{state.path}/v={batch_id}")
+    scores = S.score_features(FE._finish(merged, ref_date, "CustomerID"), model)
     return S.scored_lines(lines, scores), scores
 
 
+def score_state(spark: SparkSession, out_path: str) -> KeyedTable:
+    """The feature state that belongs to an output folder."""
+    return KeyedTable(spark, f"{out_path.rstrip('/')}_state", "CustomerID", keep_versions=2)
+
+
 def per_batch_writer(out_path: str, fn, fmt: str = "parquet"):
     """foreachBatch body writing ``fn(batch, batch_id)`` to
     ``out_path/batch_id=N`` (overwrite: idempotent on replay).  Empty
@@ -101,25 +124,28 @@ def per_batch_writer(out_path: str, fn, fmt: str = "parquet"):
 
 
 def start_score_stream(invoices: DataFrame, out_path: str, checkpoint: str,
-                       ref_date, available_now: bool = True, feed_path: str | None = None):
+                       ref_date, available_now: bool = True, feed_path: str | None = None,
+                       model=None, state: KeyedTable | None = None):
     """Stream of nested invoices -> scored lines per micro-batch.
 
+    Scores use each customer's history up to and including the batch (kept in
+    ``state``, by default next to ``out_path``), and a fitted ``model`` if given.
     With ``feed_path`` each batch also emits the K10 change feed: one
     ``{key, clv}`` JSON message per customer scored in the batch, written to
     ``feed_path/batch_id=N`` (hand it to ``write_kafka`` for a topic)."""
+    state = state or score_state(invoices.sparkSession, out_path)
+
     def body(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         batch = batch.persist()
         try:
-            scored, scores = score_invoice_batch(batch, ref_date)
-            if feed_path:
-                scores = scores.persist()   # one row per customer; read by two writes
+            scored, scores = score_line_batch(C.clean_lines(N.explode_items(batch)), batch_id, state, ref_date, model)
             scored.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             if feed_path:
                 R.prediction_feed(scores).write.mode("overwrite") \
                     .parquet(f"{feed_path}/batch_id={batch_id}")
-                scores.unpersist()
+            state.tidy()
         finally:
             batch.unpersist()
     w = invoices.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
@@ -127,17 +153,23 @@ def start_score_stream(invoices: DataFrame, out_path: str, checkpoint: str,
 
 
 def start_kv_upsert_stream(invoices: DataFrame, table: KeyedTable, checkpoint: str,
-                           ref_date, available_now: bool = True):
+                           ref_date, available_now: bool = True, model=None,
+                           state: KeyedTable | None = None):
     """K3 in a stream: per micro-batch, score the lines, build the row key
-    ``{InvoiceNo}-{CustomerID}`` and text cells, keep the latest row per key
+    ``{InvoiceNo}-{CustomerID}`` and text cells, keep the last put per key
     within the batch, and upsert into the keyed table (a later batch wins,
     as a later put would).  Idempotent on replay of a batch id."""
+    state = state or score_state(invoices.sparkSession, table.path)
+
     def body(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                scored, _ = score_invoice_batch(batch, ref_date)
-                table.upsert(S.kv_upsert_latest(S.kv_rows(scored)), batch_id)
+                lines = C.clean_lines(N.explode_items(batch, "item_pos"))
+                scored, _ = score_line_batch(lines, batch_id, state, ref_date, model)
+                table.upsert(S.kv_upsert_latest(scored), batch_id)
+                state.tidy()
+                table.tidy()
         finally:
             batch.unpersist()
 
@@ -181,6 +213,7 @@ def start_total_features_stream(lines: DataFrame, table: KeyedTable, checkpoint:
         try:
             if not batch.isEmpty():
                 table.upsert(FE._finish(batch, ref_date, "CustomerID"), batch_id)
+                table.tidy()
         finally:
             batch.unpersist()
 
@@ -201,14 +234,14 @@ def start_window_features_stream(lines: DataFrame, out_path: str, checkpoint: st
               .withWatermark("event_time", delay)
     w = F.window("event_time", window)
     agg = (ev.filter(F.col("CustomerID").isNotNull()).groupBy(w.alias("w"), "CustomerID")
-             .agg(F.sum(revenue_units("Quantity", "UnitPrice")).alias("_rev"),
+             .agg(revenue_sum().alias("total_revenue"),
                   F.count("InvoiceNo").alias("frequency"),
                   F.count(F.when(F.col("Revenue") < 0, 1)).alias("num_returns"),
                   *count_parts("hour", HOURS, "_h"), *count_parts("dayofweek", WEEKDAYS, "_d"),
                   F.max("invoice_ts").alias("last_ts")))
     out = agg.select(wall_clock("w.start").alias("window_start"),
                      wall_clock("w.end").alias("window_end"),
-                     "CustomerID", units_to_money("_rev").alias("total_revenue"),
+                     "CustomerID", "total_revenue",
                      "frequency", "num_returns", *FE.median_columns(), "last_ts",
                      F.datediff(F.to_date(wall_clock("w.end")), F.to_date("last_ts"))
                      .alias("recency"))
@@ -221,9 +254,13 @@ def start_window_features_stream(lines: DataFrame, out_path: str, checkpoint: st
 
 def start_landing_stream(raw: DataFrame, out_path: str, checkpoint: str,
                          available_now: bool = True):
-    """Raw invoices appended to the landing zone as parquet,
+    """Raw invoice messages appended to the landing zone as parquet,
     partitioned by invoice month (partition pruning for later batch reads).
 
+    Every message lands: its text in ``raw``, what parses of it in the invoice
+    columns, and the S8 verdict in ``is_valid`` and ``reason``.  A message without
+    a readable date lands in the null partition.
+
     Month, not day: each task writes one file per partition value it holds,
     so a replay spanning years would otherwise emit thousands of tiny files
     per micro-batch.  No shuffle is added before the write: a live batch
@@ -231,13 +268,20 @@ def start_landing_stream(raw: DataFrame, out_path: str, checkpoint: str,
     one task.
     """
     from ..functions.columns import parse_invoice_ts
-    landed = raw.withColumn("landing_month",
-                            F.date_format(parse_invoice_ts("InvoiceDate"), "yyyy-MM"))
+    landed = (N.ingest_invoices(raw).withColumn("reason", N.ingest_reason()).drop(N.CORRUPT_COL)
+              .withColumn("landing_month", F.date_format(parse_invoice_ts("InvoiceDate"), "yyyy-MM")))
     q = (landed.writeStream.format("parquet").outputMode("append").option("path", out_path)
                .option("checkpointLocation", checkpoint).partitionBy("landing_month"))
     return (q.trigger(availableNow=True) if available_now else q).start()
 
 
+def landed_invoices(spark: SparkSession, zone_path: str) -> tuple[DataFrame, DataFrame]:
+    """(valid invoices, quarantine with raw text and reason) of a landing zone."""
+    zone = spark.read.parquet(zone_path)
+    return (zone.filter("is_valid").select(*INVOICE.fieldNames(), "landing_month"),
+            zone.filter("not is_valid").select("InvoiceNo", "raw", "reason"))
+
+
 # ---- T6: live leaderboard ---------------------------------------------------
 
 def start_leaderboard_stream(feed: DataFrame, state: KeyedTable, board_path: str,
@@ -268,6 +312,7 @@ def start_leaderboard_stream(feed: DataFrame, state: KeyedTable, board_path: str
         prev_rank = prev if prev is not None else cur.limit(0)
         board = R.rank_change(prev_rank.select("key", "clv"), cur.select("key", "clv"))
         board.write.mode("overwrite").parquet(f"{board_path}/batch_id={batch_id}")
+        state.tidy()
 
     w = feed.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()
@@ -280,13 +325,24 @@ def rank_feed(raw: DataFrame) -> DataFrame:
 
 # ---- T7: flat message pipeline ----------------------------------------------
 
-def start_flat_stream(raw: DataFrame, out_path: str, checkpoint: str,
-                      available_now: bool = True):
-    """Flat line messages (8 fields) -> parsed -> cleaned -> file sink."""
-    lines = C.clean_lines(N.parse_json(raw, FLAT_LINE, "value"))
-    q = (lines.select(*C.CLEAN_COLUMNS).writeStream.format("parquet").outputMode("append")
-              .option("path", out_path).option("checkpointLocation", checkpoint))
-    return (q.trigger(availableNow=True) if available_now else q).start()
+def start_flat_stream(raw: DataFrame, out_path: str, checkpoint: str, ref_date="2011-06-11",
+                      available_now: bool = True, model=None, state: KeyedTable | None = None):
+    """Flat line messages (8 fields) -> parsed -> cleaned -> scored -> file sink."""
+    state = state or score_state(raw.sparkSession, out_path)
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        batch = batch.persist()
+        try:
+            scored, _ = score_line_batch(C.clean_lines(flat_json(batch)), batch_id, state, ref_date, model)
+            (scored.select(*C.CLEAN_COLUMNS, "CLV_Prediction").write.mode("overwrite")
+                   .parquet(f"{out_path}/batch_id={batch_id}"))
+            state.tidy()
+        finally:
+            batch.unpersist()
+    w = raw.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()
 
 
 def finish(q) -> None:

@@ -93,3 +93,17 @@ def test_to_date_or_null(spark):
     df = spark.createDataFrame([("2024-02-29",), ("2023-02-29",), ("n/a",), (None,)], "s string")
     got = [r.d for r in df.select(to_date_or_null("s").alias("d")).collect()]
     assert [str(d) if d else None for d in got] == ["2024-02-29", None, None, None]
+
+
+def test_prices_are_neither_cut_nor_fatal(spark):
+    rows = [("1", "a", "d", 3, "2024-01-01 10:00:00", 0.00001, "c", "x"), ("2", "a", "d", 1, "2024-01-01 10:00:00", 1e18, "c", "x"),
+            ("3", "a", "d", 1, "2024-01-01 10:00:00", float("inf"), "c", "x"), ("4", "a", "d", 2, "2024-01-01 10:00:00", 0.001, "c", "x")]
+    df = spark.createDataFrame(rows, "InvoiceNo string, StockCode string, Description string, Quantity int, "
+                                     "InvoiceDate string, UnitPrice double, CustomerID string, Country string")
+    got = {r.InvoiceNo: r.Revenue for r in C.clean_lines(df).collect()}
+    assert got == {"1": 3 * 0.00001, "4": 0.002}
+    assert {(r.InvoiceNo, r.reason) for r in C.unclean_lines(df).collect()} == {("2", "invalid price"), ("3", "invalid price")}
+    from custvalue.operators import features as FE
+    f = FE.customer_features(C.clean_lines(df)).first()
+    assert abs(f.total_revenue - 0.00203) < 1e-12
+    assert FE.clean_counts(df).first().rows_bad_price == 2

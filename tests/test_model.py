@@ -58,3 +58,16 @@ def test_build_events_then_score_batch(spark, scratch):
     out = jobs.score_batch_job(spark, f"{root}/raw", out_path=f"{root}/out", ref_date="2001-12-31")
     assert spark.read.parquet(f"{root}/out").count() == out.count() > 0
     assert set(out.columns) >= {"CustomerID", "InvoiceDate", "CLV_Prediction", "Revenue"}
+
+
+def test_every_customer_is_scored(spark):
+    from custvalue.operators import scoring as S
+    from custvalue.operators.model import fit_value_model
+    from custvalue.schemas import FEATURE_COLUMNS
+    from pyspark.sql import functions as F
+    rows = spark.range(60).select(F.col("id").cast("string").alias("CustomerID"),
+                                  *[(F.col("id") * (i + 1) % 17).cast("double").alias(c) for i, c in enumerate(FEATURE_COLUMNS)],
+                                  (F.col("id") * 2.0).alias("target_rev"))
+    model = fit_value_model(rows)
+    holes = rows.withColumn("recency", F.when(F.col("CustomerID") == "3", None).when(F.col("CustomerID") == "4", float("nan")).otherwise(F.col("recency")))
+    assert S.score_features(holes, model).where("CLV_Prediction is not null").count() == 60

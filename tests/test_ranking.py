@@ -1,6 +1,8 @@
 """Rankings, rank change, latest-per-key, serving view, feeds."""
 import json
 
+from pyspark.sql import functions as F
+
 from custvalue.operators import ranking as R
 from custvalue.operators import scoring as S
 
@@ -38,7 +40,7 @@ def test_serving_view_na(spark):
 def test_prediction_feed_message(spark):
     sc = spark.createDataFrame([("7", 1234.567)], "CustomerID string, CLV_Prediction double")
     r = R.prediction_feed(sc).first()
-    assert json.loads(r.value) == {"key": "7", "clv": 1234.57} and r.clv == 1234.57
+    assert json.loads(r.value) == {"key": "7", "clv": 1234.567} and r.clv == 1234.567
 
 
 def test_kv_rows_and_upsert(spark):
@@ -47,10 +49,21 @@ def test_kv_rows_and_upsert(spark):
         "InvoiceNo string, CustomerID string, Quantity int, UnitPrice double, Revenue double, "
         "CLV_Prediction double, invoice_epoch double, hour int, dayofweek int, weekend int")
     kv = S.kv_rows(rows).first()
-    assert kv.rowkey == "C100-7" and kv.cf_hour == "22" and kv.cf_UnitPrice == "1.50"
+    assert kv.rowkey == "C100-7" and kv.cf_hour == "22" and kv.cf_UnitPrice == "1.5"
     assert kv.cf_InvoiceDate == "2023-11-14T22:13:20"
-    dup = S.kv_rows(rows.unionByName(rows.withColumn("Quantity", rows.Quantity + 1)))
-    assert S.kv_upsert_latest(dup).count() == 1
+    puts = (rows.withColumn("item_pos", F.lit(0)).withColumn("Quantity", F.lit(50))
+            .unionByName(rows.withColumn("item_pos", F.lit(1)).withColumn("Quantity", F.lit(9)))
+            .unionByName(rows.withColumn("item_pos", F.lit(7)).withColumn("Quantity", F.lit(99))
+                         .withColumn("invoice_epoch", rows.invoice_epoch - 1)))
+    last = S.kv_upsert_latest(puts).collect()
+    assert len(last) == 1 and last[0].cf_Quantity == "9"          # last place of the last time, not the largest text
+
+
+def test_kv_keys_with_missing_parts(spark):
+    rows = spark.createDataFrame(
+        [(None, "7", 1, 0.001), ("7", None, 2, 0.001)], "InvoiceNo string, CustomerID string, Quantity int, UnitPrice double")
+    kv = S.kv_rows(rows, ["Quantity", "UnitPrice"]).collect()
+    assert {r.rowkey for r in kv} == {"-7", "7-"} and {r.cf_UnitPrice for r in kv} == {"0.001"}
 
 
 def test_salted_join_equals_plain_join(spark):

@@ -73,3 +73,10 @@ def test_regression_metrics(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 1.0)], "p double, y double")
     m = SE.regression_metrics(df, "p", "y").first()
     assert (m.mae, m.mse) == (1.5, 2.5) and abs(m.rmse - 2.5 ** 0.5) < 1e-12
+
+
+def test_regression_metrics_keep_small_errors(spark):
+    df = spark.createDataFrame([(0.0004, 0.0), (0.0, 0.0003), (5e-9, 0.0)], "p double, y double")
+    m = SE.regression_metrics(df, "p", "y").first()
+    assert abs(m.mae - (0.0004 + 0.0003 + 5e-9) / 3) < 1e-15 and m.rmse > 0
+    assert SE.regression_metrics(df.limit(0), "p", "y").first().n == 0

@@ -87,14 +87,6 @@ def test_write_jdbc_options(monkeypatch, spark):
     assert seen["mode"] == "append" and "truncate" not in seen["properties"]
 
 
-def test_bounded_broadcast(spark):
-    from custvalue.session import bounded_broadcast
-    small, big = spark.range(10), spark.range(1000)
-    j = spark.range(1000).join(bounded_broadcast(small, 100), "id")
-    assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
-    assert bounded_broadcast(big, 100) is big
-
-
 def test_kafka_source_needs_its_connector(spark):
     """Options are wired; without the Kafka package the lookup fails cleanly
     (no broker is contacted)."""
@@ -117,7 +109,7 @@ def test_stream_jobs_and_csv_training(spark, scratch):
     n_lines = FX.invoice_lines(spark, SF).count()
     assert spark.read.parquet(f"{root}/scored").count() == n_lines
     from custvalue.operators.nested import explode_items
-    assert explode_items(spark.read.parquet(f"{root}/zone")).count() == n_lines
+    assert explode_items(ST.landed_invoices(spark, f"{root}/zone")[0]).count() == n_lines
     FX.invoice_lines(spark, SF).write.option("header", True).csv(f"{root}/csv")
     out = jobs.train_from_csv(spark, f"{root}/csv", f"{root}/models", ref_date="2001-12-31",
                               split_date="2000-01-01")

@@ -87,3 +87,46 @@ def test_keyed_table_keeps_newest_versions(spark, scratch):
         t.upsert(spark.createDataFrame([("a", v)], "k string, v int"), v)
     assert t.committed_versions() == [2, 3]
     assert t.read().first().v == 3
+
+
+def test_keyed_table_folds_and_reads_back(spark, scratch):
+    t = KeyedTable(spark, scratch("kf"), "k", keep_versions=2, fold_every=2)
+    for v in range(6):
+        before = t.read(before=v)
+        t.upsert(spark.createDataFrame([("a", v), (f"x{v}", v)], "k string, v int"), v)
+        if before is not None:
+            assert before.count() == v + 1        # nothing that this batch reads is gone
+        t.tidy()
+    assert {r.k: r.v for r in t.read().collect()} == {"a": 5, **{f"x{v}": v for v in range(6)}}
+    assert {r.k: r.v for r in t.read(before=5).collect()}["a"] == 4
+    assert len(t._folders("v")) <= 3 and t._folders("base")
+
+
+def test_scores_use_the_whole_history_and_a_model(spark, scratch):
+    root = scratch("t1")
+
+    class Doubled:
+        def transform(self, df):
+            return df.withColumn("prediction", F.col("total_revenue") * 2)
+
+    def run():
+        raw = ST.file_source(spark, f"{root}/in/*", TEXT, "text")
+        ST.finish(ST.start_flat_stream(raw, f"{root}/out", f"{root}/ckpt", "2024-01-31", model=Doubled()))
+
+    flat_json(spark, [line("1", "17850.0", "2024-01-01 10:00:00", qty=2)]).coalesce(1).write.text(f"{root}/in/a")
+    run()
+    flat_json(spark, [line("2", "17850", "2024-01-05 10:00:00", qty=3)]).coalesce(1).write.text(f"{root}/in/b")
+    run()
+    got = {r.InvoiceNo: (r.CustomerID, r.CLV_Prediction) for r in spark.read.parquet(f"{root}/out").collect()}
+    assert got == {"1": ("17850", 4.0), "2": ("17850", 10.0)}
+
+
+def test_landing_keeps_messages_that_do_not_parse(spark, scratch):
+    root = scratch("t5")
+    texts = ["garbage", '{"InvoiceNo": "1"}', '{"InvoiceNo": "1", "InvoiceDate": "2024-01-01 10:00:00", "CustomerID": "c", "Items": []}',
+             '{"InvoiceDate": "2024-01-01 10:00:00", "CustomerID": "c", "Country": "x", "Items": []}']
+    spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.text(f"{root}/in")
+    ST.finish(ST.start_landing_stream(ST.file_source(spark, f"{root}/in", TEXT, "text"), f"{root}/zone", f"{root}/ckpt"))
+    valid, bad = ST.landed_invoices(spark, f"{root}/zone")
+    assert valid.count() == 0
+    assert {r.raw: r.reason for r in bad.collect()} == dict(zip(texts, ["unparseable", "missing CustomerID", "missing Country", "missing InvoiceNo"]))
