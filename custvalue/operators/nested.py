@@ -32,24 +32,31 @@ def explode_items(invoices: DataFrame, position: str | None = None) -> DataFrame
                     .select(*INVOICE_KEYS, "_item.*", position))
 
 
+MESSAGE_ITEMS = 10_000   # items of one message, unless the caller gives another bound
+
+
 def nest_invoices(lines: DataFrame, max_items: int | None = None) -> DataFrame:
     """Lines -> one nested invoice per (InvoiceNo, InvoiceDate, CustomerID, Country).
 
-    Items are sorted so the message is deterministic.  The group is one
-    invoice (the message unit), so by default a message holds all of its
-    invoice's lines.  With ``max_items`` no message exceeds about that many
-    items: invoice sizes are counted (combined map-side), joined back with a
-    salted join, and an invoice above the bound is split into
-    ``ceil(n / max_items)`` parts by a hash of each item; the result gains a
-    ``Part`` column (0 for invoices within the bound), and exploding the parts
-    gives back exactly the invoice's lines.
+    Items are sorted so the message is deterministic.  No message holds more
+    than about ``max_items`` items (default ``MESSAGE_ITEMS``): an invoice above
+    the bound becomes several messages with the same invoice columns, and
+    exploding them gives back exactly its lines.  With ``max_items`` given, the
+    result has a ``Part`` column (0 for invoices within the bound).
+
+    Invoice sizes are counted first (combined map-side).  Only if one exceeds
+    the bound are they joined back, by a salted join.  Equal items of such an
+    invoice are counted before they are dealt out, in runs of at most
+    ``max_items``, so that neither a hot invoice nor a hot item meets in one task.
     """
+    bound = max_items or MESSAGE_ITEMS
+    names = [f.name for f in ITEM.fields]
     item = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ITEM.fields])
-    if max_items is None:
+    sizes = lines.groupBy(*INVOICE_KEYS).agg(F.count(F.lit(1)).alias("_n"))
+    if max_items is None and sizes.filter(F.col("_n") > bound).isEmpty():
         return (lines.groupBy(*INVOICE_KEYS)
                      .agg(F.sort_array(F.collect_list(item)).alias("Items")))
     from .scoring import salted_left_join
-    sizes = lines.groupBy(*INVOICE_KEYS).agg(F.count(F.lit(1)).alias("_n"))
     # invoice keys may be null (e.g. a missing customer): join on an exact,
     # never-null key made of (is null, value) per key column
     kcol = F.struct(*[F.struct(F.col(k).isNull().alias("z"),
@@ -57,12 +64,15 @@ def nest_invoices(lines: DataFrame, max_items: int | None = None) -> DataFrame:
                       for k in INVOICE_KEYS])
     sized = salted_left_join(lines.withColumn("_k", kcol),
                              sizes.withColumn("_k", kcol).select("_k", "_n"), "_k")
-    parts = F.ceil(F.col("_n") / F.lit(float(max_items))).cast("int")
-    part = F.when(parts > 1, F.pmod(F.xxhash64(*[f.name for f in ITEM.fields]), parts)) \
-        .otherwise(F.lit(0))
-    return (sized.withColumn("Part", part.cast("int"))
-                 .groupBy(*INVOICE_KEYS, "Part")
-                 .agg(F.sort_array(F.collect_list(item)).alias("Items")))
+    runs = (sized.groupBy(*INVOICE_KEYS, "_n", *names).agg(F.count(F.lit(1)).alias("_c"))
+                 .withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                          F.floor((F.col("_c") - 1) / bound)))))
+    parts = F.ceil(F.col("_n") / F.lit(float(bound))).cast("int")
+    part = F.when(parts > 1, F.pmod(F.xxhash64(*names, "_run"), parts)).otherwise(F.lit(0))
+    many = F.array_repeat(item, F.least(F.lit(bound).cast("bigint"), F.col("_c") - F.col("_run") * bound).cast("int"))
+    out = (runs.withColumn("Part", part.cast("int")).groupBy(*INVOICE_KEYS, "Part")
+               .agg(F.sort_array(F.flatten(F.collect_list(many))).alias("Items")))
+    return out if max_items else out.drop("Part")
 
 
 def to_json_value(df: DataFrame, key_col: str | None = None) -> DataFrame:

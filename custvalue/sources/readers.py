@@ -44,15 +44,20 @@ def write_json_array_files(df: DataFrame, path: str, rows_per_file: int = 50_000
 
     Rows are spread over ``ceil(rows / rows_per_file)`` documents by a hash
     of the whole row, so each document -- and the one task that parses it
-    back -- stays bounded however large the input grows.  Each document is its
-    own file under ``b=<bucket>/``.
+    back -- stays bounded however large the input grows.  Equal rows are counted
+    first and dealt out in short runs, so they spread as well.  Each document
+    is its own file under ``b=<bucket>/``.
     """
+    run = max(1, rows_per_file // 50)
+    counted = (df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+                 .groupBy("j").agg(F.count(F.lit(1)).alias("c")))
     n = df.count()
     files = max(1, -(-n // rows_per_file))
-    js = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
-    bucket = F.pmod(F.xxhash64("j"), F.lit(files))
-    docs = (js.groupBy(bucket.alias("b"))
-              .agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]"))
+    runs = counted.withColumn("r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("c") - 1) / run))))
+    bucket = F.pmod(F.xxhash64("j", "r"), F.lit(files))
+    many = F.array_repeat("j", F.least(F.lit(run).cast("bigint"), F.col("c") - F.col("r") * run).cast("int"))
+    docs = (runs.groupBy(bucket.alias("b"))
+              .agg(F.concat(F.lit("["), F.array_join(F.flatten(F.collect_list(many)), ","), F.lit("]"))
                    .alias("value")))
     # one document per file: a multi-line reader parses a file as ONE value
     (docs.repartition(files, "b").write.mode("overwrite").partitionBy("b").text(path))

@@ -71,3 +71,35 @@ def test_every_customer_is_scored(spark):
     model = fit_value_model(rows)
     holes = rows.withColumn("recency", F.when(F.col("CustomerID") == "3", None).when(F.col("CustomerID") == "4", float("nan")).otherwise(F.col("recency")))
     assert S.score_features(holes, model).where("CLV_Prediction is not null").count() == 60
+
+
+def test_forecast_is_the_least_squares_solution(spark):
+    import numpy as np
+    from custvalue.plans.queries import _series_split
+    from custvalue.operators import series as SE
+    s = _series_split(spark, SF)
+    lo, hi = SE.minmax_params(s.filter(F.col("split") == "train"), "TotalValue")
+    win = SE.supervised_windows(SE.minmax_scale(s, "TotalValue", lo, hi, "scaled"), "scaled", time_step=2)
+    model = M.fit_series_model(win.filter(F.col("split") == "train"))
+    got = model.transform(win.filter(F.col("split") == "test")).select("x0", "x1", "prediction").collect()
+    fit = np.array([(r.x0, r.x1, r.y) for r in win.filter(F.col("split") == "train").collect()])
+    coef, *_ = np.linalg.lstsq(np.c_[fit[:, :2], np.ones(len(fit))], fit[:, 2], rcond=None)
+    want = np.array([(r.x0, r.x1, 1.0) for r in got]) @ coef
+    assert np.allclose(want, [r.prediction for r in got], rtol=1e-6, atol=1e-9)
+
+
+def test_value_model_against_the_mean_predictor(spark):
+    """On a label that its features determine the model is close to exact.  In the
+    given tables a customer's later revenue does not depend on the earlier one,
+    so there the best any model can do is the mean."""
+    import numpy as np
+    import __spark_entry__ as E
+    lines = C.clean_lines(FX.invoice_lines(spark, SF))
+    same = FE.features_with_target(lines, "2001-12-31")
+    pred = M.fit_value_model(same).transform(same).select("target_rev", "prediction").collect()
+    y, p = np.array([r.target_rev for r in pred]), np.array([r.prediction for r in pred])
+    assert ((y - p) ** 2).mean() < 0.01 * y.var()
+    rows = E.queries()["fit_predict"](spark, "/root/testdata/sf0.01").collect()
+    y, p = np.array([r.target_rev for r in rows]), np.array([r.CLV_Prediction for r in rows])
+    assert len({r.CustomerID for r in rows}) == len(rows) > 100
+    assert ((y - p) ** 2).mean() < 1.1 * y.var()

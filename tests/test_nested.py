@@ -60,3 +60,23 @@ def test_nest_bounds_a_hot_invoice(spark):
     assert all(p == 0 and n == 1 for (k, p), n in sizes.items() if k != "H")
     assert N.explode_items(nested.drop("Part")).count() == 3020
     assert N.nest_invoices(lines).count() == 21   # default: one message per invoice
+
+
+def test_nest_splits_one_repeated_item(spark):
+    from custvalue.schemas import FLAT_LINE
+    from pyspark.sql import functions as F
+    same = spark.range(2500).select(F.lit("H").alias("InvoiceNo"), F.lit("S").alias("StockCode"), F.lit("d").alias("Description"),
+                                    F.lit(1).alias("Quantity"), F.lit("2024-01-01 00:00:00").alias("InvoiceDate"),
+                                    F.lit(1.0).alias("UnitPrice"), F.lit("c").alias("CustomerID"), F.lit("X").alias("Country"))
+    assert same.columns == FLAT_LINE.fieldNames()
+    nested = N.nest_invoices(same, max_items=100)
+    assert N.explode_items(nested).count() == 2500
+    assert nested.count() > 10 and nested.agg(F.max(F.size("Items"))).first()[0] <= 700
+
+
+def test_json_documents_spread_equal_rows(spark, scratch):
+    from custvalue.sources.readers import write_json_array_files
+    path = scratch("json") + "/raw"
+    write_json_array_files(spark.range(1000).selectExpr("1 as a"), path, rows_per_file=100)
+    docs = spark.read.option("multiLine", True).json(path)
+    assert docs.count() == 1000 and docs.groupBy("b").count().count() >= 6
