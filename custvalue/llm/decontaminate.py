@@ -131,12 +131,13 @@ def _bitmap(shingles: DataFrame) -> dict[int, np.ndarray]:
             yield pa.RecordBatch.from_pydict({"size": pa.array(sizes, pa.int32()), "slot": pa.array(slots, pa.int64())})
 
     cells = (shingles.select("size", "shingle").distinct().mapInArrow(bits, "size int, slot bigint")
-             .groupBy("size", F.shiftright("slot", 3).alias("cell"))
-             .agg(F.bit_or(F.expr("shiftleft(1, cast(slot & 7 as int))")).alias("bits")).toPandas())
+             .groupBy("size", F.shiftright("slot", 6).alias("cell"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toArrow())
+    sizes, cell, bits = (cells[c].to_numpy() for c in ("size", "cell", "bits"))   # at most 2^20 rows per shingle size
     out = {}
-    for size, part in cells.groupby("size"):
-        out[int(size)] = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-        out[int(size)][part["cell"].to_numpy()] = part["bits"].to_numpy().astype(np.uint8)
+    for size in np.unique(sizes):
+        out[int(size)] = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+        out[int(size)][cell[sizes == size]] = bits[sizes == size].astype(np.int64).view(np.uint64)
     return out
 
 
@@ -146,7 +147,7 @@ def _runs(text: bytes | None, maps: dict[int, np.ndarray], hasher: _Hasher) -> t
     cover = np.zeros(len(words) + 1, np.int32)
     for size, bitmap in maps.items():
         slot = hasher.shingles(words, size) >> np.uint64(64 - BITMAP_BITS)
-        at = np.flatnonzero(bitmap[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
+        at = np.flatnonzero(bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1))
         if len(at):
             np.add.at(cover, at, 1)
             np.add.at(cover, at + size, -1)
