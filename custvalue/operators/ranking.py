@@ -39,9 +39,12 @@ def rank_change(previous: DataFrame, current: DataFrame, key: str = "key",
                 value: str = "clv") -> DataFrame:
     """Current ranking with its move against the previous ranking:
     ``new`` (absent before), ``up``, ``down`` or ``none``."""
-    cur = ranked(current, key, value, "rank")
-    prev = ranked(previous, key, value, "prev_rank").select(key, "prev_rank")
-    j = cur.join(prev, key, "left")
+    return rank_move(ranked(previous, key, value, "prev_rank"), ranked(current, key, value, "rank"), key, value)
+
+
+def rank_move(previous: DataFrame, current: DataFrame, key: str = "key", value: str = "clv") -> DataFrame:
+    """``rank_change`` of two rankings: ``previous(key, prev_rank)``, ``current(key, value, rank)``."""
+    j = current.join(previous.select(key, "prev_rank"), key, "left")
     change = (F.when(F.col("prev_rank").isNull(), "new")
                .when(F.col("prev_rank") < F.col("rank"), "down")
                .when(F.col("prev_rank") > F.col("rank"), "up")

@@ -26,6 +26,16 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p, jvm
 
 
+def finished_batches(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the ``batch_id=N`` folders that were written completely, ascending."""
+    fs, p, jvm = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath() for st in fs.listStatus(p)]
+    return sorted(int(x.getName()[9:]) for x in names
+                  if re.fullmatch(r"batch_id=\d+", x.getName()) and fs.exists(jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS")))
+
+
 class KeyedTable:
     """A table of one row per key, updated by upserts (one row per key each)."""
 

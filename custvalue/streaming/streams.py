@@ -21,7 +21,7 @@ from ..operators import scoring as S
 from ..functions.columns import (HOURS, WEEKDAYS, count_parts, event_time, normal_id,
                                  revenue_sum, wall_clock)
 from ..schemas import FLAT_LINE, INVOICE, RANK_MESSAGE
-from ..sinks.keyed import KeyedTable
+from ..sinks.keyed import KeyedTable, finished_batches
 
 
 # ---- sources (S3, S4, S7) -------------------------------------------------
@@ -287,7 +287,7 @@ def landed_invoices(spark: SparkSession, zone_path: str) -> tuple[DataFrame, Dat
 def start_leaderboard_stream(feed: DataFrame, state: KeyedTable, board_path: str,
                              checkpoint: str, available_now: bool = True):
     """Per micro-batch -- upsert the latest score per key into the keyed
-    state, rank all keys, and diff against the previous ranking
+    state, rank all keys, and diff against the ranking of the last board
     (new / up / down / none).  The board of batch N is ``board_path/batch_id=N``;
     top-N for display is ``top_k`` on it."""
     def body(batch: DataFrame, batch_id: int) -> None:
@@ -308,9 +308,10 @@ def start_leaderboard_stream(feed: DataFrame, state: KeyedTable, board_path: str
                 both.select("key", "clv", F.col("last_ts").alias("ts"),
                             F.col("last_event_id").alias("event_id")))
         state.upsert(latest, batch_id)
-        cur = state.read()
-        prev_rank = prev if prev is not None else cur.limit(0)
-        board = R.rank_change(prev_rank.select("key", "clv"), cur.select("key", "clv"))
+        now = R.ranked(state.read().select("key", "clv"))
+        boards = [b for b in finished_batches(state.spark, board_path) if b < batch_id]
+        last = (state.spark.read.parquet(f"{board_path}/batch_id={boards[-1]}") if boards else now.limit(0))
+        board = R.rank_move(last.select("key", F.col("rank").alias("prev_rank")), now)
         board.write.mode("overwrite").parquet(f"{board_path}/batch_id={batch_id}")
         state.tidy()
 
