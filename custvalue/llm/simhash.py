@@ -64,7 +64,6 @@ def shared_bytes(a: Column, b: Column) -> Column:
 def _postings(fps: DataFrame, max_bits: int) -> DataFrame:
     couple = [F.shiftrightunsigned("fp", 16 * c).bitwiseAND(F.lit(0xFFFF)) for c in range(4)]
     keys = [F.struct(F.lit(i).alias("list"),
-                     F.expr("0L") if not chosen else
                      sum((F.shiftleft(couple[c], 16 * j) for j, c in enumerate(chosen)), F.lit(0).cast("bigint")).alias("key"))
             for i, chosen in enumerate(itertools.combinations(range(4), 4 - max_bits))]
     return fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.list", "k.key")
