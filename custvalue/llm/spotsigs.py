@@ -103,7 +103,7 @@ def successors(docs: DataFrame, rows_per_part: int = 50_000) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_signatures``.
+    """One row per document: ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_signatures, next_doc_id``.
 
     The edited text has its last half of code points replaced by the start of
     the next document's text.  Null texts count as empty.  Rows equal in doc_id
@@ -115,8 +115,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     base = docs.select("doc_id", _row_key(docs).alias("row"), text.alias("text"))
     order = written(successors(docs), "spot-next")
     follow = order.select(F.col("next_row").alias("row"), F.col("row").alias("before"), "half")
-    heads = (with_signatures(base.select("row", "text").join(follow, "row"), "text", "next_sigs")
-             .select(F.col("before").alias("row"), F.left("text", F.col("half")).alias("head"), "next_sigs")
+    # both joins read the same three columns of ``base``, so the texts are shuffled once
+    heads = (with_signatures(base.join(follow, "row"), "text", "next_sigs")
+             .select(F.col("before").alias("row"), F.left("text", F.col("half")).alias("head"), "next_sigs",
+                     F.col("doc_id").alias("next_doc_id"))
              .dropDuplicates(["row"]))
     whole = base.join(heads, "row").withColumn("n_chars", F.length("text").cast("bigint"))
     whole = whole.withColumn("edited", F.concat(
@@ -127,4 +129,4 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                        fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
                        pruned_jaccard(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
                        pruned_jaccard(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
-                       F.size("sigs").alias("n_signatures"))
+                       F.size("sigs").alias("n_signatures"), "next_doc_id")
