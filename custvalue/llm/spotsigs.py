@@ -4,22 +4,18 @@ Wherever a common word (an anchor) stands, the next two content words are
 chained to it: ``anchor:word:word``, with further common words in between
 skipped.  The set of these spot signatures is the fingerprint of the text: it
 survives edits around the running text and ignores everything without common
-words.  Sets are compared by Jaccard likeness.  A pair whose set sizes alone
-bound the likeness below the floor is not intersected (pruned), and the join
-for near duplicates only meets sets of the same or the neighbouring length
-partition.
+words.  Sets are compared by Jaccard likeness, which is at most the ratio of
+their sizes: sets in length partitions further apart than the floor allows are
+not intersected (pruned).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custvalue.llm.common import connected_components, cut, text_key, written
+from custvalue.llm.common import text_key, written
 
-LIKE = 0.8
 # Frequent function words of English, French, German and Spanish.
 COMMON_WORDS = (
     "a all an and are as at be been but by for from had has have he her his i in is it its not of on or she so "
@@ -68,11 +64,22 @@ def fingerprint(signatures: Column) -> Column:
     return F.md5(F.array_join(signatures.cast("array<string>"), ",").cast("binary"))
 
 
+def length_partition(signatures: Column, like: float) -> Column:
+    """Number of the set's length partition: sets with a likeness of ``like`` or
+    more are in the same or in neighbouring partitions."""
+    return F.floor(F.ln(F.greatest(F.size(signatures), F.lit(1))) / -F.ln(F.lit(like))).cast("int")
+
+
 def pruned_jaccard(a: Column, b: Column, floor: float = 0.0) -> Column:
-    """Jaccard likeness of two signature sets; below the size bound ``floor`` it is 0 without a comparison."""
-    small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
+    """Jaccard likeness of two signature sets; 0 without an intersection if their
+    sizes rule out a likeness of ``floor``."""
     shared = F.size(F.array_intersect(a, b))
-    return F.when(small < floor * large, 0.0).otherwise(shared / (F.size(a) + F.size(b) - shared))
+    exact = shared / (F.size(a) + F.size(b) - shared)
+    if floor <= 0:
+        return exact
+    small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
+    apart = F.abs(length_partition(a, floor) - length_partition(b, floor)) > 1
+    return F.when(apart | (small < floor * large), 0.0).otherwise(exact)
 
 
 def _row_key(docs: DataFrame) -> Column:

@@ -66,3 +66,17 @@ def test_odd_rows(spark, odd, empty):
 def test_no_python_on_the_executors(documents):
     plan = G.fingerprints(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_pruning_never_loses_a_likeness_above_the_floor(spark):
+    import random
+    rng = random.Random(2)
+    pairs = [(rng.sample(range(60), rng.randint(1, 50)), rng.sample(range(60), rng.randint(1, 50))) for _ in range(200)]
+    pairs += [(list(range(n)), list(range(n - n // 5))) for n in range(5, 60)]
+    frame = spark.createDataFrame(pairs, "a array<int>, b array<int>")
+    for floor in (0.3, 0.8):
+        rows = frame.select("a", "b", G.pruned_jaccard(frame.a, frame.b, floor).alias("j")).collect()
+        assert sum(r.j == 0 for r in rows) > 20
+        for r in rows:
+            want = jaccard(set(r.a), set(r.b))
+            assert r.j == pytest.approx(want) or (r.j == 0 and want < floor)
