@@ -86,3 +86,17 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+SCAN_PARTITIONS = "spark.custvalue.scanPartitions"
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition a scan on ``keys`` into as many partitions as the setting
+    ``spark.custvalue.scanPartitions`` names; without the setting ``df`` as it is.
+
+    For single small files, which one task would read and process whole.  The
+    setting is explicit: no size is looked at, and at scale it stays unset.
+    """
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n), *keys) if n else df
