@@ -12,7 +12,7 @@ from custvalue.llm.common import table, written
 from custvalue.llm.decontaminate import decontaminate
 from custvalue.llm.mixing import mix
 from custvalue.llm.quality import accept_quality
-from custvalue.llm.shards import training_records
+from custvalue.llm.shards import materialise
 from custvalue.llm.simhash import simhash_dedup
 
 
@@ -37,8 +37,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Fixed-stride token records in keyed training order."""
-    return training_records(docs)
+    """Token shards in keyed training order: the files are written; their records as read back."""
+    return materialise(docs, bytes_out=True)
 
 
 STAGES = [

@@ -13,7 +13,7 @@ from custvalue.llm.mixing import mix
 from custvalue.llm.pii import personal_data
 from custvalue.llm.quality import quality_scores
 from custvalue.llm.sharding import shard_documents
-from custvalue.llm.shards import training_records
+from custvalue.llm.shards import materialise
 from custvalue.llm.simhash import simhash_components
 from custvalue.llm.spotsigs import fingerprints
 from custvalue.llm.toxicity import toxicity_scores
@@ -78,8 +78,8 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token records of all documents in training order, with shard and byte offset."""
-    return training_records(table(spark, sf_dir, "documents"))
+    """Token shards of all documents in training order: the files are written; one manifest row per record."""
+    return materialise(table(spark, sf_dir, "documents"))
 
 
 @query
