@@ -3,8 +3,9 @@
 Tokens are words and, for words too rare to be judged, their known prefixes.
 Each token scores its log-odds between toxic and other labelled documents,
 smoothed by a Dirichlet prior proportional to the token's pooled frequency;
-all other words score a small negative amount.  A linear scan finds every
-maximal scoring segment of the whole text.  Segment scores are put on an
+all other words score a small negative amount.  Every occurrence counts; one
+close behind the last of the same word only makes up for the drift in between.
+A linear scan finds every maximal scoring segment of the whole text.  Segment scores are put on an
 extreme-value scale (expected number of such segments by chance in a text of
 that length), and the text's segments together give a calibrated probability.
 """
@@ -91,11 +92,13 @@ class ToxicModel:
     def segments(self, ws: list[bytes]) -> list[tuple[int, int, float]]:
         """Maximal segments with their scores."""
         score, gate, n = self.score, self.gate, PREFIXES[0]
-        seen: set[bytes] = set()
+        last: dict[bytes, int] = {}
         hits = []
         for i, w in enumerate(ws):
-            if (w in score or w[:n] in gate) and w not in seen and (s := self.word_score(w)) is not None:
-                seen.add(w)                                      # a repeated word is no new evidence
+            if (w in score or w[:n] in gate) and (s := self.word_score(w)) is not None:
+                if w in last:                                    # a near repeat makes up for the drift since, no more
+                    s = math.copysign(min(abs(s), DRIFT * (i - last[w])), s)
+                last[w] = i
                 hits.append((i, s))
         return maximal_segments(hits, DRIFT)
 
@@ -140,7 +143,9 @@ def _log_odds(docs: np.ndarray, toxic: np.ndarray, n: int, n1: int) -> tuple[np.
     return np.log(y1 / n1) - np.log(y0 / (n - n1)), np.sqrt(1 / y1 + 1 / y0), y0
 
 
-def _model(tokens: list[bytes], docs: np.ndarray, toxic: np.ndarray, n: int, n1: int, mean_words: float) -> ToxicModel:
+def _model(tokens: list[bytes], docs: np.ndarray, toxic: np.ndarray, uses: np.ndarray, n: int, n1: int,
+           mean_words: float) -> ToxicModel:
+    """``uses``: how often each token stands in documents that are not toxic."""
     if not n1 or n1 == n:
         return ToxicModel({}, frozenset())
     odds, error, other = _log_odds(docs, toxic, n, n1)
@@ -148,7 +153,8 @@ def _model(tokens: list[bytes], docs: np.ndarray, toxic: np.ndarray, n: int, n1:
     keep = np.flatnonzero((np.abs(odds) >= SIGNIFICANT * error) & (np.abs(sure) >= LEAST_ODDS))
     keep = keep[np.argsort(-np.abs(odds / error)[keep], kind="stable")][:MAX_TOKENS]
     score = {tokens[i]: float(sure[i]) for i in keep}
-    lam, k = _extreme_value(sure[keep], other[keep] / (n - n1) / mean_words)
+    again = uses - (docs - toxic)                                # occurrences beyond the first of a document
+    lam, k = _extreme_value(sure[keep], (other + again)[keep] / (n - n1) / mean_words)
     return ToxicModel(score, frozenset(t[:PREFIXES[0]] for t in score if t.endswith(b"*")), lam, k)
 
 
@@ -177,26 +183,31 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
 
     def count(batches):
         for b in batches:
-            counts = [Counter() for _ in range(4)]               # documents and toxic documents of both halves
+            counts = [Counter() for _ in range(6)]               # documents, toxic documents and uses in others of both halves
             for y, half, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                tokens = {t for w in set(words(text.as_py())) for t in _tokens(w)}
-                counts[half].update(tokens)
+                uses = Counter()
+                for w, c in Counter(words(text.as_py())).items():
+                    for t in _tokens(w):
+                        uses[t] += c
+                counts[half].update(uses.keys())
                 if y == 1:
-                    counts[2 + half].update(tokens)
+                    counts[2 + half].update(uses.keys())
+                else:
+                    counts[4 + half].update(uses)
             if keys := list(counts[0].keys() | counts[1].keys()):
                 yield pa.RecordBatch.from_pydict({"token": pa.array(keys, pa.binary()), **{
-                    c: pa.array([k[t] for t in keys], pa.int64()) for c, k in zip(("d0", "d1", "t0", "t1"), counts)}})
+                    c: pa.array([k[t] for t in keys], pa.int64()) for c, k in zip(("d0", "d1", "t0", "t1", "u0", "u1"), counts)}})
 
     # a token in fewer than six documents cannot be significant
-    table = (picked.mapInArrow(count, "token binary, d0 bigint, d1 bigint, t0 bigint, t1 bigint")
-             .groupBy("token").agg(*[F.sum(c).alias(c) for c in ("d0", "d1", "t0", "t1")])
+    table = (picked.mapInArrow(count, "token binary, d0 bigint, d1 bigint, t0 bigint, t1 bigint, u0 bigint, u1 bigint")
+             .groupBy("token").agg(*[F.sum(c).alias(c) for c in ("d0", "d1", "t0", "t1", "u0", "u1")])
              .where("d0 + d1 >= 6 and t0 + t1 >= 3 or d0 + d1 >= 60")
              .orderBy(F.desc(F.abs(F.col("t0") + F.col("t1") - (F.col("d0") + F.col("d1")) * (sum(n1) / sum(n)))
                              / F.sqrt(F.col("d0") + F.col("d1"))), "token").limit(10 * MAX_TOKENS).toArrow())
     tokens = table["token"].to_pylist()
-    d, t = ([table[f"{c}{half}"].to_numpy() for half in (0, 1)] for c in "dt")
-    model = _model(tokens, d[0] + d[1], t[0] + t[1], sum(n), sum(n1), mean_words)
-    raters = [_model(tokens, d[1 - h], t[1 - h], n[1 - h], n1[1 - h], mean_words) for h in (0, 1)]
+    d, t, u = ([table[f"{c}{half}"].to_numpy() for half in (0, 1)] for c in "dtu")
+    model = _model(tokens, d[0] + d[1], t[0] + t[1], u[0] + u[1], sum(n), sum(n1), mean_words)
+    raters = [_model(tokens, d[1 - h], t[1 - h], u[1 - h], n[1 - h], n1[1 - h], mean_words) for h in (0, 1)]
     shared = docs.sparkSession.sparkContext.broadcast(raters)
 
     def evidence(batches):

@@ -31,6 +31,24 @@ def test_segments_match_the_definition():
         assert [s for *_, s in got] == pytest.approx([s for *_, s in want])
 
 
+def test_every_passage_of_a_long_text_is_found():
+    insults = [b"vile%d" % i for i in range(6)]
+    model = T.ToxicModel({w: 3.0 for w in insults} | {b"kind": -3.0}, frozenset(), lam=1.0, k=0.01)
+    plain = [b"word%d" % (i % 50) for i in range(400)]
+
+    def found(ws):
+        return [(a, b) for a, b, s in model.segments(ws) if s > model.chance(len(ws)) / model.lam]
+
+    assert found(plain + insults + plain + insults + plain) == [(400, 405), (806, 811)]
+    singles = [w for i in insults for w in [i] + plain[:150]]
+    at = len(singles) + 400
+    assert (at, at + 5) in found(singles + plain + insults + plain)
+    near = model.segments(plain + insults[:1] * 20 + plain)      # one word over and over is not a passage of many
+    assert near[0][2] < 4
+    spoken = model.segments(insults[:1] + [b"kind"] + plain + insults[1:2] + [b"kind"] + insults[2:3])
+    assert [(a, b) for a, b, _ in spoken] == [(0, 0), (402, 402), (404, 404)]
+
+
 def test_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
