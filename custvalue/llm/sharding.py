@@ -6,6 +6,9 @@ in another shard asks to move there.  Requests meet capacity quotas: opposite
 moves between two shards may always be swapped, and a shard with room takes its
 share of the rest; which requests are granted is a keyed hash, not an order.
 
+Groups of equal text that are then still cut are brought together, each in the
+shard with most of its rows among those whose even count has room for the rest.
+
 Afterwards the sizes are made exactly even: the rows of each shard are numbered,
 documents without links last, and what lies beyond the shard's even count fills
 the others.  So only documents whose move cuts no link leave, as long as there
@@ -14,12 +17,15 @@ are enough of them; groups larger than ``whole_group`` are the next to be cut.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custvalue.llm.common import cut, join_small, text_key, written
 
 SHARDS, MOVE_ROUNDS, SLACK, WHOLE_GROUP, BUCKET_ROWS = 8, 8, 0.05, 10_000, 20_000
+GATHER_CELLS = 1024
 
 
 def _unit(*cols) -> Column:
@@ -65,6 +71,43 @@ def propagate(nodes: DataFrame, edges: DataFrame, free: int, shards: int,
     return labels
 
 
+def gather(held: DataFrame, even: list[int]) -> DataFrame:
+    """(hub, home) of the groups of ``held(hub, label, n)`` that move whole to one shard.
+
+    It is the shard with most of their rows among those with room for the rest:
+    the shard's linked rows stay within its ``even`` count.  Groups move,
+    those with few rows elsewhere first, until none fits.  A gathered group is
+    never cut again, so this ends.  Per turn one aggregation, and a running sum
+    over at most shards x 64 x ``GATHER_CELLS`` rows.
+    """
+    moved = None
+    for turn in count():
+        full = {r["label"]: r["n"] for r in held.groupBy("label").agg(F.sum("n").alias("n")).collect()}   # one row per shard
+        rooms = [max(0, e - full.get(j, 0)) for j, e in enumerate(even)]
+        room = F.element_at(F.array(*[F.lit(r).cast("bigint") for r in rooms]), F.col("home") + 1)
+        away = [F.col("all") - F.coalesce(F.element_at("at", F.lit(j)), F.lit(0)) for j in range(len(even))]
+        best = F.array_min(F.array(*[F.when(a <= r, F.struct(a.alias("away"), F.lit(j).alias("home")))
+                                     for j, (a, r) in enumerate(zip(away, rooms))]))
+        lead = (held.groupBy("hub").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("at"),   # at most one entry per shard
+                                        F.sum("n").alias("all"))
+                .where(F.size("at") > 1).select("hub", best.alias("b")).where("b is not null").select("hub", "b.*"))
+        cell = ["home", "many", "cell"]
+        lead = cut(lead.withColumn("many", F.length(F.bin("away")))
+                   .withColumn("cell", F.pmod(F.xxhash64("hub", F.lit(turn)), F.lit(GATHER_CELLS))))
+        before = Window.partitionBy("home").orderBy("many", "cell").rowsBetween(Window.unboundedPreceding, 0)
+        fits = (lead.groupBy(*cell).agg(F.sum("away").alias("n")).withColumn("n", F.sum("n").over(before))
+                .where(F.col("n") <= room).select(*cell))
+        go = cut(lead.join(fits, cell).select("hub", "home"))
+        if not go.limit(1).count():
+            # a cell too large for the room left: its smallest group alone fits
+            go = cut(lead.groupBy("home").agg(F.min(F.struct("away", "hub")).alias("g")).select("g.hub", "home"))
+            if not go.limit(1).count():
+                return go if moved is None else moved
+        moved = go if moved is None else cut(moved.unionByName(go))
+        held = cut(held.join(go, "hub", "left").withColumn("label", F.coalesce("home", "label"))
+                   .groupBy("hub", "label").agg(F.sum("n").alias("n")))
+
+
 def cut_edges(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """Edges whose ends lie in different shards."""
     a = labels.select(F.col("id").alias("src"), F.col("label").alias("a"))
@@ -99,8 +142,12 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = MOVE_RO
                        free, shards, rounds)
     rows = (rows.join(labels.select(F.col("id").alias("rid"), F.col("label").alias("moved")), "rid", "left")
             .withColumn("label", F.coalesce("moved", "label")).drop("moved"))
-
     total = free + labels.count()
+    even = [total // shards + (j < total % shards) for j in range(shards)]
+    rows = written(rows, "shard-moved")
+    homes = gather(cut(rows.where("n is not null").groupBy("hub", "label").agg(F.count("*").alias("n"))), even)
+    rows = join_small(rows, homes, ["hub"], "left").withColumn("label", F.coalesce("home", "label")).drop("home")
+
     buckets = max(1, -(-total // bucket_rows))
     klass = F.when(F.col("n").isNull(), 2).when(F.col("n") > whole_group, 1).otherwise(0)
     spread = F.pmod(F.when(F.col("n") <= whole_group, F.xxhash64("key")).otherwise(F.xxhash64("doc_id", "key", F.col("rid") % 64)),
@@ -109,7 +156,6 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = MOVE_RO
     place = ["label", "klass", "bucket"]
     counts = cut(rows.groupBy(*place).agg(F.count("*").alias("n")))
     have = {r["label"]: r["n"] for r in counts.groupBy("label").agg(F.sum("n").alias("n")).collect()}
-    even = [total // shards + (j < total % shards) for j in range(shards)]
     over, free = [0], [0]
     for j in range(shards):
         over.append(over[-1] + max(0, have.get(j, 0) - even[j]))

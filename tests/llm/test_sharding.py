@@ -28,6 +28,18 @@ def test_even_and_together(spark):
     assert sum(len(v) > 1 for t, v in where.items()) <= 0.05 * 300      # groups of three that were cut
 
 
+def test_no_group_that_fits_is_cut(spark):
+    sizes = [2] * 200 + [3] * 200 + [10] * 40 + [50] * 10 + [150]
+    docs = [(0, f"group {g}") for g, n in enumerate(sizes) for _ in range(n)] + [(0, f"single {i}") for i in range(800)]
+    docs = [(i, t) for i, (_, t) in enumerate(docs)]
+    rows = shard_documents(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    check(rows, docs, 8)
+    where, text = defaultdict(set), dict(docs)
+    for r in rows:
+        where[text[r.doc_id]].add(r.shard)
+    assert [t for t, v in where.items() if len(v) > 1] == []
+
+
 def test_one_group_larger_than_a_shard(spark):
     docs = [(i, "the same text") for i in range(1200)] + [(i, f"pair {i // 2}") for i in range(1200, 1600)] + [(i, f"one {i}") for i in range(1600, 2400)]
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
