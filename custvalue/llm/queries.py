@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from custvalue.llm.common import table
 from custvalue.llm.decontaminate import contamination
 from custvalue.llm.language import identify_languages
+from custvalue.llm.merkle import verified_manifest
 from custvalue.llm.mixing import mix
 from custvalue.llm.pii import personal_data
 from custvalue.llm.quality import quality_scores
@@ -110,3 +112,75 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SpotSigs fingerprint of every document and of its edited text."""
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaf, roots and proof of every document; documents whose id's CRC-32 divides by 7 are
+    verified with one character too many in ``n_chars``."""
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    return verified_manifest(table(spark, sf_dir, "documents"), chosen, more)
+
+
+# CRC-32 of a decimal number: the reversed polynomial, bit by bit over its digits
+_CRC = (
+    "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, "
+    "list_transform(string_split(({0})::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)), "
+    "lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), "
+    "lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))")
+
+
+def _leaf(n_chars: str) -> str:
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+    return "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+SQL["op12_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(strlen(lang) || ':' || lang, '-') AS tree, lang, {_leaf("n_chars")} AS leaf,
+         CASE WHEN {_CRC.format("doc_id")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} END AS false_leaf
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS slot,
+         count(*) OVER (PARTITION BY tree) AS n
+  FROM d),
+low AS (
+  SELECT tree, lang, 0 AS level, slot, leaf AS hash, n FROM leaves
+  UNION ALL
+  SELECT tree, any_value(lang), any_value(level) + 1, slot // 2, sha256(string_agg(hash, '' ORDER BY slot)), (any_value(n) + 1) // 2
+  FROM low WHERE n > 1 GROUP BY tree, slot // 2),
+subroots AS (
+  SELECT tree, hash AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n_trees,
+         level AS height
+  FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, place AS slot, subroot AS hash, n_trees AS n FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, slot // 2, sha256(string_agg(hash, '' ORDER BY slot)), (any_value(n) + 1) // 2
+  FROM high WHERE n > 1 GROUP BY slot // 2),
+way AS (
+  SELECT l.doc_id, l.leaf, coalesce(l.false_leaf, l.leaf) AS start, l.tree, l.slot AS leaf_slot, s.subroot, s.place, s.height,
+         r.hash AS root, r.level AS top
+  FROM leaves l JOIN subroots s USING (tree), (SELECT hash, level FROM high WHERE n = 1) r),
+steps AS (
+  SELECT w.tree, w.leaf_slot, l AS step, (w.leaf_slot >> l) & 1 AS odd, sib.hash AS sibling
+  FROM (SELECT *, unnest(range(height)) AS l FROM way) w
+  LEFT JOIN low sib ON sib.tree = w.tree AND sib.level = l AND sib.slot = xor(w.leaf_slot >> l, 1)
+  UNION ALL
+  SELECT w.tree, w.leaf_slot, w.height + l, (w.place >> l) & 1, sib.hash
+  FROM (SELECT *, unnest(range(top)) AS l FROM way) w
+  LEFT JOIN high sib ON sib.level = l AND sib.slot = xor(w.place >> l, 1)),
+folds AS (
+  SELECT tree, leaf_slot, 0 AS step, start AS hash FROM way
+  UNION ALL
+  SELECT f.tree, f.leaf_slot, f.step + 1,
+         sha256(CASE WHEN s.sibling IS NULL THEN f.hash WHEN s.odd = 1 THEN s.sibling || f.hash ELSE f.hash || s.sibling END)
+  FROM folds f JOIN steps s ON s.tree = f.tree AND s.leaf_slot = f.leaf_slot AND s.step = f.step),
+proofs AS (
+  SELECT tree, leaf_slot, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256 FROM steps GROUP BY ALL)
+SELECT w.doc_id, w.leaf, w.subroot, w.root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+       f.hash AS folded_root, f.hash = w.root AS verified
+FROM way w LEFT JOIN proofs p USING (tree, leaf_slot)
+JOIN folds f ON f.tree = w.tree AND f.leaf_slot = w.leaf_slot AND f.step = w.height + w.top
+"""
