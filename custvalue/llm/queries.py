@@ -13,6 +13,7 @@ from custvalue.llm.language import identify_languages
 from custvalue.llm.merkle import verified_manifest
 from custvalue.llm.mixing import mix
 from custvalue.llm.pii import personal_data
+from custvalue.llm.prefix_trie import prefix_trie, rebased, turn_sequences
 from custvalue.llm.quality import quality_scores
 from custvalue.llm.sharding import shard_documents
 from custvalue.llm.shards import materialise
@@ -114,6 +115,14 @@ def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the conversations, each with its first turns taken from the start of its twenty."""
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    seqs = rebased(turn_sequences(table(spark, sf_dir, "conversations")), every=20, head=head, most=3)
+    return prefix_trie(seqs).drop("turn_key")
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle leaf, roots and proof of every document; documents whose id's CRC-32 divides by 7 are
@@ -184,3 +193,33 @@ SELECT w.doc_id, w.leaf, w.subroot, w.root, coalesce(p.proof_sha256, sha256(''))
 FROM way w LEFT JOIN proofs p USING (tree, leaf_slot)
 JOIN folds f ON f.tree = w.tree AND f.leaf_slot = w.leaf_slot AND f.step = w.height + w.top
 """
+
+SQL["op11_conversation_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, list(k ORDER BY turn NULLS FIRST, k) AS ks, list(w ORDER BY turn NULLS FIRST, k) AS ws,
+         {_CRC.format("conv_id")} % 4 AS h
+  FROM t GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ks[1:c.h], []), c.ks[c.h + 1:]) AS ks,
+         list_concat(coalesce(b.ws[1:c.h], []), c.ws[c.h + 1:]) AS ws
+  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 20),
+p AS (
+  SELECT conv_id, d, ks[1:d] AS path, ws[d] AS w, d = len(ks) AS ends
+  FROM (SELECT *, unnest(range(len(ks) + 1)) AS d FROM r)),
+n AS (
+  SELECT path, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(w), 0) AS w,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ended
+  FROM p GROUP BY path),
+kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (path)),
+below AS (
+  SELECT path[1:a] AS path, sum((n_convs - 1) * w)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS a FROM m) GROUP BY ALL)
+SELECT m.conv_id, m.depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, below.n_leaves, below.saved_tokens,
+       sha256(m.ended) AS ends_sha256
+FROM m JOIN below USING (path) LEFT JOIN m up ON m.depth > 0 AND up.path = m.path[1:m.depth - 1]
+"""
