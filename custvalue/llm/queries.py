@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from custvalue.llm.common import table
 from custvalue.llm.decontaminate import contamination
 from custvalue.llm.language import identify_languages
+from custvalue.llm.lsh_forest import minhash_components
 from custvalue.llm.merkle import verified_manifest
 from custvalue.llm.mixing import mix
 from custvalue.llm.pii import personal_data
@@ -132,6 +133,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(table(spark, sf_dir, "documents"), chosen, more)
 
 
+@query
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and near-duplicate component of every document, by an LSH forest."""
+    return minhash_components(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 # CRC-32 of a decimal number: the reversed polynomial, bit by bit over its digits
 _CRC = (
     "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, "
@@ -223,3 +230,30 @@ SELECT m.conv_id, m.depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children
        sha256(m.ended) AS ends_sha256
 FROM m JOIN below USING (path) LEFT JOIN m up ON m.depth > 0 AND up.path = m.path[1:m.depth - 1]
 """
+
+_SPLIT = "regexp_extract_all(coalesce(" + _FOLDED.format("text") + ", ''), '[^\\x20\\x09-\\x0D]+')"
+SQL["op13_minhash_near_dedup"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPLIT} AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
+           ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS grams FROM d),
+keys AS (SELECT min(doc_id) AS k, list_sort(grams) AS grams, len(any_value(grams)) AS n FROM s WHERE len(grams) > 0 GROUP BY ALL),
+tokens AS (SELECT k, n, unnest(grams) AS g FROM keys),
+rare AS (SELECT g, count(*) AS f FROM tokens GROUP BY g),
+ranked AS (
+  SELECT k, n, g, row_number() OVER (PARTITION BY k ORDER BY f, g) AS place FROM tokens JOIN rare USING (g)),
+heads AS (SELECT k, n, g FROM ranked WHERE place <= n - (4 * n + 4) // 5 + 1),
+cand AS (SELECT DISTINCT a.k AS a, b.k AS b FROM heads a JOIN heads b USING (g)
+         WHERE a.k < b.k AND 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n)),
+links AS (
+  SELECT a, b FROM (SELECT c.a, c.b, len(list_intersect(x.grams, y.grams)) AS i, x.n + y.n AS t
+                    FROM cand c JOIN keys x ON x.k = c.a JOIN keys y ON y.k = c.b)
+  WHERE 100 * i >= 80 * (t - i)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT k AS a, k AS b FROM keys UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+comp AS (SELECT a AS k, min(b) AS component_id FROM reach GROUP BY a),
+by_doc AS (SELECT s.doc_id, c.component_id FROM s JOIN keys ON keys.grams = list_sort(s.grams) JOIN comp c USING (k))
+SELECT s.doc_id, len(s.grams) AS n_shingles, coalesce(b.component_id, s.doc_id) AS component_id,
+       s.doc_id = coalesce(b.component_id, s.doc_id) AS kept
+FROM s LEFT JOIN by_doc b USING (doc_id)
+"""
