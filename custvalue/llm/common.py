@@ -93,9 +93,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     parent = cut(both.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("m"))
                  .select("id", F.least("id", "m").alias("p")))
     for _ in range(max_rounds):
-        grand = (parent.join(parent.select(F.col("id").alias("__q"), F.col("p").alias("g")),
-                             F.col("p") == F.col("__q")).select("id", "p", "g"))
-        seen = (both.join(grand.select(F.col("id").alias("dst"), F.col("g").alias("gv")), "dst")
+        # many nodes may share one parent and many edges one hub: both look it up in a
+        # table of one row per key, never in a plain join on that key
+        asked = parent.select(F.col("p").alias("__q")).distinct()
+        roots = asked.join(parent, F.col("__q") == F.col("id")).select(F.col("__q").alias("p"), F.col("p").alias("g"))
+        grand = cut(join_small(parent, written(roots, "roots"), ["p"]).select("id", "p", "g"))
+        seen = (join_small(both, grand.select(F.col("id").alias("dst"), F.col("g").alias("gv")), ["dst"])
                 .groupBy("src").agg(F.min("gv").alias("m")))
         hook = grand.join(seen.withColumnRenamed("src", "id"), "id")
         moves = hook.select(F.explode(F.array(

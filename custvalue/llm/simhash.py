@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custvalue.llm.common import connected_components, cut, text_key, written
+from custvalue.llm.common import connected_components, cut, join_small, text_key, written
 
 SEED = 42
 _CHUNK = 16384
@@ -124,8 +124,8 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2) ->
     groups = cut(fingerprint_groups(prints, max_bits))
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("m"))
     least = groups.join(first, "fp").groupBy("group").agg(F.min("m").alias("component_id"))
-    by_fp = groups.join(least, "group").select("fp", "component_id")
-    return prints.join(by_fp, "fp").select(
+    by_fp = written(groups.join(least, "group").select("fp", "component_id"), "simhash-groups")
+    return join_small(prints, by_fp, ["fp"]).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -135,17 +135,19 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataF
     Rows equal in doc_id and text count as copies of each other; one stays.
     All columns of ``docs`` are returned unchanged.
     """
-    cols = docs.columns
     key = text_key(F.col("text"))
-    prints = written(docs.select("doc_id", key.alias("__key"),
-                                 simhash_column(F.col("text"), shingle).alias("fp")), "dedup-prints")
+    prints = written(docs.select("doc_id", key.alias("key"), simhash_column(F.col("text"), shingle).alias("fp")),
+                     "dedup-prints")
     groups = cut(fingerprint_groups(prints, max_bits))
-    rows = prints.groupBy("fp", "doc_id", "__key").agg(F.count("*").alias("__n"))
-    best = (rows.join(groups, "fp").groupBy("group")
-            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__key", "__n")).alias("k")))
-    keep = best.select(F.col("k.doc_id").alias("__id"), F.col("k.__key").alias("__k"), F.col("k.__n").alias("__n"))
-    kept = docs.withColumn("__key", key)
-    kept = kept.join(keep, kept["__key"].eqNullSafe(keep["__k"]) & kept["doc_id"].eqNullSafe(keep["__id"]))
-    once = kept.where("__n = 1").select(*cols)
-    again = kept.where("__n > 1").dropDuplicates(["doc_id", "__key"]).select(*cols)
+    # the smallest document of a fingerprint before the join, so that no fingerprint is hot in it
+    first = (prints.groupBy("fp", "doc_id", "key").agg(F.count("*").alias("n"))
+             .groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "n")).alias("k")))
+    best = first.join(groups, "fp").groupBy("group").agg(F.min("k").alias("k"))
+    keep = best.select("k.doc_id", "k.key", "k.n").alias("keep")
+    # the row travels as one struct: columns of the user cannot clash with these
+    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).alias("docs")
+    same = text_key(F.col("docs.row.text")).eqNullSafe(F.col("keep.key")) & F.col("docs.row.doc_id").eqNullSafe(F.col("keep.doc_id"))
+    kept = boxed.join(keep, same).select("row", "keep.doc_id", "keep.key", "keep.n")
+    once = kept.where("n = 1").select("row.*")
+    again = kept.where("n > 1").dropDuplicates(["doc_id", "key"]).select("row.*")
     return once.unionByName(again)
