@@ -101,10 +101,19 @@ PRICE_SCALE = 10_000       # money is summed exactly in integer units of 1/10000
 FINE_SCALE = 1_000_000     # ... and what a price has beyond them in units of 1/10^10
 PRICE_LIMIT, LINE_LIMIT = 1e9, 1e14   # beyond these a price or line is no money: quarantine
 
-_UNITS = f"CAST(round(UnitPrice * {PRICE_SCALE}.0) AS BIGINT)"
-_FINE = f"CAST(round((UnitPrice * {PRICE_SCALE}.0 - round(UnitPrice * {PRICE_SCALE}.0)) * {FINE_SCALE}.0) AS BIGINT)"
-REVENUE_UNITS_SQL = f"CAST(Quantity AS BIGINT) * {_UNITS}"
-REVENUE_FINE_SQL = f"CAST(Quantity AS BIGINT) * {_FINE}"
+HIGH_SCALE = 1_000_000_000  # units of a line are split at 10^9, so that no sum of lines overflows
+
+# rint stays on doubles; round() would make a decimal object per line
+_UNITS = f"CAST(rint(UnitPrice * {PRICE_SCALE}.0) AS BIGINT)"
+_FINE = f"CAST(rint((UnitPrice * {PRICE_SCALE}.0 - rint(UnitPrice * {PRICE_SCALE}.0)) * {FINE_SCALE}.0) AS BIGINT)"
+_LINE_UNITS = f"(CAST(Quantity AS BIGINT) * {_UNITS})"
+_LINE_FINE = f"(CAST(Quantity AS BIGINT) * {_FINE})"
+# a line's revenue as three summable parts: 10^9 units, units, parts of a unit
+REVENUE_PARTS_SQL = {
+    "high": f"{_LINE_UNITS} div {HIGH_SCALE}",
+    "units": f"{_LINE_UNITS} % {HIGH_SCALE} + {_LINE_FINE} div {FINE_SCALE}",
+    "fine": f"{_LINE_FINE} % {FINE_SCALE}",
+}
 
 
 def money_ok(qty: str | Column, price: str | Column) -> Column:
@@ -115,26 +124,39 @@ def money_ok(qty: str | Column, price: str | Column) -> Column:
                       & (F.abs(col_(qty).cast("double") * p) < F.lit(LINE_LIMIT)), F.lit(False))
 
 
-def money_sql(units: str, fine: str) -> str:
-    """Both sums -> double.  Without a fine part the quotient is the correctly
-    rounded value of the exact decimal amount."""
-    return (f"(CAST({units} AS DOUBLE) / {PRICE_SCALE}.0 "
+def revenue_parts(name: str, when: str | None = None) -> list[Column]:
+    """Sums of the three parts of revenue, as ``{name}_high``, ``{name}_units`` and
+    ``{name}_fine``; with ``when`` (a SQL condition) of the lines that satisfy it."""
+    return [F.expr(f"sum({x if when is None else f'CASE WHEN {when} THEN {x} END'}) AS {name}_{part}")
+            for part, x in REVENUE_PARTS_SQL.items()]
+
+
+def money_sql(high: str, units: str, fine: str) -> str:
+    """The three sums -> double.  Without a fine part, below 2^53 units, the quotient is
+    the correctly rounded value of the exact decimal amount."""
+    return (f"((CAST({high} AS DOUBLE) * {HIGH_SCALE}.0 + CAST({units} AS DOUBLE)) / {PRICE_SCALE}.0 "
             f"+ CAST({fine} AS DOUBLE) / {PRICE_SCALE * FINE_SCALE}.0)")
 
 
+def money_of(name: str) -> str:
+    """``money_sql`` of the columns that ``revenue_parts`` made."""
+    return money_sql(f"{name}_high", f"{name}_units", f"{name}_fine")
+
+
 def revenue_sum() -> Column:
     """Exact, order-free revenue of a group of lines with Quantity and UnitPrice.
 
-    Two bigint sums stay in primitive codegen'd aggregation (a wide decimal
-    sum falls back to BigDecimal objects) and keep ten decimals of a price.
+    Three bigint sums stay in primitive codegen'd aggregation (a wide decimal
+    sum falls back to BigDecimal objects), keep ten decimals of a price and hold
+    four billion lines of the largest value that ``money_ok`` admits.
     """
-    return F.expr(money_sql(f"sum({REVENUE_UNITS_SQL})", f"sum({REVENUE_FINE_SQL})"))
+    return F.expr(money_sql(*(f"sum({x})" for x in REVENUE_PARTS_SQL.values())))
 
 
 def line_revenue() -> Column:
     """Revenue of one line: the exact decimal product, or the plain product
     where the price has more than four decimals."""
-    return F.expr(f"CASE WHEN {_FINE} = 0 THEN CAST({REVENUE_UNITS_SQL} AS DOUBLE) / {PRICE_SCALE}.0 "
+    return F.expr(f"CASE WHEN {_FINE} = 0 THEN CAST({_LINE_UNITS} AS DOUBLE) / {PRICE_SCALE}.0 "
                   f"ELSE Quantity * UnitPrice END")
 
 

@@ -10,13 +10,15 @@ lines is pre-combined in every map task and never lands whole in one task.
 from __future__ import annotations
 
 import datetime as _dt
+import math
+
+import numpy as np
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (HOURS, REVENUE_FINE_SQL, REVENUE_UNITS_SQL, WEEKDAYS,
-                                 count_parts, median_from_counts, median_sql, money_sql,
-                                 revenue_sum)
+from ..functions.columns import (HOURS, WEEKDAYS, count_parts, median_from_counts, median_sql, money_of,
+                                 revenue_parts, revenue_sum)
 
 # Aggregate-buffer columns of the two exact medians.
 _MEDIAN_PARTS = [c for c in ([f"_h{v}" for v in HOURS] + [f"_d{v}" for v in WEEKDAYS])]
@@ -51,8 +53,6 @@ def _feature_parts(ref_date=None, when: str | None = None) -> list[Column]:
         return x if when is None else f"({when}) AND ({x})"
 
     parts = [
-        f"sum({on(REVENUE_UNITS_SQL)}) AS _rev",
-        f"sum({on(REVENUE_FINE_SQL)}) AS _rev_fine",
         f"min({on('to_date(invoice_ts)')}) AS _first",
         f"max({on('to_date(invoice_ts)')}) AS _last",
         f"count({on('InvoiceNo')}) AS frequency",
@@ -64,7 +64,7 @@ def _feature_parts(ref_date=None, when: str | None = None) -> list[Column]:
         f"sum({on('weekend')}) AS _wkd",
         f"count({on('1')}) AS _n",
     ]
-    return [F.expr(p) for p in parts]
+    return [*revenue_parts("_rev", when), *[F.expr(p) for p in parts]]
 
 
 def median_columns() -> list[Column]:
@@ -77,7 +77,7 @@ def _finish(parts: DataFrame, ref_date, key: str, extra: list[str] = ()) -> Data
     """Turn the aggregate parts into the eleven features (null -> 0), in one
     projection."""
     d = _date_sql(ref_date)
-    rev = money_sql("_rev", "_rev_fine")
+    rev = money_of("_rev")
     freq = "CAST(frequency AS DOUBLE)"
     t = f"datediff({d}, _first)"
     exprs = [
@@ -206,13 +206,10 @@ def features_with_target(lines: DataFrame, ref_date="2011-06-11",
         else f"TIMESTAMP_NTZ'{split_date}'"
     parts = (lines.filter(F.col(key).isNotNull()).groupBy(key)
                   .agg(*_feature_parts(ref_date, when=f"invoice_ts < {cut}"),
-                       F.expr(f"sum(CASE WHEN invoice_ts >= {cut} THEN {REVENUE_UNITS_SQL} END)")
-                       .alias("_target"),
-                       F.expr(f"sum(CASE WHEN invoice_ts >= {cut} THEN {REVENUE_FINE_SQL} END)")
-                       .alias("_target_fine"))
+                       *revenue_parts("_target", f"invoice_ts >= {cut}"))
                   .filter(F.col("_n") > 0))
     feats = _finish(parts, ref_date, key, extra=[
-        f"coalesce({money_sql('_target', '_target_fine')}, 0.0) AS target_rev"])
+        f"coalesce({money_of('_target')}, 0.0) AS target_rev"])
     return feats
 
 
@@ -228,31 +225,78 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Count, mean, stddev, min, max per numeric column (long format).
+    """Count, mean, stddev, min, quartiles and max per numeric column (long format).
+
+    Plain double values of any size: mean and variance merge pairwise by their
+    deviations (no large squares are subtracted).  Null and NaN do not count.
+
+    The quartiles are exact (linear between neighbours): see ``exact_quantiles``.
+    """
+    cells = _cells(df, cols)
+    stats = cells.groupBy("column").agg(
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev("v").alias("stddev"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
+    q = q.select("column", F.col("`0.25`").alias("q25"), F.col("`0.5`").alias("q50"), F.col("`0.75`").alias("q75"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return (names.join(F.broadcast(stats), "column", "left").join(F.broadcast(q), "column", "left")   # one row per column
+            .select("column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "stddev", "min", "q25", "q50", "q75", "max"))
+
+
+def _cells(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, v) of every number in ``cols``."""
+    cell = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]
+    return df.select(F.inline(F.array(*cell))).where("v is not null and not isnan(v)")
+
+
+QUANTILE_CELLS = 4096      # cells of an interval in one round
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float]) -> DataFrame:
+    """``column, p, value``: exact quantiles, linear between the two neighbouring values.
 
-    Means and variances come from exact decimal sums (order-free), computed in
-    one aggregation for all columns, then unpivoted.
+    Histogram refinement: a round counts the values in the cells of every interval that
+    holds a wanted rank, with the smallest and largest value of each cell; the cell with
+    the rank is the next interval, until it is one value.  The counts are a mergeable
+    aggregation; at most ``QUANTILE_CELLS`` rows per wanted rank reach the driver, and
+    no value list does.  Infinite values count as the largest finite ones.
     """
-    aggs = []
-    for c in cols:
-        d = F.col(c).cast("decimal(18,4)")
-        aggs += [F.count(c).alias(f"{c}__n"), F.sum(d).alias(f"{c}__s"),
-                 F.sum(d * d).alias(f"{c}__ss"),
-                 F.min(c).cast("double").alias(f"{c}__min"),
-                 F.max(c).cast("double").alias(f"{c}__max")]
-    one = df.agg(*aggs)
-    rows = []
-    for c in cols:
-        n = F.col(f"{c}__n").cast("double")
-        s = F.col(f"{c}__s").cast("double")
-        ss = F.col(f"{c}__ss").cast("double")
-        var = F.try_divide(ss - s * s / n, n - F.lit(1.0))
-        rows.append(F.struct(F.lit(c).alias("column"), F.col(f"{c}__n").alias("count"),
-                             F.try_divide(s, n).alias("mean"),
-                             F.sqrt(F.greatest(var, F.lit(0.0))).alias("stddev"),
-                             F.col(f"{c}__min").alias("min"),
-                             F.col(f"{c}__max").alias("max")))
-    return one.select(F.inline(F.array(*rows)))
+    spark = df.sparkSession
+    top = float(np.finfo(np.float64).max)
+    cells = _cells(df, cols).select("column", F.greatest(F.lit(-top), F.least(F.lit(top), F.col("v"))).alias("v"))
+    sizes = {r["column"]: r for r in cells.groupBy("column").agg(
+        F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    ranks = {(c, k) for c, r in sizes.items() for p in probabilities
+             for k in (math.floor(p * (r["n"] - 1)), math.ceil(p * (r["n"] - 1)))}
+    left = {(c, k): (sizes[c]["lo"], sizes[c]["hi"], k) for c, k in ranks}
+    value: dict = {}
+    while True:
+        value.update({w: lo for w, (lo, hi, _) in left.items() if lo == hi})
+        left = {w: x for w, x in left.items() if w not in value}
+        if not left:
+            break
+        held = spark.createDataFrame(sorted({(c, lo, hi) for (c, _), (lo, hi, _) in left.items()}),
+                                     "column string, lo double, hi double")
+        share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        cell = F.least(F.floor(share * QUANTILE_CELLS), F.lit(QUANTILE_CELLS - 1))
+        counts: dict = {}
+        for r in (cells.join(F.broadcast(held), "column").where("v between lo and hi")      # a row per wanted rank
+                  .groupBy("column", "lo", "hi", cell.alias("cell"))
+                  .agg(F.count("v").alias("n"), F.min("v").alias("first"), F.max("v").alias("last")).collect()):
+            counts.setdefault((r["column"], r["lo"], r["hi"]), []).append((r["cell"], r["n"], r["first"], r["last"]))
+        for w, (lo, hi, rank) in left.items():
+            for _, n, first, last in sorted(counts[(w[0], lo, hi)]):
+                if rank < n:
+                    left[w] = (first, last, rank)
+                    break
+                rank -= n
+    out = []
+    for c, r in sizes.items():
+        for p in probabilities:
+            at = p * (r["n"] - 1)
+            lo, hi = value[(c, math.floor(at))], value[(c, math.ceil(at))]
+            out.append((c, float(p), lo + (hi - lo) * (at - math.floor(at))))
+    return spark.createDataFrame(out, "column string, p double, value double")
 
 
 def clean_counts(raw: DataFrame) -> DataFrame:

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import hash_bucket
 from ..schemas import FEATURE_COLUMNS
+from .moments import (LinearModel, fit_linear, load_linear, load_sums, merge_sums, moment_sums,
+                      save_linear, solve)
 
 # Fixed value of the registry (it must equal the source system's):
 MODEL_PREFIX = "CLV_V"          # folder names CLV_V1, CLV_V2, ...
@@ -129,18 +131,61 @@ def save_model_version(spark: SparkSession, model: PipelineModel, model_dir: str
     return path
 
 
-def load_latest_model(spark: SparkSession, model_dir: str) -> PipelineModel | None:
+def _latest_path(spark: SparkSession, model_dir: str) -> str | None:
     vs = model_versions(spark, model_dir)
-    if not vs:
+    return f"{model_dir.rstrip('/')}/{MODEL_PREFIX}{vs[-1]}" if vs else None
+
+
+def _is_linear(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, f"{path}/linear/_SUCCESS")
+    return fs.exists(p)
+
+
+def load_latest_model(spark: SparkSession, model_dir: str) -> PipelineModel | LinearModel | None:
+    path = _latest_path(spark, model_dir)
+    if path is None:
         return None
-    return PipelineModel.load(f"{model_dir.rstrip('/')}/{MODEL_PREFIX}{vs[-1]}")
+    return load_linear(spark, path) if _is_linear(spark, path) else PipelineModel.load(path)
+
+
+def first_linear(spark: SparkSession, model_dir: str, train: DataFrame, feature_cols=FEATURE_COLUMNS,
+                 label_col: str = "target_rev") -> str:
+    """Fit a linear model on ``train`` alone and save it, with its sums, as the next version."""
+    return _save_sums(spark, model_dir, moment_sums(train, feature_cols, label_col), label_col)
+
+
+def update_linear(spark: SparkSession, model_dir: str, new_rows: DataFrame, feature_cols=FEATURE_COLUMNS,
+                  label_col: str = "target_rev") -> str:
+    """Add the sums of ``new_rows`` to those of the latest version and save the model of
+    both as the next version.  Rows of earlier versions are not read again; without an
+    earlier linear version the model is that of ``new_rows`` alone."""
+    latest = _latest_path(spark, model_dir)
+    sums = moment_sums(new_rows, feature_cols, label_col)
+    if latest and _is_linear(spark, latest):
+        sums = merge_sums(load_sums(spark, latest), sums)
+    return _save_sums(spark, model_dir, sums, label_col)
+
+
+def _save_sums(spark: SparkSession, model_dir: str, sums: DataFrame, label_col: str) -> str:
+    path = f"{model_dir.rstrip('/')}/{MODEL_PREFIX}{next_model_version(spark, model_dir)}"
+    sums = sums.persist()                                 # one row per pair of columns
+    try:
+        save_linear(spark, path, solve(sums, label_col), sums)
+    finally:
+        sums.unpersist()
+    return path
 
 
 def update_model(spark: SparkSession, model_dir: str, train: DataFrame,
                  feature_cols=FEATURE_COLUMNS, label_col: str = "target_rev",
                  kind: str = "linear") -> str:
-    """U3 (fine-tune): refit on new data starting from the latest version's
-    chosen parameters, and save as the next version."""
+    """U3 (fine-tune): bring the latest version up to date with ``train`` and save the next one.
+
+    A linear model adds the sums of the new rows to its own (``update_linear``).  Trees
+    cannot be merged: they are fitted again with the parameters chosen before, on
+    ``train``, which then has to hold all rows."""
+    if kind == "linear":
+        return update_linear(spark, model_dir, train, feature_cols, label_col)
     prev = load_latest_model(spark, model_dir)
     if prev is None:
         model = fit_value_model(train, feature_cols, label_col, kind)
@@ -160,7 +205,4 @@ def update_model(spark: SparkSession, model_dir: str, train: DataFrame,
 
 def fit_series_model(windows: DataFrame, x_cols=("x0", "x1"), label_col: str = "y"):
     """U7 re-aimed: linear one-step forecast of y from the values before it."""
-    asm = VectorAssembler(inputCols=list(x_cols), outputCol="features")
-    lr = LinearRegression(featuresCol="features", labelCol=label_col)
-    with _persisted(windows) as w:
-        return Pipeline(stages=[asm, lr]).fit(w)
+    return fit_linear(windows, list(x_cols), label_col)

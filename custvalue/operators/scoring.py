@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +52,64 @@ def score_features(features: DataFrame, model=None, key: str = "CustomerID",
     return model.transform(known_features(features)).select(key, F.col("prediction").alias(out_col))
 
 
+# ---- U1: a model from elsewhere ------------------------------------------------
+
+MODEL_BYTES = 64 << 20       # a model file is broadcast; a larger one is refused
+
+
+def linear_file(data: bytes) -> Callable[[np.ndarray], np.ndarray]:
+    """Loader of a coefficient file: JSON ``{"intercept": x, "coefficients": [...]}`` in feature order."""
+    spec = json.loads(data)
+    w, b = np.array(spec["coefficients"], float), float(spec.get("intercept", 0.0))
+
+    def predict(x: np.ndarray) -> np.ndarray:
+        out = np.full(len(x), b)
+        for i, v in enumerate(w):                         # left to right, as the formula in SQL
+            out = out + v * x[:, i]
+        return out
+
+    return predict
+
+
+_LOADED: dict = {}                                        # one entry per Python worker
+
+
+def _loaded(loader: Callable, data: bytes) -> Callable:
+    key = (loader.__module__, loader.__qualname__, hashlib.sha256(data).hexdigest())
+    if _LOADED.get("key") != key:
+        _LOADED.update(key=key, predict=loader(data))
+    return _LOADED["predict"]
+
+
+def score_with_file(features: DataFrame, model_path: str, feature_cols: list[str],
+                    loader: Callable[[bytes], Callable] = linear_file, key: str = "CustomerID",
+                    out_col: str = "CLV_Prediction") -> DataFrame:
+    """Scores of a model that Spark does not know.
+
+    ``loader`` turns the bytes of the file (or folder of text parts) at ``model_path`` into a function from a matrix of
+    ``feature_cols`` to one value per row.  The file is read through Spark's file systems, broadcast
+    (at most ``MODEL_BYTES``), and loaded once per Python worker; rows go through it in Arrow batches.
+    Missing features count as 0.
+    """
+    from .model import known_features
+    spark = features.sparkSession
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(model_path)
+    size = files.agg(F.sum("length")).first()[0] or 0
+    if not 0 < size <= MODEL_BYTES:
+        raise ValueError(f"model file of {size} bytes at {model_path}")
+    data = spark.sparkContext.broadcast(b"".join(bytes(r["content"]) for r in files.orderBy("path").collect()))
+
+    @F.arrow_udf("double")
+    def predict(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        model = _loaded(loader, data.value)
+        for cols in batches:
+            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), float) for c in cols])
+            yield pa.array(model(x), pa.float64())
+
+    ready = known_features(features, feature_cols).select(key, *[F.col(c).cast("double").alias(c) for c in feature_cols])
+    return ready.select(key, predict(*feature_cols).alias(out_col))
+
+
 SALTS = 8   # default split of every customer's lines in the score join
 
 
@@ -118,8 +182,8 @@ def _text(c: str) -> Column:
 
 
 def row_key() -> Column:
-    """``{InvoiceNo}-{CustomerID}``; a missing part is empty text, so that two
-    rows share a key only if both parts agree."""
+    """``{InvoiceNo}-{CustomerID}``, the fixed key format; a missing part is empty text.
+    Parts that spell the same key (null and empty, or a hyphen inside) are one row."""
     return F.concat(F.coalesce("InvoiceNo", F.lit("")), F.lit("-"), F.coalesce("CustomerID", F.lit("")))
 
 
@@ -141,6 +205,7 @@ def kv_upsert_latest(scored: DataFrame, cells=KV_CELLS, position: str = "item_po
     """
     order = F.col("invoice_epoch").cast("bigint") * F.lit(1 << 31) + F.col(position).cast("bigint")
     cols = list(dict.fromkeys([c for c in cells if c != "InvoiceDate"] + ["invoice_epoch"]))
-    last = (scored.withColumn("_o", order).groupBy("InvoiceNo", "CustomerID")
+    # by the key that is stored: two pairs that spell one key are one row, of the last put
+    last = (scored.withColumn("_o", order).groupBy(row_key().alias("rowkey"))
                   .agg(*[F.max_by(c, "_o").alias(c) for c in cols]))
-    return kv_rows(last, cells)
+    return last.select("rowkey", *[_text(c).alias(f"cf_{c}") for c in cells])

@@ -100,14 +100,19 @@ def regression_metrics(df: DataFrame, pred_col: str, label_col: str) -> DataFram
     Errors are scaled by the power of two that brings the largest one to about
     2^40 (scaling is exact), rounded to integers and summed as decimals: the
     sums do not depend on row order or partitioning, and keep twelve digits
-    below the largest error whatever its size.
+    below the largest error whatever its size.  Rows whose error is null, NaN or
+    infinite are counted as ``n_unknown`` and left out; without any other row the
+    metrics are null.
     """
     e = F.abs(F.col(pred_col) - F.col(label_col))
+    known = ~F.isnan(e) & (e < F.lit(math.inf))           # null, NaN and infinite errors have no size
+    df = df.select(F.when(known, e).alias("_e"))
+    e = F.col("_e")
     top = df.agg(F.max(e).alias("top")).first()["top"]
     scale = 2.0 ** (ERROR_BITS - math.ceil(math.log2(top))) if top else 1.0
     em = F.round(e * F.lit(scale)).cast("decimal(19,0)")
-    m = df.agg(F.count(F.lit(1)).alias("n"), F.sum(em).alias("sae"), F.sum((em * em).cast("decimal(38,0)")).alias("sse"))
+    m = df.agg(F.count(e).alias("n"), F.count_if(e.isNull()).alias("n_unknown"), F.sum(em).alias("sae"), F.sum((em * em).cast("decimal(38,0)")).alias("sse"))
     n = F.col("n").cast("double")
-    mae = F.col("sae").cast("double") / (n * F.lit(scale))
-    mse = F.col("sse").cast("double") / (n * F.lit(scale * scale))
-    return m.select("n", mae.alias("mae"), mse.alias("mse"), F.sqrt(mse).alias("rmse"))
+    mae = F.try_divide(F.col("sae").cast("double"), n * F.lit(scale))
+    mse = F.try_divide(F.col("sse").cast("double"), n * F.lit(scale * scale))
+    return m.select("n", "n_unknown", mae.alias("mae"), mse.alias("mse"), F.sqrt(mse).alias("rmse"))

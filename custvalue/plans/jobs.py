@@ -29,8 +29,13 @@ def train_job(spark: SparkSession, lines: DataFrame, model_dir: str,
         W.write_jdbc(C.drop_helpers(clean), mode="overwrite", **jdbc)
     ft = SE.hash_split(FE.features_with_target(clean, ref_date, split_date), "CustomerID")
     with M._persisted(ft) as ft:                 # one row per customer, read by fit and test
-        model = M.fit_value_model(ft.filter(F.col("split") == "train"), kind=kind)
-        path = M.save_model_version(spark, model, model_dir)
+        train = ft.filter(F.col("split") == "train")
+        if kind == "linear":                     # fitted on these rows alone: update_model adds later ones
+            path = M.first_linear(spark, model_dir, train)
+            model = M.load_linear(spark, path)
+        else:
+            model = M.fit_value_model(train, kind=kind)
+            path = M.save_model_version(spark, model, model_dir)
         metrics = M.evaluate(model.transform(M.known_features(ft.filter(F.col("split") == "test"))))
     return {"model_path": path, **metrics}
 

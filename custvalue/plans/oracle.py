@@ -257,13 +257,12 @@ SQL["null_profile"] = BASE + "\nSELECT " + ", ".join(
 
 
 def _describe(c: str) -> str:
-    d = f"CAST({c} AS DECIMAL(18,4))"
+    quarters = ", ".join(f"round(quantile_cont(CAST({c} AS DOUBLE), {q / 100}), 6) AS q{q}" for q in (25, 50, 75))
     return f"""
-SELECT '{c}' AS "column", n AS count, s / CAST(n AS DOUBLE) AS mean,
-       sqrt(greatest((ss - s * s / CAST(n AS DOUBLE)) / (CAST(n AS DOUBLE) - 1.0), 0.0)) AS stddev,
-       mn AS min, mx AS max
-FROM (SELECT COUNT({c}) AS n, CAST(SUM({d}) AS DOUBLE) AS s, CAST(SUM({d} * {d}) AS DOUBLE) AS ss,
-             CAST(MIN({c}) AS DOUBLE) AS mn, CAST(MAX({c}) AS DOUBLE) AS mx FROM lines)"""
+SELECT '{c}' AS "column", COUNT({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
+       round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, {quarters},
+       CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max
+FROM lines"""
 
 
 SQL["describe_lines"] = BASE + "\n" + "\nUNION ALL".join(
@@ -337,7 +336,7 @@ def _score_sql() -> str:
 
 SCORE = _score_sql()
 
-SQL["regression_metrics"] = BASE + """,
+SPLIT_FEATURES = BASE + """,
 early AS (SELECT * FROM lines WHERE invoice_ts < TIMESTAMP '""" + SPLIT_DATE + """ 00:00:00'),
 late AS (SELECT * FROM lines WHERE invoice_ts >= TIMESTAMP '""" + SPLIT_DATE + """ 00:00:00'),""" \
     + features_cte("feats", "early") + """,
@@ -346,7 +345,9 @@ target AS (
          CAST(SUM(CAST(Quantity AS DECIMAL(10,0)) * CAST(UnitPrice AS DECIMAL(18,4))) AS DOUBLE) AS target_rev
   FROM late WHERE CustomerID IS NOT NULL GROUP BY CustomerID),
 ft AS (SELECT f.*, coalesce(target_rev, 0.0) AS target_rev
-       FROM feats f LEFT JOIN target g ON f.CustomerID = g.CustomerID)""" + f"""
+       FROM feats f LEFT JOIN target g ON f.CustomerID = g.CustomerID)"""
+
+SQL["regression_metrics"] = SPLIT_FEATURES + f"""
 SELECT n, CAST(sae AS DOUBLE) / (CAST(n AS DOUBLE) * scale) AS mae,
        CAST(CAST(sse AS VARCHAR) AS DOUBLE) / (CAST(n AS DOUBLE) * (scale * scale)) AS mse,
        sqrt(CAST(CAST(sse AS VARCHAR) AS DOUBLE) / (CAST(n AS DOUBLE) * (scale * scale))) AS rmse
@@ -357,10 +358,69 @@ FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n, SUM(em) AS sae,
             FROM (SELECT e, power(2.0, 40 - ceil(log2(max(e) OVER ()))) AS scale
                   FROM (SELECT abs({SCORE} - target_rev) AS e FROM ft))))"""
 
+
+def least_squares(name: str, src: str, cols: list[str], label: str) -> str:
+    """CTEs ``{name}_w(i, w)`` and ``{name}_0(intercept)``: least squares of ``label`` on ``cols``
+    over ``src``, by Gauss-Jordan elimination of the correlation matrix with the ridge on its diagonal."""
+    from ..operators.moments import RIDGE
+    k = len(cols)
+    values = ", ".join(f"CAST({c} AS DOUBLE)" for c in [*cols, label])
+    return f"""
+{name}_x AS (SELECT rid, unnest(range(1, {k + 2})) AS i, unnest([{values}]) AS v
+             FROM (SELECT row_number() OVER () AS rid, * FROM {src})),
+{name}_s AS (SELECT i, avg(v) AS m, stddev_pop(v) AS sd FROM {name}_x GROUP BY i),
+{name}_r AS (SELECT a.i, b.i AS j, CASE WHEN min(a.v) = max(a.v) OR min(b.v) = max(b.v) THEN 0.0 ELSE corr(a.v, b.v) END
+                    + CASE WHEN a.i = b.i THEN {RIDGE!r} ELSE 0.0 END AS r
+             FROM {name}_x a JOIN {name}_x b USING (rid) WHERE a.i <= {k} GROUP BY a.i, b.i),
+{name}_m AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(r ORDER BY j) AS r FROM {name}_r GROUP BY i)),
+{name}_e AS (
+  SELECT 0 AS k, m FROM {name}_m
+  UNION ALL
+  SELECT k + 1, list_transform(range(1, {k + 1}), lambda r: CASE WHEN r = k + 1
+           THEN list_transform(m[r], lambda v: v / m[k + 1][k + 1])
+           ELSE list_transform(range(1, {k + 2}), lambda c: m[r][c] - m[r][k + 1] / m[k + 1][k + 1] * m[k + 1][c]) END)
+  FROM {name}_e WHERE k < {k}),
+{name}_w AS (SELECT s.i, s.m, CASE WHEN s.sd = 0 THEN 0.0 ELSE e.m[s.i][{k + 1}] * y.sd / s.sd END AS w
+             FROM {name}_e e, {name}_s s, {name}_s y WHERE e.k = {k} AND s.i <= {k} AND y.i = {k + 1}),
+{name}_0 AS (SELECT any_value(y.m) - sum(b.w * b.m) AS intercept FROM {name}_w b, {name}_s y WHERE y.i = {k + 1})"""
+
+
+def linear(name: str, cols: list[str]) -> str:
+    """The model's value of a row, as a scalar expression."""
+    terms = " + ".join(f"(SELECT w FROM {name}_w WHERE i = {i}) * CAST({c} AS DOUBLE)" for i, c in enumerate(cols, 1))
+    return f"((SELECT intercept FROM {name}_0) + {terms})"
+
+
+_FEATURES = FEATURE_COLS.replace("\n", " ").split(", ")[1:]
+_TRAIN = SPLIT_FEATURES.replace("WITH", "WITH RECURSIVE", 1) + f""",
+train AS (SELECT * FROM ft WHERE {_BUCKET.format(k='CustomerID')} < 80),""" + least_squares("ls", "train", _FEATURES, "target_rev")
+
+SQL["fit_predict"] = _TRAIN + f"""
+SELECT CustomerID, target_rev, round({linear("ls", _FEATURES)}, 2) AS CLV_Prediction
+FROM ft WHERE {_BUCKET.format(k='CustomerID')} >= 80"""
+
+SQL["fit_update"] = _TRAIN + f"""
+SELECT [{", ".join(f"'{c}'" for c in _FEATURES)}][i] AS feature, round(w, 6) AS coefficient FROM ls_w
+UNION ALL SELECT 'intercept', round(intercept, 6) FROM ls_0"""
+
+SQL["series_forecast"] = SERIES.replace("WITH", "WITH RECURSIVE", 1) + """,
+mm AS (SELECT MIN(TotalValue) AS lo, MAX(TotalValue) AS hi FROM split_series WHERE split = 'train'),
+win AS (
+  SELECT a.split, a.split_pos AS t, (a.TotalValue - lo) / (hi - lo) AS x0, (b.TotalValue - lo) / (hi - lo) AS x1,
+         (c.TotalValue - lo) / (hi - lo) AS y
+  FROM mm, split_series a
+  JOIN split_series b ON b.split = a.split AND b.split_pos = a.split_pos + 1
+  JOIN split_series c ON c.split = a.split AND c.split_pos = a.split_pos + 2),
+wtrain AS (SELECT * FROM win WHERE split = 'train'),""" + least_squares("ls", "wtrain", ["x0", "x1"], "y") + f"""
+SELECT split, t, round(y * (hi - lo) + lo, 2) AS actual_value,
+       round({linear("ls", ["x0", "x1"])} * (hi - lo) + lo, 2) AS predicted_value
+FROM win, mm WHERE split = 'test'"""
+
 SCORED = FEATS + f""",
 scores AS (SELECT CustomerID, {SCORE} AS CLV_Prediction FROM feats),
 scored AS (SELECT l.*, s.CLV_Prediction FROM lines l LEFT JOIN scores s ON l.CustomerID = s.CustomerID)"""
 
+SQL["score_foreign"] = SCORED + "\nSELECT CustomerID, CLV_Prediction FROM scores"
 SQL["score_features"] = SCORED + "\nSELECT CustomerID, CLV_Prediction FROM scores"
 
 SQL["scored_lines"] = SCORED + f"\nSELECT {CLEAN_COLS}, CLV_Prediction FROM scored"

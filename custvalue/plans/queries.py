@@ -204,7 +204,20 @@ def q_null_profile(spark, sf):
 
 @query("describe_lines")
 def q_describe_lines(spark, sf):
-    return FE.describe_numeric(lines(spark, sf), ["Quantity", "UnitPrice", "Revenue"])
+    d = FE.describe_numeric(lines(spark, sf), ["Quantity", "UnitPrice", "Revenue"])
+    # the order of a sum of doubles shows in the last digits only
+    return d.select("column", "count", *[F.round(c, 6).alias(c) for c in ("mean", "stddev", "q25", "q50", "q75")], "min", "max")
+
+
+@query("score_foreign")
+def q_score_foreign(spark, sf):
+    """The value formula as a coefficient file, scored through the foreign-model route."""
+    import json
+    from ..session import scratch_path
+    path = scratch_path(spark, "foreign-model") + "/model"
+    spec = json.dumps({"intercept": 0.0, "coefficients": [w for _, w in S.SCORE_WEIGHTS]})
+    spark.createDataFrame([(spec,)], "value string").coalesce(1).write.text(path)
+    return S.score_with_file(FE.customer_features(lines(spark, sf), REF_DATE), path, [c for c, _ in S.SCORE_WEIGHTS])
 
 
 @query("clean_counts")
@@ -250,7 +263,7 @@ def q_minmax_scale(spark, sf):
 def q_regression_metrics(spark, sf):
     ft = FE.features_with_target(lines(spark, sf), REF_DATE, split_date=SPLIT_DATE)
     pred = ft.select("target_rev", S.linear_score().alias("pred"))
-    return SE.regression_metrics(pred, "pred", "target_rev")
+    return SE.regression_metrics(pred, "pred", "target_rev").drop("n_unknown")
 
 
 # ---- 2.10 scoring and sinks -----------------------------------------------

@@ -196,7 +196,7 @@ def q_scan_csv(spark, sf):
     return read_csv_lines(spark, f"{root}/csv")
 
 
-# ---- fitted models (rows-only: no SQL twin) ---------------------------------
+# ---- fitted models ------------------------------------------------------------
 
 @query("fit_predict")
 def q_fit_predict(spark, sf):
@@ -204,13 +204,31 @@ def q_fit_predict(spark, sf):
     test customers."""
     from ..operators import features as FE
     from ..operators import series as SE
-    from ..operators.model import fit_value_model, known_features
+    from ..operators.model import fit_linear, known_features
     from .queries import TRAIN_PCT, lines
     ft = FE.features_with_target(lines(spark, sf), REF_DATE, split_date=SPLIT_DATE)
     ft = SE.hash_split(ft, "CustomerID", TRAIN_PCT)
-    model = fit_value_model(ft.filter(F.col("split") == "train"))
+    model = fit_linear(ft.filter(F.col("split") == "train"))
     return (model.transform(known_features(ft.filter(F.col("split") == "test")))
-                 .select("CustomerID", "target_rev", F.col("prediction").alias("CLV_Prediction")))
+                 .select("CustomerID", "target_rev", F.round("prediction", 2).alias("CLV_Prediction")))
+
+
+@query("fit_update")
+def q_fit_update(spark, sf):
+    """A model of one half of the train customers, saved, then updated by the sums of the
+    other half: the coefficients are those of both halves together."""
+    from ..operators import features as FE
+    from ..operators import series as SE
+    from ..operators.model import first_linear, update_linear
+    from ..operators.moments import load_linear
+    from .queries import TRAIN_PCT, lines
+    ft = SE.hash_split(FE.features_with_target(lines(spark, sf), REF_DATE, split_date=SPLIT_DATE), "CustomerID", TRAIN_PCT)
+    train = ft.filter(F.col("split") == "train")
+    registry = scratch_path(spark, "fit_update")
+    first_linear(spark, registry, train.filter(F.col("bucket") < TRAIN_PCT // 2))
+    model = load_linear(spark, update_linear(spark, registry, train.filter(F.col("bucket") >= TRAIN_PCT // 2)))
+    rows = [*model.coefficients.items(), ("intercept", model.intercept)]
+    return spark.createDataFrame(rows, "feature string, coefficient double").withColumn("coefficient", F.round("coefficient", 6))
 
 
 @query("series_forecast")
@@ -228,4 +246,5 @@ def q_series_forecast(spark, sf):
     pred = model.transform(win.filter(F.col("split") == "test"))
     pred = SE.minmax_inverse(pred, "prediction", lo, hi, "predicted_value")
     pred = SE.minmax_inverse(pred, "y", lo, hi, "actual_value")
-    return pred.select("split", "t", "actual_value", "predicted_value")
+    return pred.select("split", "t", F.round("actual_value", 2).alias("actual_value"),
+                       F.round("predicted_value", 2).alias("predicted_value"))

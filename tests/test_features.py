@@ -1,4 +1,9 @@
 """Feature aggregation: one-pass = join chain, edge cases, label split."""
+import datetime as dt
+
+import numpy as np
+from pyspark.sql import functions as F
+
 from custvalue.operators import clean as C
 from custvalue.operators import features as FE
 from custvalue.schemas import FEATURE_COLUMNS, FLAT_LINE
@@ -100,3 +105,33 @@ def test_target_revenue_equals_total_revenue(spark):
     t = {r.CustomerID: r.target_rev for r in FE.target_revenue(s).collect()}
     f = {r.CustomerID: r.total_revenue for r in FE.customer_features(s, "2024-01-31").collect()}
     assert t == f
+
+
+def test_describe_plain_values_of_any_size(spark):
+    values = [1e-5, 3e-5, 1e15, -1e15, 0.0, 7.25, float("nan"), None]
+    d = FE.describe_numeric(spark.createDataFrame([(v,) for v in values], "x double"), ["x"]).first()
+    known = np.array(values[:6])
+    assert d["count"] == 6 and d["min"] == -1e15 and d["max"] == 1e15
+    assert np.isclose(d["mean"], known.mean(), rtol=1e-9) and np.isclose(d["stddev"], known.std(ddof=1), rtol=1e-9)
+    assert [d["q25"], d["q50"], d["q75"]] == [float(np.quantile(known, q)) for q in (0.25, 0.5, 0.75)]
+    small = FE.describe_numeric(spark.createDataFrame([(1e-5,), (3e-5,)], "x double"), ["x"]).first()
+    assert np.isclose(small["mean"], 2e-5) and np.isclose(small["stddev"], np.std([1e-5, 3e-5], ddof=1))
+    none = FE.describe_numeric(spark.createDataFrame([(None,)], "x double"), ["x"]).first()
+    assert none["count"] == 0 and none["mean"] is None and none["q50"] is None
+
+
+def test_exact_quantiles_of_skewed_values(spark):
+    x = np.exp(np.random.default_rng(2).normal(size=5001) * 8) * np.where(np.arange(5001) % 3, 1, -1)
+    x[:1700] = 42.0
+    got = FE.exact_quantiles(spark.createDataFrame([(float(v),) for v in x], "x double").repartition(5), ["x"],
+                             [0.0, 0.01, 0.25, 0.5, 0.77, 1.0]).collect()
+    for r in got:
+        assert np.isclose(r["value"], np.quantile(x, r["p"]), rtol=1e-12), r
+
+
+def test_money_of_many_large_lines_does_not_overflow(spark):
+    rows = [("c", "i", 100_000, 9.9e8, dt.datetime(2024, 1, 1))] * 40
+    df = spark.createDataFrame(rows, "CustomerID string, InvoiceNo string, Quantity int, UnitPrice double, invoice_ts timestamp_ntz")
+    df = df.withColumns({"hour": F.lit(1), "dayofweek": F.lit(2), "weekend": F.lit(0), "Revenue": F.col("Quantity") * F.col("UnitPrice")})
+    assert FE.customer_features(df, "2024-01-31").first()["total_revenue"] == 40 * 100_000 * 9.9e8
+    assert FE.invoice_totals(df).first()["TotalValue"] == 40 * 100_000 * 9.9e8

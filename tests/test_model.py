@@ -1,6 +1,9 @@
 """pyspark.ml value model and the versioned registry."""
 import os
 
+import numpy as np
+import pytest
+
 from pyspark.sql import functions as F
 
 from custvalue.operators import clean as C
@@ -103,3 +106,37 @@ def test_value_model_against_the_mean_predictor(spark):
     y, p = np.array([r.target_rev for r in rows]), np.array([r.CLV_Prediction for r in rows])
     assert len({r.CustomerID for r in rows}) == len(rows) > 100
     assert ((y - p) ** 2).mean() < 1.1 * y.var()
+
+
+def test_updated_model_equals_the_model_of_all_rows(spark, scratch):
+    ft = train_frame(spark).cache()
+    d = scratch("incremental")
+    even = F.pmod(F.xxhash64("CustomerID"), F.lit(2)) == 0
+    M.update_model(spark, d, ft.filter(even))
+    M.update_model(spark, d, ft.filter(~even))
+    both, whole = M.load_latest_model(spark, d), M.fit_linear(ft)
+    assert np.isclose(both.intercept, whole.intercept, rtol=1e-9, atol=1e-9)
+    for c, w in whole.coefficients.items():
+        assert np.isclose(both.coefficients[c], w, rtol=1e-9, atol=1e-9), c
+    first = M.load_linear(spark, f"{d}/CLV_V1")
+    assert first.coefficients != both.coefficients
+
+
+def test_least_squares_against_numpy(spark):
+    rnd = np.random.default_rng(1)
+    x = rnd.normal(size=(500, 2)) * [1.0, 1e6] + [1e4, 0]
+    y = 3 * x[:, 0] - 2e-6 * x[:, 1] + 7
+    rows = [(float(a), float(b), 5.0, float(c)) for (a, b), c in zip(x, y)] + [(1.0, 2.0, 5.0, None), (1.0, 2.0, 5.0, float("nan"))]
+    m = M.fit_linear(spark.createDataFrame(rows, "a double, b double, fixed double, y double"), ["a", "b", "fixed"], "y")
+    assert np.isclose(m.coefficients["a"], 3, rtol=1e-4) and np.isclose(m.coefficients["b"], -2e-6, rtol=1e-4)
+    assert m.coefficients["fixed"] == 0
+
+
+def test_foreign_model_file(spark, scratch):
+    path = scratch("foreign") + "/model"
+    spark.createDataFrame([('{"intercept": 1.5, "coefficients": [2, -1]}',)], "v string").write.text(path)
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("b", None, float("nan"))], "CustomerID string, p double, q double")
+    got = {r.CustomerID: r.CLV_Prediction for r in S.score_with_file(df, path, ["p", "q"]).collect()}
+    assert got == {"a": 1.5, "b": 1.5}
+    with pytest.raises(Exception):
+        S.score_with_file(df, scratch("none"), ["p", "q"]).collect()

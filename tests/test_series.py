@@ -80,3 +80,11 @@ def test_regression_metrics_keep_small_errors(spark):
     m = SE.regression_metrics(df, "p", "y").first()
     assert abs(m.mae - (0.0004 + 0.0003 + 5e-9) / 3) < 1e-15 and m.rmse > 0
     assert SE.regression_metrics(df.limit(0), "p", "y").first().n == 0
+
+
+def test_regression_metrics_count_unknown_errors(spark):
+    rows = [(1.0, 2.0), (float("nan"), 1.0), (float("inf"), 1.0), (None, 1.0), (3.0, 3.0)]
+    m = SE.regression_metrics(spark.createDataFrame(rows, "p double, y double"), "p", "y").first()
+    assert (m.n, m.n_unknown, m.mae) == (2, 3, 0.5)
+    none = SE.regression_metrics(spark.createDataFrame(rows[1:2], "p double, y double"), "p", "y").first()
+    assert (none.n, none.n_unknown, none.mae) == (0, 1, None)
