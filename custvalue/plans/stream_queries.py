@@ -15,7 +15,6 @@ from ..operators import clean as C
 from ..operators import nested as N
 from ..schemas import LINE_COLUMNS
 from ..session import scratch_path
-from ..sinks.keyed import KeyedTable
 from ..sources import fixtures as FX
 from ..streaming import streams as ST
 from .oracle import REF_DATE, SPLIT_DATE
@@ -82,9 +81,8 @@ def q_stream_kv_upsert(spark, sf):
     """K3 in a stream: scored rows upserted per micro-batch into a table keyed
     by ``{InvoiceNo}-{CustomerID}``."""
     root = scratch_path(spark, "stream_kv_upsert")
-    table = KeyedTable(spark, f"{root}/table", "rowkey", keep_versions=3)
-    _two_batches(spark, sf, root, lambda inv: ST.start_kv_upsert_stream(inv, table, f"{root}/ckpt", REF_DATE))
-    return table.read()
+    _two_batches(spark, sf, root, lambda inv: ST.start_kv_upsert_stream(inv, f"{root}/table", f"{root}/ckpt", REF_DATE))
+    return ST.kv_table(spark, f"{root}/table")
 
 
 @query("stream_features_batch")
@@ -97,12 +95,12 @@ def q_stream_features_batch(spark, sf):
 
 @query("stream_features_total")
 def q_stream_features_total(spark, sf):
+    """The features read from the stream's own state after several batches."""
     root = scratch_path(spark, "stream_features_total")
     src = _invoice_texts(spark, sf, root)
     lines = C.clean_lines(N.explode_items(_invoice_stream(spark, src, max(1, _files(spark) // 4))))
-    table = KeyedTable(spark, f"{root}/table", "CustomerID", keep_versions=3)
-    ST.finish(ST.start_total_features_stream(lines, table, f"{root}/ckpt", REF_DATE))
-    return table.read()
+    ST.finish(ST.start_total_features_stream(lines, f"{root}/ckpt", REF_DATE))
+    return ST.total_features(spark, f"{root}/ckpt", REF_DATE)
 
 
 @query("stream_window_features")
@@ -163,11 +161,10 @@ def q_stream_leaderboard(spark, sf):
     feed = FX.score_events(spark, sf).select(
         F.to_json(F.struct("key", "clv")).alias("value"), "ts", "event_id")
     cut = F.col("ts") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz")
-    state = KeyedTable(spark, f"{root}/state", "key", keep_versions=3)
     for part, cond in (("a", cut), ("b", ~cut)):
         feed.filter(cond).repartition(_files(spark)).write.mode("overwrite").json(f"{root}/in/part={part}")
         raw = spark.readStream.schema(FEED).json(f"{root}/in/part=*")
-        ST.finish(ST.start_leaderboard_stream(ST.rank_feed(raw), state, f"{root}/board",
+        ST.finish(ST.start_leaderboard_stream(ST.rank_feed(raw), f"{root}/state", f"{root}/board",
                                               f"{root}/ckpt"))
     boards = spark.read.parquet(f"{root}/board")
     last = boards.agg(F.max("batch_id")).first()[0]

@@ -21,7 +21,7 @@ from ..operators import scoring as S
 from ..functions.columns import (HOURS, WEEKDAYS, count_parts, event_time, normal_id,
                                  revenue_sum, wall_clock)
 from ..schemas import FLAT_LINE, INVOICE, RANK_MESSAGE
-from ..sinks.keyed import KeyedTable, finished_batches
+from ..sinks.batches import finished_batches, latest_rows, read_batches, write_batch
 
 
 # ---- sources (S3, S4, S7) -------------------------------------------------
@@ -81,30 +81,31 @@ def flat_json(df_value: DataFrame) -> DataFrame:
 
 # ---- T1 / T2: per-batch score ---------------------------------------------
 
-def score_line_batch(lines: DataFrame, batch_id: int, state: KeyedTable, ref_date,
+def score_line_batch(lines: DataFrame, batch_id: int, state: str, ref_date,
                      model=None) -> tuple[DataFrame, DataFrame]:
     """Scored lines of a micro-batch and the scores of its customers.
 
-    ``state`` keeps the mergeable feature parts of every customer seen.  The
-    batch's parts are added to those of its customers, written as version
-    ``batch_id`` (again on a replay, from the same base), and the scores come
-    from a customer's whole history.
+    The folder ``state`` keeps, per batch, the mergeable feature parts of its
+    customers.  A batch writes only its own parts (again on a replay); the scores
+    add up what all batches so far have of its customers.  ``compact`` with
+    ``merge_feature_parts`` folds many batches into one.
     """
+    spark = lines.sparkSession
     own = lines.filter(F.col("CustomerID").isNotNull()).groupBy("CustomerID").agg(*FE._feature_parts(ref_date))
-    before = state.read(before=batch_id)
+    write_batch(own, state, batch_id)
+    own = spark.read.schema(own.schema).parquet(f"{state}/batch_id={batch_id}")
+    merged = own
+    before = read_batches(spark, state, before=batch_id)
     if before is not None:
         known = before.join(own.select("CustomerID"), "CustomerID", "left_semi")
-        own = FE.merge_feature_parts(own.unionByName(known.select(*own.columns)))
-    state.upsert(own, batch_id)
-    # read back: the merge runs once, and both results use the committed rows
-    merged = state.spark.read.parquet(f"{state.path}/v={batch_id}")
+        merged = FE.merge_feature_parts(own.unionByName(known.select(*own.columns)))
     scores = S.score_features(FE._finish(merged, ref_date, "CustomerID"), model)
     return S.scored_lines(lines, scores), scores
 
 
-def score_state(spark: SparkSession, out_path: str) -> KeyedTable:
-    """The feature state that belongs to an output folder."""
-    return KeyedTable(spark, f"{out_path.rstrip('/')}_state", "CustomerID", keep_versions=2)
+def score_state(out_path: str) -> str:
+    """The folder of the feature parts that belong to an output folder."""
+    return f"{out_path.rstrip('/')}_state"
 
 
 def per_batch_writer(out_path: str, fn, fmt: str = "parquet"):
@@ -125,7 +126,7 @@ def per_batch_writer(out_path: str, fn, fmt: str = "parquet"):
 
 def start_score_stream(invoices: DataFrame, out_path: str, checkpoint: str,
                        ref_date, available_now: bool = True, feed_path: str | None = None,
-                       model=None, state: KeyedTable | None = None):
+                       model=None, state: str | None = None):
     """Stream of nested invoices -> scored lines per micro-batch.
 
     Scores use each customer's history up to and including the batch (kept in
@@ -133,7 +134,7 @@ def start_score_stream(invoices: DataFrame, out_path: str, checkpoint: str,
     With ``feed_path`` each batch also emits the K10 change feed: one
     ``{key, clv}`` JSON message per customer scored in the batch, written to
     ``feed_path/batch_id=N`` (hand it to ``write_kafka`` for a topic)."""
-    state = state or score_state(invoices.sparkSession, out_path)
+    state = state or score_state(out_path)
 
     def body(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -145,21 +146,20 @@ def start_score_stream(invoices: DataFrame, out_path: str, checkpoint: str,
             if feed_path:
                 R.prediction_feed(scores).write.mode("overwrite") \
                     .parquet(f"{feed_path}/batch_id={batch_id}")
-            state.tidy()
         finally:
             batch.unpersist()
     w = invoices.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
-def start_kv_upsert_stream(invoices: DataFrame, table: KeyedTable, checkpoint: str,
+def start_kv_upsert_stream(invoices: DataFrame, table: str, checkpoint: str,
                            ref_date, available_now: bool = True, model=None,
-                           state: KeyedTable | None = None):
+                           state: str | None = None):
     """K3 in a stream: per micro-batch, score the lines, build the row key
     ``{InvoiceNo}-{CustomerID}`` and text cells, keep the last put per key
-    within the batch, and upsert into the keyed table (a later batch wins,
-    as a later put would).  Idempotent on replay of a batch id."""
-    state = state or score_state(invoices.sparkSession, table.path)
+    within the batch, and write them as the batch's folder of ``table``.  A later
+    batch wins, as a later put would: ``kv_table`` reads the rows."""
+    state = state or score_state(table)
 
     def body(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -167,9 +167,7 @@ def start_kv_upsert_stream(invoices: DataFrame, table: KeyedTable, checkpoint: s
             if not batch.isEmpty():
                 lines = C.clean_lines(N.explode_items(batch, "item_pos"))
                 scored, _ = score_line_batch(lines, batch_id, state, ref_date, model)
-                table.upsert(S.kv_upsert_latest(scored), batch_id)
-                state.tidy()
-                table.tidy()
+                write_batch(S.kv_upsert_latest(scored), table, batch_id)
         finally:
             batch.unpersist()
 
@@ -177,6 +175,11 @@ def start_kv_upsert_stream(invoices: DataFrame, table: KeyedTable, checkpoint: s
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
+def kv_table(spark: SparkSession, table: str) -> DataFrame:
+    """K3: the rows of a key-value table, the last put of every key."""
+    return latest_rows(read_batches(spark, table), ["rowkey"])
+
+
 def dedup_customer_stream(lines: DataFrame, delay: str = "1 day") -> DataFrame:
     """C14 (stream form): first line per customer within the watermark delay
     (``dropDuplicatesWithinWatermark``; state per customer expires with the
@@ -197,29 +200,49 @@ def start_batch_features_stream(invoices: DataFrame, out_path: str, checkpoint:
 
 # ---- T3: cumulative features (stateful aggregation, update mode) ---------
 
-def start_total_features_stream(lines: DataFrame, table: KeyedTable, checkpoint: str,
-                                ref_date, available_now: bool = True):
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def start_total_features_stream(lines: DataFrame, checkpoint: str, ref_date, out_path: str | None = None,
+                                available_now: bool = True):
     """Running per-customer features over everything seen so far.
 
-    Spark's state store keeps the mergeable parts per customer; update mode
-    emits only customers touched by the batch, which are upserted into the
-    keyed table.
+    Spark's state store (RocksDB: on the executors' disks, changes in the
+    checkpoint) keeps the mergeable parts per customer; nothing else does.
+    ``total_features`` reads them as a table.  With ``out_path`` each batch also
+    writes the features of the customers that it touched.
     """
+    spark = lines.sparkSession
     src = lines.filter(F.col("CustomerID").isNotNull())
     parts = src.groupBy("CustomerID").agg(*FE._feature_parts(ref_date))
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()     # used by two actions: compute the batch once
-        try:
-            if not batch.isEmpty():
-                table.upsert(FE._finish(batch, ref_date, "CustomerID"), batch_id)
-                table.tidy()
-        finally:
-            batch.unpersist()
-
-    w = (parts.writeStream.outputMode("update").foreachBatch(body)
-              .option("checkpointLocation", checkpoint))
-    return (w.trigger(availableNow=True) if available_now else w).start()
+        write_batch(FE._finish(batch, ref_date, "CustomerID"), out_path, batch_id)
+
+    w = parts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    w = w.foreachBatch(body) if out_path else w.format("noop")
+    name = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)                 # read when the query starts, and kept in its checkpoint
+    try:
+        return (w.trigger(availableNow=True) if available_now else w).start()
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
+def total_features(spark: SparkSession, checkpoint: str, ref_date, batch_id: int | None = None) -> DataFrame:
+    """T3 as a table: the features in the state of a stream's last batch, or of ``batch_id``."""
+    r = spark.read.format("statestore")
+    if batch_id is not None:
+        r = r.option("batchId", batch_id)
+    rows = r.load(checkpoint)
+    empty = spark.createDataFrame([], "CustomerID string, InvoiceNo string, Quantity int, UnitPrice double, "
+                                      "invoice_ts timestamp_ntz, hour int, dayofweek int, weekend int, Revenue double")
+    parts = empty.groupBy("CustomerID").agg(*FE._feature_parts(ref_date)).drop("CustomerID")
+    # sums, counts and extremes are one field of the state each, in the order of the parts
+    named = F.col("value").cast(parts.schema)
+    return FE._finish(rows.select(F.col("key.CustomerID").alias("CustomerID"), named.alias("value"))
+                      .select("CustomerID", "value.*"), ref_date, "CustomerID")
 
 
 # ---- T4: windowed features with watermark ---------------------------------
@@ -284,12 +307,12 @@ def landed_invoices(spark: SparkSession, zone_path: str) -> tuple[DataFrame, Dat
 
 # ---- T6: live leaderboard ---------------------------------------------------
 
-def start_leaderboard_stream(feed: DataFrame, state: KeyedTable, board_path: str,
+def start_leaderboard_stream(feed: DataFrame, state: str, board_path: str,
                              checkpoint: str, available_now: bool = True):
-    """Per micro-batch -- upsert the latest score per key into the keyed
-    state, rank all keys, and diff against the ranking of the last board
-    (new / up / down / none).  The board of batch N is ``board_path/batch_id=N``;
-    top-N for display is ``top_k`` on it."""
+    """Per micro-batch -- write the latest score per key of the batch as its folder
+    of ``state``, rank the latest scores of all keys, and diff against the ranking of
+    the last board (new / up / down / none).  The board of batch N is
+    ``board_path/batch_id=N``; top-N for display is ``top_k`` on it."""
     def body(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -299,21 +322,16 @@ def start_leaderboard_stream(feed: DataFrame, state: KeyedTable, board_path: str
             batch.unpersist()
 
     def _board(batch: DataFrame, batch_id: int) -> None:
-        prev = state.read(before=batch_id)
-        latest = R.latest_per_key(batch)
-        if prev is not None:
-            # keep the newer of (stored, batch) per key by the same event order
-            both = prev.unionByName(latest)
-            latest = R.latest_per_key(
-                both.select("key", "clv", F.col("last_ts").alias("ts"),
-                            F.col("last_event_id").alias("event_id")))
-        state.upsert(latest, batch_id)
-        now = R.ranked(state.read().select("key", "clv"))
-        boards = [b for b in finished_batches(state.spark, board_path) if b < batch_id]
-        last = (state.spark.read.parquet(f"{board_path}/batch_id={boards[-1]}") if boards else now.limit(0))
+        spark = batch.sparkSession
+        write_batch(R.latest_per_key(batch), state, batch_id)
+        seen = read_batches(spark, state, before=batch_id + 1)
+        latest = R.latest_per_key(seen.select("key", "clv", F.col("last_ts").alias("ts"),
+                                              F.col("last_event_id").alias("event_id")))
+        now = R.ranked(latest.select("key", "clv"))
+        boards = [b for b in finished_batches(spark, board_path) if b < batch_id]
+        last = (spark.read.parquet(f"{board_path}/batch_id={boards[-1]}") if boards else now.limit(0))
         board = R.rank_move(last.select("key", F.col("rank").alias("prev_rank")), now)
-        board.write.mode("overwrite").parquet(f"{board_path}/batch_id={batch_id}")
-        state.tidy()
+        write_batch(board, board_path, batch_id)
 
     w = feed.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()
@@ -327,9 +345,9 @@ def rank_feed(raw: DataFrame) -> DataFrame:
 # ---- T7: flat message pipeline ----------------------------------------------
 
 def start_flat_stream(raw: DataFrame, out_path: str, checkpoint: str, ref_date="2011-06-11",
-                      available_now: bool = True, model=None, state: KeyedTable | None = None):
+                      available_now: bool = True, model=None, state: str | None = None):
     """Flat line messages (8 fields) -> parsed -> cleaned -> scored -> file sink."""
-    state = state or score_state(raw.sparkSession, out_path)
+    state = state or score_state(out_path)
 
     def body(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -339,7 +357,6 @@ def start_flat_stream(raw: DataFrame, out_path: str, checkpoint: str, ref_date="
             scored, _ = score_line_batch(C.clean_lines(flat_json(batch)), batch_id, state, ref_date, model)
             (scored.select(*C.CLEAN_COLUMNS, "CLV_Prediction").write.mode("overwrite")
                    .parquet(f"{out_path}/batch_id={batch_id}"))
-            state.tidy()
         finally:
             batch.unpersist()
     w = raw.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from custvalue.operators import clean as C
 from custvalue.schemas import FLAT_LINE
-from custvalue.sinks.keyed import KeyedTable
+from custvalue.sinks import batches as B
 from custvalue.streaming import streams as ST
 
 TEXT = T.StructType([T.StructField("value", T.StringType())])
@@ -25,20 +25,22 @@ def test_total_features_survive_restart(spark, scratch):
     root = scratch("t3")
     flat_json(spark, [line("1", "c1", "2024-01-01 10:00:00"), line("2", "c2", "2024-01-02 10:00:00")]) \
         .coalesce(1).write.text(f"{root}/in/a")
-    table = KeyedTable(spark, f"{root}/table", "CustomerID")
-
     def run():
         raw = ST.file_source(spark, f"{root}/in/*", TEXT, "text")
         from custvalue.operators import nested as N
         lines = C.clean_lines(N.parse_json(raw, FLAT_LINE))
-        ST.finish(ST.start_total_features_stream(lines, table, f"{root}/ckpt", "2024-01-31"))
+        ST.finish(ST.start_total_features_stream(lines, f"{root}/ckpt", "2024-01-31", f"{root}/out"))
 
     run()
     flat_json(spark, [line("3", "c1", "2024-01-05 10:00:00", qty=3)]).coalesce(1).write.text(f"{root}/in/b")
     run()   # restart: only the new file is read; state carries c1's earlier line
-    got = {r.CustomerID: (r.frequency, r.total_revenue, r.recency) for r in table.read().collect()}
-    assert got == {"c1": (2, 4.0, 4), "c2": (1, 1.0, 0)}
-    assert len(table.committed_versions()) == 2
+    def values(df):
+        return {r.CustomerID: (r.frequency, r.total_revenue, r.recency) for r in df.collect()}
+
+    assert values(ST.total_features(spark, f"{root}/ckpt", "2024-01-31")) == {"c1": (2, 4.0, 4), "c2": (1, 1.0, 0)}
+    first, last = B.finished_batches(spark, f"{root}/out")[::len(B.finished_batches(spark, f"{root}/out")) - 1]
+    assert values(ST.total_features(spark, f"{root}/ckpt", "2024-01-31", batch_id=first)) == {"c1": (1, 1.0, 0), "c2": (1, 1.0, 0)}
+    assert values(spark.read.parquet(f"{root}/out/batch_id={last}")) == {"c1": (2, 4.0, 4)}    # only who was touched
 
 
 def test_window_stream_drops_late_rows(spark, scratch):
@@ -72,34 +74,19 @@ def test_per_batch_writer_skips_empty_and_is_idempotent(spark, scratch):
     assert spark.read.parquet(root).count() == 2
 
 
-def test_keyed_table_upsert_replay(spark, scratch):
-    t = KeyedTable(spark, scratch("kt"), "k")
-    t.upsert(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), 0)
-    upd = spark.createDataFrame([("b", 2), ("c", 2)], "k string, v int")
-    t.upsert(upd, 1)
-    t.upsert(upd, 1)   # replayed batch: same result
-    assert sorted(map(tuple, t.read().collect())) == [("a", 1), ("b", 2), ("c", 2)]
-
-
-def test_keyed_table_keeps_newest_versions(spark, scratch):
-    t = KeyedTable(spark, scratch("kv"), "k", keep_versions=2)
-    for v in range(4):
-        t.upsert(spark.createDataFrame([("a", v)], "k string, v int"), v)
-    assert t.committed_versions() == [2, 3]
-    assert t.read().first().v == 3
-
-
-def test_keyed_table_folds_and_reads_back(spark, scratch):
-    t = KeyedTable(spark, scratch("kf"), "k", keep_versions=2, fold_every=2)
-    for v in range(6):
-        before = t.read(before=v)
-        t.upsert(spark.createDataFrame([("a", v), (f"x{v}", v)], "k string, v int"), v)
-        if before is not None:
-            assert before.count() == v + 1        # nothing that this batch reads is gone
-        t.tidy()
-    assert {r.k: r.v for r in t.read().collect()} == {"a": 5, **{f"x{v}": v for v in range(6)}}
-    assert {r.k: r.v for r in t.read(before=5).collect()}["a"] == 4
-    assert len(t._folders("v")) <= 3 and t._folders("base")
+def test_batch_folders_replay_latest_and_compaction(spark, scratch):
+    path, other = scratch("bf") + "/t", scratch("bf2") + "/t"
+    assert B.read_batches(spark, path) is None and B.compact(spark, path, other, lambda df: df) is None
+    B.write_batch(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), path, 0)
+    upd = spark.createDataFrame([("b", 2), ("c", None)], "k string, v int")
+    B.write_batch(upd, path, 3)
+    B.write_batch(upd, path, 3)                # replayed batch: same result
+    assert B.finished_batches(spark, path) == [0, 3]
+    rows = [("a", 1), ("b", 2), ("c", None)]
+    assert sorted(map(tuple, B.latest_rows(B.read_batches(spark, path), ["k"]).collect()), key=str) == rows
+    assert B.read_batches(spark, path, before=3).count() == 2
+    assert B.compact(spark, path, other, lambda df: B.latest_rows(df, ["k"])) == 3
+    assert sorted(map(tuple, B.latest_rows(B.read_batches(spark, other), ["k"]).collect()), key=str) == rows
 
 
 def test_scores_use_the_whole_history_and_a_model(spark, scratch):
