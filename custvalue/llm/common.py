@@ -45,6 +45,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def boxed(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct ``row``: an operator's own columns stand beside it,
+    so no column of the user can clash with them; ``row.*`` gives them back unchanged."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def text_key(text: Column) -> Column:
     """128-bit identity of a text; null and empty text share one key."""
     return F.md5(F.coalesce(text, F.lit("")).cast("binary"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custvalue.llm.common import cut, join_small, text_key, written
+from custvalue.llm.common import boxed, cut, join_small, text_key, written
 
 WINDOW, SHINGLE, BITMAP_BITS = 10, 5, 26
 
@@ -239,8 +239,12 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, shing
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """Documents without any benchmark window, all columns unchanged."""
+    """Documents without any benchmark window, all columns unchanged.
+
+    Null and empty texts have no words and stay; repeated rows stay repeated or go
+    together; an empty table, or an empty benchmark, changes nothing.
+    """
     bad = cut(contamination(docs, bench, window, shingle).where("contaminated")
-              .select(F.col("key").alias("__key")).distinct())
-    return (join_small(docs.withColumn("__key", text_key(F.col("text"))), bad, ["__key"], "left_anti")
-            .select(*docs.columns))
+              .select("key").distinct())
+    rows = docs.select(boxed(docs), text_key(F.col("text")).alias("key"))
+    return join_small(rows, bad, ["key"], "left_anti").select("row.*")

@@ -17,10 +17,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custvalue.llm.common import cut, join_small, text_key, written
+from custvalue.llm.common import boxed, cut, join_small, text_key, written
+from custvalue.llm.shards import feistel_slots
 
 SEED, BLOCK_TOKENS, MAX_REPEATS = 20, 4_000_000, 2.0
 _SECTIONS, _ROUNDS = 16, 9
@@ -70,20 +73,25 @@ def temperature(shares: DataFrame, max_repeats: float | None = None, entropy: fl
     return hi
 
 
-# Fixed primes above any block count: a multiplier that is prime to it permutes the blocks.
-_PRIMES = (2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543)
-
-
 def _key(*parts) -> Column:
     """Keyed 63-bit hash."""
     return F.shiftrightunsigned(F.xxhash64(*[p if isinstance(p, Column) else F.lit(p) for p in parts]), 1)
 
 
 def block_rank(block: Column, blocks: Column, epoch: Column, seed: int) -> Column:
-    """Place of a block in the pass's keyed permutation of 0 .. blocks-1."""
-    prime = F.element_at(F.array(*[F.lit(p).cast("bigint") for p in _PRIMES]),
-                         (F.pmod(_key(epoch, seed), F.lit(len(_PRIMES))) + 1).cast("int"))
-    return F.pmod(F.pmod(block * prime, blocks) + F.pmod(_key(epoch, seed + 1), blocks), blocks)
+    """Place of a block in the pass's keyed permutation of 0 .. blocks-1: a Feistel network with
+    cycle-walking, keyed by seed and pass."""
+
+    @F.arrow_udf("bigint")
+    def place(block: pa.Array, blocks: pa.Array, epoch: pa.Array) -> pa.Array:
+        b, n, e = (np.asarray(x.fill_null(0).to_numpy(zero_copy_only=False), np.int64) for x in (block, blocks, epoch))
+        out = np.zeros(len(b), np.int64)
+        for size, turn in set(zip(n.tolist(), e.tolist())):
+            here = (n == size) & (e == turn)
+            out[here] = feistel_slots(b[here], max(size, 1), seed * 1_000_003 + turn)
+        return pa.array(out, pa.int64())
+
+    return place(block, blocks, epoch.cast("bigint"))
 
 
 def mix_plan(rows: DataFrame, budget_tokens: float | None, max_repeats: float | None, entropy: float | None,
@@ -146,7 +154,7 @@ def mix(docs: DataFrame, budget_tokens: float | None = None, max_repeats: float
     slim = written(docs.select("source", "doc_id", h.alias("h"), token_count(F.col("text")).alias("tokens")), "mix-rows")
     plan = mix_plan(slim.select("source", "h", "tokens"), budget_tokens, max_repeats, entropy, block_tokens, seed)
     per = plan.select("source", F.struct("weight", "alpha", "epochs", "full", "rest", "blocks", "rank", "dlast").alias("__m"))
-    base = docs.withColumn("__h", h) if text_out else slim.withColumnRenamed("h", "__h")
+    base = docs.select(boxed(docs), "source", h.alias("__h")) if text_out else slim.withColumnRenamed("h", "__h")
     rows = join_small(base, per, ["source"])
     m = lambda c: F.col(f"__m.{c}")
     block = F.pmod("__h", m("blocks"))
@@ -162,4 +170,5 @@ def mix(docs: DataFrame, budget_tokens: float | None = None, max_repeats: float
     return (rows.withColumn("mix_weight", m("weight")).withColumn("mix_exponent", m("alpha"))
             .withColumn("mix_block", F.col("__block"))
             .withColumn("mix_position", (epoch + place) / F.greatest(m("epochs"), F.col("__passes")))
-            .drop("__m", "__h", "__block", "__passes"))
+            .select(*(["row.*"] if text_out else ["source", "doc_id", "tokens"]),
+                    "mix_epoch", "mix_weight", "mix_exponent", "mix_block", "mix_position"))

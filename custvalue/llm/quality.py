@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custvalue.llm.common import boxed
+
 MAX_LABELLED, MAX_POOL, ROUNDS, THRESHOLD = 8_000, 8_000, 4, 0.5
 CONTENT = 107
 _SOURCES, _LANGS, _SIZES = 64, 16, 24
@@ -246,8 +248,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 
 def accept_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that the classifier accepts, all columns unchanged."""
-    cols = docs.columns
+    """The documents that the classifier accepts, all columns unchanged.
+
+    Null and empty texts go; repeated rows share their fate; an empty table stays empty.
+    """
     model = fit_quality(docs, labels)
-    return docs.withColumn("__quality", score_quality(docs, model)).where(F.col("__quality.score") >= threshold).select(*cols)
+    return docs.select(boxed(docs), score_quality(docs, model).alias("quality")).where(
+        F.col("quality.score") >= threshold).select("row.*")
 

@@ -76,8 +76,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document once per pass of its source, with weight and training position."""
-    return mix(table(spark, sf_dir, "documents"), text_out=False)
+    """Every document, with its text, once per pass of its source, with weight and training position."""
+    return mix(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custvalue.llm.common import connected_components, cut, join_small, text_key, written
+from custvalue.llm.common import boxed, connected_components, cut, join_small, text_key, written
 
 SEED = 42
 _CHUNK = 16384
@@ -144,10 +144,9 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataF
              .groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "n")).alias("k")))
     best = first.join(groups, "fp").groupBy("group").agg(F.min("k").alias("k"))
     keep = best.select("k.doc_id", "k.key", "k.n").alias("keep")
-    # the row travels as one struct: columns of the user cannot clash with these
-    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).alias("docs")
+    rows = docs.select(boxed(docs)).alias("docs")
     same = text_key(F.col("docs.row.text")).eqNullSafe(F.col("keep.key")) & F.col("docs.row.doc_id").eqNullSafe(F.col("keep.doc_id"))
-    kept = boxed.join(keep, same).select("row", "keep.doc_id", "keep.key", "keep.n")
+    kept = rows.join(keep, same).select("row", "keep.doc_id", "keep.key", "keep.n")
     once = kept.where("n = 1").select("row.*")
     again = kept.where("n > 1").dropDuplicates(["doc_id", "key"]).select("row.*")
     return once.unionByName(again)

@@ -1,10 +1,5 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -52,5 +47,7 @@ def odd(spark):
         (None, "a row without an id", "en", "a", 19),
         (None, None, None, None, None),
     ]
-    extra = [(*r, i, "x", 1.5, i) for i, r in enumerate(rows)]
-    return spark.createDataFrame(extra, SCHEMA + ", fp bigint, key string, score double, shard int").repartition(3)
+    clash = ["__n", "__key", "__h", "__m", "__quality", "__block", "row", "quality", "n", "h", "path", "tree"]
+    extra = [(*r, i, "x", 1.5, i, *[f"{c}{i}" for c in clash]) for i, r in enumerate(rows)]
+    return spark.createDataFrame(extra, SCHEMA + ", fp bigint, key string, score double, shard int, "
+                                 + ", ".join(f"{c} string" for c in clash)).repartition(3)
