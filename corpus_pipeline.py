@@ -32,8 +32,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once, rare sources up to twice, by temperature weights."""
-    return mix(docs).select(docs.columns)
+    """Every document at least once, rare sources up to twice, by temperature weights, in mixture order:
+    every file holds one stretch of it, sorted, so the next stage packs what the mixture puts together."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = mix(docs).repartitionByRange(n, "mix_position", "doc_id").sortWithinPartitions("mix_position", "doc_id")
+    return order.select(*[f"`{c}`" for c in docs.columns])
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
