@@ -11,7 +11,8 @@ order of the classes' signatures, eight hashes deep; range partitions hold it.
   Only pairs of different components are compared, so the largest component of
   a region never meets itself; a region is worked in blocks of some 256 rows.
 * Pairs that agree in too few of the 192 hashes go; the rest is verified on the
-  full shingle sets.
+  full shingle sets, block by block.  No row is made per pair: blocks pass on the
+  rows that have something to be compared with, then only links.
 
 With 24 orders two sets at the threshold of 0.8 meet in no region with a
 probability of 3e-6 (four hashes) or 4e-8 (three), and fall below the agreement
@@ -179,47 +180,83 @@ def _blocks(rows: DataFrame) -> DataFrame:
                     F.when(is_main, -F.col("own") - 1).otherwise(F.col("own")).alias("own"), "class", "comp"))
 
 
-def _agreeing(percent: int):
-    """Pairs of a block pair whose components differ, whose sizes allow the similarity and whose signatures agree."""
-    def group(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-        if len(rows) < 2:
-            return
-        _, _, a, b, _, _, _, _, _ = rows[0]
-        own = np.array([r[4] for r in rows])
-        n = np.array([r[7] for r in rows])
-        names = {}
-        comp = np.array([names.setdefault(r[6], len(names)) for r in rows])
-        sig = np.frombuffer(b"".join(r[8] for r in rows), np.uint16).reshape(len(rows), -1)
-        for i in range(len(rows)):
-            j = np.arange(i + 1, len(rows)) if a == b else np.flatnonzero(own == b) if own[i] == a else np.empty(0, int)
-            j = j[(comp[j] != comp[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
-            j = j[(sig[j] == sig[i]).sum(axis=1) >= AGREE]
-            for k in j.tolist():
-                x, y = rows[i][5], rows[k][5]
-                yield (x, y) if x < y else (y, x)
+_BLOCK = "tree int, region binary, a bigint, b bigint, own bigint, class binary, comp binary, n bigint, signature binary"
+
+
+def _candidates(rows: list[tuple], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """A row of a block pair with the later rows that it has to be compared with: of another component,
+    of a size that allows the similarity, with a signature that agrees, and in no earlier order's region."""
+    tree, _, a, b = rows[0][:4]
+    own, n = np.array([r[4] for r in rows]), np.array([r[7] for r in rows])
+    names: dict[bytes, int] = {}
+    comp = np.array([names.setdefault(r[6], len(names)) for r in rows])
+    sig = np.frombuffer(b"".join(r[8] for r in rows), np.uint16).reshape(len(rows), TREES, DEPTH)
+    for i in range(len(rows)):
+        j = np.arange(i + 1, len(rows)) if a == b else np.flatnonzero(own == b) if own[i] == a else np.empty(0, int)
+        j = j[(comp[j] != comp[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
+        j = j[(sig[j] == sig[i]).sum(axis=(1, 2)) >= AGREE]
+        met = (sig[j, :tree, :DEEP] == sig[i, :tree, :DEEP]).all(axis=2).any(axis=1)
+        if not met.all():
+            yield i, j[~met]
+
+
+def _compared(rows: list[tuple], percent: int) -> list[tuple]:
+    """Rows of a block pair that have something to be compared with."""
+    use: set[int] = set()
+    for i, j in _candidates(rows, percent):
+        use.add(i)
+        use.update(j.tolist())
+    return [rows[i] for i in sorted(use)]
+
+
+def _linked(rows: list[tuple], percent: int) -> list[tuple]:
+    """Verified links of a block pair: for a row and another component the first link."""
+    sets = [np.frombuffer(r[9], np.uint64) for r in rows]
+    out = []
+    for i, j in _candidates(rows, percent):
+        x, others = sets[i], [sets[k] for k in j]
+        flat = np.concatenate(others)
+        at = np.minimum(np.searchsorted(x, flat), len(x) - 1)
+        size = np.array([len(o) for o in others])
+        both = np.add.reduceat((x[at] == flat).astype(np.int64), np.cumsum(size) - size)
+        first = {}
+        for k in j[100 * both >= percent * (len(x) + size - both)].tolist():
+            first.setdefault(rows[k][6], rows[k][5])
+        out += [(rows[i][5], y) for y in first.values()]
+    return out
+
+
+def _by_block(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on the rows of every pair of blocks; at most two blocks are held at a time."""
+    keys = ["tree", "region", "a", "b"]
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
-        def out(pairs: list) -> pa.RecordBatch:
-            src, dst = zip(*pairs) if pairs else ((), ())
-            return pa.record_batch([pa.array(src, pa.binary()), pa.array(dst, pa.binary())], ["src", "dst"])
+        def out(found: list[tuple]) -> pa.RecordBatch:
+            cols = list(zip(*found)) or [()] * len(fields)
+            return pa.record_batch([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, fields)], [f for f, _ in fields])
 
         for batch in batches:
             found = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[0][:4] != row[:4]:
-                    found.extend(group(held))
+                    found += work(held)
                     held = []
                 held.append(row)
             yield out(found)
-        yield out(list(group(held)))
+        if held:
+            yield out(work(held))
 
-    return run
+    return rows.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
-def _region_pairs(forest: DataFrame, comps: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components that share a region, at the depth of that region."""
+def _region_links(forest: DataFrame, comps: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
+                  percent: int) -> DataFrame:
+    """Links between different components that share a region, at the depth of that region."""
     prefix = lambda d: F.substring("band", 1, 2 * d)
     rows = forest.select("tree", "band", "class").join(comps, "class", "left") \
         .withColumn("comp", F.coalesce("comp", "class")).withColumn("top", prefix(SHALLOW))
@@ -233,22 +270,28 @@ def _region_pairs(forest: DataFrame, comps: DataFrame, classes: DataFrame, perce
                .where("comps > 1")
                .select("tree", "region", "size", F.col("m.comp").alias("main"), F.col("m.k").alias("in_main")))
     mixed = join_small(rows.select("tree", "region", "class", "comp"), written(regions, "forest-regions"), ["tree", "region"])
-    blocks = _blocks(mixed).join(classes.select("class", "n", "signature"), "class")
-    keys = ["tree", "region", "a", "b"]
-    n = int(forest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = blocks.select(*keys, "own", "class", "comp", "n", "signature").repartition(n, *keys).sortWithinPartitions(*keys)
-    return laid.mapInArrow(_agreeing(percent), "src binary, dst binary").distinct()
+    blocks = _blocks(mixed).join(classes.select("class", "n", "signature"), "class").select(
+        "tree", "region", "a", "b", "own", "class", "comp", "n", "signature")
+    rows = written(_by_block(blocks, lambda r: _compared(r, percent), _BLOCK), "forest-compared")
+    sets = _sets(rows.select("class").distinct(), docs, classes, size)
+    return _by_block(rows.join(sets, "class").select(*blocks.columns, "set"), lambda r: _linked(r, percent),
+                     "src binary, dst binary")
 
 
 # ------------------------------------------------------------ verification
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are alike.  Sets are made for the classes in ``pairs`` only."""
-    needed = pairs.select(F.col("src").alias("class")).unionByName(pairs.select(F.col("dst").alias("class"))).distinct()
+def _sets(needed: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """``class, set``: the full shingle sets of the classes in ``needed``."""
     wanted = written(needed.join(classes, "class").select("class", "text_key"), "forest-wanted")
     texts = docs.select(text_key(F.col("text")).alias("text_key"), F.col("text").alias("text"))
     texts = join_small(texts, wanted, ["text_key"]).groupBy("class").agg(F.any_value("text").alias("text"))
-    sets = written(texts.select("class", set_column(F.col("text"), size).alias("set")), "forest-sets")
+    return written(texts.select("class", set_column(F.col("text"), size).alias("set")), "forest-sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets are alike."""
+    ends = pairs.select(F.explode(F.array("src", "dst")).alias("class")).distinct()
+    sets = _sets(ends, docs, classes, size)
 
     @F.arrow_udf("boolean")
     def same(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -283,20 +326,19 @@ def minhash_components(docs: DataFrame, size: int = 2, percent: int = 80) -> Dat
     links = _verified(written(early, "forest-early"), docs, classes, size, percent)
     comps = connected_components(links).select(F.col("id").alias("class"), F.col("component").alias("comp"))
 
-    pairs = written(_region_pairs(forest, comps, classes, percent), "forest-pairs")
-    late = _verified(pairs, docs, classes, size, percent)
-    ends = late.select("src", "dst")
+    ends = _region_links(forest, comps, classes, docs, size, percent)
     for end in ("src", "dst"):
         ends = (ends.join(comps.select(F.col("class").alias(end), F.col("comp").alias("c")), end, "left")
                 .withColumn(end, F.coalesce("c", end)).drop("c"))
     merged = connected_components(ends).select(F.col("id").alias("comp"), F.col("component").alias("whole"))
-    members = (classes.join(comps, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-               .join(merged, "comp", "left").select("class", F.coalesce("whole", "comp").alias("comp"), "first", "copies"))
-    members = written(members, "forest-members")
+    early_comp = classes.select("class", "first", "copies").join(comps, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
+    members = written(join_small(early_comp, merged, ["comp"], "left").select(
+        "class", F.coalesce("whole", "comp").alias("comp"), "first", "copies"), "forest-members")
 
     least = (members.groupBy("comp").agg(F.min("first").alias("component_id"), F.count("*").alias("k"),
                                          F.max("copies").alias("most")).where("k > 1 or most > 1"))
-    groups = members.join(least.select("comp", "component_id"), "comp").select("class", "component_id")
+    groups = join_small(members, written(least.select("comp", "component_id"), "forest-least"), ["comp"]).select(
+        "class", "component_id")
     out = join_small(prints.select("doc_id", "n", "class"), written(groups.withColumn("grouped", F.lit(True)), "forest-groups"),
                      ["class"], "left")
     component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
