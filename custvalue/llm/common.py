@@ -45,6 +45,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches between Spark and Python workers by bytes and rows.
+
+    Spark's defaults are 64 MB and 10,000 rows, held in the executor and again, unpacked, in
+    every worker.  Results do not depend on batches.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def boxed(docs: DataFrame) -> Column:
     """All columns of ``docs`` as one struct ``row``: an operator's own columns stand beside it,
     so no column of the user can clash with them; ``row.*`` gives them back unchanged."""
