@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custvalue.llm.common import table, written
+from custvalue.llm.common import bounded_batches, table, written
 from custvalue.llm.decontaminate import decontaminate
 from custvalue.llm.mixing import mix
 from custvalue.llm.quality import accept_quality
@@ -18,22 +18,26 @@ from custvalue.llm.simhash import simhash_dedup
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier accepts."""
+    bounded_batches(spark)
     return accept_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of SimHash near duplicates."""
+    bounded_batches(spark)
     return simhash_dedup(docs, shingle=3, max_bits=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word window of a benchmark item."""
+    bounded_batches(spark)
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, rare sources up to twice, by temperature weights, in mixture order:
     every file holds one stretch of it, sorted, so the next stage packs what the mixture puts together."""
+    bounded_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = mix(docs).repartitionByRange(n, "mix_position", "doc_id").sortWithinPartitions("mix_position", "doc_id")
     return order.select(*[f"`{c}`" for c in docs.columns])
@@ -41,6 +45,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards in keyed training order: the files are written; their records as read back."""
+    bounded_batches(spark)
     return materialise(docs, bytes_out=True)
 
 
