@@ -5,6 +5,8 @@ Only small results (paths, metrics, model metadata) return to the driver.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,14 +56,21 @@ def score_lines(lines: DataFrame, ref_date="2011-06-11", model=None) -> DataFram
 
 def score_batch_job(spark: SparkSession, raw_json_path: str, out_path: str | None = None,
                     model_dir: str | None = None, ref_date="2011-06-11",
-                    jdbc: dict | None = None) -> DataFrame:
+                    jdbc: dict | None = None, run_id: str | None = None) -> DataFrame:
     """B2: nested JSON raw zone -> explode -> clean -> features -> score ->
-    parquet and/or JDBC append.  Returns the scored frame."""
+    parquet and/or JDBC append.  Returns the scored frame.
+
+    The rows go to the folder ``run_id=<run_id>`` of ``out_path`` (by default one
+    folder per input path), which a second run replaces; a JDBC append then reads
+    them from there, so nothing is computed twice."""
     model = M.load_latest_model(spark, model_dir) if model_dir else None
     invoices = RD.read_nested_json(spark, raw_json_path)
     out = score_lines(N.explode_items(invoices), ref_date, model)
     if out_path:
-        W.write_table(out, out_path, mode="append")
+        run = run_id or hashlib.md5(raw_json_path.encode()).hexdigest()[:12]
+        target = f"{out_path.rstrip('/')}/run_id={run}"
+        W.write_table(out, target, mode="overwrite")
+        out = spark.read.schema(out.schema).parquet(target)
     if jdbc:
         W.write_jdbc(out, mode="append", **jdbc)
     return out

@@ -59,7 +59,10 @@ def test_build_events_then_score_batch(spark, scratch):
     root = scratch("b2")
     write_json_array_files(FX.invoices(spark, SF), f"{root}/raw", rows_per_file=500)
     out = jobs.score_batch_job(spark, f"{root}/raw", out_path=f"{root}/out", ref_date="2001-12-31")
-    assert spark.read.parquet(f"{root}/out").count() == out.count() > 0
+    n = out.count()
+    assert spark.read.parquet(f"{root}/out").count() == n > 0
+    again = jobs.score_batch_job(spark, f"{root}/raw", out_path=f"{root}/out", ref_date="2001-12-31")
+    assert spark.read.parquet(f"{root}/out").count() == again.count() == n    # replaced, not appended
     assert set(out.columns) >= {"CustomerID", "InvoiceDate", "CLV_Prediction", "Revenue"}
 
 
