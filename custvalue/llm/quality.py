@@ -1,28 +1,35 @@
 """Quality classifier by co-training of a text view and a metadata view.
 
-Both views start from the labelled documents.  In every round each view is
-fitted, calibrated on labelled documents it was not fitted on, and hands the
-unlabelled documents it is surest about to the *other* view as pseudo-labels.
-At the end the calibrated log-odds of both views are combined by a small
-logistic model and every document is scored in one pass without a shuffle.
-
-Fitting uses bounded samples (``max_labelled`` labelled and ``max_pool``
-unlabelled documents, chosen by a hash of the id); scoring covers all rows.
+Both views start from the labelled documents.  In every round each view scores
+all unlabelled documents and hands those it is surest about to the *other* view
+as pseudo-labels, which is refitted on them and calibrated on labelled documents
+it was not fitted on.  At the end the calibrated log-odds of both views are
+combined by a small logistic model and every document is scored in one pass
+without a shuffle.
+
+Only the labelled documents of the fit are a bounded sample (``max_labelled``,
+chosen by a hash of the id).  The unlabelled ones stay in Spark, all of them: a
+histogram of each view's odds, summed over the partitions, sets the cut-offs,
+and Newton's gradient and Hessian are sums over the partitions too.
 """
 
 from __future__ import annotations
 
 import zlib
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from custvalue.llm.common import boxed
+from custvalue.llm.common import boxed, join_small, written
 
-MAX_LABELLED, MAX_POOL, ROUNDS, THRESHOLD = 8_000, 8_000, 4, 0.5
+MAX_LABELLED, ROUNDS, THRESHOLD = 20_000, 3, 0.5
+SURE, SHARE, STEPS = 0.95, 0.1, 3
+BINS, SPAN = 2_400, 12.0                     # histogram of log-odds from -SPAN to SPAN
 CONTENT = 107
 _SOURCES, _LANGS, _SIZES = 64, 16, 24
 META = _SOURCES + _LANGS + _SIZES
@@ -45,13 +52,20 @@ def text_features(text: bytes | None) -> np.ndarray:
         len(lines) / w, np.log1p(w) - np.log1p(distinct)))).astype(np.float32)
 
 
-def meta_features(source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
-    """Hashed source and language and a size class; a missing value is a value of its own."""
-    out = np.zeros(META, np.float32)
-    out[0 if source is None else 1 + zlib.crc32(source.encode()) % (_SOURCES - 1)] = 1
-    out[_SOURCES + (0 if lang is None else 1 + zlib.crc32(lang.encode()) % (_LANGS - 1))] = 1
-    out[_SOURCES + _LANGS + (0 if n_chars is None else 1 + min(max(int(n_chars), 0).bit_length(), _SIZES - 2))] = 1
-    return out
+def meta_codes(source: str | None, lang: str | None, n_chars: int | None) -> bytes:
+    """Places of a document's three ones among the ``META`` metadata columns: hashed source,
+    hashed language, size class; a missing value is a value of its own."""
+    return bytes((0 if source is None else 1 + zlib.crc32(source.encode()) % (_SOURCES - 1),
+                  _SOURCES + (0 if lang is None else 1 + zlib.crc32(lang.encode()) % (_LANGS - 1)),
+                  _SOURCES + _LANGS + (0 if n_chars is None else 1 + min(max(int(n_chars), 0).bit_length(), _SIZES - 2))))
+
+
+def _unpack(text: list[bytes], meta: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of documents from their packed features."""
+    a = np.frombuffer(b"".join(text), np.float32).reshape(len(text), CONTENT)
+    b = np.zeros((len(meta), META), np.float32)
+    b[np.arange(len(meta))[:, None], np.frombuffer(b"".join(meta), np.uint8).reshape(len(meta), 3)] = 1
+    return a, b
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
@@ -69,26 +83,43 @@ class Logistic:
     scale: np.ndarray = field(default_factory=lambda: np.zeros(0))
     coef: np.ndarray = field(default_factory=lambda: np.zeros(1))
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 25) -> "Logistic":
-        x = x.astype(np.float64)
-        self.mean, self.scale = x.mean(0), x.std(0)
-        self.scale[self.scale < 1e-9] = 1.0
+    def design(self, x: np.ndarray) -> np.ndarray:
         z = np.empty((len(x), x.shape[1] + 1))
         z[:, 0] = 1
         np.divide(x - self.mean, self.scale, out=z[:, 1:])
-        weight = np.ones(len(y))
-        if self.balanced:
-            weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
-        self.coef = np.zeros(z.shape[1])
-        penalty = np.full(z.shape[1], self.ridge)
+        return z
+
+    def weights(self, y: np.ndarray) -> np.ndarray:
+        if not self.balanced:
+            return np.ones(len(y))
+        return np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
+
+    def sums(self, z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Gradient and upper half of the Hessian over rows, as one vector: vectors of parts add up."""
+        p = 1 / (1 + np.exp(-np.clip(z @ self.coef, -30, 30)))
+        hess = (z * (weight * p * (1 - p))[:, None]).T @ z
+        return np.concatenate((z.T @ (weight * (p - y)), hess[np.triu_indices(len(self.coef))]))
+
+    def step(self, sums: np.ndarray) -> float:
+        """One Newton step from the summed vector; the largest change of a coefficient."""
+        k = len(self.coef)
+        hess = np.zeros((k, k))
+        hess[np.triu_indices(k)] = sums[k:]
+        hess = hess + np.triu(hess, 1).T
+        penalty = np.full(k, self.ridge)
         penalty[0] = 1e-6
+        step = np.linalg.solve(hess + np.diag(penalty + 1e-8), sums[:k] + penalty * self.coef)
+        self.coef = self.coef - step
+        return float(np.abs(step).max())
+
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 25) -> "Logistic":
+        x = x.astype(np.float64)
+        self.mean, self.scale = x.mean(0), x.std(0)
+        self.scale[self.scale < 1e-9] = 1.0
+        self.coef = np.zeros(x.shape[1] + 1)
+        z, weight = self.design(x), self.weights(y)
         for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(z @ self.coef, -30, 30)))
-            grad = z.T @ (weight * (p - y)) + penalty * self.coef
-            hess = (z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(penalty + 1e-8)
-            step = np.linalg.solve(hess, grad)
-            self.coef = self.coef - step
-            if np.abs(step).max() < 1e-6:
+            if self.step(self.sums(z, y, weight)) < 1e-6:
                 break
         return self
 
@@ -118,57 +149,121 @@ class CoTrained:
         return sig[0], sig[1], sig[2]
 
 
-def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, pool_a: np.ndarray, pool_b: np.ndarray,
-             rounds: int = ROUNDS, sure: float = 0.95, share: float = 0.1) -> CoTrained:
-    """Co-training over the two views ``a`` and ``b`` of labelled and pool documents.
+# adds up a vector of a given length, computed from both views of a block of rows, over all rows
+Total = Callable[[Callable[[np.ndarray, np.ndarray], np.ndarray], int], np.ndarray]
+
+
+def _odds(teacher: tuple[Logistic, Logistic], x: np.ndarray) -> np.ndarray:
+    """Calibrated log-odds, in whole histogram bins."""
+    model, cal = teacher
+    odds = cal.margin(model.margin(x)[:, None])
+    return np.clip(np.floor((odds + SPAN) * (BINS / (2 * SPAN))), 0, BINS - 1).astype(np.int64)
 
-    Every fifth labelled document calibrates and is never fitted on.  Per round
-    a view passes on at most ``share`` of the pool per class, and only documents
-    whose calibrated probability of that class is at least ``sure``.
+
+def _cutoffs(hist: np.ndarray, sure: float, share: float) -> tuple[int, int]:
+    """(highest bin passed on as 0, lowest bin passed on as 1): the surest ``share`` of all rows on
+    each side, rows that tie with the last one included, but nothing less sure than ``sure``."""
+    most = share * hist.sum()
+    sides = []
+    for side in (hist, hist[::-1]):
+        reach = int(np.searchsorted(np.cumsum(side), most))
+        sides.append(min(reach, int((SPAN - _logit(np.array(sure))) * (BINS / (2 * SPAN))) - 1))
+    return sides[0], BINS - 1 - sides[1]
+
+
+def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, total: Total,
+             rounds: int = ROUNDS, sure: float = SURE, share: float = SHARE, steps: int = STEPS) -> CoTrained:
+    """Co-training over the two views ``a`` and ``b`` of labelled documents and the pool behind ``total``.
+
+    Every fifth labelled document calibrates and is never fitted on.  In round r
+    a view passes on the surest ``r * share`` of the pool per class, ties included, and only
+    documents whose calibrated probability of that class is at least ``sure``.
+    The pseudo-labels of a class weigh as much as its labels at most, so the model
+    does not depend on how much larger the pool is.  Each refit starts from the
+    last coefficients and takes at most ``steps`` Newton steps, one pass each.
     Without both classes the model is the smoothed share of class 1.
     """
     if len(y) < 20 or y.min() == y.max():
         blank = Logistic()
         return CoTrained(blank, blank, blank, blank, blank, [], float((y.sum() + 1) / (len(y) + 2)))
     cal = np.arange(len(y)) % 5 == 0
-    if y[cal].min() == y[cal].max():
+    if y[cal].min() == y[cal].max() or y[~cal].min() == y[~cal].max():
         cal[:] = True
     fit = ~cal if not cal.all() else cal
-    views = [(a, pool_a), (b, pool_b)]
-    given: list[dict[int, int]] = [{}, {}]                       # pseudo-labels received by each view
-    models, cals, exchanged = [None, None], [None, None], []
-    for turn in range(rounds + 1):
-        for v, (x, pool) in enumerate(views):
-            rows = np.fromiter(given[v], np.int64, len(given[v]))
-            xs = np.r_[x[fit], pool[rows]] if len(rows) else x[fit]
-            ys = np.r_[y[fit], np.fromiter(given[v].values(), np.int64, len(rows))] if len(rows) else y[fit]
-            models[v] = Logistic().fit(xs, ys)
-            cals[v] = Logistic(ridge=1e-3, balanced=False).fit(models[v].margin(x[cal])[:, None], y[cal])
-        if turn == rounds or not len(pool_a):
+
+    def calibrated(v: int) -> Logistic:
+        return Logistic(ridge=1e-3, balanced=False).fit(models[v].margin(views[v][cal])[:, None], y[cal])
+
+    views = (a, b)
+    models = [Logistic().fit(x[fit], y[fit]) for x in views]
+    cals = [calibrated(0), calibrated(1)]
+    designs = [m.design(x[fit].astype(np.float64)) for m, x in zip(models, views)]
+    weight = models[0].weights(y[fit])
+    label_weight = [weight[y[fit] == c].max() for c in (0, 1)]       # of one label, and of all labels of a class
+    class_weight = [weight[y[fit] == c].sum() for c in (0, 1)]
+    sizes = [len(m.coef) + len(m.coef) * (len(m.coef) + 1) // 2 for m in models]
+    exchanged = []
+    for turn in range(rounds):
+        teachers = [(replace(m), c) for m, c in zip(models, cals)]
+
+        def histograms(*x: np.ndarray) -> np.ndarray:
+            return np.concatenate([np.bincount(_odds(t, v), minlength=BINS) for t, v in zip(teachers, x)]).astype(float)
+
+        hists = total(histograms, 2 * BINS).reshape(2, BINS)
+        cuts = [_cutoffs(h, sure, share * (turn + 1)) for h in hists]
+        passed = [(int(h[:low + 1].sum()), int(h[high:].sum())) for h, (low, high) in zip(hists, cuts)]
+        exchanged.append((sum(passed[0]), sum(passed[1])))
+        if not any(exchanged[-1]):
             break
-        passed = []
-        for v, (_, pool) in enumerate(views):
-            odds = cals[v].margin(models[v].margin(pool)[:, None])
-            new = np.ones(len(pool), bool)
-            new[list(given[1 - v])] = False
-            count, most = 0, max(1, int(share * len(pool)))
-            for label, side in ((1, odds), (0, -odds)):
-                order = np.argsort(-np.where(new, side, -np.inf), kind="stable")[:most]
-                for i in order[new[order] & (side[order] >= _logit(np.array(sure)))]:
-                    count += given[1 - v].setdefault(int(i), label) == label
-            passed.append(count)
-        exchanged.append((passed[0], passed[1]))
-    ta = cals[0].margin(models[0].margin(a[cal])[:, None])
-    tb = cals[1].margin(models[1].margin(b[cal])[:, None])
+        # what a pseudo-label of each class weighs when it comes from each view
+        pseudo = [[min(label_weight[c], class_weight[c] / max(n, 1)) for c, n in enumerate(counts)] for counts in passed]
+
+        def newton(*x: np.ndarray) -> np.ndarray:
+            out = []
+            for v, model in enumerate(models):
+                low, high = cuts[1 - v]
+                odds = _odds(teachers[1 - v], x[1 - v])
+                take = (odds <= low) | (odds >= high)
+                label = (odds[take] >= high).astype(float)
+                out.append(model.sums(model.design(x[v][take].astype(np.float64)), label,
+                                      np.where(label == 1, pseudo[1 - v][1], pseudo[1 - v][0])))
+            return np.concatenate(out)
+
+        for _ in range(steps):
+            got = np.split(total(newton, sum(sizes)), [sizes[0]])
+            if max(m.step(g + m.sums(z, y[fit], weight)) for m, g, z in zip(models, got, designs)) < 1e-3:
+                break
+        cals = [calibrated(0), calibrated(1)]
+    ta, tb = (c.margin(m.margin(x[cal])[:, None]) for c, m, x in zip(cals, models, views))
     join = Logistic(ridge=1e-2, balanced=False).fit(np.c_[ta, tb], y[cal])
     return CoTrained(models[0], models[1], cals[0], cals[1], join, exchanged)
 
 
-def _views(text: pa.Array, source: pa.Array, lang: pa.Array, n_chars: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    a = np.array([text_features(t.as_py()) for t in text], np.float32).reshape(len(text), CONTENT)
-    b = np.array([meta_features(*r) for r in zip(source.to_pylist(), lang.to_pylist(), n_chars.to_pylist())],
-                 np.float32).reshape(len(text), META)
-    return a, b
+def _packed(text: pa.Array, source: pa.Array, lang: pa.Array, n_chars: pa.Array) -> tuple[list[bytes], list[bytes]]:
+    return ([text_features(t.as_py()).tobytes() for t in text],
+            [meta_codes(*r) for r in zip(source.to_pylist(), lang.to_pylist(), n_chars.to_pylist())])
+
+
+def _views(*columns: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return _unpack(*_packed(*columns))
+
+
+def spark_total(pool: DataFrame) -> Total:
+    """Sums over all rows of ``pool(a, b)``: one vector per task, added up by Spark."""
+    def total(fn: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int) -> np.ndarray:
+        def sums(batches):
+            out = np.zeros(size)
+            for r in batches:
+                if r.num_rows:
+                    out += fn(*_unpack(r.column("a").to_pylist(), r.column("b").to_pylist()))
+            at = np.flatnonzero(out)
+            yield pa.RecordBatch.from_pydict({"i": pa.array(at, pa.int32()), "v": pa.array(out[at], pa.float64())})
+
+        rows = pool.select("a", "b").mapInArrow(sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
+        out = np.zeros(size)
+        out[rows["i"].to_numpy()] = rows["v"].to_numpy()
+        return out
+    return total
 
 
 def _with_meta(docs: DataFrame) -> DataFrame:
@@ -184,36 +279,36 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
-                max_pool: int = MAX_POOL, rounds: int = ROUNDS) -> CoTrained:
-    """Fit on at most ``max_labelled`` labelled and ``max_pool`` unlabelled documents.
+                rounds: int = ROUNDS) -> CoTrained:
+    """Fit on at most about ``max_labelled`` labelled documents and on all unlabelled ones.
 
-    Repeated labels of a document count as its lowest quality; null ids and
-    null labels are left out.
+    Repeated labels of a document count as its lowest quality; labels without id
+    or value are left out.  Of a repeated labelled id the smallest features count;
+    repeated unlabelled rows and rows without an id count each.  The features of all
+    documents (some 430 bytes each) are written once to the shared folder.
     """
-    order = F.xxhash64("doc_id")
-    known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-             .groupBy("doc_id").agg(F.min("quality").cast("int").alias("y")))
-    train = known.where(~held_out(F.col("doc_id"))).orderBy(order, "doc_id").limit(max_labelled)
-    pool = (docs.select("doc_id").where("doc_id is not null").distinct()
-            .join(known.select("doc_id"), "doc_id", "left_anti")
-            .orderBy(order, "doc_id").limit(max_pool).select("doc_id", F.lit(-1).alias("y")))
-    picked = F.broadcast(train.unionByName(pool))                # at most max_labelled + max_pool rows
+    key = docs.schema["doc_id"].dataType
+    known = written(labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+                    .groupBy(F.col("doc_id").cast(key).alias("doc_id")).agg(F.min("quality").cast("int").alias("y"))
+                    .withColumn("learn", ~held_out(F.col("doc_id"))), "quality-labels")
+    part = min(1.0, max_labelled / max(known.where("learn").count(), 1))
+    drawn = F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") / float(1 << 53) < part
+    known = known.withColumn("learn", F.col("learn") & drawn)
 
     def features(batches):
         for r in batches:
-            views = _views(*(r.column(c) for c in ("text", "source", "lang", "n_chars")))
-            yield pa.RecordBatch.from_pydict({"doc_id": r.column("doc_id"), "y": r.column("y"), **{
-                k: pa.array([row.tobytes() for row in v], pa.binary()) for k, v in zip("ab", views)}})
-
-    rows = (_with_meta(docs).join(picked, "doc_id").mapInArrow(features, "doc_id bigint, y int, a binary, b binary")
-            .dropDuplicates(["doc_id"]).toArrow())
-    ids, y = rows["doc_id"].to_pylist(), rows["y"].to_numpy().astype(np.int64)
-    a, b = (np.frombuffer(b"".join(rows[k].to_pylist()), np.float32).reshape(len(ids), n)
-            for k, n in (("a", CONTENT), ("b", META)))
-    order = sorted(range(len(ids)), key=lambda i: (zlib.crc32(str(ids[i]).encode()), ids[i]))
-    a, b, y = a[order], b[order], y[order]
-    got = y >= 0
-    return co_train(a[got], b[got], y[got], a[~got], b[~got], rounds)
+            a, b = _packed(*(r.column(c) for c in ("text", "source", "lang", "n_chars")))
+            yield pa.RecordBatch.from_arrays([r.column("doc_id"), pa.array(a, pa.binary()), pa.array(b, pa.binary())],
+                                             names=["doc_id", "a", "b"])
+
+    slim = _with_meta(docs)
+    schema = T.StructType([T.StructField("doc_id", key), T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+    rows = written(join_small(slim.mapInArrow(features, schema), known, ["doc_id"], "left"), "quality-features")
+    got = (rows.where("learn").groupBy("doc_id").agg(F.min(F.struct("y", "a", "b")).alias("r"))   # max_labelled rows
+           .select("doc_id", "r.*").toArrow().to_pylist())
+    got.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), str(r["doc_id"])))
+    a, b = _unpack([r["a"] for r in got], [r["b"] for r in got])
+    return co_train(a, b, np.array([r["y"] for r in got], np.int64), spark_total(rows.where("y is null")), rounds)
 
 
 def score_quality(docs: DataFrame, model: CoTrained) -> Column:

@@ -21,7 +21,7 @@ def test_views_teach_each_other():
     truth = rng.integers(0, 2, 500)
     pool_a = (truth[:, None] * 4 + rng.normal(size=(500, 3))).astype(np.float32)
     pool_b = (truth[:, None] * 4 + rng.normal(size=(500, 2))).astype(np.float32)
-    model = Q.co_train(a, b, y, pool_a, pool_b)
+    model = Q.co_train(a, b, y, lambda fn, size: fn(pool_a, pool_b))
     assert all(x > 0 and z > 0 for x, z in model.exchanged[:2])
     assert (((model.score(pool_a, pool_b)[0] >= 0.5) == truth).mean()) > 0.97
 
@@ -42,3 +42,40 @@ def test_odd_rows(odd, empty, labels):
 def test_accepts_what_it_scores(documents, labels):
     kept = {r.doc_id for r in Q.accept_quality(documents, labels).collect()}
     assert kept == {r.doc_id for r in Q.quality_scores(documents, labels).where("accepted").collect()}
+
+
+def test_pool_is_summed_whole_in_spark(spark, documents, labels):
+    slim = Q._with_meta(documents).collect()
+    a = [Q.text_features(r.text and bytes(r.text)).tobytes() for r in slim]
+    b = [Q.meta_codes(r.source, r.lang, r.n_chars) for r in slim]
+    pool = spark.createDataFrame(list(zip(a, b)), "a binary, b binary").repartition(5)
+    both = Q._unpack(a, b)
+    assert (both[1].sum(1) == 3).all()
+
+    def sums(x, z):
+        return np.concatenate((x.sum(0), z.sum(0), [len(x)])).astype(float)
+
+    got = Q.spark_total(pool)(sums, Q.CONTENT + Q.META + 1)
+    np.testing.assert_allclose(got, sums(*both), rtol=1e-4)
+    assert got[-1] == len(slim)
+
+
+def test_cutoffs_keep_ties_and_the_sure_only():
+    hist = np.zeros(Q.BINS)
+    hist[Q.BINS // 2] = 700
+    hist[-1], hist[-2], hist[0] = 200, 50, 50
+    low, high = Q._cutoffs(hist, 0.95, 0.1)
+    assert hist[high:].sum() == 200                          # the whole tied bin, though it is more than a tenth
+    assert hist[:low + 1].sum() == 50                        # never a row less sure than 0.95
+    assert Q._cutoffs(hist, 0.95, 0.22)[1] == Q.BINS - 2
+    low, high = Q._cutoffs(np.zeros(Q.BINS), 0.95, 0.1)
+    assert low < high
+
+
+def test_repeated_ids_do_not_depend_on_order(spark, documents, labels):
+    twice = documents.unionByName(documents.withColumn("text", F.reverse("text")))
+    fits = [Q.fit_quality(d, labels) for d in (twice, twice.repartition(7, "text"))]
+    np.testing.assert_allclose(fits[0].text.coef, fits[1].text.coef, rtol=1e-6, atol=1e-8)
+    text_ids = documents.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    named = labels.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    assert Q.quality_scores(text_ids, named).count() == documents.count()
