@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from custvalue.llm.common import boxed, join_small, written
 
 MAX_LABELLED, ROUNDS, THRESHOLD = 20_000, 3, 0.5
-SURE, SHARE, STEPS = 0.95, 0.1, 3
-BINS, SPAN = 2_400, 12.0                     # histogram of log-odds from -SPAN to SPAN
+SURE, SHARE, STEPS = 0.95, 0.1, 6
+BINS, SPAN = 6_000, 15.0                     # histogram of sign(o) * log(1 + |o|) of log-odds o, from -SPAN to SPAN
 CONTENT = 107
 _SOURCES, _LANGS, _SIZES = 64, 16, 24
 META = _SOURCES + _LANGS + _SIZES
@@ -153,22 +153,25 @@ class CoTrained:
 Total = Callable[[Callable[[np.ndarray, np.ndarray], np.ndarray], int], np.ndarray]
 
 
+def _bin(odds: np.ndarray) -> np.ndarray:
+    """Histogram bin of log-odds: fine near 0, and far out still apart by a two-hundredth of their size."""
+    at = np.sign(odds) * np.log1p(np.abs(odds))
+    return np.clip(np.floor((at + SPAN) * (BINS / (2 * SPAN))), 0, BINS - 1).astype(np.int64)
+
+
 def _odds(teacher: tuple[Logistic, Logistic], x: np.ndarray) -> np.ndarray:
-    """Calibrated log-odds, in whole histogram bins."""
+    """Calibrated log-odds of a view's model, as histogram bins."""
     model, cal = teacher
-    odds = cal.margin(model.margin(x)[:, None])
-    return np.clip(np.floor((odds + SPAN) * (BINS / (2 * SPAN))), 0, BINS - 1).astype(np.int64)
+    return _bin(cal.margin(model.margin(x)[:, None]))
 
 
 def _cutoffs(hist: np.ndarray, sure: float, share: float) -> tuple[int, int]:
     """(highest bin passed on as 0, lowest bin passed on as 1): the surest ``share`` of all rows on
     each side, rows that tie with the last one included, but nothing less sure than ``sure``."""
     most = share * hist.sum()
-    sides = []
-    for side in (hist, hist[::-1]):
-        reach = int(np.searchsorted(np.cumsum(side), most))
-        sides.append(min(reach, int((SPAN - _logit(np.array(sure))) * (BINS / (2 * SPAN))) - 1))
-    return sides[0], BINS - 1 - sides[1]
+    low, high = (int(np.searchsorted(np.cumsum(side), most)) for side in (hist, hist[::-1]))
+    odds = _logit(np.array(sure))
+    return min(low, int(_bin(-odds)) - 1), max(BINS - 1 - high, int(_bin(odds)) + 1)
 
 
 def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, total: Total,
@@ -179,8 +182,9 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, total: Total,
     a view passes on the surest ``r * share`` of the pool per class, ties included, and only
     documents whose calibrated probability of that class is at least ``sure``.
     The pseudo-labels of a class weigh as much as its labels at most, so the model
-    does not depend on how much larger the pool is.  Each refit starts from the
-    last coefficients and takes at most ``steps`` Newton steps, one pass each.
+    does not depend on how much larger the pool is.  Each refit starts at zero, where
+    Newton steps cannot overshoot on rows that the last model was sure and wrong about,
+    and takes at most ``steps`` of them, one pass each.
     Without both classes the model is the smoothed share of class 1.
     """
     if len(y) < 20 or y.min() == y.max():
@@ -229,9 +233,11 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, total: Total,
                                       np.where(label == 1, pseudo[1 - v][1], pseudo[1 - v][0])))
             return np.concatenate(out)
 
+        for m in models:
+            m.coef = np.zeros(len(m.coef))
         for _ in range(steps):
             got = np.split(total(newton, sum(sizes)), [sizes[0]])
-            if max(m.step(g + m.sums(z, y[fit], weight)) for m, g, z in zip(models, got, designs)) < 1e-3:
+            if max(m.step(g + m.sums(z, y[fit], weight)) for m, g, z in zip(models, got, designs)) < 1e-2:
                 break
         cals = [calibrated(0), calibrated(1)]
     ta, tb = (c.margin(m.margin(x[cal])[:, None]) for c, m, x in zip(cals, models, views))
