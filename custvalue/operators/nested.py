@@ -32,30 +32,27 @@ def explode_items(invoices: DataFrame, position: str | None = None) -> DataFrame
                     .select(*INVOICE_KEYS, "_item.*", position))
 
 
-MESSAGE_ITEMS = 10_000   # items of one message, unless the caller gives another bound
-
-
 def nest_invoices(lines: DataFrame, max_items: int | None = None) -> DataFrame:
     """Lines -> one nested invoice per (InvoiceNo, InvoiceDate, CustomerID, Country).
 
-    Items are sorted so the message is deterministic.  No message holds more
-    than about ``max_items`` items (default ``MESSAGE_ITEMS``): an invoice above
-    the bound becomes several messages with the same invoice columns, and
-    exploding them gives back exactly its lines.  With ``max_items`` given, the
-    result has a ``Part`` column (0 for invoices within the bound).
+    Items are sorted so the message is deterministic.  An invoice is one message
+    whatever its size, built by one aggregation.
 
-    Invoice sizes are counted first (combined map-side).  Only if one exceeds
-    the bound are they joined back, by a salted join.  Equal items of such an
-    invoice are counted before they are dealt out, in runs of at most
-    ``max_items``, so that neither a hot invoice nor a hot item meets in one task.
+    A caller whose messages must stay small gives ``max_items``: then no message
+    holds more than about that many items, an invoice above it becomes several
+    with the same invoice columns, numbered by a ``Part`` column (0 for the
+    others), and exploding them gives back exactly its lines.  Invoice sizes are
+    counted first (combined map-side) and joined back, salted.  Equal items are
+    counted before they are dealt out, in runs of at most ``max_items``, so that
+    neither a hot invoice nor a hot item meets in one task.
     """
-    bound = max_items or MESSAGE_ITEMS
     names = [f.name for f in ITEM.fields]
     item = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ITEM.fields])
-    sizes = lines.groupBy(*INVOICE_KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    if max_items is None and sizes.filter(F.col("_n") > bound).isEmpty():
+    if max_items is None:
         return (lines.groupBy(*INVOICE_KEYS)
                      .agg(F.sort_array(F.collect_list(item)).alias("Items")))
+    bound = max_items
+    sizes = lines.groupBy(*INVOICE_KEYS).agg(F.count(F.lit(1)).alias("_n"))
     from .scoring import salted_left_join
     # invoice keys may be null (e.g. a missing customer): join on an exact,
     # never-null key made of (is null, value) per key column
@@ -70,9 +67,8 @@ def nest_invoices(lines: DataFrame, max_items: int | None = None) -> DataFrame:
     parts = F.ceil(F.col("_n") / F.lit(float(bound))).cast("int")
     part = F.when(parts > 1, F.pmod(F.xxhash64(*names, "_run"), parts)).otherwise(F.lit(0))
     many = F.array_repeat(item, F.least(F.lit(bound).cast("bigint"), F.col("_c") - F.col("_run") * bound).cast("int"))
-    out = (runs.withColumn("Part", part.cast("int")).groupBy(*INVOICE_KEYS, "Part")
-               .agg(F.sort_array(F.flatten(F.collect_list(many))).alias("Items")))
-    return out if max_items else out.drop("Part")
+    return (runs.withColumn("Part", part.cast("int")).groupBy(*INVOICE_KEYS, "Part")
+                .agg(F.sort_array(F.flatten(F.collect_list(many))).alias("Items")))
 
 
 def to_json_value(df: DataFrame, key_col: str | None = None) -> DataFrame:

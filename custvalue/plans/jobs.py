@@ -62,14 +62,17 @@ def score_batch_job(spark: SparkSession, raw_json_path: str, out_path: str | Non
 
     The rows go to the folder ``run_id=<run_id>`` of ``out_path`` (by default one
     folder per input path), which a second run replaces; a JDBC append then reads
-    them from there, so nothing is computed twice."""
+    them from there, so nothing is computed twice.  Lines that cleaning drops go,
+    with their reason, to the same folder of ``quarantine_path(out_path)``."""
     model = M.load_latest_model(spark, model_dir) if model_dir else None
     invoices = RD.read_nested_json(spark, raw_json_path)
-    out = score_lines(N.explode_items(invoices), ref_date, model)
+    lines = N.explode_items(invoices)
+    out = score_lines(lines, ref_date, model)
     if out_path:
         run = run_id or hashlib.md5(raw_json_path.encode()).hexdigest()[:12]
         target = f"{out_path.rstrip('/')}/run_id={run}"
         W.write_table(out, target, mode="overwrite")
+        W.write_table(C.unclean_lines(lines), f"{ST.quarantine_path(out_path)}/run_id={run}", mode="overwrite")
         out = spark.read.schema(out.schema).parquet(target)
     if jdbc:
         W.write_jdbc(out, mode="append", **jdbc)

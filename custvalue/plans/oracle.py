@@ -535,6 +535,12 @@ SQL["stream_flat"] = BASE + "," + features_cte("feats", "dirty_clean") + f""",
 scores AS (SELECT CustomerID, {SCORE} AS CLV_Prediction FROM feats)
 SELECT l.* EXCLUDE (l_orderkey, l_partkey, l_suppkey, l_linenumber), s.CLV_Prediction
 FROM dirty_clean l LEFT JOIN scores s ON l.CustomerID = s.CustomerID"""
+SQL["stream_flat_quarantine"] = BASE + f"""
+SELECT InvoiceNo, StockCode, Quantity, UnitPrice, CustomerID, InvoiceDate, reason, InvoiceNo AS text_invoice FROM (
+  SELECT *, CASE WHEN InvoiceDate IS NULL OR Quantity IS NULL OR UnitPrice IS NULL THEN 'incomplete'
+                 WHEN {_parse('InvoiceDate')} IS NULL THEN 'invalid date'
+                 WHEN abs(UnitPrice) >= 1e9 OR abs(Quantity * UnitPrice) >= 1e14 THEN 'invalid price' END AS reason
+  FROM dirty_lines) WHERE reason IS NOT NULL"""
 SQL["stream_landing_quarantine"] = "SELECT reason, count(*) AS messages, count(*) AS with_text FROM (" \
     + SQL["ingest_quarantine"] + """
 UNION ALL

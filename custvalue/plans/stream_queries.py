@@ -152,6 +152,20 @@ def q_stream_flat(spark, sf):
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
+@query("stream_flat_quarantine")
+def q_stream_flat_quarantine(spark, sf):
+    """T7 in two batches: the lines that the scoring stream could not clean, with their reason
+    and the invoice number that their kept message text holds."""
+    root = scratch_path(spark, "stream_flat_quarantine")
+    flat = FX.dirty_lines(spark, sf).select(F.to_json(F.struct(*LINE_COLUMNS)).alias("value"))
+    ST.write_replay_files(flat, f"{root}/in", _files(spark), "text")
+    raw = ST.file_source(spark, f"{root}/in", TEXT, "text", max(1, _files(spark) // 2))
+    ST.finish(ST.start_flat_stream(raw, f"{root}/out", f"{root}/ckpt", REF_DATE))
+    return ST.quarantined(spark, f"{root}/out").select(
+        "InvoiceNo", "StockCode", "Quantity", "UnitPrice", "CustomerID", "InvoiceDate", "reason",
+        F.get_json_object("value", "$.InvoiceNo").alias("text_invoice"))
+
+
 @query("stream_leaderboard")
 def q_stream_leaderboard(spark, sf):
     """Two runs of one query (restart from its checkpoint): events before the

@@ -74,9 +74,9 @@ def invoice_json(df_value: DataFrame) -> DataFrame:
     return N.parse_json(df_value, INVOICE, "value").withColumn("CustomerID", normal_id("CustomerID"))
 
 
-def flat_json(df_value: DataFrame) -> DataFrame:
-    """N1 on a stream: JSON ``value`` -> flat line columns."""
-    return N.parse_json(df_value, FLAT_LINE, "value").withColumn("CustomerID", normal_id("CustomerID"))
+def flat_json(df_value: DataFrame, keep: tuple = ()) -> DataFrame:
+    """N1 on a stream: JSON ``value`` -> flat line columns (behind the columns ``keep``)."""
+    return N.parse_json(df_value, FLAT_LINE, "value", keep).withColumn("CustomerID", normal_id("CustomerID"))
 
 
 # ---- T1 / T2: per-batch score ---------------------------------------------
@@ -108,6 +108,16 @@ def score_state(out_path: str) -> str:
     return f"{out_path.rstrip('/')}_state"
 
 
+def quarantine_path(out_path: str) -> str:
+    """The folder of the lines that cleaning drops, with their reasons, of an output folder."""
+    return f"{out_path.rstrip('/')}_quarantine"
+
+
+def quarantined(spark: SparkSession, out_path: str) -> DataFrame | None:
+    """Lines that a stream writing ``out_path`` could not score, with reason and ``batch_id``."""
+    return read_batches(spark, quarantine_path(out_path))
+
+
 def per_batch_writer(out_path: str, fn, fmt: str = "parquet"):
     """foreachBatch body writing ``fn(batch, batch_id)`` to
     ``out_path/batch_id=N`` (overwrite: idempotent on replay).  Empty
@@ -131,6 +141,7 @@ def start_score_stream(invoices: DataFrame, out_path: str, checkpoint: str,
 
     Scores use each customer's history up to and including the batch (kept in
     ``state``, by default next to ``out_path``), and a fitted ``model`` if given.
+    Lines that cleaning drops are written with their reason (``quarantined``).
     With ``feed_path`` each batch also emits the K10 change feed: one
     ``{key, clv}`` JSON message per customer scored in the batch, written to
     ``feed_path/batch_id=N`` (hand it to ``write_kafka`` for a topic)."""
@@ -141,7 +152,9 @@ def start_score_stream(invoices: DataFrame, out_path: str, checkpoint: str,
             return
         batch = batch.persist()
         try:
-            scored, scores = score_line_batch(C.clean_lines(N.explode_items(batch)), batch_id, state, ref_date, model)
+            lines = N.explode_items(batch)
+            write_batch(C.unclean_lines(lines), quarantine_path(out_path), batch_id)
+            scored, scores = score_line_batch(C.clean_lines(lines), batch_id, state, ref_date, model)
             scored.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             if feed_path:
                 R.prediction_feed(scores).write.mode("overwrite") \
@@ -165,8 +178,9 @@ def start_kv_upsert_stream(invoices: DataFrame, table: str, checkpoint: str,
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                lines = C.clean_lines(N.explode_items(batch, "item_pos"))
-                scored, _ = score_line_batch(lines, batch_id, state, ref_date, model)
+                lines = N.explode_items(batch, "item_pos")
+                write_batch(C.unclean_lines(lines), quarantine_path(table), batch_id)
+                scored, _ = score_line_batch(C.clean_lines(lines), batch_id, state, ref_date, model)
                 write_batch(S.kv_upsert_latest(scored), table, batch_id)
         finally:
             batch.unpersist()
@@ -346,7 +360,8 @@ def rank_feed(raw: DataFrame) -> DataFrame:
 
 def start_flat_stream(raw: DataFrame, out_path: str, checkpoint: str, ref_date="2011-06-11",
                       available_now: bool = True, model=None, state: str | None = None):
-    """Flat line messages (8 fields) -> parsed -> cleaned -> scored -> file sink."""
+    """Flat line messages (8 fields) -> parsed -> cleaned -> scored -> file sink.
+    Lines that cleaning drops are written with their text and reason (``quarantined``)."""
     state = state or score_state(out_path)
 
     def body(batch: DataFrame, batch_id: int) -> None:
@@ -354,6 +369,7 @@ def start_flat_stream(raw: DataFrame, out_path: str, checkpoint: str, ref_date="
             return
         batch = batch.persist()
         try:
+            write_batch(C.unclean_lines(flat_json(batch, ("value",))), quarantine_path(out_path), batch_id)
             scored, _ = score_line_batch(C.clean_lines(flat_json(batch)), batch_id, state, ref_date, model)
             (scored.select(*C.CLEAN_COLUMNS, "CLV_Prediction").write.mode("overwrite")
                    .parquet(f"{out_path}/batch_id={batch_id}"))

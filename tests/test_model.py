@@ -64,6 +64,7 @@ def test_build_events_then_score_batch(spark, scratch):
     again = jobs.score_batch_job(spark, f"{root}/raw", out_path=f"{root}/out", ref_date="2001-12-31")
     assert spark.read.parquet(f"{root}/out").count() == again.count() == n    # replaced, not appended
     assert set(out.columns) >= {"CustomerID", "InvoiceDate", "CLV_Prediction", "Revenue"}
+    assert spark.read.parquet(f"{root}/out_quarantine").count() + n == spark.read.option("multiLine", True).json(f"{root}/raw").selectExpr("inline(Items)").count()
 
 
 def test_every_customer_is_scored(spark):

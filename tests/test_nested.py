@@ -62,6 +62,19 @@ def test_nest_bounds_a_hot_invoice(spark):
     assert N.nest_invoices(lines).count() == 21   # default: one message per invoice
 
 
+def test_large_invoice_is_one_message(spark):
+    from pyspark.sql import functions as F
+    lines = spark.range(12_000).select(F.lit("H").alias("InvoiceNo"), F.lit("2024-01-01 00:00:00").alias("InvoiceDate"),
+                                       F.lit("c").alias("CustomerID"), F.lit("X").alias("Country"),
+                                       F.col("id").cast("string").alias("StockCode"), F.lit("d").alias("Description"),
+                                       F.lit(1).alias("Quantity"), F.lit(1.0).alias("UnitPrice"))
+    nested = N.nest_invoices(lines)
+    assert [r.n for r in nested.select(F.size("Items").alias("n")).collect()] == [12_000]
+    placed = N.explode_items(nested, "item_pos")
+    assert placed.agg(F.count_distinct("item_pos")).first()[0] == 12_000
+    assert nested.columns == N.INVOICE_KEYS + ["Items"]
+
+
 def test_nest_splits_one_repeated_item(spark):
     from custvalue.schemas import FLAT_LINE
     from pyspark.sql import functions as F
