@@ -110,38 +110,69 @@ def score_with_file(features: DataFrame, model_path: str, feature_cols: list[str
     return ready.select(key, predict(*feature_cols).alias(out_col))
 
 
-SALTS = 8   # default split of every customer's lines in the score join
+PIECES = 4                 # pieces that a task's fair share of the lines is cut into
+SKETCH_TASKS = 50_000      # the sketch of frequent keys grows with the shuffle partitions up to here
 
 
-def salted_left_join(big: DataFrame, small: DataFrame, key: str | list[str],
-                     salts: int = SALTS, salt_cols: list[str] | None = None) -> DataFrame:
-    """Left join ``big`` to ``small`` (unique on ``key``) with the key salted.
+def _tasks(df: DataFrame) -> int:
+    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), SKETCH_TASKS)
 
-    Each big row gets a salt from a hash of its own columns, each small row
-    is replicated once per salt; the join runs on (key, salt).  A key holding
-    a third of all big rows is spread over ``salts`` reducers instead of
-    one, deterministically (same salt for the same row on every retry).  The
-    small side grows ``salts`` times -- it is one row per key.
+
+def hot_keys(rows: DataFrame, key: str = "CustomerID", pieces: int = PIECES) -> dict[str, int]:
+    """Keys that hold more than ``1 / pieces`` of a task's fair share of ``rows``, and into how many
+    pieces of that size each is to be cut.
+
+    One pass over the key column with Spark's mergeable frequent-items sketch.  The sketch tracks
+    16 items per possible hot key, so its error lies below the share that makes a key hot and
+    none is missed; it names at most ``pieces`` keys per shuffle partition.
+    """
+    most = pieces * _tasks(rows)
+    found = rows.agg(F.expr(f"approx_top_k(`{key}`, {most}, {4 * most})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return _pieces({r["item"]: r["count"] for r in found["top"]}, found["n"], most)
+
+
+def hot_keys_of_counts(counts: DataFrame, key: str = "CustomerID", n: str = "n", pieces: int = PIECES) -> dict[str, int]:
+    """``hot_keys`` from a table that has the exact number of rows ``n`` of every key."""
+    most = pieces * _tasks(counts)
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    top = counts.where(F.col(n) * most > total).select(key, n).collect()          # fewer than ``most`` can hold so much
+    return _pieces({r[key]: r[n] for r in top}, total, most)
+
+
+def _pieces(counts: dict, total: int, most: int) -> dict[str, int]:
+    return {k: -(-n * most // total) for k, n in counts.items() if k is not None and n * most > total}
+
+
+def salted_left_join(big: DataFrame, small: DataFrame, key: str, hot: dict[str, int], pieces: int = PIECES) -> DataFrame:
+    """Left join ``big`` to ``small`` (unique on ``key``) with only the ``hot`` keys salted.
+
+    A row of a hot key, or of none (null), gets a salt from a hash of its own columns, the same on
+    every retry; all other rows have salt 0.  ``small`` repeats just its hot rows, once per
+    salt: at most ``pieces`` rows per shuffle partition more.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    cols = salt_cols or [c for c in big.columns if c not in keys]
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return b.join(s, keys + ["_salt"], "left").drop("_salt")
+    spark = big.sparkSession
+    rest = [c for c in big.columns if c != key]
+    table = spark.createDataFrame(sorted(hot.items()), f"`{key}` string, _n int")
+    table = F.broadcast(table.select(F.col(key).cast(big.schema[key].dataType), "_n"))       # a row per hot key
+    n = F.when(F.col(key).isNull(), F.lit(pieces * _tasks(big))).otherwise(F.coalesce("_n", F.lit(1)))
+    b = big.join(table, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*rest), n).cast("int")).drop("_n")
+    s = (small.join(table, key, "left")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1))).drop("_n"))
+    return b.join(s, [key, "_salt"], "left").drop("_salt")
 
 
 def scored_lines(lines: DataFrame, scores: DataFrame, key: str = "CustomerID",
-                 score_col: str = "CLV_Prediction", salts: int = SALTS) -> DataFrame:
+                 score_col: str = "CLV_Prediction", salts: int = PIECES, hot: dict[str, int] | None = None) -> DataFrame:
     """Attach each customer's own score to its lines (left join).
 
-    The join is salted (``salted_left_join``): the lines of a hot customer
-    are split over ``salts`` partitions; AQE's skew-join handling stays on as
-    a second line of defence.  ``salts=1`` gives the plain join.
+    Customers with so many lines that their task would stand out (``hot_keys``, or ``hot`` from
+    who knows their counts) are spread over several tasks, and so are lines without a customer;
+    everyone else is joined as is.  ``salts=1`` gives the plain join.
     """
     small = scores.select(key, score_col)
     if salts <= 1:
         return lines.join(small, key, "left")
-    return salted_left_join(lines, small, key, salts)
+    return salted_left_join(lines, small, key, hot_keys(lines, key, salts) if hot is None else hot, salts)
 
 
 def scored_projection(scored: DataFrame) -> DataFrame:

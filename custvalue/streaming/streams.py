@@ -100,7 +100,7 @@ def score_line_batch(lines: DataFrame, batch_id: int, state: str, ref_date,
         known = before.join(own.select("CustomerID"), "CustomerID", "left_semi")
         merged = FE.merge_feature_parts(own.unionByName(known.select(*own.columns)))
     scores = S.score_features(FE._finish(merged, ref_date, "CustomerID"), model)
-    return S.scored_lines(lines, scores), scores
+    return S.scored_lines(lines, scores, hot=S.hot_keys_of_counts(own, n="_n")), scores
 
 
 def score_state(out_path: str) -> str:

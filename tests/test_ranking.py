@@ -75,3 +75,33 @@ def test_salted_join_equals_plain_join(spark):
     b = sorted(map(tuple, S.scored_lines(lines, scores, salts=8).collect()))
     assert a == b and len(b) == 2000
     assert sum(1 for r in b if r[2] is None) == 666
+
+
+def test_only_hot_customers_are_salted(spark):
+    n, hot = 60_000, 20_000
+    who = F.when(F.col("id") < hot, "hot").when(F.col("id") % 50 == 0, None).otherwise((F.col("id") % 997).cast("string"))
+    lines = spark.range(n).select(who.alias("CustomerID"), F.col("id").alias("x"))
+    scores = lines.where("CustomerID is not null").groupBy("CustomerID").agg(F.max("x").cast("double").alias("CLV_Prediction"))
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = S.hot_keys(lines)
+        exact = S.hot_keys_of_counts(lines.groupBy("CustomerID").agg(F.count("*").alias("n")))
+        joined = S.scored_lines(lines, scores)
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        rows = sorted(map(tuple, joined.collect()), key=str)
+        plain = sorted(map(tuple, S.scored_lines(lines, scores, salts=1).collect()), key=str)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert set(found) == set(exact) == {"hot"} and found["hot"] >= exact["hot"] == -(-hot * 128 // n)
+    assert len(sizes) == 32 and sizes[-1] < 2 * sizes[16]
+    assert rows == plain
+
+
+def test_hot_keys_of_nothing(spark):
+    none = spark.createDataFrame([], "CustomerID string, n bigint")
+    assert S.hot_keys(none) == {} == S.hot_keys_of_counts(none)
+    assert S.scored_lines(none, none.selectExpr("CustomerID", "1d CLV_Prediction")).count() == 0
