@@ -344,3 +344,22 @@ def window_features(lines: DataFrame, window: str = "30 days",
                     key, "total_revenue", "frequency",
                     "num_returns", *median_columns(), "last_ts",
                     F.datediff(F.to_date("w.end"), F.to_date("last_ts")).alias("recency"))
+
+
+def window_parts(lines: DataFrame, key: str = "CustomerID") -> DataFrame:
+    """Mergeable parts of the window features of lines that carry ``window_start`` and ``window_end``."""
+    return (lines.groupBy("window_start", "window_end", key)
+                 .agg(*revenue_parts("_rev"), F.count("InvoiceNo").alias("frequency"),
+                      F.count(F.when(F.col("Revenue") < 0, 1)).alias("num_returns"),
+                      *count_parts("hour", HOURS, "_h"), *count_parts("dayofweek", WEEKDAYS, "_d"),
+                      F.max("invoice_ts").alias("last_ts")))
+
+
+def finish_window_parts(parts: DataFrame, key: str = "CustomerID") -> DataFrame:
+    """Window features from any number of ``window_parts`` rows per customer and window."""
+    by = ["window_start", "window_end", key]
+    merged = parts.groupBy(*by).agg(*[F.sum(c).alias(c) for c in parts.columns if c not in (*by, "last_ts")],
+                                    F.max("last_ts").alias("last_ts"))
+    return merged.select(*by, F.expr(money_of("_rev")).alias("total_revenue"), "frequency", "num_returns",
+                         *median_columns(), "last_ts",
+                         F.datediff(F.to_date("window_end"), F.to_date("last_ts")).alias("recency"))

@@ -95,6 +95,12 @@ def land_job(spark: SparkSession, invoices_stream: DataFrame, zone_path: str,
     return ST.start_landing_stream(invoices_stream, zone_path, checkpoint, available_now)
 
 
+def compact_landing_job(spark: SparkSession, zone_path: str, out_path: str,
+                        months: list[str] | None = None) -> DataFrame:
+    """B4 maintenance: the small files of a landing zone packed by month; safe to repeat."""
+    return ST.compact_landing(spark, zone_path, out_path, months=months)
+
+
 def build_events_job(raw_lines: DataFrame, out_path: str | None = None) -> DataFrame:
     """Raw retail rows -> checked, filled, typed -> nested invoice
     messages (key = InvoiceNo, value = JSON).  Written as text files when

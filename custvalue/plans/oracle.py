@@ -9,6 +9,7 @@ from __future__ import annotations
 
 REF_DATE = "2001-12-31"          # reference date of feature t in the checks
 SPLIT_DATE = "2000-01-01"        # label period start for features_target_split
+LATE_CUTS, LATE_MODULUS = ("1996-01-01", SPLIT_DATE), 11   # batches of the window stream with late invoices
 SNAPSHOT_CUTOFF = "2024-01-15 00:00:00"
 
 INVOICE_LINES = """
@@ -552,5 +553,37 @@ SQL["stream_leaderboard"] = SQL["rank_change"]
 SQL["stream_window_features"] = "SELECT * FROM (" + SQL["window_features"] + """
 ) wf WHERE window_end <= (""" + BASE + """
 SELECT MAX(invoice_ts) - INTERVAL 1 DAY FROM lines)"""
+SQL["stream_invoice_frequency"] = SQL["cust_invoice_frequency"]
+SQL["landing_compacted"] = SQL["explode_items"]
+# three batches; a row is late if its window ended by the latest time of the batches before, less a day
+_ARRIVED = BASE + f""",
+arrived AS (
+  SELECT *, window_start + INTERVAL 30 DAY AS window_end FROM (
+    SELECT *, LEAST(2, CASE WHEN invoice_ts < TIMESTAMP '{LATE_CUTS[0]} 00:00:00' THEN 0
+                            WHEN invoice_ts < TIMESTAMP '{LATE_CUTS[1]} 00:00:00' THEN 1 ELSE 2 END
+                       + CASE WHEN CAST(InvoiceNo AS BIGINT) % {LATE_MODULUS} = 0 THEN 1 ELSE 0 END) AS batch_id,
+           TIMESTAMP '1970-01-01 00:00:00'
+           + to_seconds(CAST(floor(epoch(invoice_ts) / 2592000) AS BIGINT) * 2592000) AS window_start
+    FROM lines)),
+marks AS (
+  SELECT b.n AS batch_id, MAX(a.invoice_ts) - INTERVAL 1 DAY AS watermark
+  FROM (SELECT 0 AS n UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) b
+  LEFT JOIN (SELECT batch_id, MAX(invoice_ts) AS invoice_ts FROM arrived GROUP BY batch_id) a ON a.batch_id < b.n
+  GROUP BY b.n),
+tagged AS (
+  SELECT a.*, m.watermark, coalesce(a.window_end <= m.watermark, false) AS late
+  FROM arrived a JOIN marks m ON a.batch_id = m.batch_id WHERE a.CustomerID IS NOT NULL)"""
+SQL["stream_window_late"] = _ARRIVED + """
+SELECT InvoiceNo, StockCode, Quantity, CustomerID, invoice_ts, window_end, watermark, CAST(batch_id AS INTEGER) AS batch_id
+FROM tagged WHERE late"""
+SQL["stream_window_table"] = _ARRIVED + """
+SELECT window_start, window_end, CustomerID,
+       CAST(SUM(CAST(Quantity AS DECIMAL(10,0)) * CAST(UnitPrice AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
+       COUNT(InvoiceNo) AS frequency, COUNT(CASE WHEN Revenue < 0 THEN 1 END) AS num_returns,
+       quantile_disc(hour, 0.5) AS purchase_hour_med, quantile_disc(dayofweek, 0.5) AS purchase_dow_med,
+       MAX(invoice_ts) AS last_ts,
+       CAST(date_diff('day', CAST(MAX(invoice_ts) AS DATE), CAST(window_end AS DATE)) AS INTEGER) AS recency,
+       window_end <= (SELECT watermark FROM marks WHERE batch_id = 3) AS closed
+FROM tagged WHERE NOT late GROUP BY window_start, window_end, CustomerID"""
 SQL["scan_nested_json"] = SQL["explode_items"]
 SQL["scan_csv"] = BASE + f"\nSELECT {LINE_COLS} FROM invoice_lines"

@@ -17,7 +17,7 @@ from ..schemas import LINE_COLUMNS
 from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..streaming import streams as ST
-from .oracle import REF_DATE, SPLIT_DATE
+from .oracle import LATE_CUTS, LATE_MODULUS, REF_DATE, SPLIT_DATE
 from .queries import query
 
 BATCH_CUTOFF = SPLIT_DATE   # invoices before it arrive in the first micro-batch of a two-batch replay
@@ -112,6 +112,60 @@ def q_stream_window_features(spark, sf):
     return spark.read.parquet(f"{root}/out")
 
 
+@query("stream_invoice_frequency")
+def q_stream_invoice_frequency(spark, sf):
+    """A3 in a stream: flat lines, the lines of an invoice spread over several batches."""
+    root = scratch_path(spark, "stream_invoice_frequency")
+    flat = FX.invoice_lines(spark, sf).select(F.to_json(F.struct(*LINE_COLUMNS)).alias("value"))
+    ST.write_replay_files(flat, f"{root}/in", _files(spark), "text")
+    raw = ST.file_source(spark, f"{root}/in", TEXT, "text", max(1, _files(spark) // 4))
+    ST.finish(ST.start_invoice_count_stream(C.clean_lines(ST.flat_json(raw)), f"{root}/ckpt"))
+    return ST.invoice_counts(spark, f"{root}/ckpt")
+
+
+def _windows_with_late_rows(spark, sf, root) -> None:
+    """Three batches by invoice date; every ``LATE_MODULUS``-th invoice comes a batch later."""
+    inv = FX.invoices(spark, sf)
+    date = F.col("InvoiceDate")
+    own = F.when(date < LATE_CUTS[0], 0).when(date < LATE_CUTS[1], 1).otherwise(2)
+    slow = F.when(F.col("InvoiceNo").cast("bigint") % LATE_MODULUS == 0, 1).otherwise(0)
+    msgs = inv.select(F.least(own + slow, F.lit(2)).alias("arrives"), F.to_json(F.struct(*inv.columns)).alias("value"))
+    for part in range(3):
+        ST.write_replay_files(msgs.filter(F.col("arrives") == part), f"{root}/in/part={part}", _files(spark), "text", columns=["value"])
+        lines = C.clean_lines(N.explode_items(_invoice_stream(spark, f"{root}/in/part=*")))
+        ST.finish(ST.start_window_table_stream(lines, f"{root}/out", f"{root}/ckpt"))
+
+
+@query("stream_window_table")
+def q_stream_window_table(spark, sf):
+    """T4: all windows after three batches, open ones too, without the late rows."""
+    root = scratch_path(spark, "stream_window_table")
+    _windows_with_late_rows(spark, sf, root)
+    return ST.window_table(spark, f"{root}/out")
+
+
+@query("stream_window_late")
+def q_stream_window_late(spark, sf):
+    """T4: the rows that came after their window had closed, with the watermark they missed."""
+    root = scratch_path(spark, "stream_window_late")
+    _windows_with_late_rows(spark, sf, root)
+    return ST.late_rows(spark, f"{root}/out").select(
+        "InvoiceNo", "StockCode", "Quantity", "CustomerID", "invoice_ts", "window_end", "watermark", "batch_id")
+
+
+@query("landing_compacted")
+def q_landing_compacted(spark, sf):
+    """K5: the lines of a landing zone after its files were compacted, twice."""
+    root = scratch_path(spark, "landing_compacted")
+    src = _invoice_texts(spark, sf, root)
+    raw = ST.file_source(spark, src, TEXT, "text", max(1, _files(spark) // 4))
+    ST.finish(ST.start_landing_stream(raw, f"{root}/zone", f"{root}/ckpt"))
+    for _ in range(2):
+        ST.compact_landing(spark, f"{root}/zone", f"{root}/packed")
+    valid, _ = ST.landed_invoices(spark, f"{root}/packed")
+    return N.explode_items(valid).select(*N.INVOICE_KEYS, "StockCode", "Description", "Quantity", "UnitPrice")
+
+
 @query("stream_landing")
 def q_stream_landing(spark, sf):
     root = scratch_path(spark, "stream_landing")

@@ -9,7 +9,7 @@ the same result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -217,6 +217,16 @@ def start_batch_features_stream(invoices: DataFrame, out_path: str, checkpoint:
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _start_in_rocksdb(spark: SparkSession, writer, available_now: bool):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)                 # read when the query starts, and kept in its checkpoint
+    try:
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
 def start_total_features_stream(lines: DataFrame, checkpoint: str, ref_date, out_path: str | None = None,
                                 available_now: bool = True):
     """Running per-customer features over everything seen so far.
@@ -235,13 +245,7 @@ def start_total_features_stream(lines: DataFrame, checkpoint: str, ref_date, out
 
     w = parts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     w = w.foreachBatch(body) if out_path else w.format("noop")
-    name = "spark.sql.streaming.stateStore.providerClass"
-    old = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKSDB)                 # read when the query starts, and kept in its checkpoint
-    try:
-        return (w.trigger(availableNow=True) if available_now else w).start()
-    finally:
-        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+    return _start_in_rocksdb(spark, w, available_now)
 
 
 def total_features(spark: SparkSession, checkpoint: str, ref_date, batch_id: int | None = None) -> DataFrame:
@@ -259,6 +263,26 @@ def total_features(spark: SparkSession, checkpoint: str, ref_date, batch_id: int
                       .select("CustomerID", "value.*"), ref_date, "CustomerID")
 
 
+# ---- A3: distinct invoices of a stream -------------------------------------
+
+def start_invoice_count_stream(lines: DataFrame, checkpoint: str, available_now: bool = True):
+    """A3 in a stream: Spark's state store keeps one row per (customer, invoice) with its lines, so an
+    invoice whose lines come in several batches counts once; ``invoice_counts`` reads it."""
+    pairs = (lines.filter(F.col("CustomerID").isNotNull() & F.col("InvoiceNo").isNotNull())
+                  .groupBy("CustomerID", "InvoiceNo").agg(F.count(F.lit(1)).alias("n_lines")))
+    w = pairs.writeStream.outputMode("update").option("checkpointLocation", checkpoint).format("noop")
+    return _start_in_rocksdb(lines.sparkSession, w, available_now)
+
+
+def invoice_counts(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """``frequency_invoices`` and ``frequency_lines`` per customer after the last batch, or ``batch_id``."""
+    r = spark.read.format("statestore")
+    if batch_id is not None:
+        r = r.option("batchId", batch_id)
+    return (r.load(checkpoint).groupBy(F.col("key.CustomerID").alias("CustomerID"))
+             .agg(F.count(F.lit(1)).alias("frequency_invoices"), F.sum("value.count").alias("frequency_lines")))
+
+
 # ---- T4: windowed features with watermark ---------------------------------
 
 def start_window_features_stream(lines: DataFrame, out_path: str, checkpoint: str,
@@ -287,6 +311,59 @@ def start_window_features_stream(lines: DataFrame, out_path: str, checkpoint: st
     return (q.trigger(availableNow=True) if available_now else q).start()
 
 
+def _clock(spark: SparkSession, out_path: str, before: int | None = None):
+    """(latest event time, watermark) after the last batch below ``before``; None without any."""
+    ids = [b for b in finished_batches(spark, f"{out_path}/clock") if before is None or b < before]
+    return spark.read.parquet(f"{out_path}/clock/batch_id={ids[-1]}").first() if ids else None
+
+
+def _ntz(t) -> Column:
+    return F.lit(None if t is None else str(t)).cast("timestamp_ntz")
+
+
+def start_window_table_stream(lines: DataFrame, out_path: str, checkpoint: str,
+                              window: str = "30 days", delay: str = "1 day", available_now: bool = True):
+    """T4 with its late rows kept and its open windows readable between triggers.
+
+    The watermark of a batch is the latest event time of all batches before it minus ``delay``, as in
+    ``start_window_features_stream``; a row whose window ended by then is late.  A batch writes
+    its late rows, the mergeable parts of its other rows' windows, and its clock as folders named
+    by its id, so a replayed batch writes the same.  ``window_table`` and ``late_rows`` read them.
+    """
+    def body(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        last = _clock(spark, out_path, batch_id)
+        seen, mark = _ntz(last and last["seen"]), _ntz(last and last["watermark"])
+        w = F.window("invoice_ts", window)
+        late = F.coalesce(F.col("window_end") <= mark, F.lit(False))
+        batch = batch.persist()
+        try:
+            rows = (batch.filter(F.col("CustomerID").isNotNull())
+                         .withColumns({"window_start": w["start"], "window_end": w["end"], "watermark": mark}))
+            write_batch(rows.filter(late), f"{out_path}/late", batch_id)
+            write_batch(FE.window_parts(rows.filter(~late)), f"{out_path}/parts", batch_id)
+            clock = batch.agg(F.greatest(F.max("invoice_ts"), seen).alias("seen"))
+            write_batch(clock.withColumn("watermark", F.expr(f"seen - INTERVAL {delay}")), f"{out_path}/clock", batch_id)
+        finally:
+            batch.unpersist()
+
+    q = lines.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return (q.trigger(availableNow=True) if available_now else q).start()
+
+
+def window_table(spark: SparkSession, out_path: str) -> DataFrame:
+    """The window features so far; ``closed`` once the watermark has passed a window's end."""
+    last = _clock(spark, out_path)
+    parts = read_batches(spark, f"{out_path}/parts").drop("batch_id")
+    return FE.finish_window_parts(parts).withColumn(
+        "closed", F.coalesce(F.col("window_end") <= _ntz(last["watermark"]), F.lit(False)))
+
+
+def late_rows(spark: SparkSession, out_path: str) -> DataFrame:
+    """The rows that came after their window had closed, with that window, the watermark they missed and ``batch_id``."""
+    return read_batches(spark, f"{out_path}/late")
+
+
 # ---- T5: raw landing --------------------------------------------------------
 
 def start_landing_stream(raw: DataFrame, out_path: str, checkpoint: str,
@@ -319,6 +396,41 @@ def landed_invoices(spark: SparkSession, zone_path: str) -> tuple[DataFrame, Dat
             zone.filter("not is_valid").select("InvoiceNo", "raw", "reason"))
 
 
+TARGET_BYTES = 128 << 20    # size of a compacted landing file
+
+
+def compact_landing(spark: SparkSession, zone_path: str, out_path: str, target_bytes: int = TARGET_BYTES,
+                    months: list[str] | None = None) -> DataFrame:
+    """K5: the many small files of a landing zone as few files of about ``target_bytes``, in one Spark job.
+
+    Each month gets as many files as its landed bytes fill, and its rows are dealt to them evenly by
+    their place in the landed files, whatever they hold.  Only months are replaced in ``out_path``
+    that the run covers (``months``, default all), so a second run, or a run after more has landed,
+    leaves every row once.  Returns one row per month: files and bytes before, files after.
+    """
+    zone = spark.read.parquet(zone_path)
+    if months is not None:
+        zone = zone.filter(F.col("landing_month").isin(months))
+    at = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    files = zone.select("landing_month", at[0], F.col("_metadata.file_size").alias("size")).distinct()
+    sizes = (files.groupBy("landing_month").agg(F.count(F.lit(1)).alias("files_before"), F.sum("size").alias("bytes"))
+                  .withColumn("files", F.ceil(F.col("bytes") / F.lit(target_bytes)).cast("int")))
+    plan, first = [], 0
+    for r in sorted(sizes.collect(), key=lambda r: (r["landing_month"] is not None, r["landing_month"])):    # one row per month
+        plan.append((*r, first))
+        first += r["files"]
+    table = spark.createDataFrame(plan, f"{sizes.schema.simpleString()[7:-1].replace(':', ' ')}, first int")
+    if not plan:
+        return table.drop("first")
+    slots = F.broadcast(table.select(F.col("landing_month").alias("_month"), "files", "first"))
+    slot = F.col("first") + F.pmod(F.xxhash64("_file", "_row"), F.col("files")).cast("int")
+    dealt = (zone.select("*", *at).join(slots, F.col("landing_month").eqNullSafe(F.col("_month")))
+                 .withColumn("_slot", slot).select(*zone.columns, "_slot"))
+    (dealt.repartitionById(first, "_slot").drop("_slot").write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy("landing_month").parquet(out_path))
+    return table.drop("first")
+
+
 # ---- T6: live leaderboard ---------------------------------------------------
 
 def start_leaderboard_stream(feed: DataFrame, state: str, board_path: str,

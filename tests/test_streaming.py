@@ -117,3 +117,63 @@ def test_landing_keeps_messages_that_do_not_parse(spark, scratch):
     valid, bad = ST.landed_invoices(spark, f"{root}/zone")
     assert valid.count() == 0
     assert {r.raw: r.reason for r in bad.collect()} == dict(zip(texts, ["unparseable", "missing CustomerID", "missing Country", "missing InvoiceNo"]))
+
+
+def test_late_rows_are_kept_and_open_windows_readable(spark, scratch):
+    root = scratch("t4b")
+    schema = T.StructType(FLAT_LINE.fields)
+
+    def run(rows, name):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/in/{name}")
+        src = C.clean_lines(spark.readStream.schema(schema).parquet(f"{root}/in/*"))
+        ST.finish(ST.start_window_table_stream(src, f"{root}/out", f"{root}/ckpt"))
+        return {(r.CustomerID, str(r.window_start)[:10]): (r.frequency, r.closed) for r in ST.window_table(spark, f"{root}/out").collect()}
+
+    got = run([line("1", "c1", "2024-03-10 00:00:00"), line("1", None, "2024-03-11 00:00:00")], "a")
+    assert got == {("c1", "2024-02-17"): (1, False)} and ST.late_rows(spark, f"{root}/out").count() == 0
+    # the watermark is 2024-03-10 now: January has closed, the row in the open window is in time
+    got = run([line("2", "c1", "2024-01-05 00:00:00"), line("3", "c1", "2024-02-20 00:00:00"), line("4", "c1", "2024-06-01 00:00:00")], "b")
+    assert got == {("c1", "2024-02-17"): (2, True), ("c1", "2024-05-17"): (1, False)}
+    late = ST.late_rows(spark, f"{root}/out").collect()
+    assert [(r.InvoiceNo, str(r.watermark), r.batch_id) for r in late] == [("2", "2024-03-10 00:00:00", 1)]
+
+
+def test_invoice_counts_once_over_batches(spark, scratch):
+    root = scratch("a3")
+
+    def run(rows, name):
+        flat_json(spark, rows).coalesce(1).write.text(f"{root}/in/{name}")
+        raw = ST.file_source(spark, f"{root}/in/*", TEXT, "text")
+        ST.finish(ST.start_invoice_count_stream(C.clean_lines(ST.flat_json(raw)), f"{root}/ckpt"))
+        return sorted(map(tuple, ST.invoice_counts(spark, f"{root}/ckpt").collect()))
+
+    at = "2024-01-01 10:00:00"
+    assert run([line("1", "c1", at), line("1", "c1", at), line("2", "c2", at), line("9", None, at)], "a") == [("c1", 1, 2), ("c2", 1, 1)]
+    assert run([line("1", "c1", at), line("3", "c1", at)], "b") == [("c1", 2, 4), ("c2", 1, 1)]
+    assert sorted(map(tuple, ST.invoice_counts(spark, f"{root}/ckpt", batch_id=0).collect())) == [("c1", 1, 2), ("c2", 1, 1)]
+
+
+def test_landing_compaction_bounds_files_and_keeps_rows(spark, scratch):
+    root = scratch("k5")
+    zone, packed = f"{root}/zone", f"{root}/packed"
+    rows = (spark.range(6000).repartition(12)
+            .select(F.lit("the same message").alias("raw"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("2024-0"), (F.col("id") % 3).cast("string"))).alias("landing_month"),
+                    F.md5(F.col("id").cast("string")).alias("x")))
+    rows.write.partitionBy("landing_month").parquet(zone)
+
+    def content(path):
+        return sorted(map(str, spark.read.parquet(path).select("raw", "landing_month", "x").collect()))
+
+    def files(path):
+        return sorted(r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect())
+
+    plan = ST.compact_landing(spark, zone, packed, target_bytes=20_000)
+    assert len(files(zone)) == 36 and plan.agg(F.sum("files_before")).first()[0] == 36
+    assert len(files(packed)) == plan.agg(F.sum("files")).first()[0] < 36
+    assert content(packed) == content(zone)
+    sizes = [r["count"] for r in spark.read.parquet(packed).groupBy("_metadata.file_path").count().collect()]
+    assert max(sizes) < 1.5 * min(sizes)                                            # equal messages are dealt out too
+    rows.where("landing_month = '2024-01'").limit(50).write.mode("append").partitionBy("landing_month").parquet(zone)
+    ST.compact_landing(spark, zone, packed, target_bytes=20_000, months=["2024-01"])   # only this month is replaced
+    assert content(packed) == content(zone)
+    assert ST.compact_landing(spark, zone, packed, months=["1999-01"]).count() == 0 and content(packed) == content(zone)
