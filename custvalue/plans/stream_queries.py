@@ -232,11 +232,8 @@ def q_stream_leaderboard(spark, sf):
     for part, cond in (("a", cut), ("b", ~cut)):
         feed.filter(cond).repartition(_files(spark)).write.mode("overwrite").json(f"{root}/in/part={part}")
         raw = spark.readStream.schema(FEED).json(f"{root}/in/part=*")
-        ST.finish(ST.start_leaderboard_stream(ST.rank_feed(raw), f"{root}/state", f"{root}/board",
-                                              f"{root}/ckpt"))
-    boards = spark.read.parquet(f"{root}/board")
-    last = boards.agg(F.max("batch_id")).first()[0]
-    return boards.filter(F.col("batch_id") == last).drop("batch_id")
+        ST.finish(ST.start_leaderboard_stream(ST.rank_feed(raw), f"{root}/state", f"{root}/ckpt"))
+    return ST.leaderboard(spark, f"{root}/state")
 
 
 # ---- sources read back from files Spark wrote (S1, S2) ----------------------

@@ -433,36 +433,65 @@ def compact_landing(spark: SparkSession, zone_path: str, out_path: str, target_b
 
 # ---- T6: live leaderboard ---------------------------------------------------
 
-def start_leaderboard_stream(feed: DataFrame, state: str, board_path: str,
-                             checkpoint: str, available_now: bool = True):
-    """Per micro-batch -- write the latest score per key of the batch as its folder
-    of ``state``, rank the latest scores of all keys, and diff against the ranking of
-    the last board (new / up / down / none).  The board of batch N is
-    ``board_path/batch_id=N``; top-N for display is ``top_k`` on it."""
+BOARD_ROW = "key string, clv double, last_ts timestamp_ntz, last_event_id bigint, bucket int, pos bigint"
+
+
+def _board_state(spark: SparkSession, state: str, before: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, counts) of the board: each bucket as the last batch (below ``before``) that touched it left it."""
+    counts, rows = (read_batches(spark, f"{state}/{name}", before) for name in ("counts", "rows"))
+    if counts is None or rows is None:
+        return spark.createDataFrame([], BOARD_ROW), spark.createDataFrame([], "bucket int, n bigint")
+    last = counts.groupBy("bucket").agg(F.max("batch_id").alias("batch_id"), F.max_by("n", "batch_id").alias("n"))
+    now = rows.join(F.broadcast(last.select("bucket", "batch_id")), ["bucket", "batch_id"])       # a row per score bucket
+    return now.select(*[f.split()[0] for f in BOARD_ROW.split(", ")]), last.select("bucket", "n")
+
+
+def start_leaderboard_stream(feed: DataFrame, state: str, checkpoint: str, available_now: bool = True):
+    """The latest score of every key, ranked.
+
+    Keys are kept in score buckets with their place there.  A batch takes its keys out of their old
+    buckets, puts them into the new ones, and sorts and writes just these buckets and their counts
+    as the folders of its id; what it writes follows the batch.  Ranks come from prefix sums
+    over the counts when the board is read (``leaderboard``); top-N for display is ``top_k`` on it.
+    """
     def body(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        spark = batch.sparkSession
+        own = R.latest_per_key(batch).withColumn("bucket", R.score_bucket()).persist()
         try:
-            if not batch.isEmpty():
-                _board(batch, batch_id)
+            rows, _ = _board_state(spark, state, batch_id)
+            cols = own.columns
+            old = rows.join(own.select("key"), "key", "left_semi").select(*cols)
+            order = lambda side: F.struct(F.col(f"{side}.last_ts"), F.col(f"{side}.last_event_id"))
+            moved = (own.alias("o").join(old.alias("p"), "key", "left")
+                        .where(F.col("p.bucket").isNull() | (order("o") > order("p")))          # a late event changes nothing
+                        .select("key", *[F.col(f"o.{c}").alias(c) for c in cols[1:]], F.col("p.bucket").alias("was")))
+            write_batch(moved, f"{state}/moved", batch_id)
+            moved = spark.read.schema(moved.schema).parquet(f"{state}/moved/batch_id={batch_id}")
+            touched = moved.select(F.explode(F.array("bucket", "was")).alias("bucket")).dropna().distinct()
+            stay = (rows.select(*cols).join(F.broadcast(touched), "bucket", "left_semi")           # a row per score bucket
+                        .join(moved.select("key"), "key", "left_anti"))
+            write_batch(R.placed_in_buckets(stay.select(*cols).unionByName(moved.select(*cols))), f"{state}/rows", batch_id)
+            placed = spark.read.schema(BOARD_ROW).parquet(f"{state}/rows/batch_id={batch_id}")
+            counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+            write_batch(touched.join(counts, "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).alias("n")),
+                        f"{state}/counts", batch_id)
         finally:
-            batch.unpersist()
-
-    def _board(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        write_batch(R.latest_per_key(batch), state, batch_id)
-        seen = read_batches(spark, state, before=batch_id + 1)
-        latest = R.latest_per_key(seen.select("key", "clv", F.col("last_ts").alias("ts"),
-                                              F.col("last_event_id").alias("event_id")))
-        now = R.ranked(latest.select("key", "clv"))
-        boards = [b for b in finished_batches(spark, board_path) if b < batch_id]
-        last = (spark.read.parquet(f"{board_path}/batch_id={boards[-1]}") if boards else now.limit(0))
-        board = R.rank_move(last.select("key", F.col("rank").alias("prev_rank")), now)
-        write_batch(board, board_path, batch_id)
+            own.unpersist()
 
     w = feed.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
+def leaderboard(spark: SparkSession, state: str, batch_id: int | None = None) -> DataFrame:
+    """The board after the last batch, or ``batch_id``: rank, rank after the batch before, and the move
+    (new / up / down / none)."""
+    ids = finished_batches(spark, f"{state}/counts")
+    if batch_id is None:
+        batch_id = ids[-1] if ids else 0
+    before, now = (R.ranks_of_buckets(*_board_state(spark, state, b)) for b in (batch_id, batch_id + 1))
+    return R.rank_move(before.select("key", F.col("rank").alias("prev_rank")), now)
+
+
 def rank_feed(raw: DataFrame) -> DataFrame:
     """Parse {key, clv} ranking messages (F5) with their event order."""
     return N.parse_json(raw, RANK_MESSAGE, "value", keep=("ts", "event_id"))

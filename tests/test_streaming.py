@@ -177,3 +177,34 @@ def test_landing_compaction_bounds_files_and_keeps_rows(spark, scratch):
     ST.compact_landing(spark, zone, packed, target_bytes=20_000, months=["2024-01"])   # only this month is replaced
     assert content(packed) == content(zone)
     assert ST.compact_landing(spark, zone, packed, months=["1999-01"]).count() == 0 and content(packed) == content(zone)
+
+
+def test_leaderboard_sorts_only_touched_buckets(spark, scratch):
+    import random
+    root, rng = scratch("t6"), random.Random(3)
+    odd = [0.0, -0.0, -5.5, 1e300, -1e300, float("inf"), float("-inf"), float("nan"), None]
+    seen, order, boards = {}, {}, [{}]
+
+    def run(n, events):
+        df = spark.createDataFrame(events, "key string, clv double, ts timestamp_ntz, event_id long")
+        df.coalesce(1).write.parquet(f"{root}/in/{n}")
+        src = spark.readStream.schema(df.schema).parquet(f"{root}/in/*")
+        ST.finish(ST.start_leaderboard_stream(src, f"{root}/state", f"{root}/ckpt"))
+        for k, v, ts, e in events:
+            if k not in order or (ts, e) > order[k]:
+                seen[k], order[k] = v, (ts, e)
+        rank = lambda v: (2, 0) if v is None else (0, 0) if v != v else (1, -v)
+        boards.append({k: i + 1 for i, k in enumerate(sorted(seen, key=lambda k: (rank(seen[k]), k)))})
+        got = {r.key: (r["rank"], r.prev_rank) for r in ST.leaderboard(spark, f"{root}/state").collect()}
+        assert got == {k: (i, boards[-2].get(k)) for k, i in boards[-1].items()}
+
+    t = dt.datetime(2024, 1, 1)
+    run(0, [(f"k{i}", rng.choice([7.0, 7.0, rng.uniform(-50, 500)]), t, i) for i in range(300)] + [(f"o{i}", v, t, i) for i, v in enumerate(odd)])
+    # one key moves, one event is late, one key is new
+    run(1, [("k5", 400.25, t.replace(day=2), 0), ("k6", 9999.0, t.replace(year=2023), 0), ("new", 7.0, t, 0)])
+    run(2, [("o7", 1.0, t.replace(day=3), 0)])
+    run(3, [("k6", 1.0, t.replace(year=2022), 0)])                       # nothing moves
+    wrote = {b: spark.read.parquet(f"{root}/state/counts/batch_id={b}").count() for b in (0, 1, 2, 3)}
+    assert wrote[1] <= 3 and wrote[2] <= 2 and wrote[3] == 0 < 50 < wrote[0]
+    again = {r.key: r["rank"] for r in ST.leaderboard(spark, f"{root}/state", 1).collect()}
+    assert again == boards[2]
