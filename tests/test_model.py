@@ -124,6 +124,7 @@ def test_updated_model_equals_the_model_of_all_rows(spark, scratch):
         assert np.isclose(both.coefficients[c], w, rtol=1e-9, atol=1e-9), c
     first = M.load_linear(spark, f"{d}/CLV_V1")
     assert first.coefficients != both.coefficients
+    ft.unpersist()                             # later tests look at plans over the same frame
 
 
 def test_least_squares_against_numpy(spark):
