@@ -232,13 +232,19 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
 
     The quartiles are exact (linear between neighbours): see ``exact_quantiles``.
     """
-    cells = _cells(df, cols)
-    stats = cells.groupBy("column").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev("v").alias("stddev"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
+    spark = df.sparkSession
+    df = df.select(*cols).persist()                        # every round of the quantiles reads it again
+    try:
+        found = _cells(df, cols).groupBy("column").agg(
+            F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev("v").alias("stddev"),
+            F.min("v").alias("min"), F.max("v").alias("max"))
+        stats = spark.createDataFrame(found.collect(), found.schema)             # one row per column
+        quartiles = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    finally:
+        df.unpersist()
+    q = quartiles.groupBy("column").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
     q = q.select("column", F.col("`0.25`").alias("q25"), F.col("`0.5`").alias("q50"), F.col("`0.75`").alias("q75"))
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    names = spark.createDataFrame([(c,) for c in cols], "column string")
     return (names.join(F.broadcast(stats), "column", "left").join(F.broadcast(q), "column", "left")   # one row per column
             .select("column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "stddev", "min", "q25", "q50", "q75", "max"))
 

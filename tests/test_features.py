@@ -135,3 +135,15 @@ def test_money_of_many_large_lines_does_not_overflow(spark):
     df = df.withColumns({"hour": F.lit(1), "dayofweek": F.lit(2), "weekend": F.lit(0), "Revenue": F.col("Quantity") * F.col("UnitPrice")})
     assert FE.customer_features(df, "2024-01-31").first()["total_revenue"] == 40 * 100_000 * 9.9e8
     assert FE.invoice_totals(df).first()["TotalValue"] == 40 * 100_000 * 9.9e8
+
+
+def test_describe_reads_its_rows_once(spark):
+    from pyspark.sql import functions as F
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(x):
+        seen.add(1)
+        return float(x)
+    d = FE.describe_numeric(spark.range(101).select(F.udf(look, "double")("id").alias("x")), ["x"]).first()
+    assert (d["count"], d["q25"], d["q50"], d["q75"]) == (101, 25.0, 50.0, 75.0)
+    assert seen.value == 101
