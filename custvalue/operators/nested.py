@@ -16,10 +16,12 @@ def parse_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
                keep: tuple = ()) -> DataFrame:
     """N1 + N2: (binary or string) JSON -> typed columns.
 
-    A value that does not fit its field type gives null in that field.
+    A value that does not fit its field type gives null in that field.  Every value is
+    parsed once, whatever is done with the columns.
     """
     text = F.col(value_col).cast("string")
-    return df.select(*keep, F.from_json(text, schema).alias("data")).select(*keep, "data.*")
+    # a generated row: the optimizer copies a plain from_json into every filter and projection over it
+    return df.select(*keep, F.inline(F.array(F.from_json(text, schema))))
 
 
 def explode_items(invoices: DataFrame, position: str | None = None) -> DataFrame:
@@ -32,11 +34,12 @@ def explode_items(invoices: DataFrame, position: str | None = None) -> DataFrame
                     .select(*INVOICE_KEYS, "_item.*", position))
 
 
-def nest_invoices(lines: DataFrame, max_items: int | None = None) -> DataFrame:
+def nest_invoices(lines: DataFrame, max_items: int | None = None, within: str | None = None) -> DataFrame:
     """Lines -> one nested invoice per (InvoiceNo, InvoiceDate, CustomerID, Country).
 
     Items are sorted so the message is deterministic.  An invoice is one message
-    whatever its size, built by one aggregation.
+    whatever its size, built by one aggregation.  ``within`` names a column that has one
+    value per InvoiceNo and by which the lines are dealt out already.
 
     A caller whose messages must stay small gives ``max_items``: then no message
     holds more than about that many items, an invoice above it becomes several
@@ -49,18 +52,17 @@ def nest_invoices(lines: DataFrame, max_items: int | None = None) -> DataFrame:
     names = [f.name for f in ITEM.fields]
     item = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ITEM.fields])
     if max_items is None:
-        return (lines.groupBy(*INVOICE_KEYS)
-                     .agg(F.sort_array(F.collect_list(item)).alias("Items")))
+        return (lines.groupBy(*INVOICE_KEYS, *([within] if within else []))
+                     .agg(F.sort_array(F.collect_list(item)).alias("Items"))
+                     .select(*INVOICE_KEYS, "Items"))
     bound = max_items
     sizes = lines.groupBy(*INVOICE_KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    from .scoring import salted_left_join
+    from .scoring import hot_keys_of_counts, salted_left_join
     # invoice keys may be null (e.g. a missing customer): join on an exact,
-    # never-null key made of (is null, value) per key column
-    kcol = F.struct(*[F.struct(F.col(k).isNull().alias("z"),
-                               F.coalesce(F.col(k), F.lit("")).alias("v")).alias(k)
-                      for k in INVOICE_KEYS])
-    sized = salted_left_join(lines.withColumn("_k", kcol),
-                             sizes.withColumn("_k", kcol).select("_k", "_n"), "_k")
+    # never-null text (a null is left out of the JSON)
+    kcol = F.to_json(F.struct(*INVOICE_KEYS))
+    sizes = sizes.select(kcol.alias("_k"), F.col("_n").alias("_size"))
+    sized = salted_left_join(lines.withColumn("_k", kcol), sizes, "_k", hot_keys_of_counts(sizes, "_k", "_size")).withColumnRenamed("_size", "_n")
     runs = (sized.groupBy(*INVOICE_KEYS, "_n", *names).agg(F.count(F.lit(1)).alias("_c"))
                  .withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                           F.floor((F.col("_c") - 1) / bound)))))

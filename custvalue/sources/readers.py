@@ -51,13 +51,20 @@ def write_json_array_files(df: DataFrame, path: str, rows_per_file: int = 50_000
     run = max(1, rows_per_file // 50)
     counted = (df.select(F.to_json(F.struct(*df.columns)).alias("j"))
                  .groupBy("j").agg(F.count(F.lit(1)).alias("c")))
-    n = df.count()
-    files = max(1, -(-n // rows_per_file))
+    counted = counted.persist()                           # the rows are counted and written
+    try:
+        n = counted.agg(F.sum("c")).first()[0] or 0
+        _write_documents(counted, path, max(1, -(-n // rows_per_file)), run)
+    finally:
+        counted.unpersist()
+
+
+def _write_documents(counted: DataFrame, path: str, files: int, run: int) -> None:
     runs = counted.withColumn("r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("c") - 1) / run))))
     bucket = F.pmod(F.xxhash64("j", "r"), F.lit(files))
     many = F.array_repeat("j", F.least(F.lit(run).cast("bigint"), F.col("c") - F.col("r") * run).cast("int"))
-    docs = (runs.groupBy(bucket.alias("b"))
+    # one document per file: a multi-line reader parses a file as ONE value
+    docs = (runs.withColumn("b", bucket).repartition(files, "b").groupBy("b")
               .agg(F.concat(F.lit("["), F.array_join(F.flatten(F.collect_list(many)), ","), F.lit("]"))
                    .alias("value")))
-    # one document per file: a multi-line reader parses a file as ONE value
-    (docs.repartition(files, "b").write.mode("overwrite").partitionBy("b").text(path))
+    docs.write.mode("overwrite").partitionBy("b").option("compression", "gzip").text(path)

@@ -93,3 +93,27 @@ def test_json_documents_spread_equal_rows(spark, scratch):
     write_json_array_files(spark.range(1000).selectExpr("1 as a"), path, rows_per_file=100)
     docs = spark.read.option("multiLine", True).json(path)
     assert docs.count() == 1000 and docs.groupBy("b").count().count() >= 6
+
+
+def test_json_is_parsed_once_whatever_filters_it(spark):
+    from pyspark.sql import functions as F
+    raw = spark.createDataFrame([('{"a": 1, "b": 2}',), ('{"a": null}',), ("broken",), (None,)], "value string")
+    df = N.parse_json(raw, "a int, b int")
+    assert sorted(map(tuple, df.collect()), key=str) == sorted([(1, 2), (None, None), (None, None), (None, None)], key=str)
+    plan = df.filter(F.col("a").isNotNull() & (F.col("b") > 1))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1, plan
+
+
+def test_json_documents_evaluate_their_rows_once(spark, scratch):
+    from pyspark.sql import functions as F
+    from custvalue.sources.readers import write_json_array_files
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(x):
+        seen.add(1)
+        return x
+    df = spark.range(200).select(F.udf(look, "long")("id").alias("a"))
+    path = scratch("json1") + "/raw"
+    write_json_array_files(df, path, rows_per_file=50)
+    assert seen.value == 200
+    assert spark.read.option("multiLine", True).json(path).agg(F.sum("a"), F.count("a")).first()[:] == (19900, 200)
