@@ -18,6 +18,7 @@ from ..operators import ranking as R
 from ..operators import scoring as S
 from ..operators import series as SE
 from ..schemas import LINE_COLUMNS
+from ..session import cut_lineage
 from ..sources import fixtures as FX
 from .oracle import REF_DATE, SNAPSHOT_CUTOFF, SPLIT_DATE
 
@@ -139,7 +140,7 @@ def q_to_json_events(spark, sf):
 
 
 def _dirty_ingest(spark, sf):
-    raw = N.to_json_value(N.nest_invoices(FX.dirty_lines(spark, sf)))
+    raw = N.to_json_value(FX.invoices(spark, sf, dirty=True))
     return N.split_ingest(raw)
 
 
@@ -291,7 +292,10 @@ def q_kv_rowkey(spark, sf):
 @query("kv_upsert_latest")
 def q_kv_upsert_latest(spark, sf):
     placed = C.clean_lines(N.explode_items(FX.invoices(spark, sf), "item_pos"))
-    return S.kv_upsert_latest(S.scored_lines(placed, scores(spark, sf)))
+    # the line counts among the features name the hot customers; both come from one aggregation
+    feats = cut_lineage(FE.customer_features(lines(spark, sf), REF_DATE))
+    hot = S.hot_keys_of_counts(feats, n="frequency")
+    return S.kv_upsert_latest(S.scored_lines(placed, S.score_features(feats), hot=hot))
 
 
 @query("prediction_feed")
