@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import (DATE_FORMAT, WEEKEND_DAYS, epoch_seconds,
@@ -89,13 +89,17 @@ def clean_lines(df: DataFrame, weekend_days=WEEKEND_DAYS,
         F.when(money_ok("Quantity", "UnitPrice"), line_revenue()).alias("Revenue"))
 
 
-def unclean_lines(df: DataFrame) -> DataFrame:
-    """Quarantine of ``clean_lines``: the rows it drops, unchanged, with a reason."""
-    reason = (F.when(F.col("InvoiceDate").isNull() | F.col("Quantity").isNull() | F.col("UnitPrice").isNull(), "incomplete")
+def unclean_reason() -> Column:
+    """Why ``clean_lines`` drops a row (null when it does not)."""
+    return (F.when(F.col("InvoiceDate").isNull() | F.col("Quantity").isNull() | F.col("UnitPrice").isNull(), "incomplete")
                .when(parse_invoice_ts("InvoiceDate").isNull(), "invalid date")
                .when(to_int_truncating("Quantity").isNull(), "invalid quantity")
                .when(~money_ok(to_int_truncating("Quantity"), F.col("UnitPrice").try_cast("double")), "invalid price"))
-    return df.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
+def unclean_lines(df: DataFrame) -> DataFrame:
+    """Quarantine of ``clean_lines``: the rows it drops, unchanged, with a reason."""
+    return df.withColumn("reason", unclean_reason()).filter(F.col("reason").isNotNull())
 
 
 def normalise_lines(df: DataFrame) -> DataFrame:

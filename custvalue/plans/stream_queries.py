@@ -34,13 +34,24 @@ def _files(spark) -> int:
 
 def _invoice_texts(spark, sf, root, order=None):
     """Nested invoices as JSON text files (one message per line)."""
-    inv = FX.invoices(spark, sf)
+    inv = FX.invoices(spark, sf, files=_files(spark))
     msgs = inv.select("InvoiceDate", F.to_json(F.struct(*inv.columns)).alias("value"))
     path = f"{root}/in"
-    ST.write_replay_files(msgs, path, _files(spark), "text", order=order, columns=["value"])
+    ST.write_replay_files(msgs, path, _files(spark) if order else None, "text", order=order, columns=["value"])
     return path
 
 
+def _invoice_parts(spark, sf, root, arrives, parts):
+    """Nested invoices as JSON text files, each in the folder of the part ``arrives`` says, written in
+    one pass.  Gives the path of each part together with all before it: a restarted
+    stream that reads it finds the next part's files."""
+    inv = FX.invoices(spark, sf, files=_files(spark))
+    msgs = inv.select(arrives.cast("int").alias("part"), F.to_json(F.struct(*inv.columns)).alias("value"))
+    msgs = msgs.filter(F.col("part").isNotNull())
+    ST.write_replay_files(msgs, f"{root}/in", None, "text", columns=["value"], part="part")
+    return [f"{root}/in/part=[0-{i}]" for i in range(parts)]
+
+
 def _invoice_stream(spark, path, per_trigger=None):
     raw = ST.file_source(spark, path, TEXT, "text", per_trigger)
     return ST.invoice_json(raw)
@@ -50,12 +61,9 @@ def _two_batches(spark, sf, root, start) -> None:
     """Replay the invoices in two runs of one query (a restart from its
     checkpoint): those before the cut-off, then the rest.  Most customers have
     invoices in both."""
-    inv = FX.invoices(spark, sf)
-    msgs = inv.select("InvoiceDate", F.to_json(F.struct(*inv.columns)).alias("value"))
-    early = F.col("InvoiceDate") < F.lit(BATCH_CUTOFF)
-    for part, cond in (("a", early), ("b", ~early)):
-        ST.write_replay_files(msgs.filter(cond), f"{root}/in/part={part}", _files(spark), "text", columns=["value"])
-        ST.finish(start(_invoice_stream(spark, f"{root}/in/part=*")))
+    late = F.col("InvoiceDate") >= F.lit(BATCH_CUTOFF)
+    for path in _invoice_parts(spark, sf, root, late, 2):
+        ST.finish(start(_invoice_stream(spark, path)))
 
 
 @query("stream_score")
@@ -125,14 +133,11 @@ def q_stream_invoice_frequency(spark, sf):
 
 def _windows_with_late_rows(spark, sf, root) -> None:
     """Three batches by invoice date; every ``LATE_MODULUS``-th invoice comes a batch later."""
-    inv = FX.invoices(spark, sf)
     date = F.col("InvoiceDate")
     own = F.when(date < LATE_CUTS[0], 0).when(date < LATE_CUTS[1], 1).otherwise(2)
     slow = F.when(F.col("InvoiceNo").cast("bigint") % LATE_MODULUS == 0, 1).otherwise(0)
-    msgs = inv.select(F.least(own + slow, F.lit(2)).alias("arrives"), F.to_json(F.struct(*inv.columns)).alias("value"))
-    for part in range(3):
-        ST.write_replay_files(msgs.filter(F.col("arrives") == part), f"{root}/in/part={part}", _files(spark), "text", columns=["value"])
-        lines = C.clean_lines(N.explode_items(_invoice_stream(spark, f"{root}/in/part=*")))
+    for path in _invoice_parts(spark, sf, root, F.least(own + slow, F.lit(2)), 3):
+        lines = C.clean_lines(N.explode_items(_invoice_stream(spark, path)))
         ST.finish(ST.start_window_table_stream(lines, f"{root}/out", f"{root}/ckpt"))
 
 
@@ -182,12 +187,12 @@ def q_stream_landing_quarantine(spark, sf):
     """Damaged invoices and cut-off copies of every 97th message: all of them land with
     their text, and a reason."""
     root = scratch_path(spark, "stream_landing_quarantine")
-    inv = N.nest_invoices(FX.dirty_lines(spark, sf))
-    value = F.to_json(F.struct(*inv.columns))
-    msgs = inv.select(value.alias("value")).unionByName(
-        inv.filter(F.col("InvoiceNo").cast("bigint") % FX.DAMAGE_MODULUS == 5)
-           .select(F.concat(F.left(value, F.lit(20)), F.lit(" ...")).alias("value")))
-    ST.write_replay_files(msgs, f"{root}/in", _files(spark), "text")
+    inv = FX.invoices(spark, sf, files=_files(spark), dirty=True)
+    text = inv.select("InvoiceNo", F.to_json(F.struct(*inv.columns)).alias("value"))
+    cut = F.when(F.col("InvoiceNo").cast("bigint") % FX.DAMAGE_MODULUS == 5,
+                 F.concat(F.left("value", F.lit(20)), F.lit(" ...")))
+    msgs = text.select(F.explode(F.array_compact(F.array("value", cut))).alias("value"))
+    ST.write_replay_files(msgs, f"{root}/in", None, "text")
     raw = ST.file_source(spark, f"{root}/in", TEXT, "text", max(1, _files(spark) // 2))
     ST.finish(ST.start_landing_stream(raw, f"{root}/zone", f"{root}/ckpt"))
     _, bad = ST.landed_invoices(spark, f"{root}/zone")

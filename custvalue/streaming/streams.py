@@ -20,7 +20,7 @@ from ..operators import ranking as R
 from ..operators import scoring as S
 from ..functions.columns import (HOURS, WEEKDAYS, count_parts, event_time, normal_id,
                                  revenue_sum, wall_clock)
-from ..schemas import FLAT_LINE, INVOICE, RANK_MESSAGE
+from ..schemas import FLAT_LINE, INVOICE, ITEM, RANK_MESSAGE
 from ..sinks.batches import finished_batches, latest_rows, read_batches, write_batch
 
 
@@ -50,23 +50,27 @@ def file_source(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return r.load(path)
 
 
-def write_replay_files(df: DataFrame, path: str, files: int, fmt: str = "json",
+def write_replay_files(df: DataFrame, path: str, files: int | None, fmt: str = "json",
                        key: str | None = None, order: str | None = None,
-                       columns: list[str] | None = None) -> None:
+                       columns: list[str] | None = None, part: str | None = None) -> None:
     """Lay a table down as stream input files.
 
     ``key`` puts all rows of a key in one file (so a per-batch computation
     sees whole keys); ``order`` range-partitions by time (files follow event
-    time).  Otherwise rows spread evenly.  ``columns`` selects what is
-    written (e.g. only ``value`` for text files).
+    time).  Otherwise rows spread evenly, or stay as they are dealt out with
+    ``files`` None.  ``columns`` selects what is written (e.g. only ``value`` for text
+    files); ``part`` puts the rows of each value of a column in a folder of its own.
+    The files are compressed.
     """
     if key:
         df = df.repartition(files, key)
     elif order:
         df = df.repartitionByRange(files, order)
-    else:
+    elif files:
         df = df.repartition(files)
-    (df.select(*columns) if columns else df).write.mode("overwrite").format(fmt).save(path)
+    w = (df.select(*columns, *([part] if part else [])) if columns else df).write.mode("overwrite").format(fmt)
+    w = w.options(compression="gzip", **{"zlib.compress.level": "BEST_SPEED"}) if fmt in ("text", "json", "csv") else w
+    (w.partitionBy(part) if part else w).save(path)
 
 
 def invoice_json(df_value: DataFrame) -> DataFrame:
@@ -385,7 +389,7 @@ def start_landing_stream(raw: DataFrame, out_path: str, checkpoint: str,
     landed = (N.ingest_invoices(raw).withColumn("reason", N.ingest_reason()).drop(N.CORRUPT_COL)
               .withColumn("landing_month", F.date_format(parse_invoice_ts("InvoiceDate"), "yyyy-MM")))
     q = (landed.writeStream.format("parquet").outputMode("append").option("path", out_path)
-               .option("checkpointLocation", checkpoint).partitionBy("landing_month"))
+               .option("compression", "zstd").option("checkpointLocation", checkpoint).partitionBy("landing_month"))
     return (q.trigger(availableNow=True) if available_now else q).start()
 
 
@@ -423,11 +427,14 @@ def compact_landing(spark: SparkSession, zone_path: str, out_path: str, target_b
     if not plan:
         return table.drop("first")
     slots = F.broadcast(table.select(F.col("landing_month").alias("_month"), "files", "first"))
+    # item lists travel as JSON text: it repeats what the message holds, so the shuffle packs both into little more than one
+    lists = [f.name for f in zone.schema if f.dataType == T.ArrayType(ITEM)]
     slot = F.col("first") + F.pmod(F.xxhash64("_file", "_row"), F.col("files")).cast("int")
     dealt = (zone.select("*", *at).join(slots, F.col("landing_month").eqNullSafe(F.col("_month")))
-                 .withColumn("_slot", slot).select(*zone.columns, "_slot"))
-    (dealt.repartitionById(first, "_slot").drop("_slot").write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy("landing_month").parquet(out_path))
+                 .withColumn("_slot", slot).select(*zone.columns, "_slot")
+                 .withColumns({c: F.to_json(c) for c in lists}).repartitionById(first, "_slot"))
+    (dealt.withColumns({c: F.from_json(c, T.ArrayType(ITEM)) for c in lists}).select(*zone.columns).write.mode("overwrite")
+          .option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy("landing_month").parquet(out_path))
     return table.drop("first")
 
 
@@ -508,10 +515,14 @@ def start_flat_stream(raw: DataFrame, out_path: str, checkpoint: str, ref_date="
     def body(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        batch = batch.persist()
+        # parsed once; the text is kept of lines with a reason only
+        reason = C.unclean_reason()
+        batch = (flat_json(batch, ("value",)).withColumn("reason", reason)
+                 .withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))).persist())
         try:
-            write_batch(C.unclean_lines(flat_json(batch, ("value",))), quarantine_path(out_path), batch_id)
-            scored, _ = score_line_batch(C.clean_lines(flat_json(batch)), batch_id, state, ref_date, model)
+            write_batch(batch.filter(F.col("reason").isNotNull()), quarantine_path(out_path), batch_id)
+            good = batch.filter(F.col("reason").isNull()).drop("value", "reason")
+            scored, _ = score_line_batch(C.clean_lines(good), batch_id, state, ref_date, model)
             (scored.select(*C.CLEAN_COLUMNS, "CLV_Prediction").write.mode("overwrite")
                    .parquet(f"{out_path}/batch_id={batch_id}"))
         finally:
