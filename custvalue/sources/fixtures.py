@@ -50,17 +50,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def invoice_lines(spark: SparkSession, sf_dir: str, keep_keys: bool = False, files: int | None = None) -> DataFrame:
+def invoice_lines(spark: SparkSession, sf_dir: str, keep_keys: bool = False,
+                  by_order: bool = False, files: int | None = None) -> DataFrame:
     """Flat invoice lines = lineitem x orders x customer x nation x part.
 
     Quantity is negated for returned lines (l_returnflag = 'R'); the invoice
     time is the order date plus ``o_orderkey % 24`` hours.  Joins are plain
     equi-joins: the planner broadcasts the dimension sides only when their
     measured size is under ``autoBroadcastJoinThreshold`` and shuffles
-    otherwise (customer and part are large at scale).  Orders meet their customers
-    before they meet lines, so the many lines are dealt out twice only: narrow
-    to their parts, then to their orders.  With ``files`` the second time goes to that
-    many partitions by order key, for callers that write or group by invoice.
+    otherwise (customer and part are large at scale).
+
+    ``by_order`` is for callers that group by invoice: orders meet their customers
+    before they meet lines, so the many lines are dealt out twice only, narrow to
+    their parts, then to their orders, where they stay; with ``files`` in that many partitions.
     """
     li = spread(table(spark, sf_dir, "lineitem").select(
         *LINE_KEY, "l_quantity", "l_returnflag"), "l_orderkey")
@@ -73,13 +75,19 @@ def invoice_lines(spark: SparkSession, sf_dir: str, keep_keys: bool = False, fil
         .otherwise(F.col("l_quantity")).cast("int")
     ts = F.col("o_orderdate") + F.make_dt_interval(
         F.lit(0), (F.col("o_orderkey") % 24).cast("int"))
-    placed = (o.join(c, F.col("o_custkey") == c.c_custkey)
-               .join(n, F.col("c_nationkey") == n.n_nationkey)
-               .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
-    sold = li.join(p, F.col("l_partkey") == p.p_partkey).drop("p_partkey")
-    if files:
-        sold = sold.repartition(files, "l_orderkey")
-    joined = sold.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+    if by_order:
+        placed = (o.join(c, F.col("o_custkey") == c.c_custkey)
+                   .join(n, F.col("c_nationkey") == n.n_nationkey)
+                   .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
+        sold = li.join(p, F.col("l_partkey") == p.p_partkey).drop("p_partkey")
+        if files:
+            sold = sold.repartition(files, "l_orderkey")
+        joined = sold.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+    else:
+        joined = (li.join(o, li.l_orderkey == o.o_orderkey)
+                    .join(c, F.col("o_custkey") == c.c_custkey)
+                    .join(n, F.col("c_nationkey") == n.n_nationkey)
+                    .join(p, F.col("l_partkey") == p.p_partkey))
     cols = [
         F.col("o_orderkey").cast("string").alias("InvoiceNo"),
         F.col("l_partkey").cast("string").alias("StockCode"),
@@ -95,9 +103,10 @@ def invoice_lines(spark: SparkSession, sf_dir: str, keep_keys: bool = False, fil
     return joined.select(*cols)
 
 
-def dirty_lines(spark: SparkSession, sf_dir: str, keep_keys: bool = False, files: int | None = None) -> DataFrame:
+def dirty_lines(spark: SparkSession, sf_dir: str, keep_keys: bool = False,
+                by_order: bool = False, files: int | None = None) -> DataFrame:
     """``invoice_lines`` with deterministic damage by ``l_orderkey % 97``."""
-    df = invoice_lines(spark, sf_dir, keep_keys=True, files=files)
+    df = invoice_lines(spark, sf_dir, keep_keys=True, by_order=by_order, files=files)
     m = F.col("l_orderkey") % DAMAGE_MODULUS
     df = df.select(
         "InvoiceNo", "StockCode", "Description",
@@ -121,7 +130,7 @@ def invoices(spark: SparkSession, sf_dir: str, files: int | None = None, dirty:
     The number of an invoice is its order key as text, so the lines are nested where
     the join by order key left them."""
     from ..operators.nested import nest_invoices
-    lines = (dirty_lines if dirty else invoice_lines)(spark, sf_dir, keep_keys=True, files=files)
+    lines = (dirty_lines if dirty else invoice_lines)(spark, sf_dir, keep_keys=True, by_order=True, files=files)
     return nest_invoices(lines, within="l_orderkey")
 
 

@@ -226,9 +226,9 @@ def test_replay_parts_are_written_in_one_pass_and_compressed(spark, scratch):
 
 def test_nested_lines_are_not_dealt_out_by_invoice_again(spark):
     from custvalue.sources import fixtures as FX
-    plan = FX.invoices(spark, "/root/testdata/sf0.001", files=5)._jdf.queryExecution().executedPlan().toString()
+    plan = FX.invoices(spark, "/root/testdata/sf0.001", files=11)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(InvoiceNo" not in plan and "l_orderkey" in plan
-    assert FX.invoices(spark, "/root/testdata/sf0.001", files=5).rdd.getNumPartitions() == 5
+    assert FX.invoices(spark, "/root/testdata/sf0.001", files=11).rdd.getNumPartitions() == 11
 
 
 def test_compaction_keeps_item_lists(spark, scratch):
