@@ -76,7 +76,9 @@ def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
     ``small`` is counted first.  Up to ``max_rows`` rows it is broadcast and
     ``big`` is not shuffled.  Beyond that ``big`` is salted by a row hash and
     ``small`` is repeated once per salt, so a hot key spreads over ``salts``
-    tasks.  Both ways give the same rows.  Null keys match null keys.
+    tasks; the join is a sort-merge join whatever the planner expects, as it sees the
+    compressed file of ``small``, not the repeated rows, and would send those through the
+    driver.  Both ways give the same rows.  Null keys match null keys.
     """
     names = [c for c in small.columns if c not in keys]
     small = small.select(*[F.col(f"`{k}`").alias(f"__k_{k}") for k in keys],
@@ -93,7 +95,7 @@ def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
         cond = salted["__salt"] == small["__s"]
         for k in keys:
             cond = cond & salted[k].eqNullSafe(small[f"__k_{k}"])
-        out = salted.join(small, cond, how).drop("__salt", "__s")
+        out = salted.join(small.hint("merge"), cond, how).drop("__salt", "__s")
     return out.drop(*[f"__k_{k}" for k in keys])
 
 
