@@ -70,6 +70,11 @@ def clean_lines(df: DataFrame, weekend_days=WEEKEND_DAYS,
     ``drop_unparsed=False`` keeps them with null time parts and null revenue,
     as the source system did.  Further columns pass through.
     """
+    return line_parts(typed_lines(df, drop_unparsed), weekend_days)
+
+
+def typed_lines(df: DataFrame, drop_unparsed: bool = True) -> DataFrame:
+    """First half of ``clean_lines``: its rows, with the columns that nothing else gives."""
     ts = parse_invoice_ts("InvoiceDate")
     qty = to_int_truncating("Quantity")
     price = F.col("UnitPrice").try_cast("double")
@@ -81,7 +86,12 @@ def clean_lines(df: DataFrame, weekend_days=WEEKEND_DAYS,
     if drop_unparsed:
         out = out.filter(F.col("invoice_ts").isNotNull() & F.col("Quantity").isNotNull()
                          & money_ok("Quantity", "UnitPrice"))
-    out = time_parts(out, "invoice_ts", weekend_days)
+    return out
+
+
+def line_parts(typed: DataFrame, weekend_days=WEEKEND_DAYS) -> DataFrame:
+    """Second half of ``clean_lines``: the columns that follow from a line's time, quantity and price."""
+    out = time_parts(typed, "invoice_ts", weekend_days)
     return out.select(
         *[c for c in out.columns if c not in ("hour", "dayofweek", "weekend")],
         epoch_seconds("invoice_ts").alias("invoice_epoch"),

@@ -21,6 +21,7 @@ from ..operators import scoring as S
 from ..functions.columns import (HOURS, WEEKDAYS, count_parts, event_time, normal_id,
                                  revenue_sum, wall_clock)
 from ..schemas import FLAT_LINE, INVOICE, ITEM, RANK_MESSAGE
+from ..session import remove_folder, shuffles_dropped
 from ..sinks.batches import finished_batches, latest_rows, read_batches, write_batch
 
 
@@ -87,7 +88,13 @@ def flat_json(df_value: DataFrame, keep: tuple = ()) -> DataFrame:
 
 def score_line_batch(lines: DataFrame, batch_id: int, state: str, ref_date,
                      model=None) -> tuple[DataFrame, DataFrame]:
-    """Scored lines of a micro-batch and the scores of its customers.
+    """Scored lines of a micro-batch and the scores of its customers (``batch_scores``)."""
+    scores, own = batch_scores(lines, batch_id, state, ref_date, model)
+    return S.scored_lines(lines, scores, hot=S.hot_keys_of_counts(own, n="_n")), scores
+
+
+def batch_scores(lines: DataFrame, batch_id: int, state: str, ref_date, model=None) -> tuple[DataFrame, DataFrame]:
+    """The scores of a micro-batch's customers, and the parts of their features in this batch.
 
     The folder ``state`` keeps, per batch, the mergeable feature parts of its
     customers.  A batch writes only its own parts (again on a replay); the scores
@@ -103,8 +110,7 @@ def score_line_batch(lines: DataFrame, batch_id: int, state: str, ref_date,
     if before is not None:
         known = before.join(own.select("CustomerID"), "CustomerID", "left_semi")
         merged = FE.merge_feature_parts(own.unionByName(known.select(*own.columns)))
-    scores = S.score_features(FE._finish(merged, ref_date, "CustomerID"), model)
-    return S.scored_lines(lines, scores, hot=S.hot_keys_of_counts(own, n="_n")), scores
+    return S.score_features(FE._finish(merged, ref_date, "CustomerID"), model), own
 
 
 def score_state(out_path: str) -> str:
@@ -511,22 +517,27 @@ def start_flat_stream(raw: DataFrame, out_path: str, checkpoint: str, ref_date="
     """Flat line messages (8 fields) -> parsed -> cleaned -> scored -> file sink.
     Lines that cleaning drops are written with their text and reason (``quarantined``)."""
     state = state or score_state(out_path)
+    parsed = f"{out_path.rstrip('/')}_parsed"       # the batch at work, removed behind it
 
     def body(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        # parsed once; the text is kept of lines with a reason only
-        reason = C.unclean_reason()
-        batch = (flat_json(batch, ("value",)).withColumn("reason", reason)
-                 .withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))).persist())
-        try:
-            write_batch(batch.filter(F.col("reason").isNotNull()), quarantine_path(out_path), batch_id)
-            good = batch.filter(F.col("reason").isNull()).drop("value", "reason")
-            scored, _ = score_line_batch(C.clean_lines(good), batch_id, state, ref_date, model)
+        # parsed once, into a file table: a cache of the batch would spill, several times as large.
+        # The text is kept of lines with a reason only
+        spark = batch.sparkSession
+        batch = (flat_json(batch, ("value",)).withColumn("reason", C.unclean_reason())
+                 .withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))))
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(parsed)
+        rows = spark.read.schema(batch.schema).parquet(parsed)
+        with shuffles_dropped(spark):
+            write_batch(rows.filter(F.col("reason").isNotNull()), quarantine_path(out_path), batch_id)
+            good = C.typed_lines(rows.filter(F.col("reason").isNull()).drop("value", "reason"))
+            scores, own = batch_scores(C.line_parts(good), batch_id, state, ref_date, model)
+            # lines meet their scores without the columns that follow from the others
+            scored = C.line_parts(S.scored_lines(good, scores, hot=S.hot_keys_of_counts(own, n="_n")))
             (scored.select(*C.CLEAN_COLUMNS, "CLV_Prediction").write.mode("overwrite")
-                   .parquet(f"{out_path}/batch_id={batch_id}"))
-        finally:
-            batch.unpersist()
+                   .option("compression", "zstd").parquet(f"{out_path}/batch_id={batch_id}"))
+        remove_folder(spark, parsed)
     w = raw.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()
 
