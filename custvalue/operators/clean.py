@@ -21,9 +21,9 @@ FILL_DEFAULTS = {
 REQUIRED_COLUMNS = ["InvoiceNo", "InvoiceDate", "CustomerID", "Country", "StockCode",
                     "Description", "Quantity", "UnitPrice"]
 
-CLEAN_COLUMNS = ["InvoiceNo", "StockCode", "Description", "Quantity", "UnitPrice",
-                 "CustomerID", "Country", "invoice_ts", "invoice_epoch",
-                 "hour", "dayofweek", "weekend", "Revenue"]
+TYPED_COLUMNS = ["InvoiceNo", "StockCode", "Description", "Quantity", "UnitPrice",
+                 "CustomerID", "Country", "invoice_ts"]
+CLEAN_COLUMNS = [*TYPED_COLUMNS, "invoice_epoch", "hour", "dayofweek", "weekend", "Revenue"]
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
@@ -70,11 +70,6 @@ def clean_lines(df: DataFrame, weekend_days=WEEKEND_DAYS,
     ``drop_unparsed=False`` keeps them with null time parts and null revenue,
     as the source system did.  Further columns pass through.
     """
-    return line_parts(typed_lines(df, drop_unparsed), weekend_days)
-
-
-def typed_lines(df: DataFrame, drop_unparsed: bool = True) -> DataFrame:
-    """First half of ``clean_lines``: its rows, with the columns that nothing else gives."""
     ts = parse_invoice_ts("InvoiceDate")
     qty = to_int_truncating("Quantity")
     price = F.col("UnitPrice").try_cast("double")
@@ -86,11 +81,11 @@ def typed_lines(df: DataFrame, drop_unparsed: bool = True) -> DataFrame:
     if drop_unparsed:
         out = out.filter(F.col("invoice_ts").isNotNull() & F.col("Quantity").isNotNull()
                          & money_ok("Quantity", "UnitPrice"))
-    return out
+    return line_parts(out, weekend_days)
 
 
 def line_parts(typed: DataFrame, weekend_days=WEEKEND_DAYS) -> DataFrame:
-    """Second half of ``clean_lines``: the columns that follow from a line's time, quantity and price."""
+    """The columns of ``clean_lines`` that follow from a line's typed time, quantity and price."""
     out = time_parts(typed, "invoice_ts", weekend_days)
     return out.select(
         *[c for c in out.columns if c not in ("hour", "dayofweek", "weekend")],

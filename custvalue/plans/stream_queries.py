@@ -207,7 +207,8 @@ def q_stream_flat(spark, sf):
     # files as the join by order left the lines, not dealt out once more as text
     lines = FX.dirty_lines(spark, sf, by_order=True, files=_files(spark))
     with shuffles_dropped(spark):
-        ST.write_replay_files(lines.select(F.to_json(F.struct(*LINE_COLUMNS)).alias("value")), f"{root}/in", None, "text")
+        ST.write_replay_files(lines.select(F.to_json(F.struct(*LINE_COLUMNS)).alias("value")), f"{root}/in", None, "text",
+                              level="FIVE")
     raw = ST.file_source(spark, f"{root}/in", TEXT, "text")
     ST.finish(ST.start_flat_stream(raw, f"{root}/out", f"{root}/ckpt", REF_DATE))
     return spark.read.parquet(f"{root}/out").drop("batch_id")

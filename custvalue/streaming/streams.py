@@ -18,7 +18,7 @@ from ..operators import features as FE
 from ..operators import nested as N
 from ..operators import ranking as R
 from ..operators import scoring as S
-from ..functions.columns import (HOURS, WEEKDAYS, count_parts, event_time, normal_id,
+from ..functions.columns import (HOURS, WEEKDAYS, count_parts, event_time, normal_id, parse_invoice_ts,
                                  revenue_sum, wall_clock)
 from ..schemas import FLAT_LINE, INVOICE, ITEM, RANK_MESSAGE
 from ..session import remove_folder, shuffles_dropped
@@ -53,7 +53,8 @@ def file_source(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 def write_replay_files(df: DataFrame, path: str, files: int | None, fmt: str = "json",
                        key: str | None = None, order: str | None = None,
-                       columns: list[str] | None = None, part: str | None = None) -> None:
+                       columns: list[str] | None = None, part: str | None = None,
+                       level: str = "BEST_SPEED") -> None:
     """Lay a table down as stream input files.
 
     ``key`` puts all rows of a key in one file (so a per-batch computation
@@ -61,7 +62,7 @@ def write_replay_files(df: DataFrame, path: str, files: int | None, fmt: str = "
     time).  Otherwise rows spread evenly, or stay as they are dealt out with
     ``files`` None.  ``columns`` selects what is written (e.g. only ``value`` for text
     files); ``part`` puts the rows of each value of a column in a folder of its own.
-    The files are compressed.
+    The files are compressed with zlib's ``level``.
     """
     if key:
         df = df.repartition(files, key)
@@ -70,7 +71,7 @@ def write_replay_files(df: DataFrame, path: str, files: int | None, fmt: str = "
     elif files:
         df = df.repartition(files)
     w = (df.select(*columns, *([part] if part else [])) if columns else df).write.mode("overwrite").format(fmt)
-    w = w.options(compression="gzip", **{"zlib.compress.level": "BEST_SPEED"}) if fmt in ("text", "json", "csv") else w
+    w = w.options(compression="gzip", **{"zlib.compress.level": level}) if fmt in ("text", "json", "csv") else w
     (w.partitionBy(part) if part else w).save(path)
 
 
@@ -523,15 +524,16 @@ def start_flat_stream(raw: DataFrame, out_path: str, checkpoint: str, ref_date="
         if batch.isEmpty():
             return
         # parsed once, into a file table: a cache of the batch would spill, several times as large.
-        # The text is kept of lines with a reason only
+        # The texts are kept of lines with a reason only; all others are clean, and typed by their schema
         spark = batch.sparkSession
         batch = (flat_json(batch, ("value",)).withColumn("reason", C.unclean_reason())
-                 .withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))))
+                 .withColumn("invoice_ts", F.when(F.col("reason").isNull(), parse_invoice_ts("InvoiceDate")))
+                 .withColumns({c: F.when(F.col("reason").isNotNull(), F.col(c)) for c in ("value", "InvoiceDate")}))
         batch.write.mode("overwrite").option("compression", "zstd").parquet(parsed)
         rows = spark.read.schema(batch.schema).parquet(parsed)
         with shuffles_dropped(spark):
-            write_batch(rows.filter(F.col("reason").isNotNull()), quarantine_path(out_path), batch_id)
-            good = C.typed_lines(rows.filter(F.col("reason").isNull()).drop("value", "reason"))
+            write_batch(rows.filter(F.col("reason").isNotNull()).drop("invoice_ts"), quarantine_path(out_path), batch_id)
+            good = rows.filter(F.col("reason").isNull()).select(*C.TYPED_COLUMNS)
             scores, own = batch_scores(C.line_parts(good), batch_id, state, ref_date, model)
             # lines meet their scores without the columns that follow from the others
             scored = C.line_parts(S.scored_lines(good, scores, hot=S.hot_keys_of_counts(own, n="_n")))
